@@ -15,6 +15,21 @@ from quakescope.schema import PAYLOAD, PAYLOAD_MEASURES, PAYLOAD_STRING_DEFAULTS
 NULL_TEXT = "nan"
 
 
+NUMERIC_FIELDS = ["latitude", "longitude", "depth", "mag", "nst", "gap", "rms"]
+_NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
+
+
+def record_ok(df: DataFrame) -> Column:
+    """A payload can be built: every numeric field present is null or a number."""
+    ok = F.lit(True)
+    types = dict(df.dtypes)
+    for name in NUMERIC_FIELDS:
+        if name in types and types[name] not in _NUMERIC_TYPES:
+            c = F.col(name)
+            ok = ok & (c.isNull() | c.try_cast("double").isNotNull())
+    return ok
+
+
 def _num(df: DataFrame, name: str, fill: float | None) -> Column:
     if name not in df.columns:
         return F.lit(fill if fill is not None else None).cast("double")
@@ -51,8 +66,12 @@ def payload_columns(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
 
 
 def event_payload(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
-    """One JSON text per event in column ``value`` (the topic's message body)."""
-    fields = payload_columns(df, fill)
+    """One JSON text per event in column ``value`` (the topic's message body).
+
+    Records whose numeric text does not parse are not sent (they count as
+    failed in the ingestion report).
+    """
+    fields = payload_columns(df.filter(record_ok(df)), fill)
     return fields.select(F.to_json(F.struct(*fields.columns)).alias("value"))
 
 

@@ -16,6 +16,7 @@ from quakescope.functions.classes import mag_class_six
 from quakescope.functions.grid import snap_away, snap_even
 from quakescope.functions.stats import exact_mean, pct_of, round_half_up
 from quakescope.operators.clean import cleaning_predicate
+from quakescope.operators.payload import record_ok
 
 # Payload size assumed per record by the ingestion report.
 EST_BYTES_PER_RECORD = 200
@@ -144,27 +145,14 @@ def quality_report(raw: DataFrame) -> DataFrame:
     )
 
 
-def _castable(col: str, df: DataFrame):
-    c = F.col(col)
-    if col not in df.columns:
-        return F.lit(True)
-    if dict(df.dtypes)[col] in ("double", "float", "int", "bigint", "smallint", "tinyint"):
-        return F.lit(True)
-    return c.isNull() | c.try_cast("double").isNotNull()
-
-
 def ingestion_report(df: DataFrame) -> DataFrame:
     """Records, payloads built, failures, loss % and estimated volume in MB.
 
     A record fails when a numeric payload field carries text that is not a
     number; a null number is fine (it is sent as 0.0 or NaN).
     """
-    ok = None
-    for col in ["latitude", "longitude", "depth", "mag", "nst", "gap", "rms"]:
-        cond = _castable(col, df)
-        ok = cond if ok is None else ok & cond
     counts = df.agg(F.count(F.lit(1)).alias("total_records"),
-                    F.count_if(ok).alias("success_count"))
+                    F.count_if(record_ok(df)).alias("success_count"))
     fail = F.col("total_records") - F.col("success_count")
     return counts.select(
         "total_records", "success_count", fail.alias("fail_count"),
