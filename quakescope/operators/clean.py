@@ -45,17 +45,24 @@ def cleaning_predicate() -> Column:
 def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id") -> DataFrame:
     """One row per key, nulls equal; the survivor has the lowest ``order_by``.
 
-    Written as an aggregate (``min`` of a struct led by ``order_by``, the other
-    columns breaking ties) rather than a ``row_number`` window: the aggregate
-    combines map-side, so a key holding a third of all rows shrinks to one row
-    per input partition before the shuffle instead of landing whole in one
-    task.  The survivor is repeatable across runs and cluster sizes.
+    Written as an aggregate — ``min_by(column, order)`` per column, the
+    order being ``(order_by is not null, order_by)`` so a null id sorts first
+    and is never skipped — rather than a ``row_number`` window:
+
+    * the aggregate combines map-side, so a key holding a third of all rows
+      shrinks to one row per input partition before the shuffle instead of
+      landing whole in one task;
+    * each column is its own aggregate, so Catalyst drops the ones no later
+      operator reads and the scan keeps only the columns in use.
+
+    Event ids identify events, so all columns of a survivor come from one
+    row; rows that share key *and* id are copies of one event.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.min(F.struct(F.col(order_by), *[F.col(c) for c in rest])).alias("_best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*[F.col(k) for k in keys], "_best.*").select(*df.columns)
+    order = F.struct(F.col(order_by).isNotNull().alias("k"), F.col(order_by).alias("v"))
+    aggs = [F.min(order).getField("v").alias(order_by)]
+    aggs += [F.min_by(F.col(c), order).alias(c) for c in df.columns if c not in keys and c != order_by]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

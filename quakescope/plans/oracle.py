@@ -161,6 +161,12 @@ ORACLE: dict[str, str] = {
         "coalesce(mag, 0.0) AS mag, coalesce(magType, 'nan') AS magType, "
         "coalesce(place, 'nan') AS place, coalesce(type, 'nan') AS type, "
         "coalesce(nst, 0.0) AS nst, coalesce(gap, 0.0) AS gap, coalesce(rms, 0.0) AS rms FROM quakes"),
+    "stream_clean": _with(f"""SELECT DISTINCT time, latitude, longitude,
+  CAST(year({TS}) AS INTEGER) AS year, CAST(month({TS}) AS INTEGER) AS month
+FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,
+             coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
+      FROM quakes)
+WHERE {RULE} AND {TS} IS NOT NULL"""),
     "clean": _with(f"SELECT {CLEAN_ALL} FROM clean"),
     "display_clean": _with(f"SELECT {ALL}, year, month, day, mag_category, depth_category FROM display"),
     "dedup": _with(f"""SELECT {ALL} FROM (

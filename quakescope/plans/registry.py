@@ -23,6 +23,7 @@ from quakescope.operators import clustering as Z
 from quakescope.operators import reports as R
 from quakescope.operators import sampling as S
 from quakescope.operators.payload import decode_payload, event_payload
+from quakescope.plans.batch import clean_table_columns, read_clean, write_clean
 from quakescope.plans.bundle import report_bundle
 from quakescope.schema import CATALOG_COLUMNS, FEATURES, HEADER_ALIASES
 from quakescope.session import scratch_path
@@ -30,6 +31,7 @@ from quakescope.sources import catalog as io
 from quakescope.sources import sinks
 from quakescope.sources.fixture import quakes
 from quakescope.sources.report import read_report
+from quakescope.streaming.clean_stream import clean_stream, read_messages, start_parquet_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,22 +99,39 @@ def event_payload_q(spark, sf):
     return decode_payload(spark.read.text(path))
 
 
-def report_bundle_q(spark, sf):
+def _clean_table(spark, sf):
+    """The cleaned table written once to the shared folder and read back."""
     raw = _raw(spark, sf)
-    cl = _clean(spark, sf)
+    path = scratch_path(spark, "clean")
+    write_clean(raw, path)
+    return read_clean(spark, path, clean_table_columns(raw))
+
+
+def report_bundle_q(spark, sf):
+    cl = _clean_table(spark, sf)
     model, rows = Z.fit_zones(cl)
-    return report_bundle(raw, cl, Z.assign_zones(model, rows),
+    return report_bundle(_raw(spark, sf), cl, Z.assign_zones(model, rows),
                          cores=spark.sparkContext.defaultParallelism)
 
 
 def report_bundle_read(spark, sf):
     path = scratch_path(spark, "report")
-    bundle = report_bundle(_raw(spark, sf), _clean(spark, sf),
-                           Z.assign_to_centres(_clean(spark, sf)))
+    cl = _clean_table(spark, sf)
+    bundle = report_bundle(_raw(spark, sf), cl, Z.assign_to_centres(cl))
     bundle.write.mode("overwrite").json(path)
     return read_report(spark, path)
 
 
+def stream_clean(spark, sf):
+    """Producer feed → Structured Streaming clean + watermark dedup → Parquet (keys)."""
+    topic = scratch_path(spark, "topic")
+    sinks.publish(event_payload(_raw(spark, sf)), path=topic)
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    query = start_parquet_sink(clean_stream(read_messages(spark, topic)), out, ck)
+    query.awaitTermination()
+    return spark.read.parquet(out).select("time", "latitude", "longitude", "year", "month")
+
+
 # --- cleaning and filters ----------------------------------------------------
 
 def clean_q(spark, sf):
@@ -334,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "parquet_projected": parquet_projected,
     "normalize_headers": normalize_headers,
     "event_payload": event_payload_q,
+    "stream_clean": stream_clean,
     "report_bundle": report_bundle_q,
     "report_bundle_read": report_bundle_read,
     "clean": clean_q,
