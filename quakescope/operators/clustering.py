@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -90,8 +92,7 @@ def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]] = PUBLIS
     return rows.withColumn("cluster", cluster.cast("int"))
 
 
-def _pipeline(features: Sequence[str], k: int, seed: int, max_iter: int,
-              scale: float | None) -> Pipeline:
+def _prep_pipeline(features: Sequence[str], scale: float | None) -> Pipeline:
     stages = [VectorAssembler(inputCols=list(features), outputCol="features_raw"),
               StandardScaler(inputCol="features_raw",
                              outputCol="features" if scale is None else "features_s",
@@ -99,34 +100,66 @@ def _pipeline(features: Sequence[str], k: int, seed: int, max_iter: int,
     if scale is not None:
         stages.append(ElementwiseProduct(scalingVec=Vectors.dense([scale] * len(features)),
                                          inputCol="features_s", outputCol="features"))
-    stages.append(KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed,
-                         maxIter=max_iter))
     return Pipeline(stages=stages)
 
 
+@dataclass
+class ZoneFit:
+    """A fitted zone model and its persisted, standardised training rows."""
+
+    model: PipelineModel
+    training: DataFrame
+    cost: float
+    features: tuple[str, ...] = tuple(FEATURES)
+
+    def assigned(self) -> DataFrame:
+        """Training rows with their zone id (no second scaling pass)."""
+        out = self.model.stages[-1].transform(self.training)
+        return out.select(*self.features, F.col("cluster").cast("int").alias("cluster"))
+
+    def unpersist(self) -> None:
+        self.training.unpersist()
+
+
 def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
               restarts: int = 1, ddof: int = 1,
-              features: Sequence[str] = FEATURES) -> tuple[PipelineModel, DataFrame]:
+              features: Sequence[str] = FEATURES, parallel: int = 4) -> ZoneFit:
     """Fit the zone model on the rows with all features present.
 
-    Returns the model and the persisted training rows (caller unpersists).
+    One pass fits the scaler; the scaled vectors are persisted (memory, then
+    disk) once and every KMeans restart reads them (KMeans does not cache a
+    second copy when its input is persisted).  Restarts are independent
+    jobs, submitted from up to ``parallel`` threads; the lowest training cost
+    wins, ties to the earliest seed.
     """
-    rows = feature_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = feature_rows(df, features)
     scale = None
     if ddof == 0:
         n = rows.count()
         scale = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    best_model, best_cost = None, None
-    for r in range(max(1, restarts)):
-        model = _pipeline(features, k, seed + r, max_iter, scale).fit(rows)
-        cost = model.stages[-1].summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best_model, best_cost = model, cost
-    return best_model, rows
+    prep = _prep_pipeline(features, scale).fit(rows)
+    training = (prep.transform(rows).select(*features, "features")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def one(r: int):
+        km = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + r,
+                    maxIter=max_iter).fit(training)
+        return r, km, km.summary.trainingCost
+
+    n_restarts = max(1, restarts)
+    if n_restarts == 1 or parallel <= 1:
+        fits = [one(r) for r in range(n_restarts)]
+    else:
+        with ThreadPoolExecutor(max_workers=min(parallel, n_restarts)) as pool:
+            fits = list(pool.map(one, range(n_restarts)))
+    _, best, cost = min(fits, key=lambda t: (t[2], t[0]))
+    model = PipelineModel(stages=list(prep.stages) + [best])
+    return ZoneFit(model, training, cost, tuple(features))
 
 
 def assign_zones(model: PipelineModel, df: DataFrame,
                  features: Sequence[str] = FEATURES) -> DataFrame:
+    """Zone id of every row with all features present (a map-only pass)."""
     out = model.transform(feature_rows(df, features))
     return out.select(*features, F.col("cluster").cast("int").alias("cluster"))
 

@@ -27,7 +27,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from quakescope.operators.clean import clean
-from quakescope.operators.clustering import assign_zones, cluster_summary, fit_zones
+from quakescope.operators.clustering import cluster_summary, fit_zones
 from quakescope.operators.reports import global_stats, hotspots, mag_distribution, monthly
 from quakescope.schema import REPORT
 from quakescope.sources.sinks import write_parquet
@@ -71,9 +71,9 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, k: int = 6, see
     stats = global_stats(cleaned).first().asDict()
     t_analytics = time.time()
 
-    model, rows = fit_zones(cleaned, k=k, seed=seed, max_iter=max_iter)
-    zone_rows = [r.asDict() for r in cluster_summary(assign_zones(model, rows)).collect()]
-    rows.unpersist()
+    fit = fit_zones(cleaned, k=k, seed=seed, max_iter=max_iter)
+    zone_rows = [r.asDict() for r in cluster_summary(fit.assigned()).collect()]
+    fit.unpersist()
     t_zones = time.time()
 
     total = t_zones - t_start

@@ -54,14 +54,12 @@ def feeds(rows: DataFrame, with_zones: bool = True) -> dict[str, DataFrame]:
     }
     if with_zones:
         sample = S.bottom_k(rows, CLUSTER_N, CLUSTER_SEED)
-        model, fitted = Z.fit_zones(sample, k=ZONES_K, max_iter=ZONES_ITER,
-                                    restarts=ZONES_RESTARTS, ddof=0)
-        assigned = Z.assign_zones(model, sample.select("id", "latitude", "longitude", "depth", "mag"))
-        out["zones"] = Z.zone_table(Z.cluster_summary(assigned))
+        fit = Z.fit_zones(sample, k=ZONES_K, max_iter=ZONES_ITER, restarts=ZONES_RESTARTS, ddof=0)
+        out["zones"] = Z.zone_table(Z.cluster_summary(fit.assigned()))
+        with_ids = sample.select("id", "latitude", "longitude", "depth", "mag").filter(
+            C.all_present(["latitude", "longitude", "depth", "mag"]))
         out["cluster_map_sample"] = S.cluster_map_sample(
-            model.transform(sample.select("id", "latitude", "longitude", "depth", "mag")
-                            .filter(C.all_present(["latitude", "longitude", "depth", "mag"])))
-            .select("id", "latitude", "longitude", "cluster"), CLUSTER_MAP_N)
+            fit.model.transform(with_ids).select("id", "latitude", "longitude", "cluster"), CLUSTER_MAP_N)
     return out
 
 

@@ -109,8 +109,8 @@ def _clean_table(spark, sf):
 
 def report_bundle_q(spark, sf):
     cl = _clean_table(spark, sf)
-    model, rows = Z.fit_zones(cl)
-    return report_bundle(_raw(spark, sf), cl, Z.assign_zones(model, rows),
+    fit = Z.fit_zones(cl)
+    return report_bundle(_raw(spark, sf), cl, fit.assigned(),
                          cores=spark.sparkContext.defaultParallelism)
 
 
@@ -336,14 +336,13 @@ def cluster_map_fixed(spark, sf):
 
 
 def kmeans_summary(spark, sf):
-    model, rows = Z.fit_zones(_clean(spark, sf))
-    return Z.cluster_summary(Z.assign_zones(model, rows))
+    return Z.cluster_summary(Z.fit_zones(_clean(spark, sf)).assigned())
 
 
 def kmeans_sampled(spark, sf):
     sample = S.bottom_k(_view(spark, sf), 100000, 42)
-    model, rows = Z.fit_zones(sample, max_iter=50, restarts=10, ddof=0)
-    return Z.zone_table(Z.cluster_summary(Z.assign_zones(model, rows)))
+    fit = Z.fit_zones(sample, max_iter=50, restarts=10, ddof=0)
+    return Z.zone_table(Z.cluster_summary(fit.assigned()))
 
 
 QUERIES: dict[str, Query] = {
