@@ -1,15 +1,25 @@
 """Repeatable fixed-size samples (bottom-k by hash) and the map / scatter feeds.
 
-A row's rank is ``md5(key || '#' || seed)`` (ties broken by the key), so the
-sample is exact in size (``min(rows, n)``), the same on every run and every
-cluster size, and reproducible in any SQL engine with ``md5``.
+A row's rank is ``(md5(key || '#' || seed), key)``, so the sample is exact in
+size (``min(rows, n)``), the same on every run and cluster size, and
+reproducible in any SQL engine with ``md5``.
 
 A plain ``orderBy(h).limit(n)`` keeps ``n`` rows per input partition and
-merges all of them in one task, which grows with the partition count.  Here
-the first pass counts rows per hash bucket (the first five hex digits, at most
-2**20 groups, one aggregate); the bucket where the running count reaches
-``n`` bounds the hash, and only rows below that bound (about ``n`` plus one
-bucket) reach the final ordered take.
+merges all of them in one task, which grows with the partition count.  Here:
+
+1. One aggregate counts rows per hash prefix (5 hex digits, at most 2**20
+   groups; the running count over those groups is a bounded single-partition
+   window).  The prefix where the running count reaches ``n`` is the
+   *boundary*; fewer than ``n`` rows lie below it.
+2. While the boundary prefix holds more than ``BOUNDARY_ROWS`` rows, it is
+   refined with the next 5 hex digits, counting only inside it.
+3. Rows below the boundary are kept by a plain filter (no merge at all); the
+   ``m`` rows still needed come from the boundary prefix by an ordered take
+   over at most ``BOUNDARY_ROWS`` rows.
+4. If one full hash holds more than ``BOUNDARY_ROWS`` rows (one key repeated
+   on a third of the table), those rows tie on the rank, so any ``m`` of them
+   are right.  They are taken by per-partition quotas (row counts per input
+   partition, a bounded table) instead of a global limit.
 """
 
 from __future__ import annotations
@@ -19,7 +29,9 @@ from pyspark.sql import functions as F
 
 from quakescope.functions.labels import cluster_label
 
-BUCKET_HEX_DIGITS = 5
+PREFIX_STEP = 5          # hex digits per refinement level (≤ 2**20 groups)
+HASH_DIGITS = 32
+BOUNDARY_ROWS = 1 << 20  # largest boundary set ordered in one task
 
 
 def sample_hash(key: str | Column, seed: int) -> Column:
@@ -27,21 +39,56 @@ def sample_hash(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f"#{seed}")))
 
 
-def bottom_k(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
-    """The ``n`` rows with the smallest hash of ``key`` (all rows when fewer)."""
-    h = sample_hash(key, seed)
-    bucket = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
-    hashed = df.withColumn("_h", h)
-    counts = hashed.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    # At most 2**20 aggregated rows: the running sum's single partition is bounded.
+def _boundary(hashed: DataFrame, inside: Column, digits: int, need: int):
+    """(prefix, rows below it inside ``inside``, rows in it) at ``digits`` hex digits."""
+    pref = F.substring("_h", 1, digits)
+    counts = hashed.filter(inside).groupBy(pref.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     running = counts.withColumn(
-        "_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    cut = running.filter(F.col("_cum") >= n).agg(F.min("_b").alias("b")).first()["b"]
-    candidates = hashed
-    if cut is not None:
-        candidates = hashed.filter(
-            F.conv(F.substring("_h", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int") <= F.lit(cut))
-    return candidates.orderBy("_h", key).limit(n).drop("_h")
+        "_cum", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)))
+    row = (running.filter(F.col("_cum") >= need).orderBy("_p").limit(1)
+           .select("_p", (F.col("_cum") - F.col("_n")).alias("_below"), "_n").first())
+    return None if row is None else (row["_p"], row["_below"], row["_n"])
+
+
+def _take_tied(rows: DataFrame, m: int) -> DataFrame:
+    """Any ``m`` rows of a set whose rank is fully tied, without a global merge."""
+    tagged = rows.withColumns({"_pid": F.spark_partition_id(),
+                               "_pos": F.monotonically_increasing_id()})
+    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
+    quotas = (per_part
+              .withColumn("_before", F.coalesce(F.sum("_c").over(
+                  Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("_q", F.greatest(F.lit(0), F.least(F.col("_c"), F.lit(m) - F.col("_before"))))
+              .filter(F.col("_q") > 0).select("_pid", "_p0", "_q"))
+    # one row per input partition: a table bounded by the partition count
+    return (tagged.join(F.broadcast(quotas), "_pid")
+            .filter(F.col("_pos") - F.col("_p0") < F.col("_q"))
+            .drop("_pid", "_pos", "_p0", "_q"))
+
+
+def bottom_k(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
+    """The ``n`` rows with the smallest ``(hash, key)`` (all rows when fewer)."""
+    hashed = df.withColumn("_h", sample_hash(key, seed))
+    inside, below, digits = F.lit(True), 0, PREFIX_STEP
+    cut = _boundary(hashed, inside, digits, n)
+    if cut is None:                      # fewer than n rows: all of them
+        return df
+    prefix, b, size = cut
+    below += b
+    while size > BOUNDARY_ROWS and digits < HASH_DIGITS:
+        inside = F.substring("_h", 1, digits) == F.lit(prefix)
+        digits = min(digits + PREFIX_STEP, HASH_DIGITS)
+        prefix, b, size = _boundary(hashed, inside, digits, n - below)
+        below += b
+    pref = F.substring("_h", 1, digits)
+    lower = hashed.filter(pref < F.lit(prefix))
+    edge = hashed.filter(pref == F.lit(prefix))
+    m = n - below
+    if size <= BOUNDARY_ROWS:
+        taken = edge.orderBy("_h", key).limit(m)
+    else:
+        taken = _take_tied(edge, m)
+    return lower.unionByName(taken).drop("_h")
 
 
 def heatmap_sample(df: DataFrame, n: int = 30000, seed: int = 42) -> DataFrame:

@@ -29,10 +29,40 @@ def test_bottom_k_exact(spark, display, n, seed):
 
 
 def test_bottom_k_repeatable(spark, display):
-    a = [r["id"] for r in bottom_k(display, 50, 3).select("id").collect()]
-    b = [r["id"] for r in bottom_k(display.repartition(7), 50, 3).select("id").collect()]
+    a = sorted(r["id"] for r in bottom_k(display, 50, 3).select("id").collect())
+    b = sorted(r["id"] for r in bottom_k(display.repartition(7), 50, 3).select("id").collect())
     assert a == b
 
 
 def test_bottom_k_empty(spark, display):
     assert bottom_k(display.limit(0), 10, 1).count() == 0
+
+
+def test_bottom_k_refines_and_handles_one_hot_key(spark, display, monkeypatch):
+    import quakescope.operators.sampling as samp
+
+    monkeypatch.setattr(samp, "BOUNDARY_ROWS", 40)
+    monkeypatch.setattr(samp, "PREFIX_STEP", 1)
+    ids = [r["id"] for r in display.select("id").collect()]
+    # refinement path: small boundary budget, distinct ids
+    for n in (10, 300):
+        got = [r["id"] for r in samp.bottom_k(display, n, 42).select("id").collect()]
+        assert sorted(got) == sorted(brute(ids, n, 42))
+    # one key on a third of the rows: all of them tie on the rank
+    from pyspark.sql import functions as F
+
+    skewed = (display.withColumn("_r", F.monotonically_increasing_id())
+              .withColumn("id", F.when(F.col("_r") % 3 == 0, F.lit("HOT")).otherwise(F.col("id")))
+              .drop("_r").repartition(5))
+    rows = skewed.select("id").collect()
+    sk_ids = [r["id"] for r in rows]
+    hot_rank = hashlib.md5("HOT#42".encode()).hexdigest()
+    n = 600
+    got = samp.bottom_k(skewed, n, 42).select("id").collect()
+    assert len(got) == n
+    want = brute(set(sk_ids), len(set(sk_ids)), 42)
+    below = [i for i in want if hashlib.md5(f"{i}#42".encode()).hexdigest() < hot_rank]
+    got_ids = [r["id"] for r in got]
+    if len(below) < n:
+        assert set(below) <= set(got_ids)
+        assert got_ids.count("HOT") == min(n - len(below), sk_ids.count("HOT"))
