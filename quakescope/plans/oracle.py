@@ -239,11 +239,11 @@ WHERE {RULE} AND {TS} IS NOT NULL"""),
 FROM (SELECT (SELECT count(*) FROM quakes) AS raw_records, (SELECT count(*) FROM clean_rows) AS clean_records)"""),
     "ingestion_report": _with(
         "SELECT count(*) AS total_records, count(*) AS success_count, CAST(0 AS BIGINT) AS fail_count, "
-        f"0.0 AS data_loss_pct, {rnd('CAST(count(*) AS DOUBLE) * 200.0 / 1048576.0', 2)} AS estimated_mb "
+        f"CAST(0.0 AS DOUBLE) AS data_loss_pct, {rnd('CAST(count(*) AS DOUBLE) * 200.0 / 1048576.0', 2)} AS estimated_mb "
         "FROM quakes"),
     "ingestion_report_csv": _with(
         "SELECT count(*) AS total_records, count(*) AS success_count, CAST(0 AS BIGINT) AS fail_count, "
-        f"0.0 AS data_loss_pct, {rnd('CAST(count(*) AS DOUBLE) * 200.0 / 1048576.0', 2)} AS estimated_mb "
+        f"CAST(0.0 AS DOUBLE) AS data_loss_pct, {rnd('CAST(count(*) AS DOUBLE) * 200.0 / 1048576.0', 2)} AS estimated_mb "
         "FROM quakes"),
     "mag_histogram": _with(HIST),
     "density_grid": _with(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quakescope.schema import FEATURES, TOPIC
 
-# Producer batching of the reference ingestion (64 KB batches,
+# Producer batching of the original ingestion (64 KB batches,
 # 10 ms linger, gzip).
 KAFKA_PRODUCER_OPTIONS = {
     "kafka.batch.size": "65536",
