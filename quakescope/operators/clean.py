@@ -42,26 +42,32 @@ def cleaning_predicate() -> Column:
             & (F.col("rms") <= F.lit(MAX_RMS)))
 
 
-def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id") -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id",
+          prunable: bool = True) -> DataFrame:
     """One row per key, nulls equal; the survivor has the lowest ``order_by``.
 
-    Written as an aggregate — ``min_by(column, order)`` per column, the
-    order being ``(order_by is not null, order_by)`` so a null id sorts first
-    and is never skipped — rather than a ``row_number`` window:
-
-    * the aggregate combines map-side, so a key holding a third of all rows
-      shrinks to one row per input partition before the shuffle instead of
-      landing whole in one task;
-    * each column is its own aggregate, so Catalyst drops the ones no later
-      operator reads and the scan keeps only the columns in use.
-
-    Event ids identify events, so all columns of a survivor come from one
-    row; rows that share key *and* id are copies of one event.
+    An aggregate, not a ``row_number`` window: the aggregate combines
+    map-side, so a key holding a third of all rows shrinks to one row per
+    input partition before the shuffle instead of landing whole in one task.
+    The order is ``(order_by is not null, order_by)``, so a null id sorts
+    first and is never skipped.
+
+    ``prunable=True`` keeps one ``min_by(column, order)`` per column: Catalyst
+    drops the ones no later operator reads, and the scan keeps only the
+    columns in use.  ``prunable=False`` takes one ``min`` over a struct of
+    the whole row (ties on the id broken by the other columns), cheaper when
+    every column is kept anyway, as when the cleaned table is written.
+    Event ids identify events, so both forms pick the same row.
     """
     keys = list(keys)
+    rest = [c for c in df.columns if c not in keys and c != order_by]
+    if not prunable:
+        best = F.min(F.struct(F.col(order_by).isNotNull().alias("_k"), F.col(order_by),
+                              *[F.col(c) for c in rest])).alias("_best")
+        return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
     order = F.struct(F.col(order_by).isNotNull().alias("k"), F.col(order_by).alias("v"))
     aggs = [F.min(order).getField("v").alias(order_by)]
-    aggs += [F.min_by(F.col(c), order).alias(c) for c in df.columns if c not in keys and c != order_by]
+    aggs += [F.min_by(F.col(c), order).alias(c) for c in rest]
     return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
@@ -94,19 +100,22 @@ def with_display_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def clean_rows(raw: DataFrame, dedup_rows: bool = True) -> DataFrame:
+def clean_rows(raw: DataFrame, dedup_rows: bool = True, prunable: bool = True) -> DataFrame:
     """Cleaning rule on the 18 catalogue columns (no derived columns)."""
     kept = raw.filter(cleaning_predicate())
     if not dedup_rows:
         return kept
     if "time" in kept.columns:
-        return dedup(kept)
+        return dedup(kept, prunable=prunable)
     return distinct_rows(kept)
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """The batch job's cleaning rule (type, nulls, signs, rms, dedup) + derived columns."""
-    return with_batch_columns(clean_rows(raw))
+def clean(raw: DataFrame, prunable: bool = True) -> DataFrame:
+    """The batch job's cleaning rule (type, nulls, signs, rms, dedup) + derived columns.
+
+    ``prunable=False`` when every column will be read (writing the table).
+    """
+    return with_batch_columns(clean_rows(raw, prunable=prunable))
 
 
 def display_clean(raw: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@
   ``restarts`` > 1 keeps the fit with the lowest training cost (the restart
   count of the single-machine variants), ``ddof=0`` scales by the population
   standard deviation.  Each KMeans pass is a distributed aggregate; the
-  assembled features are persisted (memory, then disk) during the fit only.
+  four feature columns are persisted (memory, then disk) for the fit.
 * ``standardize`` / ``assign_to_centres`` — the same maths in plain column
   expressions, for given centres (no fit), so it can be checked in SQL.
 * ``cluster_summary`` — per-zone count, mean position/depth/magnitude, max.
@@ -105,7 +105,7 @@ def _prep_pipeline(features: Sequence[str], scale: float | None) -> Pipeline:
 
 @dataclass
 class ZoneFit:
-    """A fitted zone model and its persisted, standardised training rows."""
+    """A fitted zone model and its persisted training rows (the four features)."""
 
     model: PipelineModel
     training: DataFrame
@@ -113,8 +113,8 @@ class ZoneFit:
     features: tuple[str, ...] = tuple(FEATURES)
 
     def assigned(self) -> DataFrame:
-        """Training rows with their zone id (no second scaling pass)."""
-        out = self.model.stages[-1].transform(self.training)
+        """Training rows with their zone id (a map-only pass over the persisted rows)."""
+        out = self.model.transform(self.training)
         return out.select(*self.features, F.col("cluster").cast("int").alias("cluster"))
 
     def unpersist(self) -> None:
@@ -126,24 +126,24 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
               features: Sequence[str] = FEATURES, parallel: int = 4) -> ZoneFit:
     """Fit the zone model on the rows with all features present.
 
-    One pass fits the scaler; the scaled vectors are persisted (memory, then
-    disk) once and every KMeans restart reads them (KMeans does not cache a
-    second copy when its input is persisted).  Restarts are independent
-    jobs, submitted from up to ``parallel`` threads; the lowest training cost
-    wins, ties to the earliest seed.
+    The four feature columns are persisted (memory, then disk) once; one
+    pass fits the scaler, and each KMeans restart caches its own
+    deserialised vectors for its iterations (MLlib does so when its input is
+    not persisted).  Restarts are independent jobs, submitted from up to
+    ``parallel`` threads; the lowest training cost wins, ties to the
+    earliest seed.
     """
-    rows = feature_rows(df, features)
+    rows = feature_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
     scale = None
     if ddof == 0:
         n = rows.count()
         scale = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     prep = _prep_pipeline(features, scale).fit(rows)
-    training = (prep.transform(rows).select(*features, "features")
-                .persist(StorageLevel.MEMORY_AND_DISK))
+    scaled = prep.transform(rows)
 
     def one(r: int):
         km = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + r,
-                    maxIter=max_iter).fit(training)
+                    maxIter=max_iter).fit(scaled)
         return r, km, km.summary.trainingCost
 
     n_restarts = max(1, restarts)
@@ -154,7 +154,7 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
             fits = list(pool.map(one, range(n_restarts)))
     _, best, cost = min(fits, key=lambda t: (t[2], t[0]))
     model = PipelineModel(stages=list(prep.stages) + [best])
-    return ZoneFit(model, training, cost, tuple(features))
+    return ZoneFit(model, rows, cost, tuple(features))
 
 
 def assign_zones(model: PipelineModel, df: DataFrame,

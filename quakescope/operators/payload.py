@@ -86,3 +86,10 @@ def decode_payload(messages: DataFrame, nan_as_null: bool = True) -> DataFrame:
         parsed = parsed.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double"))
                                      for c in ("latitude", "longitude")})
     return parsed
+
+
+def payload_volume(messages: DataFrame) -> DataFrame:
+    """Messages, bytes and MB actually built (the ingestion report estimates 200 B each)."""
+    size = F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).cast("bigint")
+    return messages.agg(F.count(F.lit(1)).alias("messages"), size.alias("payload_bytes"),
+                        F.round(size.cast("double") / F.lit(1024.0 * 1024.0), 2).alias("payload_mb"))

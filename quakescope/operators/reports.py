@@ -185,3 +185,65 @@ def mag_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
         (lo_c + F.col("bin") * width / n).alias("bin_hi"),
         "jumlah",
     ).orderBy("bin")
+
+
+# --- the batch job's four reports in one pass --------------------------------
+
+_SETS = {  # grouping-set name → its keys
+    "mag": ["mag_category"],
+    "month": ["year", "month"],
+    "cell": ["lat_grid", "lon_grid"],
+    "all": [],
+}
+
+
+def report_pass(clean_df: DataFrame) -> DataFrame:
+    """Class, month, 1° cell and global aggregates of one scan (``GROUPING SETS``).
+
+    One Expand feeds one partial + final aggregate around one exchange, so the
+    cleaned table is read once for all four reports.  ``_set`` names the
+    grouping set of each row; a null key inside its own set is a real null
+    (the unknown-time month group).
+    """
+    keyed = clean_df.select("mag_category", "year", "month",
+                            snap_away("latitude", 0).alias("lat_grid"),
+                            snap_away("longitude", 0).alias("lon_grid"), "mag", "depth")
+    keys = ["mag_category", "year", "month", "lat_grid", "lon_grid"]
+    gid = F.grouping_id(*keys)
+    sets = [[F.col(k) for k in ks] for ks in _SETS.values()]
+    grouped = keyed.groupingSets(sets, *keys).agg(
+        gid.alias("_gid"),
+        F.count(F.lit(1)).alias("n"),
+        exact_mean("mag").alias("avg_mag"),
+        F.max("mag").alias("max_mag"),
+        F.min("mag").alias("min_mag"),
+        F.stddev_samp("mag").alias("std_mag"),
+        exact_mean("depth").alias("avg_depth"))
+    names = F.lit(None).cast("string")
+    for name, ks in _SETS.items():
+        bits = sum(1 << (len(keys) - 1 - keys.index(k)) for k in keys if k not in ks)
+        names = F.when(F.col("_gid") == bits, F.lit(name)).otherwise(names)
+    return grouped.withColumn("_set", names).drop("_gid")
+
+
+def split_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, DataFrame]:
+    """The four reports, shaped exactly like their single-pass counterparts."""
+    def part(name):
+        return combined.filter(F.col("_set") == name)
+
+    return {
+        "mag_distribution": part("mag").select("mag_category", F.col("n").alias("jumlah"))
+        .orderBy(F.desc("jumlah"), F.asc("mag_category")),
+        "monthly": part("month").select("year", "month", F.col("n").alias("jumlah"), "avg_mag", "max_mag")
+        .orderBy("year", "month"),
+        "hotspots": part("cell").select("lat_grid", "lon_grid", F.col("n").alias("event_count"),
+                                        "avg_mag", "max_mag")
+        .orderBy(F.desc("event_count"), "lat_grid", "lon_grid").limit(top_k),
+        "global_stats": part("all").select(
+            F.col("n").alias("total_events"),
+            round_half_up("avg_mag", 3).alias("avg_magnitude"),
+            round_half_up("max_mag", 3).alias("max_magnitude"),
+            round_half_up("min_mag", 3).alias("min_magnitude"),
+            round_half_up("std_mag", 3).alias("std_magnitude"),
+            round_half_up("avg_depth", 2).alias("avg_depth_km")),
+    }

@@ -5,13 +5,16 @@ Stages and what crosses a boundary:
 1. ingestion — the raw row count (a Parquet source answers it from file
    footers; the raw table is never cached, so filters and column pruning
    reach the scan);
-2. cleaning — the cleaned table is *written* (Parquet, partitioned by year
-   and month) and read back: the lineage is cut there, the clean count comes
+2. cleaning — the cleaned table is *written* (Parquet, one file per
+   post-shuffle partition, sized by AQE; partitioning by year/month would
+   write tasks × months small files after the hash-partitioned dedup, so
+   it is an option) and read back: the lineage is cut there, the clean count comes
    from the written files, every later stage scans only the columns it
    needs, and a lost executor costs a re-read, not a re-run of the dedup
    shuffle (the only shuffle of whole rows in the job);
-3. analytics — class, month, top-k cell and global reports; each result is
-   bounded (≤ 5 classes, one row per month, k cells, one row);
+3. analytics — class, month, top-k cell and global reports from one scan
+   and one shuffle (``GROUPING SETS``); each result is bounded (≤ 5 classes,
+   one row per month, k cells, one row);
 4. zones — MLlib KMeans on the four features, then the per-zone summary;
 5. the report bundle (one row) is written as JSON.
 
@@ -24,11 +27,12 @@ from __future__ import annotations
 import time
 from decimal import ROUND_HALF_UP, Decimal
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from quakescope.operators.clean import clean
 from quakescope.operators.clustering import cluster_summary, fit_zones
-from quakescope.operators.reports import global_stats, hotspots, mag_distribution, monthly
+from quakescope.operators.reports import report_pass, split_report_pass
 from quakescope.schema import REPORT
 from quakescope.sources.sinks import write_parquet
 
@@ -42,8 +46,8 @@ def pct(part: int, whole: int) -> float | None:
     return float(Decimal(repr(part / whole * 100)).quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
-def write_clean(raw: DataFrame, path: str) -> None:
-    write_parquet(clean(raw), path, partition_by=["year", "month"])
+def write_clean(raw: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    write_parquet(clean(raw, prunable=False), path, partition_by=partition_by)
 
 
 def read_clean(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -65,14 +69,20 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, k: int = 6, see
     dropped = raw_records - clean_records
     t_clean = time.time()
 
-    mag_rows = [r.asDict() for r in mag_distribution(cleaned).collect()]
-    month_rows = [r.asDict() for r in monthly(cleaned).collect()]
-    cell_rows = [r.asDict() for r in hotspots(cleaned, top_k).collect()]
-    stats = global_stats(cleaned).first().asDict()
+    # one scan and one shuffle for the four reports (GROUPING SETS); the
+    # combined result is bounded (classes + months + grid cells + 1 row)
+    combined = report_pass(cleaned).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = split_report_pass(combined, top_k)
+    # report lists show an unknown year/month as 0, like the original report
+    mag_rows = [r.asDict() for r in parts["mag_distribution"].collect()]
+    month_rows = [r.asDict() for r in parts["monthly"].fillna(0).collect()]
+    cell_rows = [r.asDict() for r in parts["hotspots"].fillna(0).collect()]
+    stats = parts["global_stats"].first().asDict()
+    combined.unpersist()
     t_analytics = time.time()
 
     fit = fit_zones(cleaned, k=k, seed=seed, max_iter=max_iter)
-    zone_rows = [r.asDict() for r in cluster_summary(fit.assigned()).collect()]
+    zone_rows = [r.asDict() for r in cluster_summary(fit.assigned()).fillna(0).collect()]
     fit.unpersist()
     t_zones = time.time()
 

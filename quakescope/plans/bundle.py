@@ -1,7 +1,8 @@
 """Report bundle: one row of scalar groups and four bounded record lists.
 
 Each section is a one-row aggregate (lists come from aggregates whose size is
-bounded: ≤ 5 classes, one row per calendar month, top-k cells, k zones).  The
+bounded: ≤ 5 classes, one row per calendar month, top-k cells, k zones).
+Numeric nulls in the lists read 0 (the unknown-time month group is year 0).  The
 sections are stacked with ``unionByName`` and folded with ``first`` — no join.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakescope.operators.clustering import cluster_summary
-from quakescope.operators.reports import global_stats, hotspots, mag_distribution, monthly, quality_report
+from quakescope.operators.reports import quality_report, report_pass, split_report_pass
 from quakescope.schema import REPORT
 
 SECTIONS = [f.name for f in REPORT.fields]
@@ -40,19 +41,21 @@ def report_bundle(raw: DataFrame, clean: DataFrame, clustered: DataFrame | None,
         (F.round(F.col("clean_records") / F.lit(total), 2) if total else F.lit(None).cast("double"))
         .alias("throughput_rec_per_sec"))
     metric_cols.append(F.lit(cores).cast("int").alias("spark_cores"))
+    parts = split_report_pass(report_pass(clean), top_k)
     sections = [
         q.select(F.struct(*metric_cols).alias("pipeline_metrics")),
-        global_stats(clean).select(F.struct("*").alias("global_stats")),
-        _ordered_list(mag_distribution(clean), [-F.col("jumlah"), F.col("mag_category")],
+        parts["global_stats"].select(F.struct("*").alias("global_stats")),
+        _ordered_list(parts["mag_distribution"], [-F.col("jumlah"), F.col("mag_category")],
                       ["mag_category", "jumlah"], "mag_distribution"),
-        _ordered_list(monthly(clean), [F.col("year"), F.col("month")],
+        _ordered_list(parts["monthly"].fillna(0), [F.col("year"), F.col("month")],
                       ["year", "month", "jumlah", "avg_mag", "max_mag"], "temporal_activity"),
-        _ordered_list(hotspots(clean, top_k), [-F.col("event_count"), F.col("lat_grid"), F.col("lon_grid")],
+        _ordered_list(parts["hotspots"].fillna(0),
+                      [-F.col("event_count"), F.col("lat_grid"), F.col("lon_grid")],
                       ["lat_grid", "lon_grid", "event_count", "avg_mag", "max_mag"], "hotspot_grid"),
     ]
     if clustered is not None:
         sections.append(_ordered_list(
-            cluster_summary(clustered), [F.col("cluster")],
+            cluster_summary(clustered).fillna(0), [F.col("cluster")],
             ["cluster", "jumlah_event", "center_lat", "center_lon", "avg_depth", "avg_mag", "max_mag"],
             "cluster_summary"))
     stacked = sections[0]

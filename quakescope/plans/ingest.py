@@ -11,7 +11,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from quakescope.operators.payload import event_payload
+from quakescope.operators.payload import event_payload, payload_volume
 from quakescope.operators.reports import ingestion_report
 from quakescope.sources.catalog import read_csv_raw
 from quakescope.sources.sinks import publish
@@ -25,6 +25,8 @@ def run_ingest(spark: SparkSession, csv_path: str, bootstrap_servers: str | None
     publish(event_payload(raw), bootstrap_servers=bootstrap_servers, path=out_path, topic=topic)
     duration = time.time() - t0
     report = ingestion_report(raw).first().asDict()
+    volume = payload_volume(event_payload(raw)).first()
+    report["payload_mb"] = volume["payload_mb"]
     report["duration_sec"] = round(duration, 4)
     report["throughput_rec_per_sec"] = (round(report["success_count"] / duration, 2)
                                         if duration > 0 else 0.0)

@@ -70,3 +70,4 @@ def test_ingest_job(spark):
     rep = run_ingest(spark, src, out_path=out)
     assert rep["total_records"] == 1028 and rep["fail_count"] == 0
     assert spark.read.text(out).count() == rep["success_count"]
+    assert rep["payload_mb"] > 0
