@@ -134,6 +134,9 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
     earliest seed.
     """
     rows = feature_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    if rows.isEmpty():
+        rows.unpersist()
+        raise ValueError("no rows with all features present: nothing to cluster")
     scale = None
     if ddof == 0:
         n = rows.count()

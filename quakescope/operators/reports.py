@@ -239,11 +239,13 @@ def split_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, DataFr
         "hotspots": part("cell").select("lat_grid", "lon_grid", F.col("n").alias("event_count"),
                                         "avg_mag", "max_mag")
         .orderBy(F.desc("event_count"), "lat_grid", "lon_grid").limit(top_k),
-        "global_stats": part("all").select(
-            F.col("n").alias("total_events"),
-            round_half_up("avg_mag", 3).alias("avg_magnitude"),
-            round_half_up("max_mag", 3).alias("max_magnitude"),
-            round_half_up("min_mag", 3).alias("min_magnitude"),
-            round_half_up("std_mag", 3).alias("std_magnitude"),
-            round_half_up("avg_depth", 2).alias("avg_depth_km")),
+        # grouping sets give no row at all on an empty input; a global
+        # aggregate over the (at most one) "all" row always gives exactly one
+        "global_stats": part("all").agg(
+            F.coalesce(F.max("n"), F.lit(0)).alias("total_events"),
+            round_half_up(F.max("avg_mag"), 3).alias("avg_magnitude"),
+            round_half_up(F.max("max_mag"), 3).alias("max_magnitude"),
+            round_half_up(F.max("min_mag"), 3).alias("min_magnitude"),
+            round_half_up(F.max("std_mag"), 3).alias("std_magnitude"),
+            round_half_up(F.max("avg_depth"), 2).alias("avg_depth_km")),
     }

@@ -81,9 +81,11 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, k: int = 6, see
     combined.unpersist()
     t_analytics = time.time()
 
-    fit = fit_zones(cleaned, k=k, seed=seed, max_iter=max_iter)
-    zone_rows = [r.asDict() for r in cluster_summary(fit.assigned()).fillna(0).collect()]
-    fit.unpersist()
+    zone_rows = []
+    if clean_records > 0:  # nothing to cluster on an empty clean table
+        fit = fit_zones(cleaned, k=k, seed=seed, max_iter=max_iter)
+        zone_rows = [r.asDict() for r in cluster_summary(fit.assigned()).fillna(0).collect()]
+        fit.unpersist()
     t_zones = time.time()
 
     total = t_zones - t_start

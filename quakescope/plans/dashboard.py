@@ -52,7 +52,7 @@ def feeds(rows: DataFrame, with_zones: bool = True) -> dict[str, DataFrame]:
         "scatter_map_sample": S.scatter_map_sample(rows, SCATTER_N, SCATTER_SEED),
         "depth_mag_sample": S.depth_mag_sample(rows, DEPTH_MAG_N, DEPTH_MAG_SEED),
     }
-    if with_zones:
+    if with_zones and not rows.isEmpty():  # nothing to cluster in an empty view
         sample = S.bottom_k(rows, CLUSTER_N, CLUSTER_SEED)
         fit = Z.fit_zones(sample, k=ZONES_K, max_iter=ZONES_ITER, restarts=ZONES_RESTARTS, ddof=0)
         out["zones"] = Z.zone_table(Z.cluster_summary(fit.assigned()))

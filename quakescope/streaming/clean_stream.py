@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quakescope.functions.classes import depth_class, mag_class_left
 from quakescope.functions.grid import snap_away
+from quakescope.functions.stats import exact_mean
 from quakescope.functions.timeparts import parse_time, utc_wall_time
 from quakescope.operators.clean import cleaning_predicate
 from quakescope.operators.payload import decode_payload
@@ -68,7 +69,7 @@ def hourly_cells(clean: DataFrame, window: str = "1 hour") -> DataFrame:
     return (clean
             .groupBy(F.window("event_time", window).alias("w"),
                      snap_away("latitude").alias("lat_grid"), snap_away("longitude").alias("lon_grid"))
-            .agg(F.count(F.lit(1)).alias("event_count"), F.avg("mag").alias("avg_mag"),
+            .agg(F.count(F.lit(1)).alias("event_count"), exact_mean("mag").alias("avg_mag"),
                  F.max("mag").alias("max_mag"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "lat_grid", "lon_grid", "event_count", "avg_mag", "max_mag"))

@@ -30,3 +30,26 @@ def test_report_pass_keeps_unknown_month_group(spark):
 def test_prunable_and_struct_dedup_agree(spark):
     q = quakes(spark, SF_SMALL)
     assert _rows(C.clean(q, prunable=True)) == _rows(C.clean(q, prunable=False))
+
+
+def test_report_pass_on_empty_input(spark):
+    from conftest import catalog_rows
+
+    empty = C.clean(catalog_rows(spark, []))
+    parts = R.split_report_pass(R.report_pass(empty))
+    assert _rows(parts["global_stats"]) == _rows(R.global_stats(empty))
+    assert parts["global_stats"].first()["total_events"] == 0
+    assert parts["monthly"].count() == 0 and parts["hotspots"].count() == 0
+
+
+def test_batch_job_on_input_with_no_clean_rows(spark):
+    from conftest import base_row, catalog_rows
+    from quakescope.plans.batch import run_batch
+    from quakescope.session import scratch_path
+
+    raw = catalog_rows(spark, [base_row(type="quarry blast"), base_row(mag=None, latitude=3.0)])
+    rep = run_batch(spark, raw, scratch_path(spark, "empty-batch"), k=2)
+    m = rep["pipeline_metrics"]
+    assert (m["raw_records"], m["clean_records"], m["dropped_records"]) == (2, 0, 2)
+    assert rep["global_stats"]["total_events"] == 0
+    assert rep["cluster_summary"] == [] and rep["hotspot_grid"] == []
