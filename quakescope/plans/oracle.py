@@ -152,9 +152,8 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": _with(f"SELECT {ALL} FROM quakes"),
     "parquet_roundtrip": _with(f"SELECT {CLEAN_ALL} FROM clean"),
     "json_roundtrip": _with(f"SELECT {ALL} FROM quakes"),
-    "parquet_projected": _with(
-        "SELECT latitude, longitude, depth, mag, mag_category, depth_category, year, month "
-        "FROM clean ORDER BY id LIMIT 50000"),
+    "parquet_projected": _with(_bottom_k(
+        "clean", 50000, 0, "latitude, longitude, depth, mag, mag_category, depth_category, year, month")),
     "normalize_headers": _with(f"SELECT {ALL} FROM quakes"),
     "event_payload": _with(
         "SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth, "

@@ -30,14 +30,25 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     w.parquet(path)
 
 
-def projected(df: DataFrame, limit: int | None = 50000, order_by: str = "id") -> DataFrame:
-    """Features, classes and (if present) year/month; first ``limit`` rows by ``order_by``."""
+# Fixed value: seed of the repeatable cut of the projected table.
+PROJECTED_SEED = 0
+
+
+def projected(df: DataFrame, limit: int | None = 50000, key: str = "id") -> DataFrame:
+    """Features, classes and (if present) year/month of at most ``limit`` rows.
+
+    A file-order head has no meaning on a distributed table; the cut is the
+    repeatable bottom-``limit`` by ``md5(key#0)`` (``sampling.bottom_k``),
+    which never merges more than about ``limit`` rows in one task.
+    """
+    from quakescope.operators.sampling import bottom_k
+
     cols = list(FEATURES) + ["mag_category", "depth_category"]
     if "year" in df.columns:
         cols += ["year", "month"]
     if limit is None:
         return df.select(*cols)
-    return df.orderBy(order_by).limit(limit).select(*cols)
+    return bottom_k(df, limit, PROJECTED_SEED, key).select(*cols)
 
 
 def write_projected_parquet(df: DataFrame, path: str, limit: int | None = 50000) -> None:
