@@ -249,3 +249,22 @@ def split_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, DataFr
             round_half_up(F.max("std_mag"), 3).alias("std_magnitude"),
             round_half_up(F.max("avg_depth"), 2).alias("avg_depth_km")),
     }
+
+
+def collect_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, list[dict]]:
+    """The four reports' rows from one job (a tagged union of bounded parts).
+
+    Every part is small (≤ 5 classes, months, ``top_k`` cells, one row), so
+    the union is collected once instead of running four jobs; each part keeps
+    its own columns and order.
+    """
+    parts = split_report_pass(combined, top_k)
+    packed = None
+    for name, df in parts.items():
+        tagged = df.select(F.lit(name).alias("_part"), F.monotonically_increasing_id().alias("_i"),
+                           *df.columns)
+        packed = tagged if packed is None else packed.unionByName(tagged, allowMissingColumns=True)
+    out: dict[str, list[dict]] = {name: [] for name in parts}
+    for r in sorted(packed.collect(), key=lambda r: (r["_part"], r["_i"])):
+        out[r["_part"]].append({c: r[c] for c in parts[r["_part"]].columns})
+    return out

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quakescope.operators.clean import clean
 from quakescope.operators.clustering import cluster_summary, fit_zones
-from quakescope.operators.reports import report_pass, split_report_pass
+from quakescope.operators.reports import collect_report_pass, report_pass
 from quakescope.schema import REPORT
 from quakescope.sources.sinks import write_parquet
 
@@ -46,6 +46,10 @@ def pct(part: int, whole: int) -> float | None:
     return float(Decimal(repr(part / whole * 100)).quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
+def _zero_nulls(row: dict) -> dict:
+    return {k: (0 if v is None else v) for k, v in row.items()}
+
+
 def write_clean(raw: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     write_parquet(clean(raw, prunable=False), path, partition_by=partition_by)
 
@@ -72,13 +76,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, k: int = 6, see
     # one scan and one shuffle for the four reports (GROUPING SETS); the
     # combined result is bounded (classes + months + grid cells + 1 row)
     combined = report_pass(cleaned).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = split_report_pass(combined, top_k)
-    # report lists show an unknown year/month as 0, like the original report
-    mag_rows = [r.asDict() for r in parts["mag_distribution"].collect()]
-    month_rows = [r.asDict() for r in parts["monthly"].fillna(0).collect()]
-    cell_rows = [r.asDict() for r in parts["hotspots"].fillna(0).collect()]
-    stats = parts["global_stats"].first().asDict()
+    parts = collect_report_pass(combined, top_k)
     combined.unpersist()
+    mag_rows = parts["mag_distribution"]
+    # report lists show an unknown year/month as 0, like the original report
+    month_rows = [_zero_nulls(r) for r in parts["monthly"]]
+    cell_rows = [_zero_nulls(r) for r in parts["hotspots"]]
+    stats = parts["global_stats"][0]
     t_analytics = time.time()
 
     zone_rows = []

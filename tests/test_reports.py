@@ -53,3 +53,12 @@ def test_batch_job_on_input_with_no_clean_rows(spark):
     assert (m["raw_records"], m["clean_records"], m["dropped_records"]) == (2, 0, 2)
     assert rep["global_stats"]["total_events"] == 0
     assert rep["cluster_summary"] == [] and rep["hotspot_grid"] == []
+
+
+def test_collect_report_pass_matches_parts(spark):
+    cl = C.clean(quakes(spark, SF_SMALL))
+    comb = R.report_pass(cl)
+    got = R.collect_report_pass(comb, 200)
+    parts = R.split_report_pass(comb, 200)
+    for name, df in parts.items():
+        assert got[name] == [r.asDict() for r in df.collect()], name
