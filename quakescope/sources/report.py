@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from quakescope.schema import REPORT
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (any Hadoop scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """Bundle rows with the report schema; an absent path gives an empty frame."""
-    try:
-        return spark.read.schema(REPORT).json(path)
-    except Exception as exc:  # absent path → empty, like a missing file
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], REPORT)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], REPORT)
+    return spark.read.schema(REPORT).json(path)
