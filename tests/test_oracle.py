@@ -13,7 +13,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from check_oracle import TABLES, rows_of  # noqa: E402
+from check_oracle import TABLES, rows_of, type_diff  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
@@ -31,8 +31,11 @@ def duck():
 
 @pytest.mark.parametrize("key", sorted(k for k in queries() if k in oracle_sql()))
 def test_matches_sql(spark, duck, key):
-    got = queries()[key](spark, SF_SMALL).toPandas()
-    want = duck.execute(oracle_sql()[key]).df()
+    frame = queries()[key](spark, SF_SMALL)
+    rel = duck.sql(oracle_sql()[key])
+    assert type_diff(frame, rel) == {}
+    got = frame.toPandas()
+    want = rel.df()
     gc, gr = rows_of(got)
     wc, wr = rows_of(want)
     assert gc == wc
