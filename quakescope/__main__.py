@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("out")
     d.add_argument("--format", choices=["csv", "parquet", "json"], default="csv")
     d.add_argument("--no-zones", action="store_true")
+    d.add_argument("--report", default=None, help="report bundle of the batch job")
 
     s = sub.add_parser("stream", help="clean the event feed into Parquet (drains what is there)")
     s.add_argument("out")
@@ -69,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
         from quakescope.plans.dashboard import run_dashboard
 
         paths = run_dashboard(spark, _reader(spark, args.input, args.format), args.out,
-                              with_zones=not args.no_zones)
+                              with_zones=not args.no_zones, report_path=args.report)
         print(json.dumps(paths))
     else:
         from quakescope.streaming.clean_stream import clean_stream, read_messages, start_parquet_sink

@@ -9,6 +9,7 @@ instead of re-running the rule per feed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quakescope.operators import clean as C
 from quakescope.operators import clustering as Z
@@ -64,12 +65,90 @@ def feeds(rows: DataFrame, with_zones: bool = True) -> dict[str, DataFrame]:
 
 
 def run_dashboard(spark: SparkSession, raw: DataFrame, out_dir: str, with_zones: bool = True,
-                  **ranges) -> dict[str, str]:
-    """Write every feed as Parquet under ``out_dir``; returns feed → path."""
+                  report_path: str | None = None, **ranges) -> dict[str, str]:
+    """Write every feed as Parquet under ``out_dir``; returns feed → path.
+
+    With ``report_path`` (the batch job's report bundle; absent → empty) the
+    metric tables and header tiles are written too.
+    """
     rows = materialize_view(spark, view(raw, **ranges), f"{out_dir.rstrip('/')}/view.parquet")
     paths = {}
-    for name, df in feeds(rows, with_zones).items():
+    all_feeds = feeds(rows, with_zones)
+    if report_path is not None:
+        from quakescope.sources.report import read_report
+
+        bundle = read_report(spark, report_path)
+        all_feeds["kpi_tiles"] = kpi_tiles(rows, bundle)
+        for name, table in metric_tables(bundle).items():
+            all_feeds[f"metrics_{name}"] = table
+    for name, df in all_feeds.items():
         path = f"{out_dir.rstrip('/')}/{name}.parquet"
         df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
+
+
+# --- tables built from the report bundle --------------------------------------
+
+# Row labels and units of the page's two metric tables.
+VOLUME_ROWS = [
+    ("Total Data Mentah (Raw)", "raw_records", "count", "records"),
+    ("Data Bersih (Lolos Filter)", "clean_records", "count", "records"),
+    ("Anomali Dibuang (Veracity)", "dropped_records", "count", "records"),
+    ("Persentase Data Valid", "veracity_pct", "valid_pct", "%"),
+]
+PERFORMANCE_ROWS = [
+    ("Waktu Ingestion", "ingestion_time_sec", "sec4", "detik"),
+    ("Waktu Cleaning / Veracity", "cleaning_time_sec", "sec4", "detik"),
+    ("Waktu Analytics (Spark)", "analytics_time_sec", "sec4", "detik"),
+    ("Waktu Clustering (MLlib)", "clustering_time_sec", "sec4", "detik"),
+    ("TOTAL LATENCY PIPELINE", "total_pipeline_latency_sec", "sec4", "detik"),
+    ("THROUGHPUT SISTEM", "throughput_rec_per_sec", "grouped2", "rec/detik"),
+    ("Spark Parallelism (Cores)", "spark_cores", "text", ""),
+]
+
+
+def _metric_text(col, kind: str, unit: str):
+    if kind == "count":
+        txt = F.format_number(col.cast("double"), 0)
+    elif kind == "valid_pct":
+        return F.format_string("%.2f%%", F.lit(100.0) - F.coalesce(col, F.lit(0.0)))
+    elif kind == "sec4":
+        txt = F.when(col.isNotNull(), F.format_string("%.4f", col))
+    elif kind == "grouped2":
+        txt = F.format_number(col, 2)
+    else:
+        return F.coalesce(col.cast("string"), F.lit("-"))
+    return F.concat_ws(" ", F.coalesce(txt, F.lit("-")), F.lit(unit))
+
+
+def metric_tables(bundle: DataFrame) -> dict[str, DataFrame]:
+    """The page's two (Metrik, Nilai) tables from the report bundle (one row in)."""
+    out = {}
+    for name, spec in (("volume", VOLUME_ROWS), ("performance", PERFORMANCE_ROWS)):
+        rows = [F.struct(F.lit(i).alias("i"), F.lit(label).alias("Metrik"),
+                         _metric_text(F.col(f"pipeline_metrics.{field}"), kind, unit).alias("Nilai"))
+                for i, (label, field, kind, unit) in enumerate(spec)]
+        out[name] = (bundle.select(F.explode(F.array(*rows)).alias("r"))
+                     .select("r.*").orderBy("i").drop("i"))
+    return out
+
+
+def kpi_tiles(rows: DataFrame, bundle: DataFrame) -> DataFrame:
+    """Header tiles: rows in view and their largest magnitude, with the bundle's
+    throughput, latency, valid share and raw volume (one row; no join)."""
+    view_part = rows.agg(F.count(F.lit(1)).alias("total_record"), F.max("mag").alias("max_mag"))
+    m = "pipeline_metrics"
+    report_part = bundle.select(
+        F.col(f"{m}.throughput_rec_per_sec").alias("throughput_rec_per_sec"),
+        F.col(f"{m}.total_pipeline_latency_sec").alias("latency_sec"),
+        (F.lit(100.0) - F.coalesce(F.col(f"{m}.veracity_pct"), F.lit(0.0))).alias("valid_pct"),
+        F.col(f"{m}.raw_records").alias("raw_records"))
+    stacked = view_part.unionByName(report_part, allowMissingColumns=True)
+    folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+    return folded.select(
+        "total_record", "throughput_rec_per_sec", "latency_sec",
+        F.when(F.col("max_mag").isNull(), F.lit("–"))
+        .otherwise(F.format_string("%.1f", "max_mag")).alias("max_mag_text"),
+        "max_mag", F.coalesce("valid_pct", F.lit(100.0)).alias("valid_pct"),
+        F.coalesce("raw_records", "total_record").alias("raw_records"))

@@ -54,7 +54,9 @@ def test_fixed_centres_assign_every_row(spark, cleaned):
 
 def test_dashboard_feeds(spark):
     out = scratch_path(spark, "dash")
-    paths = run_dashboard(spark, quakes(spark, SF_SMALL), out)
+    paths = run_dashboard(spark, quakes(spark, SF_SMALL), out, report_path=out + "/no-report")
+    assert spark.read.parquet(paths["metrics_volume"]).count() == 4
+    assert spark.read.parquet(paths["kpi_tiles"]).count() == 1
     assert {"kpis", "daily", "monthly", "yearly", "mag_histogram", "mag_share", "hotspots",
             "density_grid", "heatmap_sample", "zones", "cluster_map_sample"} <= set(paths)
     kpis = spark.read.parquet(paths["kpis"]).first()
@@ -71,3 +73,25 @@ def test_ingest_job(spark):
     assert rep["total_records"] == 1028 and rep["fail_count"] == 0
     assert spark.read.text(out).count() == rep["success_count"]
     assert rep["payload_mb"] > 0
+
+
+def test_metric_tables_and_kpi_tiles(spark):
+    from quakescope.plans.batch import run_batch
+    from quakescope.plans.dashboard import kpi_tiles, metric_tables, view
+    from quakescope.sources.report import read_report
+
+    out = scratch_path(spark, "bundle-for-page")
+    rep = run_batch(spark, quakes(spark, SF_SMALL), out)
+    bundle = read_report(spark, os.path.join(out, "analytics_results.json"))
+    tables = metric_tables(bundle)
+    vol = [(r["Metrik"], r["Nilai"]) for r in tables["volume"].collect()]
+    assert vol[0] == ("Total Data Mentah (Raw)", "1,028 records")
+    assert vol[3][1] == f"{100 - rep['pipeline_metrics']['veracity_pct']:.2f}%"
+    perf = [r["Nilai"] for r in tables["performance"].collect()]
+    assert perf[-1] == str(rep["pipeline_metrics"]["spark_cores"]) and perf[0].endswith(" detik")
+    tiles = kpi_tiles(view(quakes(spark, SF_SMALL)), bundle).first()
+    assert tiles["raw_records"] == 1028
+    assert tiles["total_record"] == view(quakes(spark, SF_SMALL)).count()
+    assert tiles["max_mag_text"] == f"{tiles['max_mag']:.1f}"
+    empty = kpi_tiles(view(quakes(spark, SF_SMALL)).limit(0), read_report(spark, out + "/absent")).first()
+    assert empty["max_mag_text"] == "–" and empty["valid_pct"] == 100.0
