@@ -55,7 +55,8 @@ def test_fixed_centres_assign_every_row(spark, cleaned):
 def test_dashboard_feeds(spark):
     out = scratch_path(spark, "dash")
     paths = run_dashboard(spark, quakes(spark, SF_SMALL), out, report_path=out + "/no-report")
-    assert spark.read.parquet(paths["metrics_volume"]).count() == 4
+    # no report yet: the metric tables are empty, the tiles still show the view
+    assert spark.read.parquet(paths["metrics_volume"]).count() == 0
     assert spark.read.parquet(paths["kpi_tiles"]).count() == 1
     assert {"kpis", "daily", "monthly", "yearly", "mag_histogram", "mag_share", "hotspots",
             "density_grid", "heatmap_sample", "zones", "cluster_map_sample"} <= set(paths)
