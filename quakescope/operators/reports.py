@@ -128,15 +128,17 @@ def row_count(df: DataFrame) -> DataFrame:
 def quality_report(raw: DataFrame) -> DataFrame:
     """Raw, clean and dropped counts and the dropped share, in one pass.
 
-    Rows are folded per dedup key and rule outcome (partial aggregation, one
-    shuffle of distinct keys); clean = number of keys whose rows pass.
+    Rows that pass the rule are grouped by their dedup key (a struct, so a
+    key with null parts is still a key); rows that fail all share the null
+    group, which partial aggregation folds to one row per input partition.
+    The exchange therefore carries only the distinct keys of passing rows.
     """
-    per_key = (raw.withColumn("_ok", F.coalesce(cleaning_predicate(), F.lit(False)))
-               .groupBy("time", "latitude", "longitude", "_ok")
-               .agg(F.count(F.lit(1)).alias("_n")))
+    ok = F.coalesce(cleaning_predicate(), F.lit(False))
+    key = F.when(ok, F.struct(F.col("time"), F.col("latitude"), F.col("longitude")))
+    per_key = raw.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     totals = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("raw_records"),
-        F.count_if(F.col("_ok")).cast("bigint").alias("clean_records"))
+        F.count("_k").cast("bigint").alias("clean_records"))
     dropped = F.col("raw_records") - F.col("clean_records")
     return totals.select(
         "raw_records", "clean_records", dropped.alias("dropped_records"),

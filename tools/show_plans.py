@@ -71,7 +71,8 @@ def main():
          "one file.",
          C.clean(cat, prunable=False)),
         ("Quality report (raw, clean, dropped in one pass)",
-         "One exchange of distinct (key, rule outcome) pairs after map-side folding; the final "
+         "One exchange of the distinct keys of passing rows (failing rows share one null key, folded "
+         "map-side); the final "
          "count is a one-row aggregate.",
          R.quality_report(cat)),
         ("Global statistics",
