@@ -62,3 +62,27 @@ def test_collect_report_pass_matches_parts(spark):
     parts = R.split_report_pass(comb, 200)
     for name, df in parts.items():
         assert got[name] == [r.asDict() for r in df.collect()], name
+
+
+def test_hot_dedup_key_on_a_third_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    q = quakes(spark, SF_SMALL)
+    hot = (q.withColumn("_r", F.monotonically_increasing_id())
+           .withColumn("time", F.when(F.col("_r") % 3 == 0, F.lit("2026-05-01T00:00:00.000Z"))
+                       .otherwise(F.col("time")))
+           .withColumn("latitude", F.when(F.col("_r") % 3 == 0, F.lit(1.0)).otherwise(F.col("latitude")))
+           .withColumn("longitude", F.when(F.col("_r") % 3 == 0, F.lit(2.0)).otherwise(F.col("longitude")))
+           .drop("_r"))
+    kept = hot.filter(C.cleaning_predicate())
+    hot_ids = [r["id"] for r in kept.filter((F.col("latitude") == 1.0) & (F.col("longitude") == 2.0)
+                                            & (F.col("time") == "2026-05-01T00:00:00.000Z")).collect()]
+    assert len(hot_ids) > 50
+    cl = C.clean(hot)
+    survivor = cl.filter((F.col("latitude") == 1.0) & (F.col("longitude") == 2.0)).collect()
+    assert [r["id"] for r in survivor] == [min(hot_ids)]
+    assert cl.count() == kept.select("time", "latitude", "longitude").distinct().count()
+    q_rep = R.quality_report(hot).first()
+    assert q_rep["clean_records"] == cl.count()
+    plan = cl._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # folded by the aggregate, never sorted whole in one task
