@@ -45,8 +45,9 @@ def _raw(spark, sf):
     return quakes(spark, sf)
 
 
-def _clean(spark, sf):
-    return C.clean(quakes(spark, sf))
+def _clean(spark, sf, prunable=True):
+    """Cleaned rows; ``prunable=False`` where the query keeps every column."""
+    return C.clean(quakes(spark, sf), prunable=prunable)
 
 
 def _display(spark, sf):
@@ -67,7 +68,7 @@ def csv_roundtrip(spark, sf):
 
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet")
-    sinks.write_parquet(_clean(spark, sf), path, partition_by=["year", "month"])
+    sinks.write_parquet(_clean(spark, sf, prunable=False), path, partition_by=["year", "month"])
     back = spark.read.parquet(path)
     return back.select(*[F.col(c) for c in _clean_columns()])
 
@@ -135,7 +136,7 @@ def stream_clean(spark, sf):
 # --- cleaning and filters ----------------------------------------------------
 
 def clean_q(spark, sf):
-    return _clean(spark, sf)
+    return _clean(spark, sf, prunable=False)
 
 
 def display_clean_q(spark, sf):
