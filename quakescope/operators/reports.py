@@ -228,16 +228,24 @@ def report_pass(clean_df: DataFrame) -> DataFrame:
     return grouped.withColumn("_set", names).drop("_gid")
 
 
-def split_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, DataFrame]:
-    """The four reports, shaped exactly like their single-pass counterparts."""
+def split_report_pass(combined: DataFrame, top_k: int = 200,
+                      ordered: bool = True) -> dict[str, DataFrame]:
+    """The four reports, shaped exactly like their single-pass counterparts.
+
+    ``ordered=False`` leaves the class and month parts unsorted (the caller
+    sorts the bounded rows itself); the cell part always keeps its top-k cut.
+    """
     def part(name):
         return combined.filter(F.col("_set") == name)
 
+    mags = part("mag").select("mag_category", F.col("n").alias("jumlah"))
+    months = part("month").select("year", "month", F.col("n").alias("jumlah"), "avg_mag", "max_mag")
+    if ordered:
+        mags = mags.orderBy(F.desc("jumlah"), F.asc("mag_category"))
+        months = months.orderBy("year", "month")
     return {
-        "mag_distribution": part("mag").select("mag_category", F.col("n").alias("jumlah"))
-        .orderBy(F.desc("jumlah"), F.asc("mag_category")),
-        "monthly": part("month").select("year", "month", F.col("n").alias("jumlah"), "avg_mag", "max_mag")
-        .orderBy("year", "month"),
+        "mag_distribution": mags,
+        "monthly": months,
         "hotspots": part("cell").select("lat_grid", "lon_grid", F.col("n").alias("event_count"),
                                         "avg_mag", "max_mag")
         .orderBy(F.desc("event_count"), "lat_grid", "lon_grid").limit(top_k),
@@ -260,7 +268,7 @@ def collect_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, list
     the union is collected once instead of running four jobs; each part keeps
     its own columns and order.
     """
-    parts = split_report_pass(combined, top_k)
+    parts = split_report_pass(combined, top_k, ordered=False)
     packed = None
     for name, df in parts.items():
         tagged = df.select(F.lit(name).alias("_part"), F.monotonically_increasing_id().alias("_i"),
@@ -269,4 +277,9 @@ def collect_report_pass(combined: DataFrame, top_k: int = 200) -> dict[str, list
     out: dict[str, list[dict]] = {name: [] for name in parts}
     for r in sorted(packed.collect(), key=lambda r: (r["_part"], r["_i"])):
         out[r["_part"]].append({c: r[c] for c in parts[r["_part"]].columns})
+    # the same orders as the single reports (nulls first, as Spark sorts them)
+    out["mag_distribution"].sort(key=lambda r: (-r["jumlah"], r["mag_category"] is not None,
+                                                r["mag_category"] or ""))
+    out["monthly"].sort(key=lambda r: (r["year"] is not None, r["year"] or 0,
+                                       r["month"] is not None, r["month"] or 0))
     return out
