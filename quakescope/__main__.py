@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("input")
     i.add_argument("--bootstrap-servers", default=None)
     i.add_argument("--out", default=None, help="JSON-lines folder when no broker is given")
+    i.add_argument("--metrics", default=None, help="where to write the ingestion report (JSON)")
 
     d = sub.add_parser("dashboard", help="write every dashboard feed as Parquet")
     d.add_argument("input")
@@ -65,7 +66,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "ingest":
         from quakescope.plans.ingest import run_ingest
 
-        print(json.dumps(run_ingest(spark, args.input, args.bootstrap_servers, args.out), default=str))
+        print(json.dumps(run_ingest(spark, args.input, args.bootstrap_servers, args.out,
+                                    metrics_path=args.metrics), default=str))
     elif args.cmd == "dashboard":
         from quakescope.plans.dashboard import run_dashboard
 

@@ -19,7 +19,9 @@ from quakescope.schema import TOPIC
 
 
 def run_ingest(spark: SparkSession, csv_path: str, bootstrap_servers: str | None = None,
-               out_path: str | None = None, topic: str = TOPIC) -> dict:
+               out_path: str | None = None, topic: str = TOPIC,
+               metrics_path: str | None = None) -> dict:
+    """Publish the payloads; return (and optionally write as one JSON row) the report."""
     raw = read_csv_raw(spark, csv_path)
     t0 = time.time()
     publish(event_payload(raw), bootstrap_servers=bootstrap_servers, path=out_path, topic=topic)
@@ -30,4 +32,6 @@ def run_ingest(spark: SparkSession, csv_path: str, bootstrap_servers: str | None
     report["duration_sec"] = round(duration, 4)
     report["throughput_rec_per_sec"] = (round(report["success_count"] / duration, 2)
                                         if duration > 0 else 0.0)
+    if metrics_path:
+        spark.createDataFrame([report]).coalesce(1).write.mode("overwrite").json(metrics_path)
     return report

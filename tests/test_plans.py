@@ -70,7 +70,9 @@ def test_ingest_job(spark):
     src = scratch_path(spark, "ingest-src")
     sinks.write_csv(quakes(spark, SF_SMALL), src)
     out = scratch_path(spark, "ingest-out")
-    rep = run_ingest(spark, src, out_path=out)
+    metrics = scratch_path(spark, "ingest-metrics")
+    rep = run_ingest(spark, src, out_path=out, metrics_path=metrics)
+    assert spark.read.json(metrics).first()["total_records"] == 1028
     assert rep["total_records"] == 1028 and rep["fail_count"] == 0
     assert spark.read.text(out).count() == rep["success_count"]
     assert rep["payload_mb"] > 0
