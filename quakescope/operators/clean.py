@@ -58,17 +58,25 @@ def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id",
     the whole row (ties on the id broken by the other columns), cheaper when
     every column is kept anyway, as when the cleaned table is written.
     Event ids identify events, so both forms pick the same row.
+
+    The survivor buffers are not fixed-width, so Spark aggregates by sorting.
+    Fixed-width keys (latitude, longitude) go first in the grouping: a sort
+    prefix on a double decides almost every comparison, where ISO times share
+    their first bytes and fall back to full compares (about 2× slower on 5M
+    rows).  The groups are the same in any key order.
     """
     keys = list(keys)
+    types = dict(df.dtypes)
+    group_keys = sorted(keys, key=lambda k: types[k] in ("string", "binary"))
     rest = [c for c in df.columns if c not in keys and c != order_by]
     if not prunable:
         best = F.min(F.struct(F.col(order_by).isNotNull().alias("_k"), F.col(order_by),
                               *[F.col(c) for c in rest])).alias("_best")
-        return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
+        return df.groupBy(*group_keys).agg(best).select(*keys, "_best.*").select(*df.columns)
     order = F.struct(F.col(order_by).isNotNull().alias("k"), F.col(order_by).alias("v"))
     aggs = [F.min(order).getField("v").alias(order_by)]
     aggs += [F.min_by(F.col(c), order).alias(c) for c in rest]
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    return df.groupBy(*group_keys).agg(*aggs).select(*df.columns)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
