@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quakescope.functions.classes import mag_class_six
 from quakescope.functions.grid import snap_away, snap_even
 from quakescope.functions.stats import exact_mean, pct_of, round_half_up
-from quakescope.operators.clean import cleaning_predicate
+from quakescope.operators.clean import cleaning_predicate, present
 from quakescope.operators.payload import record_ok
 
 # Payload size assumed per record by the ingestion report.
@@ -169,8 +169,11 @@ def mag_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     """Equal-width magnitude histogram over [min, max]; the max falls in the last bin.
 
     The two bounds come from one bounded aggregate row; bin edges are derived
-    from them, so every non-empty bin is listed with its edges.
+    from them, so every non-empty bin is listed with its edges.  Missing
+    magnitudes (null, NaN) are not binned; when all magnitudes are equal,
+    everything falls in bin 1.
     """
+    df = df.filter(present("mag"))
     bounds = df.agg(F.min("mag").alias("lo"), F.max("mag").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
@@ -178,8 +181,8 @@ def mag_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
                          F.lit(0.0).alias("bin_hi"), F.lit(0).cast("bigint").alias("jumlah")).limit(0)
     lo_c, hi_c, n = F.lit(float(lo)), F.lit(float(hi)), F.lit(bins)
     width = hi_c - lo_c
-    b = F.coalesce(F.least(F.floor(F.try_divide((F.col("mag") - lo_c) * n, width)) + 1, n),
-                   F.lit(1)).cast("int")
+    b = F.when(width == 0, F.lit(1)).otherwise(
+        F.least(F.floor((F.col("mag") - lo_c) * n / width) + 1, n)).cast("int")
     counts = df.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("jumlah"))
     return counts.select(
         "bin",

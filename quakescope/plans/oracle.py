@@ -142,9 +142,10 @@ CLEAN_ALL = ALL + ", year, month, hour, mag_category, depth_category"
 
 HIST = f"""SELECT bin, lo + (bin - 1) * (hi - lo) / 50 AS bin_lo, lo + bin * (hi - lo) / 50 AS bin_hi,
   count(*) AS jumlah FROM (
-  SELECT CAST(coalesce(least(floor((mag - lo) * 50 / nullif(hi - lo, 0)) + 1, 50), 1) AS INTEGER) AS bin,
+  SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((mag - lo) * 50 / (hi - lo)) + 1, 50) END AS INTEGER) AS bin,
          lo, hi
-  FROM dview, (SELECT min(mag) AS lo, max(mag) AS hi FROM dview) b
+  FROM (SELECT * FROM dview WHERE mag IS NOT NULL AND NOT isnan(mag)) v,
+       (SELECT min(mag) AS lo, max(mag) AS hi FROM dview WHERE mag IS NOT NULL AND NOT isnan(mag)) b
 ) GROUP BY bin, lo, hi"""
 
 

@@ -123,9 +123,11 @@ def test_deep_event_clean_but_outside_default_range(spark):
 
 
 def test_histogram_max_in_last_bin(spark):
-    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "mag double")
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (None,), (float("nan"),)], "mag double")
     bins = {r["bin"]: r["jumlah"] for r in R.mag_histogram(df, bins=4).collect()}
-    assert bins == {1: 1, 3: 1, 4: 1}
+    assert bins == {1: 1, 3: 1, 4: 1}  # missing magnitudes are not binned
+    same = spark.createDataFrame([(2.5,), (2.5,)], "mag double")
+    assert [(r["bin"], r["jumlah"]) for r in R.mag_histogram(same).collect()] == [(1, 2)]
 
 
 def test_quality_counts_match_clean(spark):
