@@ -68,6 +68,8 @@ def _take_tied(rows: DataFrame, m: int) -> DataFrame:
 
 def bottom_k(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
     """The ``n`` rows with the smallest ``(hash, key)`` (all rows when fewer)."""
+    if n <= 0:
+        return df.limit(0)
     hashed = df.withColumn("_h", sample_hash(key, seed))
     inside, below, digits = F.lit(True), 0, PREFIX_STEP
     cut = _boundary(hashed, inside, digits, n)

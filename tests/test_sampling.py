@@ -36,6 +36,7 @@ def test_bottom_k_repeatable(spark, display):
 
 def test_bottom_k_empty(spark, display):
     assert bottom_k(display.limit(0), 10, 1).count() == 0
+    assert bottom_k(display, 0, 1).count() == 0 and bottom_k(display, -3, 1).count() == 0
 
 
 def test_bottom_k_refines_and_handles_one_hot_key(spark, display, monkeypatch):
