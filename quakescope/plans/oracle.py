@@ -167,6 +167,22 @@ FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth,
              coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
       FROM quakes)
 WHERE {RULE} AND {TS} IS NOT NULL"""),
+    "stream_hourly_cells": "WITH " + CTES + ",\n" + f"""feed AS (
+  SELECT DISTINCT time, latitude, longitude, mag, {TS} AS et
+  FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,
+               coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
+        FROM quakes)
+  WHERE {RULE} AND {TS} IS NOT NULL
+), w AS (
+  SELECT date_trunc('hour', et) AS window_start, date_trunc('hour', et) + INTERVAL 1 HOUR AS window_end,
+         round(latitude, 0) + 0.0 AS lat_grid, round(longitude, 0) + 0.0 AS lon_grid, mag
+  FROM feed
+)
+SELECT window_start, window_end, lat_grid, lon_grid, count(*) AS event_count,
+       {mean('mag')} AS avg_mag, max(mag) AS max_mag
+FROM w
+WHERE window_end <= (SELECT max(et) FROM feed) - INTERVAL 1 DAY
+GROUP BY window_start, window_end, lat_grid, lon_grid""",
     "clean": _with(f"SELECT {CLEAN_ALL} FROM clean"),
     "display_clean": _with(f"SELECT {ALL}, year, month, day, mag_category, depth_category FROM display"),
     "dedup": _with(f"""SELECT {ALL} FROM (

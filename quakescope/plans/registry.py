@@ -31,7 +31,12 @@ from quakescope.sources import catalog as io
 from quakescope.sources import sinks
 from quakescope.sources.fixture import quakes
 from quakescope.sources.report import read_report
-from quakescope.streaming.clean_stream import clean_stream, read_messages, start_parquet_sink
+from quakescope.streaming.clean_stream import (
+    clean_stream,
+    hourly_cells,
+    read_messages,
+    start_parquet_sink,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +138,16 @@ def stream_clean(spark, sf):
     return spark.read.parquet(out).select("time", "latitude", "longitude", "year", "month")
 
 
+def stream_hourly_cells(spark, sf):
+    """Producer feed → stream clean → hourly 1° cells, emitted as the watermark passes."""
+    topic = scratch_path(spark, "topic")
+    sinks.publish(event_payload(_raw(spark, sf)), path=topic)
+    out, ck = scratch_path(spark, "cells-out"), scratch_path(spark, "cells-ck")
+    query = start_parquet_sink(hourly_cells(clean_stream(read_messages(spark, topic))), out, ck)
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 # --- cleaning and filters ----------------------------------------------------
 
 def clean_q(spark, sf):
@@ -354,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "normalize_headers": normalize_headers,
     "event_payload": event_payload_q,
     "stream_clean": stream_clean,
+    "stream_hourly_cells": stream_hourly_cells,
     "report_bundle": report_bundle_q,
     "report_bundle_read": report_bundle_read,
     "clean": clean_q,

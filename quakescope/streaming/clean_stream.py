@@ -64,14 +64,16 @@ def hourly_cells(clean: DataFrame, window: str = "1 hour") -> DataFrame:
     """Events, mean and max magnitude per event-time window and 1° cell (append mode).
 
     Uses the watermark of ``clean_stream``: a window is emitted once the
-    watermark passes its end, and its state is dropped then.
+    watermark passes its end, and its state is dropped then.  Window bounds
+    are given on the UTC clock (timestamps without zone).
     """
     return (clean
             .groupBy(F.window("event_time", window).alias("w"),
                      snap_away("latitude").alias("lat_grid"), snap_away("longitude").alias("lon_grid"))
             .agg(F.count(F.lit(1)).alias("event_count"), exact_mean("mag").alias("avg_mag"),
                  F.max("mag").alias("max_mag"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            .select(F.convert_timezone(None, F.lit("UTC"), F.col("w.start")).alias("window_start"),
+                    F.convert_timezone(None, F.lit("UTC"), F.col("w.end")).alias("window_end"),
                     "lat_grid", "lon_grid", "event_count", "avg_mag", "max_mag"))
 
 
