@@ -58,3 +58,17 @@ def test_publish_to_files_and_kafka_options(spark):
     assert opts["topic"] == "gempa-stream"
     assert opts["kafka.compression.type"] == "gzip"
     assert opts["kafka.batch.size"] == "65536" and opts["kafka.linger.ms"] == "10"
+
+
+def test_kafka_paths_reach_the_connector(spark):
+    """Without the connector jar Spark names the missing kafka source (no silent fallback)."""
+    import pytest
+
+    from quakescope.operators.payload import event_payload
+    from quakescope.streaming.clean_stream import read_messages
+
+    messages = event_payload(quakes(spark, SF_SMALL))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sinks.publish(messages, bootstrap_servers="localhost:1")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_messages(spark, bootstrap_servers="localhost:1")
