@@ -161,6 +161,17 @@ ORACLE: dict[str, str] = {
         "coalesce(mag, 0.0) AS mag, coalesce(magType, 'nan') AS magType, "
         "coalesce(place, 'nan') AS place, coalesce(type, 'nan') AS type, "
         "coalesce(nst, 0.0) AS nst, coalesce(gap, 0.0) AS gap, coalesce(rms, 0.0) AS rms FROM quakes"),
+    "metric_table_volume": "WITH " + CTES + ",\n" + f"""counts AS (
+  SELECT (SELECT count(*) FROM quakes) AS raw_n, (SELECT count(*) FROM clean_rows) AS clean_n
+), pct AS (
+  SELECT raw_n, clean_n, raw_n - clean_n AS drop_n,
+         {rnd('CAST(raw_n - clean_n AS DOUBLE) / CAST(raw_n AS DOUBLE) * 100.0', 2)} AS veracity
+  FROM counts
+)
+SELECT 'Total Data Mentah (Raw)' AS "Metrik", format('{{:,}} records', raw_n) AS "Nilai" FROM pct
+UNION ALL SELECT 'Data Bersih (Lolos Filter)', format('{{:,}} records', clean_n) FROM pct
+UNION ALL SELECT 'Anomali Dibuang (Veracity)', format('{{:,}} records', drop_n) FROM pct
+UNION ALL SELECT 'Persentase Data Valid', printf('%.2f%%', 100.0 - veracity) FROM pct""",
     "stream_clean": _with(f"""SELECT DISTINCT time, latitude, longitude,
   CAST(year({TS}) AS INTEGER) AS year, CAST(month({TS}) AS INTEGER) AS month
 FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,

@@ -128,6 +128,13 @@ def report_bundle_read(spark, sf):
     return read_report(spark, path)
 
 
+def metric_table_volume(spark, sf):
+    """The page's volume/veracity table from the report bundle read back from disk."""
+    from quakescope.plans.dashboard import metric_tables
+
+    return metric_tables(report_bundle_read(spark, sf))["volume"]
+
+
 def stream_clean(spark, sf):
     """Producer feed → Structured Streaming clean + watermark dedup → Parquet (keys)."""
     topic = scratch_path(spark, "topic")
@@ -372,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_cells": stream_hourly_cells,
     "report_bundle": report_bundle_q,
     "report_bundle_read": report_bundle_read,
+    "metric_table_volume": metric_table_volume,
     "clean": clean_q,
     "display_clean": display_clean_q,
     "dedup": dedup_q,
