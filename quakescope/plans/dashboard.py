@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakescope.functions.stats import round_half_up
 from quakescope.operators import clean as C
 from quakescope.operators import clustering as Z
 from quakescope.operators import reports as R
@@ -149,6 +150,6 @@ def kpi_tiles(rows: DataFrame, bundle: DataFrame) -> DataFrame:
     return folded.select(
         "total_record", "throughput_rec_per_sec", "latency_sec",
         F.when(F.col("max_mag").isNull(), F.lit("–"))
-        .otherwise(F.format_string("%.1f", "max_mag")).alias("max_mag_text"),
+        .otherwise(F.format_string("%.1f", round_half_up("max_mag", 1))).alias("max_mag_text"),
         "max_mag", F.coalesce("valid_pct", F.lit(100.0)).alias("valid_pct"),
         F.coalesce("raw_records", "total_record").alias("raw_records"))

@@ -172,6 +172,13 @@ SELECT 'Total Data Mentah (Raw)' AS "Metrik", format('{{:,}} records', raw_n) AS
 UNION ALL SELECT 'Data Bersih (Lolos Filter)', format('{{:,}} records', clean_n) FROM pct
 UNION ALL SELECT 'Anomali Dibuang (Veracity)', format('{{:,}} records', drop_n) FROM pct
 UNION ALL SELECT 'Persentase Data Valid', printf('%.2f%%', 100.0 - veracity) FROM pct""",
+    "kpi_tiles": _with(f"""SELECT v.total_record, CAST(NULL AS DOUBLE) AS throughput_rec_per_sec,
+  CAST(NULL AS DOUBLE) AS latency_sec,
+  CASE WHEN v.max_mag IS NULL THEN '–' ELSE printf('%.1f', {rnd('v.max_mag', 1)}) END AS max_mag_text,
+  v.max_mag, 100.0 - {rnd('CAST(c.raw_n - c.clean_n AS DOUBLE) / CAST(c.raw_n AS DOUBLE) * 100.0', 2)} AS valid_pct,
+  c.raw_n AS raw_records
+FROM (SELECT count(*) AS total_record, max(mag) AS max_mag FROM dview) v,
+     (SELECT (SELECT count(*) FROM quakes) AS raw_n, (SELECT count(*) FROM clean_rows) AS clean_n) c"""),
     "stream_clean": _with(f"""SELECT DISTINCT time, latitude, longitude,
   CAST(year({TS}) AS INTEGER) AS year, CAST(month({TS}) AS INTEGER) AS month
 FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,

@@ -135,6 +135,13 @@ def metric_table_volume(spark, sf):
     return metric_tables(report_bundle_read(spark, sf))["volume"]
 
 
+def kpi_tiles_q(spark, sf):
+    """Header tiles: the dashboard rows with the report bundle read back from disk."""
+    from quakescope.plans.dashboard import kpi_tiles
+
+    return kpi_tiles(_view(spark, sf), report_bundle_read(spark, sf))
+
+
 def stream_clean(spark, sf):
     """Producer feed → Structured Streaming clean + watermark dedup → Parquet (keys)."""
     topic = scratch_path(spark, "topic")
@@ -380,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "report_bundle": report_bundle_q,
     "report_bundle_read": report_bundle_read,
     "metric_table_volume": metric_table_volume,
+    "kpi_tiles": kpi_tiles_q,
     "clean": clean_q,
     "display_clean": display_clean_q,
     "dedup": dedup_q,
