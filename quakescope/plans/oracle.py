@@ -80,9 +80,15 @@ clean_rows AS (
 
 
 def _with(body: str) -> str:
+    """The shared CTEs, then a query."""
     return f"WITH {CTES}\n{body}"
 
 
+def _with_more(ctes_and_body: str) -> str:
+    """The shared CTEs, more CTEs of this query (``name AS (...)``), then its query."""
+    return f"WITH {CTES},\n{ctes_and_body}"
+
+
 def _dbl(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
@@ -161,7 +167,7 @@ ORACLE: dict[str, str] = {
         "coalesce(mag, 0.0) AS mag, coalesce(magType, 'nan') AS magType, "
         "coalesce(place, 'nan') AS place, coalesce(type, 'nan') AS type, "
         "coalesce(nst, 0.0) AS nst, coalesce(gap, 0.0) AS gap, coalesce(rms, 0.0) AS rms FROM quakes"),
-    "metric_table_volume": "WITH " + CTES + ",\n" + f"""counts AS (
+    "metric_table_volume": _with_more(f"""counts AS (
   SELECT (SELECT count(*) FROM quakes) AS raw_n, (SELECT count(*) FROM clean_rows) AS clean_n
 ), pct AS (
   SELECT raw_n, clean_n, raw_n - clean_n AS drop_n,
@@ -171,7 +177,7 @@ ORACLE: dict[str, str] = {
 SELECT 'Total Data Mentah (Raw)' AS "Metrik", format('{{:,}} records', raw_n) AS "Nilai" FROM pct
 UNION ALL SELECT 'Data Bersih (Lolos Filter)', format('{{:,}} records', clean_n) FROM pct
 UNION ALL SELECT 'Anomali Dibuang (Veracity)', format('{{:,}} records', drop_n) FROM pct
-UNION ALL SELECT 'Persentase Data Valid', printf('%.2f%%', 100.0 - veracity) FROM pct""",
+UNION ALL SELECT 'Persentase Data Valid', printf('%.2f%%', 100.0 - veracity) FROM pct"""),
     "kpi_tiles": _with(f"""SELECT v.total_record, CAST(NULL AS DOUBLE) AS throughput_rec_per_sec,
   CAST(NULL AS DOUBLE) AS latency_sec,
   CASE WHEN v.max_mag IS NULL THEN '–' ELSE printf('%.1f', {rnd('v.max_mag', 1)}) END AS max_mag_text,
@@ -185,7 +191,7 @@ FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth,
              coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
       FROM quakes)
 WHERE {RULE} AND {TS} IS NOT NULL"""),
-    "stream_hourly_cells": "WITH " + CTES + ",\n" + f"""feed AS (
+    "stream_hourly_cells": _with_more(f"""feed AS (
   SELECT DISTINCT time, latitude, longitude, mag, {TS} AS et
   FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,
                coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
@@ -200,7 +206,7 @@ SELECT window_start, window_end, lat_grid, lon_grid, count(*) AS event_count,
        {mean('mag')} AS avg_mag, max(mag) AS max_mag
 FROM w
 WHERE window_end <= (SELECT max(et) FROM feed) - INTERVAL 1 DAY
-GROUP BY window_start, window_end, lat_grid, lon_grid""",
+GROUP BY window_start, window_end, lat_grid, lon_grid"""),
     "clean": _with(f"SELECT {CLEAN_ALL} FROM clean"),
     "display_clean": _with(f"SELECT {ALL}, year, month, day, mag_category, depth_category FROM display"),
     "dedup": _with(f"""SELECT {ALL} FROM (
@@ -299,28 +305,29 @@ FROM (SELECT (SELECT count(*) FROM quakes) AS raw_records, (SELECT count(*) FROM
         + " FROM clean) s"),
 }
 
-ORACLE["hotspots_1deg"] = "WITH " + CTES + ",\n" + _hot(
-    "clean", AWAY.format(c="latitude"), AWAY.format(c="longitude"), 200) + "\nSELECT * FROM top"
-ORACLE["hotspots_1deg_even"] = "WITH " + CTES + ",\n" + _hot(
-    "clean", EVEN0.format(c="latitude"), EVEN0.format(c="longitude"), 200) + "\nSELECT * FROM top"
-ORACLE["hotspots_tenth"] = "WITH " + CTES + ",\n" + _hot(
-    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20) + "\nSELECT * FROM top"
-ORACLE["coord_label"] = "WITH " + CTES + ",\n" + _hot(
-    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20) + (
-    "\nSELECT lat_grid, lon_grid, printf('%.1f°, %.1f°', lat_grid, lon_grid) AS label FROM top")
-ORACLE["display_table"] = "WITH " + CTES + ",\n" + _hot(
-    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20) + (
-    f"\nSELECT lat_grid AS \"Lat\", lon_grid AS \"Lon\", event_count AS \"Event\", "
+ORACLE["hotspots_1deg"] = _with_more(_hot(
+    "clean", AWAY.format(c="latitude"), AWAY.format(c="longitude"), 200) + "\nSELECT * FROM top")
+ORACLE["hotspots_1deg_even"] = _with_more(_hot(
+    "clean", EVEN0.format(c="latitude"), EVEN0.format(c="longitude"), 200) + "\nSELECT * FROM top")
+ORACLE["hotspots_tenth"] = _with_more(_hot(
+    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20) + "\nSELECT * FROM top")
+ORACLE["coord_label"] = _with_more(_hot(
+    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20)
+    + "\nSELECT lat_grid, lon_grid, printf('%.1f°, %.1f°', lat_grid, lon_grid) AS label FROM top")
+ORACLE["display_table"] = _with_more(_hot(
+    "dview", EVEN1.format(c="latitude"), EVEN1.format(c="longitude"), 20)
+    + f"\nSELECT lat_grid AS \"Lat\", lon_grid AS \"Lon\", event_count AS \"Event\", "
     f"{rnd('avg_mag', 2)} AS \"Avg Mag\", {rnd('max_mag', 2)} AS \"Max Mag\" FROM top")
-ORACLE["assign_fixed_centroids"] = "WITH " + CTES + ",\n" + _assign_sql("clean") + (
-    "\nSELECT latitude, longitude, depth, mag, cluster FROM assigned")
-ORACLE["cluster_summary_fixed"] = "WITH " + CTES + ",\n" + _assign_sql("clean") + "\n" + _summary("assigned")
-ORACLE["cluster_labels"] = "WITH " + CTES + ",\n" + _assign_sql("clean") + f""",
+ORACLE["assign_fixed_centroids"] = _with_more(
+    _assign_sql("clean") + "\nSELECT latitude, longitude, depth, mag, cluster FROM assigned")
+ORACLE["cluster_summary_fixed"] = _with_more(_assign_sql("clean") + "\n" + _summary("assigned"))
+ORACLE["cluster_labels"] = _with_more(_assign_sql("clean") + f""",
 summ AS ({_summary('assigned')})
 SELECT {_label_case('cluster')} AS "Zona", jumlah_event AS "Jumlah Event",
   printf('%.1f°, %.1f°', {rnd('center_lat', 1)}, {rnd('center_lon', 1)}) AS "Pusat (Lat, Lon)",
   {rnd('avg_depth', 1)} AS "Avg Kedalaman (km)", {rnd('avg_mag', 2)} AS "Avg Mag",
-  {rnd('max_mag', 2)} AS "Max Mag" FROM summ"""
-ORACLE["cluster_map_fixed"] = "WITH " + CTES + ",\n" + _assign_sql("dview", keep="id") + (
-    f"\nSELECT latitude, longitude, {_label_case('cluster')} AS cluster_label FROM ("
+  {rnd('max_mag', 2)} AS "Max Mag" FROM summ""")
+ORACLE["cluster_map_fixed"] = _with_more(
+    _assign_sql("dview", keep="id")
+    + f"\nSELECT latitude, longitude, {_label_case('cluster')} AS cluster_label FROM ("
     + _bottom_k("assigned", 30000, 42, "latitude, longitude, cluster") + ")")
