@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakescope.functions.labels import cluster_label
+from quakescope.functions.labels import cluster_color, cluster_label
 
 PREFIX_STEP = 5          # hex digits per refinement level (≤ 2**20 groups)
 HASH_DIGITS = 32
@@ -107,5 +107,7 @@ def depth_mag_sample(df: DataFrame, n: int = 10000, seed: int = 42) -> DataFrame
 
 
 def cluster_map_sample(clustered: DataFrame, n: int = 30000, seed: int = 42) -> DataFrame:
+    """Sampled points of the zone map with their zone label and colour."""
     return (bottom_k(clustered, n, seed)
-            .select("latitude", "longitude", cluster_label("cluster").alias("cluster_label")))
+            .select("latitude", "longitude", cluster_label("cluster").alias("cluster_label"),
+                    cluster_color("cluster").alias("color")))

@@ -17,7 +17,7 @@ from quakescope.functions.classes import (
     MAG6_EDGES,
     MAG6_LABELS,
 )
-from quakescope.functions.labels import CLUSTER_LABELS
+from quakescope.functions.labels import CLUSTER_COLOR_FALLBACK, CLUSTER_COLORS, CLUSTER_LABELS
 from quakescope.operators.clustering import PUBLISHED_CENTRES
 from quakescope.plans.registry import RANGE_DEPTH, RANGE_MAG, RANGE_YEAR
 from quakescope.sources.fixture import QUAKES_SQL
@@ -126,6 +126,11 @@ def _label_case(col: str) -> str:
     return f"CASE {parts} ELSE concat('Cluster ', CAST({col} AS VARCHAR)) END"
 
 
+def _color_case(col: str) -> str:
+    parts = " ".join(f"WHEN {col} = {i} THEN '{c}'" for i, c in enumerate(CLUSTER_COLORS))
+    return f"CASE {parts} ELSE '{CLUSTER_COLOR_FALLBACK}' END"
+
+
 def _bottom_k(src: str, n: int, seed: int, cols: str) -> str:
     return (f"SELECT {cols} FROM {src} "
             f"ORDER BY md5(concat(coalesce(CAST(id AS VARCHAR), ''), '#{seed}')), id NULLS FIRST LIMIT {n}")
@@ -329,5 +334,6 @@ SELECT {_label_case('cluster')} AS "Zona", jumlah_event AS "Jumlah Event",
   {rnd('max_mag', 2)} AS "Max Mag" FROM summ""")
 ORACLE["cluster_map_fixed"] = _with_more(
     _assign_sql("dview", keep="id")
-    + f"\nSELECT latitude, longitude, {_label_case('cluster')} AS cluster_label FROM ("
+    + f"\nSELECT latitude, longitude, {_label_case('cluster')} AS cluster_label, "
+    f"{_color_case('cluster')} AS color FROM ("
     + _bottom_k("assigned", 30000, 42, "latitude, longitude, cluster") + ")")
