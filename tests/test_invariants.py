@@ -60,3 +60,20 @@ def test_report_file_round_trip(spark, report):
 
 def test_missing_report_is_empty(spark, tmp_path):
     assert read_report(spark, str(tmp_path / "absent.json")).count() == 0
+
+
+def test_spark_bundle_equals_batch_report(spark, report):
+    from quakescope.operators.clustering import assign_to_centres
+    from quakescope.plans.batch import clean_table_columns, read_clean
+    from quakescope.plans.bundle import report_bundle
+
+    rep, out = report
+    raw = quakes(spark, SF_SMALL)
+    cleaned = read_clean(spark, os.path.join(out, "cleaned_earthquake.parquet"), clean_table_columns(raw))
+    row = report_bundle(raw, cleaned, assign_to_centres(cleaned)).first()
+    assert row["global_stats"].asDict() == rep["global_stats"]
+    for section in ("mag_distribution", "temporal_activity", "hotspot_grid"):
+        assert [r.asDict() for r in row[section]] == rep[section], section
+    m = row["pipeline_metrics"]
+    for key in ("raw_records", "clean_records", "dropped_records", "veracity_pct"):
+        assert m[key] == rep["pipeline_metrics"][key], key
