@@ -142,13 +142,24 @@ def kpi_tiles_q(spark, sf):
     return kpi_tiles(_view(spark, sf), report_bundle_read(spark, sf))
 
 
+# Fixed value: how long a registered stream may take to drain its input.
+STREAM_DRAIN_SEC = 1800
+
+
+def _drain(query) -> None:
+    """Wait for an ``availableNow`` stream to finish; stop it and fail past the limit."""
+    if not query.awaitTermination(STREAM_DRAIN_SEC):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not drain in {STREAM_DRAIN_SEC} s")
+
+
 def stream_clean(spark, sf):
     """Producer feed → Structured Streaming clean + watermark dedup → Parquet (keys)."""
     topic = scratch_path(spark, "topic")
     sinks.publish(event_payload(_raw(spark, sf)), path=topic)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
     query = start_parquet_sink(clean_stream(read_messages(spark, topic)), out, ck)
-    query.awaitTermination()
+    _drain(query)
     return spark.read.parquet(out).select("time", "latitude", "longitude", "year", "month")
 
 
@@ -158,7 +169,7 @@ def stream_hourly_cells(spark, sf):
     sinks.publish(event_payload(_raw(spark, sf)), path=topic)
     out, ck = scratch_path(spark, "cells-out"), scratch_path(spark, "cells-ck")
     query = start_parquet_sink(hourly_cells(clean_stream(read_messages(spark, topic))), out, ck)
-    query.awaitTermination()
+    _drain(query)
     return spark.read.parquet(out)
 
 
