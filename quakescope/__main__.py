@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--source", default=None, help="JSON-lines folder of payloads")
     s.add_argument("--bootstrap-servers", default=None)
     s.add_argument("--watermark", default="1 day")
+    s.add_argument("--follow", action="store_true",
+                   help="keep running on new input (10 s micro-batches) instead of draining")
 
     args = ap.parse_args(argv)
     spark = build_session("quakescope-" + args.cmd, master=args.master)
@@ -78,7 +80,8 @@ def main(argv: list[str] | None = None) -> int:
         from quakescope.streaming.clean_stream import clean_stream, read_messages, start_parquet_sink
 
         messages = read_messages(spark, args.source, args.bootstrap_servers)
-        start_parquet_sink(clean_stream(messages, args.watermark), args.out, args.checkpoint).awaitTermination()
+        start_parquet_sink(clean_stream(messages, args.watermark), args.out, args.checkpoint,
+                           available_now=not args.follow).awaitTermination()
         print(json.dumps({"out": args.out}))
     spark.stop()
     return 0
