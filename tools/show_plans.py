@@ -18,6 +18,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from quakescope.operators import clean as C  # noqa: E402
 from quakescope.operators import clustering as Z  # noqa: E402
 from quakescope.operators import reports as R  # noqa: E402
+from quakescope.operators import sampling as S  # noqa: E402
+from quakescope.operators.payload import event_payload  # noqa: E402
+from quakescope.sources.sinks import publish  # noqa: E402
+from quakescope.streaming.clean_stream import clean_stream, read_messages  # noqa: E402
 from quakescope.plans.batch import clean_table_columns, read_clean, write_clean  # noqa: E402
 from quakescope.session import build_session  # noqa: E402
 from quakescope.sources import catalog  # noqa: E402
@@ -51,6 +55,8 @@ def main():
     clean_path = tempfile.mkdtemp(prefix="plans-") + "/clean"
     write_clean(cat, clean_path)
     clean_table = read_clean(spark, clean_path, clean_table_columns(cat))
+    feed = tempfile.mkdtemp(prefix="plans-") + "/feed"
+    publish(event_payload(cat), path=feed)
     cases = [
         ("Top-200 1° hotspots over the cleaning rule",
          "Every rule predicate is pushed to the scan and only 8 of 18 columns are read: the dedup "
@@ -78,6 +84,15 @@ def main():
         ("Global statistics",
          "Single partial + final aggregate; exact decimal sums for the means.",
          R.global_stats(C.clean(cat))),
+        ("Bottom-1,000 sample (after its cut point is found)",
+         "Rows below the boundary hash prefix pass by a plain filter; only the boundary "
+         "prefix's rows reach `TakeOrderedAndProject`; the two are unioned. No single task "
+         "merges n rows from every partition.",
+         S.bottom_k(view, 1000, 7)),
+        ("Streaming consumer of the event feed",
+         "Decode, cleaning rule, watermark, then dedup within the watermark (state bounded by "
+         "the watermark delay).",
+         clean_stream(read_messages(spark, feed))),
         ("Fixed-centre zone assignment",
          "Map-only: the four standard deviations are literals from one aggregate row (no join, "
          "no broadcast of data).",
