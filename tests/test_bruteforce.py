@@ -82,3 +82,27 @@ def test_bottom_k_matches_brute_force(spark, ids, n, seed):
                  for r in bottom_k(df, n, seed).collect())
     want = sorted(hashlib.md5(f"{i or ''}#{seed}".encode()).hexdigest() for i in ids)[:n]
     assert got == want
+
+
+def brute_view(rows):
+    shown = [r for r in rows if all(ok(r[c]) for c in ("latitude", "longitude", "mag", "depth"))
+             and r["mag"] >= 0]
+    year = {"2025-03-01T00:00:00.000Z": 2025, "2026-05-01T10:00:00.000Z": 2026}
+    if not shown:
+        return []
+    depth_hi = min(max(r["depth"] for r in shown), 700.0)
+    years = [year[r["time"]] for r in shown if r["time"] in year]
+    out = [r for r in shown if r["depth"] <= depth_hi]
+    if years:
+        out = [r for r in out if r["time"] in year]
+    return out
+
+
+@SETTINGS
+@given(rows=st.lists(ROW, max_size=30))
+def test_dashboard_view_matches_brute_force(spark, rows):
+    rows = [dict(r, depth=(701.0 if r["depth"] == 300.0 else r["depth"])) for r in rows]
+    got = C.dashboard_view(C.display_clean(catalog_rows(spark, rows))).select("time", "mag", "depth", "id")
+    want = brute_view(rows)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(
+        (r["time"], r["mag"], r["depth"], r["id"]) for r in want)
