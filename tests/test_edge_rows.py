@@ -193,3 +193,14 @@ def test_inline_rows(spark):
                      ["Wilayah", "Magnitudo"])
     assert df.dtypes == [("Wilayah", "string"), ("Magnitudo", "double")]
     assert df.agg(F.max("Magnitudo")).first()[0] == 6.1
+
+
+def test_conform_fills_or_rejects_missing_optional_columns(spark, tmp_path):
+    from quakescope.sources.catalog import conform
+
+    df = spark.createDataFrame([("2026-05-01T00:00:00Z", "1.5", "2.5", "3.5", "x")],
+                               "time string, latitude string, longitude string, depth string, mag string")
+    r = conform(df).first()
+    assert r["mag"] is None and r["depth"] == 3.5 and r["rms"] is None and r["place"] is None
+    with pytest.raises(ValueError, match="magType"):
+        conform(df, strict=True)
