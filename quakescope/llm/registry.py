@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from .exact_topk import OP6_SQL, op6_exact_topk
+from .substring_dedup import OP10_SQL, op10_substring_dedup
 
 QUERIES = {
     "op6_exact_topk": op6_exact_topk,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
     "op6_exact_topk": OP6_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
