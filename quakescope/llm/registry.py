@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from .exact_topk import OP6_SQL, op6_exact_topk
+from .near_dedup import OP3_SQL, op3_near_dedup
 from .substring_dedup import OP10_SQL, op10_substring_dedup
 
 QUERIES = {
+    "op3_near_dedup": op3_near_dedup,
     "op6_exact_topk": op6_exact_topk,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
+    "op3_near_dedup": OP3_SQL,
     "op6_exact_topk": OP6_SQL,
     "op10_substring_dedup": OP10_SQL,
 }
