@@ -14,17 +14,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces kept by a task's process; a full store is emptied.
-CACHE = 300_000
-
-
-class _Pieces(dict):
-    """piece -> number of its entry; unknown pieces are noted and encoded together."""
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self)
-        self.fresh.append(piece)
-        return number
+from .pieces import PieceStore, sums
 
 
 class WordIds:
@@ -32,47 +22,20 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known = _Pieces()
-        self.known.fresh = []
-        self.first, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self) -> None:
-        fresh, self.known.fresh = self.known.fresh, []
-        if not fresh:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        self.first = np.r_[self.first, self.first[-1] + np.cumsum(sizes)]
-        self.pool = np.r_[self.pool, flat]
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.store = PieceStore(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
 
-    def encode(self, texts: list[str], last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end, and each text's count; ``last`` ends every text."""
-        if len(self.known) > CACHE:
-            self._clear()
-        find, numbers, pieces = self.known.__getitem__, [], []
+    def encode(self, texts: list[str], last: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, ``last`` behind each text's, and each text's count."""
+        find, numbers, pieces = self.store.lookup(), [], []
         for text in texts:
             parts = text.replace("\n", " ").split(" ") if text else []
-            pieces.append(len(parts) + (last is not None))
             numbers.extend(map(find, parts))
-            if last is not None:
-                numbers.append(-1)
-        self._learn()
-        number = np.array(numbers, np.int64)
-        # entry -1 is the ending id, put behind the pool
-        pool = np.r_[self.pool, np.uint32(last or 0)]
-        begin = np.where(number < 0, len(self.pool), self.first[np.maximum(number, 0)])
-        sizes = np.where(number < 0, 1, self.first[np.minimum(number, len(self.first) - 2) + 1] - self.first[np.maximum(number, 0)]) if len(number) else number
-        ends = np.cumsum(sizes)
-        ids = pool[np.repeat(begin - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        edge = np.r_[0, np.cumsum(pieces)].astype(np.int64)
-        total = np.r_[0, ends]
-        return ids, total[edge[1:]] - total[edge[:-1]]
+            numbers.append(-1)
+            pieces.append(len(parts) + 1)
+        ids, sizes = self.store.gather(np.array(numbers, np.int64), last)
+        return ids, sums(sizes, np.array(pieces, np.int64))
 
 
 @functools.lru_cache(maxsize=4)
