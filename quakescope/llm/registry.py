@@ -6,12 +6,14 @@ from .byte_bpe import op2_byte_bpe
 from .exact_topk import OP6_SQL, op6_exact_topk
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .packing import op8_packing
+from .quality import op4_quality
 from .substring_dedup import OP10_SQL, op10_substring_dedup
 from .token_files import op7_token_files
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op6_exact_topk": op6_exact_topk,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
