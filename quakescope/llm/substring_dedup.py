@@ -26,10 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, binary_column, chunks, find_words, hash_ranges, text_bytes, width, window_starts, word_hashes
+from .common import CHUNK_BYTES, binary_column, chunks, find_words, hash_ranges, width, window_starts, word_hashes
 
-_SENT = "bucket int, chunk long, once binary, twice binary, docs binary, many binary, places binary"
-_REPLY = "chunk long, docs binary, many binary, places binary"
+_PLACES = "docs binary, many binary, low binary, high binary"
+_SENT = f"bucket int, chunk long, once binary, twice binary, {_PLACES}"
+_REPLY = f"chunk long, {_PLACES}"
 _SPANS = "row_key long, starts binary, ends binary"
 
 
@@ -44,14 +45,24 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(keys)])
 
 
-def _packed(docs: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """Places ordered by text: the texts' keys, places of each, and the places."""
-    first, many = _runs(docs)
-    return docs[first].tobytes(), many.astype(np.uint32).tobytes(), places.astype(np.uint32).tobytes()
+def _packed(docs: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """Places ordered by text: the texts' keys, places of each, and the gaps between places.
+
+    Gaps are split into their low bytes and the rest, which is nearly all
+    zeros and so costs next to nothing in a compressed shuffle.
+    """
+    gaps = np.diff(places, prepend=0)
+    first = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (gaps[1:] < 0)]) if len(docs) else np.zeros(0, np.int64)
+    many = np.diff(np.r_[first, len(docs)])
+    gaps[first] = places[first]
+    return docs[first].tobytes(), many.astype(np.uint32).tobytes(), gaps.astype(np.uint8).tobytes(), (gaps >> 8).astype(np.uint32).tobytes()
 
 
-def _unpacked(docs: bytes, many: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(many, np.uint32)), np.frombuffer(places, np.uint32)
+def _unpacked(docs: bytes, many: bytes, low: bytes, high: bytes) -> tuple[np.ndarray, np.ndarray]:
+    many = np.frombuffer(many, np.uint32).astype(np.int64)
+    total = np.cumsum(np.frombuffer(low, np.uint8) + (np.frombuffer(high, np.uint32).astype(np.int64) << 8))
+    before = np.r_[0, total][np.cumsum(many) - many]
+    return np.repeat(np.frombuffer(docs, np.int64), many), total - np.repeat(before, many)
 
 
 def _send(size: int, buckets: int):
@@ -105,8 +116,8 @@ def _count(table: pa.Table) -> pa.Table:
     head, many = _runs(hashes)
     repeated = hashes[head[many > 1]]
     rows = []
-    for own, row in zip(once, table.select(["chunk", "docs", "many", "places"]).to_pylist()):
-        docs, places = _unpacked(row["docs"], row["many"], row["places"])
+    for own, row in zip(once, table.select(["chunk", "docs", "many", "low", "high"]).to_pylist()):
+        docs, places = _unpacked(row["docs"], row["many"], row["low"], row["high"])
         if len(own):  # a row without hashes holds known places
             spot = np.searchsorted(repeated, own)
             hit = spot < len(repeated)
@@ -121,10 +132,10 @@ def _merge(size: int):
     schema = _arrow(_SPANS)
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [_unpacked(*r) for r in zip(*(table.column(c).to_pylist() for c in ("docs", "many", "places")))]
+        parts = [_unpacked(*r) for r in zip(*(table.column(c).to_pylist() for c in ("docs", "many", "low", "high")))]
         docs, places = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((places, docs))
-        docs, places = docs[order], places[order].astype(np.int64)
+        docs, places = docs[order], places[order]
         opens = np.r_[True, (docs[1:] != docs[:-1]) | (places[1:] > places[:-1] + size)]
         first = np.flatnonzero(opens)
         last = np.r_[first[1:], len(docs)] - 1
@@ -138,7 +149,7 @@ def _merge(size: int):
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     """row_key, starts, ends (packed uint32 word numbers) of the texts that hold repeated windows."""
-    buckets = 2 * width(docs)
+    buckets = width(docs)
     sent = docs.select("row_key", "text").mapInArrow(_send(size, buckets), _SENT)
     replies = sent.groupBy("bucket").applyInArrow(_count, _REPLY)
     return replies.groupBy("chunk").applyInArrow(_merge(size), _SPANS).dropDuplicates(["row_key"])
