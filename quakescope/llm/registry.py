@@ -9,6 +9,7 @@ from .packing import op8_packing
 from .quality import op4_quality
 from .substring_dedup import OP10_SQL, op10_substring_dedup
 from .token_files import op7_token_files
+from .toxicity import op9_toxicity
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_exact_topk": op6_exact_topk,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
