@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import op2_byte_bpe
 from .exact_topk import OP6_SQL, op6_exact_topk
+from .language_model import op5_language_model
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .packing import op8_packing
 from .quality import op4_quality
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op5_language_model": op5_language_model,
     "op6_exact_topk": op6_exact_topk,
     "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
