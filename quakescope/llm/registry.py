@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op1_ann
 from .byte_bpe import op2_byte_bpe
 from .exact_topk import OP6_SQL, op6_exact_topk
 from .language_model import op5_language_model
@@ -13,6 +14,7 @@ from .token_files import op7_token_files
 from .toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
