@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +114,18 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def keep_texts(docs: DataFrame, text_column: str, judge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, whose text ``judge`` (bytes, offsets -> true or false each) keeps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index(text_column))
+            for lo, hi, data, offsets in chunks(text, CHUNK_BYTES // 2):
+                yield batch.slice(lo, hi - lo).filter(pa.array(judge(data, offsets), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 # ---- hashes ----------------------------------------------------------------------
 
 

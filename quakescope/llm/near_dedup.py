@@ -237,6 +237,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id_column)
 
 
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, that stand for their group; of repeated rows (id and text) one stays."""
+    kept = near_duplicates(docs, shingle=shingle, percent=percent).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, percent=85)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, find_words, fold, list_column, lower_ascii, mix, store, word_hashes
+from .common import chunks, find_words, fold, keep_texts, list_column, lower_ascii, mix, store, word_hashes
 
 FEATURES, RIDGE, BINS, SEED = 256, 1e-3, 1000, 11
 _GROUPS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t\x0b\x0c", "\n\r", ".", ",", "!?", "|", "%&*$#@^~=+_", "'\"-():;/", "<>[]{}\\`")
@@ -161,6 +161,15 @@ def _score(model: Quality):
     return run
 
 
+def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> tuple[Quality, DataFrame]:
+    """The model, and the statistics (id, stats) of all ``docs``."""
+    kind = docs.schema[id_column].dataType.simpleString()
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    stats = store(rows.mapInArrow(_measure, f"id {kind}, stats array<float>"), "statistics")
+    known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("double").alias("label")).filter("label IS NOT NULL")
+    return fit(stats, stats.join(known, "id").select("stats", "label")), stats
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> DataFrame:
     """Per row: id and score (0 to 1, higher: label 1 likelier), learned from all rows of ``labels``.
 
@@ -169,16 +178,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     text without signs; null ids and repeated rows are scored; an empty table
     gives no rows.  Other columns are ignored.
     """
+    model, stats = learn(docs, labels, id_column, text_column, label_column)
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    stats = store(rows.mapInArrow(_measure, f"id {kind}, stats array<float>"), "statistics")
-    known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("double").alias("label")).filter("label IS NOT NULL")
-    model = fit(stats, stats.join(known, "id").select("stats", "label"))
     return stats.mapInArrow(_score(model), f"id {kind}, score double").withColumnRenamed("id", id_column)
 
 
-def op4_quality(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet") if docs is None else docs
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 5) != 0)
-    scored = quality_scores(docs, labels)
+def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, whose quality score is at least ``least``."""
+    model, _ = learn(docs, labels)
+    return keep_texts(docs, "text", lambda data, offsets: model.score(statistics(data, offsets)) >= least)
+
+
+def taught_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 5) != 0).select("doc_id", "quality")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), taught_labels(spark, sf_dir))
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

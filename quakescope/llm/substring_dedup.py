@@ -184,7 +184,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 35) -> DataFrame:
-    """Per row: id, text, n_words, n_removed, kept_text (kept words joined by one space).
+    """``docs`` with n_words, n_removed and kept_text (kept words joined by one space).
 
     Words are maximal runs without ASCII blanks, unchanged.  A window is
     ``size`` consecutive words of one text; every word covered by a window
@@ -192,19 +192,27 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Windows are judged on the input.  Null and empty texts have no words and
     keep the empty text; texts shorter than a window lose nothing; repeated
     rows count as separate texts, so both lose all windows; null ids are kept.
-    Other columns are ignored (join them back by id).
+    Columns of ``docs`` with the names of the new ones are replaced.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = rows.withColumn("row_key", F.xxhash64("id", "text"))
-    spans = repeated_spans(rows, size)
-    joined = rows.join(spans, "row_key", "left").select("id", "text", "starts", "ends")
-    kind = docs.schema[id_column].dataType.simpleString()
-    out = joined.mapInArrow(_apply, f"id {kind}, text string, n_words long, n_removed long, kept_text string")
-    return out.withColumnsRenamed({"id": id_column, "text": text_column})
+    rest = [c for c in docs.columns if c not in (text_column, "n_words", "n_removed", "kept_text")]
+    rows = docs.select(F.struct(*rest).alias("rest"), F.col(text_column).cast("string").alias("text"), F.xxhash64(id_column, text_column).alias("row_key"))
+    joined = rows.join(repeated_spans(rows, size), "row_key", "left").select("rest", "text", "starts", "ends")
+    schema = joined.select("rest", "text").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    out = joined.mapInArrow(_apply, schema)
+    column = lambda c: F.col("text").alias(c) if c == text_column else F.col("rest")[c].alias(c)
+    return out.select(*(column(c) for c in docs.columns if c in rest or c == text_column), "n_words", "n_removed", "kept_text")
+
+
+def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
+    """The documents with their repeated passages cut out; texts without any stay as they are."""
+    out = substring_dedup(docs, size=size).withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = substring_dedup(docs, size=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 

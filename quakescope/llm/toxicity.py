@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import chunks, find_words, fold, lower_ascii, mix, word_hashes
+from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, word_hashes
 from .quality import isotonic
 
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 8, 8
@@ -175,14 +175,33 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"weights": pa.array([gru.pack(net.w).tobytes()]), "bounds": pa.array([net.bounds.tolist()]), "levels": pa.array([net.levels.tolist()])})
 
 
-def _score(weights: bytes, bounds: list[float], levels: list[float]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Model:
+    """A trained network's weights, read once in every task."""
+
+    def __init__(self, weights: bytes, bounds: list[float], levels: list[float]):
+        self.weights, self.bounds, self.levels = weights, bounds, levels
+
+    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         net = Network()
-        net.w = gru.unpack(np.frombuffer(weights, np.float32), net.w)
+        net.w = gru.unpack(np.frombuffer(self.weights, np.float32), net.w)
+        return np.interp(net.worst(Text(data, offsets), len(offsets) - 1), self.bounds, self.levels)
+
+
+def learn(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model | None:
+    """Train in one task on a bounded sample of ``labelled`` (see ``toxicity_scores``); without any, None."""
+    known = labelled.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(label_column).cast("int").alias("label"))
+    known = known.filter(f"id IS NOT NULL AND text IS NOT NULL AND label IN (0, 1) AND octet_length(text) <= {SAMPLE_BYTES}")
+    samples = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE) for v in (0, 1)]
+    sample = samples[0].union(samples[1]).orderBy(F.xxhash64("id", "label"), "id", "text").limit(2 * SAMPLE)
+    found = sample.select("text", "label").coalesce(1).mapInArrow(_train, "weights binary, bounds array<double>, levels array<double>").collect()
+    return Model(bytes(found[0]["weights"]), found[0]["bounds"], found[0]["levels"]) if found else None
+
+
+def _score(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text"), 1 << 20):
-                score = np.interp(net.worst(Text(data, offsets), hi - lo), bounds, levels)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(score)], names=["id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(model.scores(data, offsets))], names=["id", "score"])
 
     return run
 
@@ -199,20 +218,23 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    known = labelled.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(label_column).cast("int").alias("label"))
-    known = known.filter(f"id IS NOT NULL AND text IS NOT NULL AND label IN (0, 1) AND octet_length(text) <= {SAMPLE_BYTES}")
-    samples = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE) for v in (0, 1)]
-    sample = samples[0].union(samples[1]).orderBy(F.xxhash64("id", "label"), "id", "text").limit(2 * SAMPLE)
-    found = sample.select("text", "label").coalesce(1).mapInArrow(_train, "weights binary, bounds array<double>, levels array<double>").collect()
-    if not found:
+    model = learn(labelled, id_column, text_column, label_column)
+    if model is None:
         return rows.select("id", F.lit(0.5).alias("score")).withColumnRenamed("id", id_column)
-    model = found[0]
-    scored = rows.mapInArrow(_score(bytes(model["weights"]), model["bounds"], model["levels"]), f"id {kind}, score double")
-    return scored.withColumnRenamed("id", id_column)
+    return rows.mapInArrow(_score(model), f"id {kind}, score double").withColumnRenamed("id", id_column)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, whose toxicity score is below ``least``; ``labels`` (doc_id, toxic) of them teach."""
+    model = learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return docs if model is None else keep_texts(docs, "text", lambda data, offsets: model.scores(data, offsets) < least)
+
+
+def taught_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 4) != 2).select("doc_id", "toxic")
 
 
-def op9_toxicity(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 4) != 2).select("doc_id", "toxic")
-    scored = toxicity_scores(texts if docs is None else docs, texts.select("doc_id", "text").join(labels, "doc_id"))
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scored = toxicity_scores(docs, docs.select("doc_id", "text").join(taught_labels(spark, sf_dir), "doc_id"))
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
