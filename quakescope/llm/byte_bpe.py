@@ -179,8 +179,8 @@ class ByteBpe:
         codes = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
         at = boundaries(codes, np.searchsorted(lead, offsets))
         edge = np.r_[lead[at], len(data)]
-        places, find = edge.tolist(), self.store.lookup()
-        numbers = [find(raw[a:b]) for a, b in zip(places, places[1:])]
+        places, known = edge.tolist(), self.store.lookup()
+        numbers = [known[raw[a:b]] for a, b in zip(places, places[1:])]
         ids, sizes = self.store.gather(np.array(numbers, np.int64))
         return ids, sums(sizes, np.diff(np.searchsorted(edge[:-1], offsets)))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import binary_column, store
-from .word_ids import texts_of, word_ids
+from .word_ids import word_ids
 
 #: Least run of tokens a source serves; binary digits of a quantum's fraction; queues (further sources share the last).
 SERVED, FRACTION, QUEUES = 256, 16, 1000
@@ -92,7 +92,7 @@ def _encode(path: str, last: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 some = batch.slice(lo, ROWS)
-                ids, counts = encoder.encode(texts_of(some.column("text")), last)
+                ids, counts = encoder.encode(some.column("text"), last)
                 begin = []
                 for source, n in zip(some.column("source").to_pylist(), counts.tolist()):
                     begin.append(queued.get(source, 0))

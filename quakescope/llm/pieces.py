@@ -7,7 +7,7 @@ from collections.abc import Callable, Hashable, Iterable
 import numpy as np
 
 #: Distinct pieces kept by a worker process; a full store is emptied.
-CACHE = 300_000
+CACHE = 800_000
 
 
 class _Numbers(dict):
@@ -32,11 +32,11 @@ class PieceStore:
         self.numbers = _Numbers()
         self.first, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def lookup(self) -> Callable[[Hashable], int]:
-        """The function piece -> number, for the calls until the next ``gather``."""
+    def lookup(self) -> _Numbers:
+        """piece -> number, for the look-ups until the next ``gather``."""
         if len(self.numbers) > CACHE:
             self._clear()
-        return self.numbers.__getitem__
+        return self.numbers
 
     def gather(self, numbers: np.ndarray, last: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the numbered pieces end to end, and each piece's count; number -1 is the one id ``last``."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import binary_column, scratch_path, store, width
-from .word_ids import texts_of, word_ids
+from .word_ids import word_ids
 
 _NO_ID = np.iinfo(np.int64).min
 #: Texts encoded and documents returned at once.
@@ -47,7 +47,7 @@ def _write(folder: str, path: str, last: int, vocabulary: int):
             for batch in batches:
                 for lo in range(0, batch.num_rows, ROWS):
                     some = batch.slice(lo, ROWS)
-                    ids, counts = encoder.encode(texts_of(some.column("text")), last)
+                    ids, counts = encoder.encode(some.column("text"), last)
                     out.write(ids.astype(kind).tobytes())
                     sizes.append(counts)
                     keys += [_NO_ID if k is None else k for k in some.column("id").to_pylist()]

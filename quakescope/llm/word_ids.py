@@ -1,9 +1,12 @@
-"""Ids of whole texts by a ``tokenizers`` file, each distinct blank-free piece encoded once.
+"""Ids of whole texts by a ``tokenizers`` file, each distinct piece of a task encoded once.
 
 Vocabularies that drop white space encode a text as the joined ids of its
-blank-separated pieces (a blank never takes part in a normalisation, a split
-or a merge), so the library sees every distinct piece of a task once and the
-rest are look-ups.
+blank-separated pieces: a blank never takes part in a normalisation, a split
+or a merge.  Nor does the place between an ASCII letter and the full stop or
+comma that ends a piece, and lower-casing A-Z first changes nothing.  So the
+library sees every distinct piece once; the rest are look-ups.  New pieces of
+letters only go to the library as one text of many words: each is one
+pre-token, whose last id is the one that ends a word.
 """
 
 from __future__ import annotations
@@ -14,35 +17,65 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from .common import find_words, lower_ascii, text_bytes
 from .pieces import PieceStore, sums
 
+_LETTER = np.zeros(256, bool)
+_LETTER[ord("a") : ord("z") + 1] = True
+_POINT = np.zeros(256, bool)
+_POINT[[ord("."), ord(",")]] = True
+
 
 class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.store = PieceStore(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.store = PieceStore(self.learn)
+
+    def learn(self, pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        plain = [i for i, t in enumerate(texts) if t.isalpha() and t.lower().isalpha()]
+        found: list = [None] * len(texts)
+        for lo in range(0, len(plain), 1000):
+            some = plain[lo : lo + 1000]
+            ids = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in some])], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                for i, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                    found[i] = ids[a:b]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, one in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            found[i] = one.ids
+        return found
 
-    def encode(self, texts: list[str], last: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end, ``last`` behind each text's, and each text's count."""
-        find, numbers, pieces = self.store.lookup(), [], []
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ") if text else []
-            numbers.extend(map(find, parts))
-            numbers.append(-1)
-            pieces.append(len(parts) + 1)
-        ids, sizes = self.store.gather(np.array(numbers, np.int64), last)
-        return ids, sums(sizes, np.array(pieces, np.int64))
+    def encode(self, texts: pa.Array, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, ``last`` behind each text's, and each text's count; null counts as empty."""
+        data, offsets = text_bytes(texts)
+        data = lower_ascii(data)
+        starts, ends, first = find_words(data, offsets)
+        point = np.zeros(len(ends), bool)
+        long = np.flatnonzero(ends - starts > 1)
+        point[long] = _POINT[data[ends[long] - 1]] & _LETTER[data[ends[long] - 2]]
+        # pieces: a word, or a word and its point; -1 ends a text
+        many = 1 + point
+        words = np.repeat(np.arange(len(starts)), many)
+        second = np.r_[False, words[1:] == words[:-1]] if len(words) else point
+        begin = np.where(second, ends[words] - 1, starts[words]).tolist()
+        end = np.where(second | ~point[words], ends[words], ends[words] - 1).tolist()
+        raw, known = data.tobytes(), self.store.lookup()
+        numbers = np.array([known[raw[a:b]] for a, b in zip(begin, end)], np.int64)
+        pieces = np.diff(np.r_[0, np.cumsum(many)][first])
+        ids, sizes = self.store.gather(np.insert(numbers, np.cumsum(pieces), -1), last)
+        return ids, sums(sizes, pieces + 1)
 
 
 @functools.lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
     """One encoder for each vocabulary and worker process."""
     return WordIds(path)
-
-
-def texts_of(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
