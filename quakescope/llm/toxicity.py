@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 
 from . import gru
 from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, word_hashes
+from .pieces import ranges
 from .quality import isotonic
 
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 8, 8
-WORDS, SPELLED, GRAMS, SCALE = 1 << 15, 1 << 16, (3, 4, 5), np.float32(0.25)
+WORDS, SPELLED, GRAMS, SCALE = 1 << 15, 1 << 17, (3, 4, 5), np.float32(0.25)
 #: Bounds of the training sample: texts of each label, and bytes of a text in it (longer texts are only scored).
 SAMPLE, SAMPLE_BYTES = 2500, 20_000
 BATCH, STEPS, SEED = 1024, 240, 5
+#: Texts of the sample that a word or run must be in to have a vector; others would only name their texts.
+SEEN = 3
 #: Share of label 1 that the calibration assumes; every fifth text of the sample is kept for it.
 PRIOR, KEPT = 0.15, 5
 _ROWS = 8192
@@ -139,6 +142,22 @@ class Network:
         }
 
 
+def _texts_with(parts: list[Text], name: str) -> np.ndarray:
+    """Number of texts that hold each hashed word or run."""
+    out = np.zeros(WORDS if name == "word" else SPELLED, np.int64)
+    for text in parts:
+        pairs = np.unique(text.doc[:, None] * len(text.words) + text.windows)
+        doc, word = pairs // len(text.words), pairs % len(text.words)
+        keys = text.words[word]
+        if name == "gram":
+            order = np.argsort(text.gram_of, kind="stable")
+            many = np.bincount(text.gram_of, minlength=len(text.words))
+            keys = text.grams[order][ranges((np.cumsum(many) - many)[word], many[word])]
+            doc = np.repeat(doc, many[word])
+        out += np.bincount(np.unique(doc * len(out) + keys) % len(out), minlength=len(out))
+    return out
+
+
 def train(texts: pa.Array, labels: np.ndarray) -> Network:
     """Fit on whole texts and their 0/1 labels."""
     rng, net = np.random.default_rng(SEED), Network()
@@ -147,7 +166,10 @@ def train(texts: pa.Array, labels: np.ndarray) -> Network:
         kept[:] = False
     taught = np.flatnonzero(~kept)
     parts = [(lo, Text(data, offsets)) for lo, _, data, offsets in chunks(texts.take(pa.array(taught)), 1 << 19)]
-    step, passes = gru.Adam(net.w, 0.01), max(4, min(40, STEPS // max(1, len(parts))))
+    rare = {name: _texts_with([t for _, t in parts], name) < SEEN for name in ("word", "gram")}
+    for name, rows in rare.items():
+        net.w[name][rows] = 0
+    step, passes = gru.Adam(net.w, 0.01), max(4, STEPS // max(1, len(parts)))
     for turn in range(passes):
         for k in rng.permutation(len(parts)):
             lo, text = parts[k]
@@ -157,7 +179,10 @@ def train(texts: pa.Array, labels: np.ndarray) -> Network:
             else:  # each text's worst window
                 order = np.lexsort((-net.logits(text), text.doc))
                 pick = order[np.searchsorted(text.doc[order], np.unique(text.doc))]
-            step.step(net.w, net.gradients(text, net.inputs(text), text.windows[pick], mark[pick]))
+            grads = net.gradients(text, net.inputs(text), text.windows[pick], mark[pick])
+            for name, rows in rare.items():
+                grads[name][rows] = 0
+            step.step(net.w, grads)
         step.rate = 0.01 * (1 - turn / passes) + 0.001
     judged = np.flatnonzero(kept) if kept.any() else taught
     scores = np.concatenate([net.worst(Text(data, offsets), hi - lo) for lo, hi, data, offsets in chunks(texts.take(pa.array(judged)), 1 << 19)])
