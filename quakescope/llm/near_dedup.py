@@ -16,10 +16,16 @@ lower one, so a long text costs one visit a shingle.
 3. Every member of a bucket is paired with the bucket's least id; pairs whose
    joint likelihood estimate from the two sketches and the two known set sizes
    is clearly too low go, the others are confirmed on their full sets.
-4. Members that end outside the component of their bucket's least id are
-   paired with all members of other components, confirmed in the same way.
-   So every pair of a bucket is either confirmed, refuted or already in one
-   component, and a group of n copies costs n pairs instead of n^2.
+4. Members that end outside the component of their bucket's least id must be
+   held against members of other components.  Shingles that at most RARE
+   documents of such buckets have are handled by an inverted index: documents
+   of different components that share one are a pair.  All other pairs share
+   only common shingles, so with s common and u rare shingles in a document,
+   min(s) / (u + u + max(s)) bounds their similarity; documents that cannot
+   reach the threshold even against a subset of themselves go first, pairs
+   below it next, and what remains is confirmed as in step 3.
+   So every pair of a bucket is confirmed, refuted or already in one
+   component, and a group of n copies costs about n pairs instead of n^2.
 """
 
 from __future__ import annotations
@@ -38,6 +44,8 @@ REGISTERS, BAND, BASE, RATE, TOP = 256, 6, 1.001, 20.0, 65_534
 BANDS = REGISTERS // BAND
 #: Pairs go unverified when their estimate is this many standard errors too low.
 MARGIN = 5.0
+#: Documents that a rare shingle may have; a bound on the lists of the inverted index, not on partners.
+RARE = 16
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +145,14 @@ def _sets(size: int):
     return run
 
 
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = batch.column("members").to_pylist()
+        counts = np.array([len(x) // 8 for x in packed], np.int64)
+        ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(packed), np.int64)), ids], names=["shingle", "id"])
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
@@ -189,6 +205,38 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int,
     return store(full.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), f"a {id_type}, b {id_type}"), name)
 
 
+def _rest(members: DataFrame, label: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, id_type: str) -> DataFrame:
+    """Pairs (a, b) of different components that are in a bucket and may be links, after the pairs with the buckets' least ids."""
+    placed = lambda t, key, out: t.join(label.select(F.col("node").alias(key), F.col("component").alias(out)), key, "left").withColumn(out, F.coalesce(out, key))
+    known = store(placed(placed(members, "id", "group"), "head", "head_group"), "known")
+    open_ = known.join(known.filter("group <> head_group").select("band").distinct(), "band", "left_semi")
+    group = open_.select("id", "group").distinct()
+
+    # lists of the documents of each rare shingle, and how many shingles have the list
+    postings = sets.join(group, "id", "left_semi").select("id", "members").mapInArrow(_postings, f"shingle long, id {id_type}")
+    rare = postings.groupBy("shingle").count().filter(F.col("count") <= RARE).select("shingle")
+    lists = postings.join(rare, "shingle").groupBy("shingle").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    lists = store(lists.groupBy("ids").agg(F.count("*").alias("times")), "lists")
+    tail = "slice(ids, i + 2, size(ids))"
+    pairs = lists.filter(F.size("ids") > 1).select(F.explode(F.expr(f"flatten(transform(ids, (a, i) -> transform({tail}, b -> struct(a AS a, b AS b))))")).alias("p"))
+    pairs = pairs.select("p.a", "p.b").distinct()
+    side = lambda c: group.select(F.col("id").alias(c), F.col("group").alias(f"group_{c}"))
+    indexed = pairs.join(side("a"), "a").join(side("b"), "b").filter("group_a <> group_b").select("a", "b")
+
+    # pairs that share common shingles only: u rare ones, s others
+    unique = lists.select(F.explode("ids").alias("id"), "times").groupBy("id").agg(F.sum("times").alias("u"))
+    shape = reps.select("id", "n").join(unique, "id", "left").select("id", F.coalesce("u", F.lit(0)).alias("u"), (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
+    banded = reps.select("id", "sketch").join(group, "id", "left_semi").mapInArrow(_bands, f"id {id_type}, bands array<bigint>")
+    able = open_.join(shape.filter(f"{percent} * (u + s) <= 100 * s").join(banded, "id"), "id")
+    sides = ("id", "group", "u", "s", "bands")
+    left = able.filter("group <> head_group").select(F.col("band").alias("left_band"), *(F.col(c).alias(f"{c}_a") for c in sides))
+    other = able.select("band", *(F.col(c).alias(f"{c}_b") for c in sides), (F.col("group") == F.col("head_group")).alias("home_b"))
+    bound = f"100 * least(s_a, s_b) >= {percent} * (u_a + u_b + greatest(s_a, s_b))"
+    once = "left_band = element_at(filter(zip_with(bands_a, bands_b, (x, y) -> if(x = y, x, null)), x -> x IS NOT NULL), 1)"  # in the first common bucket
+    common = left.join(other, F.expr(f"left_band = band AND group_a <> group_b AND (home_b OR id_a < id_b) AND {bound} AND {once}"))
+    return indexed.union(common.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable over links), kept (id is that least id).
 
@@ -221,12 +269,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stars = members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(stars, sketches, sets, percent, kind, "stars")
     label = components(links)
-    placed = lambda t, key, out: t.join(label.select(F.col("node").alias(key), F.col("component").alias(out)), key, "left").withColumn(out, F.coalesce(out, key))
-    known = placed(placed(members, "id", "group"), "head", "head_group")
-    left = known.filter("id <> head AND group <> head_group").select("band", F.col("id").alias("a"), F.col("group").alias("group_a"))
-    other = known.filter("id <> head").select("band", F.col("id").alias("b"), F.col("group").alias("group_b"), (F.col("group") == F.col("head_group")).alias("b_home"))
-    cross = left.join(other, "band").filter("group_a <> group_b AND (b_home OR a < b)").select("a", "b").distinct()
-    more = _links(cross, sketches, sets, percent, kind, "rest")
+    more = _links(_rest(members, label, reps, sets, percent, kind), sketches, sets, percent, kind, "rest")
     final = components(links.union(more)) if more.take(1) else label
 
     named = classes.select(*same, "rep").join(final.select(F.col("node").alias("rep"), F.col("component").alias("linked")), "rep", "left")
