@@ -53,7 +53,6 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("checkpoint")
     s.add_argument("--source", default=None, help="JSON-lines folder of payloads")
     s.add_argument("--bootstrap-servers", default=None)
-    s.add_argument("--watermark", default="1 day")
     s.add_argument("--follow", action="store_true",
                    help="keep running on new input (10 s micro-batches) instead of draining")
 
@@ -77,11 +76,11 @@ def main(argv: list[str] | None = None) -> int:
                               with_zones=not args.no_zones, report_path=args.report)
         print(json.dumps(paths))
     else:
-        from quakescope.streaming.clean_stream import clean_stream, read_messages, start_parquet_sink
+        from quakescope.streaming.clean_stream import read_messages, start_clean_sink
 
         messages = read_messages(spark, args.source, args.bootstrap_servers)
-        start_parquet_sink(clean_stream(messages, args.watermark), args.out, args.checkpoint,
-                           available_now=not args.follow).awaitTermination()
+        start_clean_sink(messages, args.out, args.checkpoint,
+                         available_now=not args.follow).awaitTermination()
         print(json.dumps({"out": args.out}))
     spark.stop()
     return 0

@@ -2,11 +2,15 @@
 
 The batch job's cleaning rule applied to the producer's feed with Structured
 Streaming.  Source: the Kafka topic (connector on the classpath) or the JSON
-lines the producer writes when no broker is configured.  Dedup on
-``(time, latitude, longitude)`` keeps state only within the watermark
-(``dropDuplicatesWithinWatermark``), so state stays bounded on an unbounded
-feed; the sink's checkpoint lives in the shared checkpoint folder, so a
-restarted query resumes where it stopped.
+lines the producer writes when no broker is configured.
+
+Each micro-batch is cleaned and deduplicated on its own (the batch ``dedup``:
+an aggregate that folds a hot key map-side, no streaming state) and written to
+a folder named after the batch, with overwrite, so a batch that runs again
+after a failure leaves the same files.  ``read_stream`` folds the batches'
+survivors with the same total order.  The least of the batches' least rows is
+the least row, so the table does not depend on how the feed was cut into
+micro-batches, how late rows came, or on restarts; no row is dropped as late.
 
 A payload carries no ``id`` and, by default, measures filled with 0.0, so a
 missing magnitude or rms reads as 0.0 here (produce with ``fill=None`` to keep
@@ -19,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quakescope.functions.classes import depth_class, mag_class_left
 from quakescope.functions.grid import snap_away
 from quakescope.functions.stats import exact_mean
-from quakescope.functions.timeparts import parse_time, utc_wall_time
-from quakescope.operators.clean import cleaning_predicate
+from quakescope.functions.timeparts import parse_time
+from quakescope.operators.clean import cleaning_predicate, dedup, with_batch_columns
 from quakescope.operators.payload import decode_payload
-from quakescope.schema import DEDUP_KEY, TOPIC
+from quakescope.schema import TOPIC
+
+#: Folder of a micro-batch; a partition column of the written table.
+BATCH = "batch_id"
 
 
 def read_messages(spark: SparkSession, path: str | None = None,
@@ -43,31 +49,40 @@ def read_messages(spark: SparkSession, path: str | None = None,
     return reader.load(path)
 
 
-def clean_stream(messages: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Decoded payloads that pass the cleaning rule, one per key within the watermark.
+def clean_messages(messages: DataFrame) -> DataFrame:
+    """Decoded payloads that pass the cleaning rule (rows without a readable time included, as in the batch job)."""
+    return decode_payload(messages).filter(cleaning_predicate())
 
-    Rows whose time does not parse have no event time; they cannot be placed
-    against the watermark and are left out of the stream.
-    """
-    events = decode_payload(messages).withColumn("event_time", parse_time("time"))
-    kept = events.filter(cleaning_predicate() & F.col("event_time").isNotNull())
-    deduped = (kept.withWatermark("event_time", watermark)
-               .dropDuplicatesWithinWatermark(list(DEDUP_KEY)))
-    t = utc_wall_time("time")
-    return deduped.withColumns({
-        "year": F.year(t), "month": F.month(t), "hour": F.hour(t),
-        "mag_category": mag_class_left("mag"), "depth_category": depth_class("depth"),
-    })
+
+def fold(rows: DataFrame) -> DataFrame:
+    """One row per (time, latitude, longitude); payloads have no id, so the measures decide."""
+    return dedup(rows.withColumn("id", F.lit(None).cast("string")), prunable=False).drop("id")
+
+
+def start_clean_sink(messages: DataFrame, path: str, checkpoint: str,
+                     available_now: bool = True) -> StreamingQuery:
+    """Clean and fold every micro-batch into ``path``; ``available_now`` drains what is there and stops."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fold(clean_messages(batch)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+
+    out = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    out = out.trigger(availableNow=True) if available_now else out.trigger(processingTime="10 seconds")
+    return out.start()
+
+
+def read_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The cleaned feed so far: the batches' survivors folded, with the batch job's derived columns."""
+    return with_batch_columns(fold(spark.read.parquet(path).drop(BATCH)))
 
 
 def hourly_cells(clean: DataFrame, window: str = "1 hour") -> DataFrame:
-    """Events, mean and max magnitude per event-time window and 1° cell (append mode).
+    """Events, mean and max magnitude per event-time window and 1° cell, every window.
 
-    Uses the watermark of ``clean_stream``: a window is emitted once the
-    watermark passes its end, and its state is dropped then.  Window bounds
-    are given on the UTC clock (timestamps without zone).
+    Rows without a readable time are in no window.  Window bounds are given
+    on the UTC clock (timestamps without zone).
     """
-    return (clean
+    timed = clean.withColumn("event_time", parse_time("time")).filter(F.col("event_time").isNotNull())
+    return (timed
             .groupBy(F.window("event_time", window).alias("w"),
                      snap_away("latitude").alias("lat_grid"), snap_away("longitude").alias("lon_grid"))
             .agg(F.count(F.lit(1)).alias("event_count"), exact_mean("mag").alias("avg_mag"),
@@ -75,12 +90,3 @@ def hourly_cells(clean: DataFrame, window: str = "1 hour") -> DataFrame:
             .select(F.convert_timezone(None, F.lit("UTC"), F.col("w.start")).alias("window_start"),
                     F.convert_timezone(None, F.lit("UTC"), F.col("w.end")).alias("window_end"),
                     "lat_grid", "lon_grid", "event_count", "avg_mag", "max_mag"))
-
-
-def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str,
-                       available_now: bool = True, output_mode: str = "append") -> StreamingQuery:
-    """Write the stream as Parquet; ``available_now`` drains what is there and stops."""
-    w = (stream.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode(output_mode))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()

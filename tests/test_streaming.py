@@ -1,5 +1,6 @@
-"""Structured Streaming consumer: same keys as batch, restart resumes from its checkpoint."""
+"""Structured Streaming consumer: the same table however the feed is cut, after a restart, late rows included."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -8,30 +9,54 @@ from quakescope.operators.payload import decode_payload, event_payload
 from quakescope.session import scratch_path
 from quakescope.sources.fixture import quakes
 from quakescope.sources.sinks import publish
-from quakescope.streaming.clean_stream import clean_stream, hourly_cells, read_messages, start_parquet_sink
-
-
-def test_stream_matches_batch_and_resumes(spark):
-    topic = scratch_path(spark, "topic")
-    publish(event_payload(quakes(spark, SF_SMALL)), path=topic)
-    out, ck = scratch_path(spark, "s-out"), scratch_path(spark, "s-ck")
-    start_parquet_sink(clean_stream(read_messages(spark, topic)), out, ck).awaitTermination()
-    got = spark.read.parquet(out)
-    batch = (decode_payload(spark.read.text(topic))
-             .filter(C.cleaning_predicate() & F.try_to_timestamp("time").isNotNull())
-             .select("time", "latitude", "longitude").distinct())
-    assert got.count() == batch.count()
-    assert got.select("time", "latitude", "longitude").distinct().count() == got.count()
-    # second run on the same checkpoint: nothing new to process
-    start_parquet_sink(clean_stream(read_messages(spark, topic)), out, ck).awaitTermination()
-    assert spark.read.parquet(out).count() == got.count()
-
-
-def test_hourly_cells(spark):
-    topic = scratch_path(spark, "topic")
-    publish(event_payload(quakes(spark, SF_SMALL)), path=topic)
-    out, ck = scratch_path(spark, "c-out"), scratch_path(spark, "c-ck")
-    start_parquet_sink(hourly_cells(clean_stream(read_messages(spark, topic))), out, ck).awaitTermination()
-    cells = spark.read.parquet(out)
-    assert cells.count() > 0
+from quakescope.streaming.clean_stream import fold, hourly_cells, read_messages, read_stream, start_clean_sink
+
+
+@pytest.fixture(scope="module")
+def topic(spark):
+    path = scratch_path(spark, "topic")
+    raw = quakes(spark, SF_SMALL)
+    odd = raw.limit(3).withColumn("time", F.lit("not a time"))  # unreadable times are kept by the rule
+    again = raw.limit(40).withColumn("mag", F.col("mag") + 1)   # later copies with other measures
+    publish(event_payload(raw.unionByName(odd).unionByName(again).repartition(8)), path=path)
+    return path
+
+
+def drain(spark, topic, per_trigger, out, checkpoint):
+    start_clean_sink(read_messages(spark, topic, max_files_per_trigger=per_trigger), out, checkpoint).awaitTermination()
+    return sorted(map(str, read_stream(spark, out).collect()))
+
+
+def test_result_does_not_depend_on_micro_batches(spark, topic):
+    runs = []
+    for per_trigger in (None, 3, 1):
+        runs.append(drain(spark, topic, per_trigger, scratch_path(spark, "out"), scratch_path(spark, "ck")))
+    assert runs[0] == runs[1] == runs[2]
+    batch = decode_payload(spark.read.text(topic)).filter(C.cleaning_predicate())
+    assert len(runs[0]) == batch.select("time", "latitude", "longitude").distinct().count()
+    assert runs[0] == sorted(map(str, C.with_batch_columns(fold(batch)).collect()))
+
+
+def test_restart_and_new_files(spark, topic):
+    feed, out, ck = (scratch_path(spark, n) for n in ("feed", "out", "ck"))
+    files = spark.read.text(topic).repartition(4)
+    files.write.text(feed)
+    first = drain(spark, feed, 1, out, ck)
+    assert drain(spark, feed, 1, out, ck) == first
+    files.limit(50).write.mode("append").text(feed)  # the same events again, later
+    assert drain(spark, feed, 1, out, ck) == first
+
+
+def test_batch_written_twice_is_one_batch(spark, topic):
+    out = scratch_path(spark, "out")
+    first = drain(spark, topic, None, out, scratch_path(spark, "ck"))
+    assert drain(spark, topic, None, out, scratch_path(spark, "ck")) == first
+
+
+def test_hourly_cells_hold_every_event(spark, topic):
+    out = scratch_path(spark, "out")
+    drain(spark, topic, 2, out, scratch_path(spark, "ck"))
+    rows = read_stream(spark, out)
+    cells = hourly_cells(rows)
+    assert cells.agg(F.sum("event_count")).first()[0] == rows.filter(F.try_to_timestamp("time").isNotNull()).count()
     assert cells.filter(F.col("window_end") <= F.col("window_start")).count() == 0
