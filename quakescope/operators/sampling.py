@@ -7,31 +7,30 @@ reproducible in any SQL engine with ``md5``.
 A plain ``orderBy(h).limit(n)`` keeps ``n`` rows per input partition and
 merges all of them in one task, which grows with the partition count.  Here:
 
-1. One aggregate counts rows per hash prefix (5 hex digits, at most 2**20
-   groups; the running count over those groups is a bounded single-partition
-   window).  The prefix where the running count reaches ``n`` is the
-   *boundary*; fewer than ``n`` rows lie below it.
-2. While the boundary prefix holds more than ``BOUNDARY_ROWS`` rows, it is
-   refined with the next 5 hex digits, counting only inside it.
-3. Rows below the boundary are kept by a plain filter (no merge at all); the
-   ``m`` rows still needed come from the boundary prefix by an ordered take
-   over at most ``BOUNDARY_ROWS`` rows.
-4. If one full hash holds more than ``BOUNDARY_ROWS`` rows (one key repeated
-   on a third of the table), those rows tie on the rank, so any ``m`` of them
-   are right.  They are taken by per-partition quotas (row counts per input
-   partition, a bounded table) instead of a global limit.
+1. One aggregate counts rows per bucket (the first 3 hex digits: 4,096, so
+   the counts fold map-side).  The bucket in which the running count reaches
+   ``n`` is the *boundary*; fewer than ``n`` rows lie below it.
+2. The rows up to the boundary bucket (about ``n`` plus a 4,096th of the
+   table) are written to the shared folder; what follows reads only these.
+3. The boundary bucket is refined by 3 more digits at a time, always the same
+   way, until it holds exactly the rows still needed or the rank has no more
+   digits.  Rows of one key tie on the first 32 digits; the next 32 are the
+   md5 of the whole row, so they are told apart by content, not by position.
+4. Rows below the boundary are kept by a filter; what is left in the boundary
+   are then identical rows (or exactly the rows needed), of which a limit
+   takes the missing number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakescope.functions.labels import cluster_color, cluster_label
+from quakescope.session import scratch_path
 
-PREFIX_STEP = 5          # hex digits per refinement level (≤ 2**20 groups)
-HASH_DIGITS = 32
-BOUNDARY_ROWS = 1 << 20  # largest boundary set ordered in one task
+STEP = 3             # hex digits per refinement: 4,096 buckets
+KEY_DIGITS = 32      # of the key's hash; as many of the row's follow
 
 
 def sample_hash(key: str | Column, seed: int) -> Column:
@@ -39,74 +38,67 @@ def sample_hash(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f"#{seed}")))
 
 
-def _boundary(hashed: DataFrame, inside: Column, digits: int, need: int):
-    """(prefix, rows below it inside ``inside``, rows in it) at ``digits`` hex digits."""
-    pref = F.substring("_h", 1, digits)
-    counts = hashed.filter(inside).groupBy(pref.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    running = counts.withColumn(
-        "_cum", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)))
-    row = (running.filter(F.col("_cum") >= need).orderBy("_p").limit(1)
-           .select("_p", (F.col("_cum") - F.col("_n")).alias("_below"), "_n").first())
-    return None if row is None else (row["_p"], row["_below"], row["_n"])
-
-
-def _take_tied(rows: DataFrame, m: int) -> DataFrame:
-    """Any ``m`` rows of a set whose rank is fully tied, without a global merge."""
-    tagged = rows.withColumns({"_pid": F.spark_partition_id(),
-                               "_pos": F.monotonically_increasing_id()})
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    quotas = (per_part
-              .withColumn("_before", F.coalesce(F.sum("_c").over(
-                  Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_q", F.greatest(F.lit(0), F.least(F.col("_c"), F.lit(m) - F.col("_before"))))
-              .filter(F.col("_q") > 0).select("_pid", "_p0", "_q"))
-    # one row per input partition: a table bounded by the partition count
-    return (tagged.join(F.broadcast(quotas), "_pid")
-            .filter(F.col("_pos") - F.col("_p0") < F.col("_q"))
-            .drop("_pid", "_pos", "_p0", "_q"))
+def _prefix(df: DataFrame, key: str, seed: int, digits: int) -> Column:
+    """The first ``digits`` hex digits of a row's rank."""
+    head = sample_hash(key, seed)
+    if digits <= KEY_DIGITS:
+        return F.substring(head, 1, digits)
+    whole = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])))
+    return F.concat(head, F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.substring(whole, 1, digits - KEY_DIGITS))
+
+
+def _boundary(rows: DataFrame, prefix: Column, need: int) -> tuple[str, int, int] | None:
+    """(bucket in which the running count reaches ``need``, rows below it, rows in it)."""
+    counts = rows.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()  # 4,096 at most
+    below = 0
+    for r in counts:
+        if below + r["n"] >= need:
+            return r["p"], below, r["n"]
+        below += r["n"]
+    return None
 
 
 def bottom_k(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
-    """The ``n`` rows with the smallest ``(hash, key)`` (all rows when fewer)."""
+    """The ``n`` rows with the smallest ``(hash, key)`` (all rows when fewer).
+
+    Two passes over the input: one counts, one writes the candidates.
+    """
     if n <= 0:
         return df.limit(0)
-    hashed = df.withColumn("_h", sample_hash(key, seed))
-    inside, below, digits = F.lit(True), 0, PREFIX_STEP
-    cut = _boundary(hashed, inside, digits, n)
+    cut = _boundary(df, _prefix(df, key, seed, STEP), n)
     if cut is None:                      # fewer than n rows: all of them
         return df
-    prefix, b, size = cut
-    below += b
-    while size > BOUNDARY_ROWS and digits < HASH_DIGITS:
-        inside = F.substring("_h", 1, digits) == F.lit(prefix)
-        digits = min(digits + PREFIX_STEP, HASH_DIGITS)
-        prefix, b, size = _boundary(hashed, inside, digits, n - below)
-        below += b
-    pref = F.substring("_h", 1, digits)
-    lower = hashed.filter(pref < F.lit(prefix))
-    edge = hashed.filter(pref == F.lit(prefix))
-    m = n - below
-    if size <= BOUNDARY_ROWS:
-        taken = edge.orderBy("_h", key).limit(m)
-    else:
-        taken = _take_tied(edge, m)
-    return lower.unionByName(taken).drop("_h")
-
-
-def heatmap_sample(df: DataFrame, n: int = 30000, seed: int = 42) -> DataFrame:
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "sample")
+    bucket, below, size = cut
+    df.filter(_prefix(df, key, seed, STEP) <= F.lit(bucket)).write.parquet(path)
+    near = spark.read.schema(df.schema).parquet(path)
+    sure, edge, digits = near.filter(_prefix(df, key, seed, STEP) < F.lit(bucket)), near, STEP
+    edge = near.filter(_prefix(df, key, seed, STEP) == F.lit(bucket))
+    need = n - below
+    while size > need and digits < 2 * KEY_DIGITS:
+        digits = min(digits + STEP, 2 * KEY_DIGITS) if digits >= KEY_DIGITS else min(digits + STEP, KEY_DIGITS)
+        prefix = _prefix(df, key, seed, digits)
+        bucket, below, size = _boundary(edge, prefix, need)
+        sure = sure.unionByName(edge.filter(prefix < F.lit(bucket)))
+        edge = edge.filter(prefix == F.lit(bucket))
+        need -= below
+    return sure.unionByName(edge.limit(need) if size > need else edge)
+
+
+def heatmap_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return bottom_k(df, n, seed).select("latitude", "longitude", "mag")
 
 
-def scatter_map_sample(df: DataFrame, n: int = 20000, seed: int = 1) -> DataFrame:
+def scatter_map_sample(df: DataFrame, n: int, seed: int = 1) -> DataFrame:
     cols = ["latitude", "longitude", "mag", "depth"] + (["place"] if "place" in df.columns else [])
     return bottom_k(df, n, seed).select(*cols)
 
 
-def depth_mag_sample(df: DataFrame, n: int = 10000, seed: int = 42) -> DataFrame:
+def depth_mag_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return bottom_k(df, n, seed).select("depth", "mag", "mag_category")
 
 
-def cluster_map_sample(clustered: DataFrame, n: int = 30000, seed: int = 42) -> DataFrame:
+def cluster_map_sample(clustered: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Sampled points of the zone map with their zone label and colour."""
     return (bottom_k(clustered, n, seed)
             .select("latitude", "longitude", cluster_label("cluster").alias("cluster_label"),

@@ -42,10 +42,9 @@ def test_bottom_k_empty(spark, display):
 def test_bottom_k_refines_and_handles_one_hot_key(spark, display, monkeypatch):
     import quakescope.operators.sampling as samp
 
-    monkeypatch.setattr(samp, "BOUNDARY_ROWS", 40)
-    monkeypatch.setattr(samp, "PREFIX_STEP", 1)
+    monkeypatch.setattr(samp, "STEP", 1)
     ids = [r["id"] for r in display.select("id").collect()]
-    # refinement path: small boundary budget, distinct ids
+    # refinement path: one digit at a time, distinct ids
     for n in (10, 300):
         got = [r["id"] for r in samp.bottom_k(display, n, 42).select("id").collect()]
         assert sorted(got) == sorted(brute(ids, n, 42))
@@ -67,3 +66,11 @@ def test_bottom_k_refines_and_handles_one_hot_key(spark, display, monkeypatch):
     if len(below) < n:
         assert set(below) <= set(got_ids)
         assert got_ids.count("HOT") == min(n - len(below), sk_ids.count("HOT"))
+
+
+def test_ties_are_broken_by_content_not_position(spark, display):
+    from pyspark.sql import functions as F
+
+    hot = display.withColumn("id", F.lit("HOT"))
+    a, b = (sorted(map(str, bottom_k(t, 37, 5).collect())) for t in (hot, hot.repartition(6)))
+    assert len(a) == 37 and a == b
