@@ -3,14 +3,14 @@
 Library functions never create or reconfigure a session; they take the
 DataFrames they are given.  ``build_session`` is for scripts, tests and the
 bench, and ``checkpoint_dir`` reads the shared folder the cluster names in
-``spark.checkpoint.dir`` (setting a scratch one only where none is set, as in
-tests).
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,24 +44,20 @@ def build_session(app_name: str = "quakescope", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster; a scratch one when unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="quakescope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    """The shared folder of the cluster (``spark.checkpoint.dir``), as the session names it.
 
+    Where none is set, a local session (tests) gets a temporary folder; any
+    other raises, since its executors would each write to a disk of their
+    own.  The session itself is never changed.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="quakescope-")
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        import uuid
 
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    local = base[len("file:"):] if base.startswith("file:") else base
-    os.makedirs(local, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh name under the shared folder for a written table (the writer makes the folder)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
