@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal type of the exact mean: 6 places (about 0.1 m in latitude, far
-# finer than any catalogue magnitude), 12 integer digits.
+# Decimal type of exact sums: 6 places, 12 integer digits.
 MEAN_DECIMAL = "decimal(18,6)"
 
 
@@ -14,15 +13,25 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def exact_mean(col: str | Column) -> Column:
-    """Mean whose value does not depend on partitioning or row order.
+def _inexact(c: Column) -> Column:
+    """Values the decimal does not hold: more than 6 places, past 10^12, infinite or NaN."""
+    return F.count_if(c.isNotNull() & ~F.coalesce(c.try_cast(MEAN_DECIMAL).cast("double") == c, F.lit(False)))
+
+
+def exact_sum(col: str | Column) -> Column:
+    """Sum over decimals where these hold every value of the group, else the plain sum.
 
-    The sum runs over ``decimal(18,6)`` (exact, so any split of the rows over
-    tasks gives the same total), and one IEEE division by the count follows.
-    A double ``avg`` may change in its last bits between runs on a cluster.
+    The decimal sum does not depend on partitioning or row order; a double
+    sum may change in its last bits between runs on a cluster.
     """
     c = _c(col)
-    return F.try_divide(F.sum(c.cast(MEAN_DECIMAL)).cast("double"), F.count(c).cast("double"))
+    return F.when(_inexact(c) == 0, F.sum(c.try_cast(MEAN_DECIMAL)).cast("double")).otherwise(F.sum(c))
+
+
+def exact_mean(col: str | Column) -> Column:
+    """``exact_sum`` by the count of the same rows."""
+    c = _c(col)
+    return F.try_divide(exact_sum(c), F.count(c).cast("double"))
 
 
 def pct_of(part: str | Column, whole: str | Column, places: int = 2) -> Column:
@@ -32,5 +41,9 @@ def pct_of(part: str | Column, whole: str | Column, places: int = 2) -> Column:
 
 
 def round_half_up(col: str | Column, places: int) -> Column:
-    """Display rounding over the decimal value (so 1.005 → 1.01 at 2 places)."""
-    return F.round(_c(col).cast("decimal(38,12)"), places).cast("double")
+    """Display rounding over the decimal value (so 1.005 → 1.01 at 2 places).
+
+    What the decimal does not hold (infinite, NaN, past 10^26) is shown as it is.
+    """
+    c = _c(col)
+    return F.coalesce(F.round(c.try_cast("decimal(38,12)"), places).cast("double"), c)

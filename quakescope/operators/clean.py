@@ -14,6 +14,8 @@ from quakescope.schema import DEDUP_KEY, FEATURES
 # The cleaning rule's constants.
 EVENT_TYPE = "earthquake"
 MAX_RMS = 2.0
+# Measures that decide between rows of one key and id, before the other columns.
+TIE_ORDER = ("mag", "depth", "rms", "type")
 # Fixed value: the dashboard's depth slider never goes past 700 km.
 DEPTH_SLIDER_CAP = 700.0
 
@@ -49,15 +51,17 @@ def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id",
     An aggregate, not a ``row_number`` window: the aggregate combines
     map-side, so a key holding a third of all rows shrinks to one row per
     input partition before the shuffle instead of landing whole in one task.
-    The order is ``(order_by is not null, order_by)``, so a null id sorts
-    first and is never skipped.
+    The order is one total order: ``(order_by is not null, order_by)``, so a
+    null id sorts first and is never skipped; then the measures in
+    ``TIE_ORDER``; then every other column.  Ids that are null or repeated
+    therefore give the same survivor in any row order.
 
     ``prunable=True`` keeps one ``min_by(column, order)`` per column: Catalyst
-    drops the ones no later operator reads, and the scan keeps only the
-    columns in use.  ``prunable=False`` takes one ``min`` over a struct of
-    the whole row (ties on the id broken by the other columns), cheaper when
-    every column is kept anyway, as when the cleaned table is written.
-    Event ids identify events, so both forms pick the same row.
+    drops the ones no later operator reads, and a report that reads only the
+    id and the measures leaves the rest of the order out of the scan too.
+    ``prunable=False`` takes one ``min`` over the struct of the whole row,
+    cheaper when every column is kept anyway, as when the cleaned table is
+    written.  Both pick the same row: it is the least of the same struct.
 
     The survivor buffers are not fixed-width, so Spark aggregates by sorting.
     Fixed-width keys (latitude, longitude) go first in the grouping: a sort
@@ -68,15 +72,15 @@ def dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEY, order_by: str = "id",
     keys = list(keys)
     types = dict(df.dtypes)
     group_keys = sorted(keys, key=lambda k: types[k] in ("string", "binary"))
-    rest = [c for c in df.columns if c not in keys and c != order_by]
+    ties = [c for c in TIE_ORDER if c in df.columns and c not in keys and c != order_by]
+    rest = [c for c in df.columns if c not in keys and c != order_by and c not in ties]
+    head = [F.col(order_by).isNotNull().alias("_k"), F.col(order_by), *[F.col(c) for c in ties]]
     if not prunable:
-        best = F.min(F.struct(F.col(order_by).isNotNull().alias("_k"), F.col(order_by),
-                              *[F.col(c) for c in rest])).alias("_best")
+        best = F.min(F.struct(*head, *[F.col(c) for c in rest])).alias("_best")
         return df.groupBy(*group_keys).agg(best).select(*keys, "_best.*").select(*df.columns)
-    # the order is computed once per row, not once per aggregate (~10% faster)
-    ordered = df.withColumn("_order", F.struct(F.col(order_by).isNotNull().alias("k"),
-                                               F.col(order_by).alias("v")))
-    aggs = [F.min("_order").getField("v").alias(order_by)]
+    # the orders are built once per row, not once per aggregate (~10% faster)
+    ordered = df.withColumns({"_first": F.struct(*head), "_order": F.struct(*head, *[F.col(c) for c in rest])})
+    aggs = [F.min("_first").getField(c).alias(c) for c in (order_by, *ties)]
     aggs += [F.min_by(F.col(c), F.col("_order")).alias(c) for c in rest]
     return ordered.groupBy(*group_keys).agg(*aggs).select(*df.columns)
 
@@ -153,13 +157,13 @@ def range_filter(df: DataFrame, mag_range: tuple[float, float] | None = None,
     return df.filter(cond)
 
 
-def filter_bounds(df: DataFrame) -> DataFrame:
-    """One row: the dashboard's slider limits and the sorted list of years."""
+def filter_bounds(df: DataFrame, depth_cap: float = DEPTH_SLIDER_CAP) -> DataFrame:
+    """One row: the dashboard's slider limits (depth up to ``depth_cap``) and the sorted list of years."""
     return df.agg(
         F.min("mag").alias("mag_min"),
         F.max("mag").alias("mag_max"),
         F.min("depth").alias("depth_min"),
-        F.least(F.max("depth"), F.lit(DEPTH_SLIDER_CAP)).alias("depth_max"),
+        F.least(F.max("depth"), F.lit(float(depth_cap))).alias("depth_max"),
         F.min("year").alias("year_min"),
         F.max("year").alias("year_max"),
         F.sort_array(F.collect_set(F.col("year"))).alias("years"),
@@ -171,30 +175,18 @@ def years(df: DataFrame) -> DataFrame:
     return df.select("year").filter(F.col("year").isNotNull()).distinct().orderBy("year")
 
 
-def default_ranges(df: DataFrame) -> tuple[tuple, tuple, tuple | None]:
-    """Slider defaults (full ranges) as plain values: one bounded aggregate row."""
-    row = df.agg(
-        F.min("mag").alias("mag_min"), F.max("mag").alias("mag_max"),
-        F.min("depth").alias("depth_min"),
-        F.least(F.max("depth"), F.lit(DEPTH_SLIDER_CAP)).alias("depth_max"),
-        F.min("year").alias("year_min"), F.max("year").alias("year_max"),
-    ).first()
-    year_range = None if row["year_min"] is None else (row["year_min"], row["year_max"])
-    return ((row["mag_min"], row["mag_max"]), (row["depth_min"], row["depth_max"]), year_range)
-
-
-def dashboard_view(display: DataFrame, mag_range=None, depth_range=None, year_range=None) -> DataFrame:
+def dashboard_view(display: DataFrame, mag_range=None, depth_range=None, year_range=None,
+                   depth_cap: float = DEPTH_SLIDER_CAP) -> DataFrame:
     """Rows the dashboard shows: ``range_filter`` with the sliders' defaults.
 
-    Defaults are the data's own limits, so they drop only depths past 700 km
-    and, once any year is known, rows with an unknown year.  An empty input
-    gives an empty view.
+    The defaults are the data's own limits, which every row meets but for two
+    things: depths past ``depth_cap`` (the slider's end, a feature of the
+    page) and, once any year is known, rows with an unknown year.  So no pass
+    over the data looks for limits; one probe for a known year remains.
     """
-    if mag_range is None or depth_range is None or year_range is None:
-        d_mag, d_depth, d_year = default_ranges(display)
-        if d_mag[0] is None:
-            return display.limit(0)
-        mag_range = mag_range or d_mag
-        depth_range = depth_range or d_depth
-        year_range = year_range or d_year
-    return range_filter(display, mag_range, depth_range, year_range)
+    out = range_filter(display, mag_range, depth_range, year_range)
+    if depth_range is None:
+        out = out.filter(F.col("depth") <= F.lit(float(depth_cap)))
+    if year_range is None and display.select("year").filter(F.col("year").isNotNull()).take(1):
+        out = out.filter(F.col("year").isNotNull())
+    return out

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quakescope.functions.classes import mag_class_six
 from quakescope.functions.grid import snap_away, snap_even
-from quakescope.functions.stats import exact_mean, pct_of, round_half_up
+from quakescope.functions.stats import exact_mean, exact_sum, pct_of, round_half_up
 from quakescope.operators.clean import cleaning_predicate, present
 from quakescope.operators.payload import record_ok
 
@@ -98,10 +98,9 @@ def density_grid(df: DataFrame, decimals: int = 1) -> DataFrame:
     """Magnitude-weighted density per 0.1° cell (heatmap feed), every cell."""
     return (df.select(snap_even("latitude", decimals).alias("lat_grid"),
                       snap_even("longitude", decimals).alias("lon_grid"),
-                      F.col("mag").cast("decimal(18,6)").alias("w"))
+                      "mag")
             .groupBy("lat_grid", "lon_grid")
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.sum("w").cast("double").alias("mag_weight")))
+            .agg(F.count(F.lit(1)).alias("event_count"), exact_sum("mag").alias("mag_weight")))
 
 
 def global_stats(df: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ A CSV whose header is reordered must not shift values between columns.  The
 reader therefore takes every column as text by its header name, renames
 capitalised aliases, checks the required columns, and casts with
 ``try_cast`` to the catalogue types, which is one projection over the scan.
+The names come from one file's header; a folder with a file whose header
+differs (other order, other names) raises instead of swapping its values.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def conform(df: DataFrame, strict: bool = False) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """CSV with a header: values bound by header name, typed to the catalogue schema."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
     return conform(raw, strict)
 
 
@@ -64,7 +66,7 @@ def read_csv_positional(spark: SparkSession, path: str) -> DataFrame:
 
 def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     """CSV as text columns with header aliases applied (for the ingestion report)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
     return require_columns(normalize_headers(raw))
 
 

@@ -23,7 +23,13 @@ KAFKA_PRODUCER_OPTIONS = {
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   mode: str = "overwrite") -> None:
-    """Parquet, all columns; ``partition_by`` (e.g. year, month) enables pruning."""
+    """Parquet, all columns; ``partition_by`` (e.g. year, month) enables pruning.
+
+    Partitioned rows are first rebalanced by those columns, so a month is
+    written by one task, or by several if it is large, and not by all.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -34,8 +40,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 PROJECTED_SEED = 0
 
 
-def projected(df: DataFrame, limit: int | None = 50000, key: str = "id") -> DataFrame:
-    """Features, classes and (if present) year/month of at most ``limit`` rows.
+def projected(df: DataFrame, limit: int | None, key: str = "id") -> DataFrame:
+    """Features, classes and (if present) year/month of at most ``limit`` rows (None: all).
 
     A file-order head has no meaning on a distributed table; the cut is the
     repeatable bottom-``limit`` by ``md5(key#0)`` (``sampling.bottom_k``),
@@ -51,7 +57,7 @@ def projected(df: DataFrame, limit: int | None = 50000, key: str = "id") -> Data
     return bottom_k(df, limit, PROJECTED_SEED, key).select(*cols)
 
 
-def write_projected_parquet(df: DataFrame, path: str, limit: int | None = 50000) -> None:
+def write_projected_parquet(df: DataFrame, path: str, limit: int | None) -> None:
     projected(df, limit).write.mode("overwrite").parquet(path)
 
 

@@ -85,6 +85,67 @@ def test_reordered_header_maps_by_name(spark, tmp_path):
         read_csv_positional(spark, str(p)).collect()
 
 
+def test_folder_with_two_header_orders_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,latitude,longitude,depth,mag,type,rms,id\n"
+                                    "2026-05-01T00:00:00.000Z,1.0,2.0,10.0,4.0,earthquake,0.1,a1\n")
+    (tmp_path / "b.csv").write_text("time,longitude,latitude,mag,depth,type,rms,id\n"
+                                    "2026-05-01T00:00:00.000Z,2.0,1.0,4.0,10.0,earthquake,0.1,b1\n")
+    from quakescope.sources.catalog import read_csv, read_csv_raw
+
+    for read in (read_csv, read_csv_raw):
+        with pytest.raises(Exception):
+            read(spark, str(tmp_path)).collect()
+        one = read(spark, str(tmp_path / "b.csv")).first()
+        assert (float(one["latitude"]), float(one["depth"])) == (1.0, 10.0)
+
+
+def test_folder_with_aliases_in_some_files_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,latitude,longitude,depth,mag\n2026-05-01T00:00:00Z,1,2,3,4\n")
+    (tmp_path / "b.csv").write_text("Time,Latitude,Longitude,Magnitude,Depth\n2026-05-01T00:00:00Z,1,2,4,3\n")
+    from quakescope.sources.catalog import read_csv
+
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("values", [
+    [float("inf"), 4.0], [float("nan"), 4.0], [1.0000004, 1.0000004], [12.12345678, -3.87654321, 0.5],
+    [3.5e13, 1.25], [1.5, 2.25, None], [None, None], [],
+])
+def test_mean_and_sum_equal_brute_force(spark, values):
+    import math
+
+    from quakescope.functions.stats import exact_mean, exact_sum, round_half_up
+    from pyspark.sql import functions as F
+
+    got = spark.createDataFrame([(v,) for v in values], "x double").agg(
+        exact_mean("x").alias("m"), exact_sum("x").alias("s"), round_half_up(F.max("x"), 3).alias("r")).first()
+    own = [v for v in values if v is not None]
+    if not own:
+        assert got["m"] is None and got["s"] is None and got["r"] is None
+    elif any(math.isnan(v) for v in own):
+        assert math.isnan(got["m"]) and math.isnan(got["s"])
+    else:
+        assert got["m"] == pytest.approx(sum(own) / len(own), rel=1e-12)
+        assert got["s"] == pytest.approx(sum(own), rel=1e-12)
+        assert got["r"] == pytest.approx(max(own), abs=1e-3)
+
+
+def test_one_dedup_survivor_in_any_order_and_mode(spark):
+    import itertools
+
+    keyed = [base_row(id=i, depth=d, mag=m, place=p) for i, d, m, p in [
+        (None, 9.0, 6.5, "x"), (None, 11.0, 5.0, "y"), (None, 10.0, 5.0, "b"), (None, 10.0, 5.0, "a"), ("a", 1.0, 1.0, "z")]]
+    repeated = [base_row(id="r", latitude=5.0, depth=d, mag=m, place=p) for d, m, p in [(4.0, 3.0, "q"), (2.0, 3.0, "p"), (2.0, 3.0, "o")]]
+    seen = set()
+    for order in list(itertools.permutations(range(5)))[::17]:
+        rows = catalog_rows(spark, [keyed[i] for i in order] + repeated[::-1 if order[0] % 2 else 1]).repartition(3)
+        for prunable in (True, False):
+            got = C.dedup(rows, prunable=prunable).orderBy("latitude").collect()
+            seen.add(tuple((r["id"], r["depth"], r["mag"], r["place"]) for r in got))
+    assert seen == {((None, 10.0, 5.0, "a"), ("r", 2.0, 3.0, "o"))}
+
+
 def test_missing_required_column_raises(spark, tmp_path):
     p = tmp_path / "bad.csv"
     p.write_text("Time,Latitude,Longitude,Depth\n2026-05-01T00:00:00Z,1,2,3\n")
