@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakescope.functions.labels import cluster_color, cluster_label, coord_label
-from quakescope.functions.stats import exact_mean, round_half_up
+from quakescope.functions.stats import exact_mean, exact_sum, round_half_up
 from quakescope.operators.clean import all_present, feature_rows
 from quakescope.schema import FEATURES
 
@@ -123,7 +123,7 @@ class ZoneFit:
 
 def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
               restarts: int = 1, ddof: int = 1,
-              features: Sequence[str] = FEATURES, parallel: int = 4) -> ZoneFit:
+              features: Sequence[str] = FEATURES, parallel: int = 2) -> ZoneFit:
     """Fit the zone model on the rows with all features present.
 
     The four feature columns are persisted (memory, then disk) once; one
@@ -134,12 +134,12 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
     earliest seed.
     """
     rows = feature_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    if rows.isEmpty():
+    n = rows.count()  # also fills the cache
+    if not n:
         rows.unpersist()
         raise ValueError("no rows with all features present: nothing to cluster")
     scale = None
     if ddof == 0:
-        n = rows.count()
         scale = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     prep = _prep_pipeline(features, scale).fit(rows)
     scaled = prep.transform(rows)
@@ -160,6 +160,31 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
     return ZoneFit(model, rows, cost, tuple(features))
 
 
+def fit_check(fit: ZoneFit, centres: Sequence[Sequence[float]] = PUBLISHED_CENTRES) -> DataFrame:
+    """What holds of any fit, as one row: zones, events, feature sums over the
+    zones, events not at their nearest fitted centre, and whether the fit costs
+    no more than the published centres."""
+    features = list(fit.features)
+    prep, kmeans = fit.model.stages[:-1], fit.model.stages[-1]
+    scaler = prep[1]
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    factor = float(prep[2].getScalingVec()[0]) if len(prep) > 2 else 1.0
+    unit = [float(s) / factor if s > 0 else 1.0 for s in std]
+    own = [[float(c[i]) * unit[i] + float(mean[i]) for i in range(len(features))] for c in kmeans.clusterCenters()]
+
+    def square(centre) -> Column:
+        terms = [((F.col(f) - F.lit(float(c))) / F.lit(u)) ** 2 for f, c, u in zip(features, centre, unit)]
+        return sum(terms[1:], terms[0])
+
+    each = fit.assigned().withColumns({"_own": F.array(*map(square, own)), "_given": F.least(*map(square, centres))})
+    here = F.element_at("_own", F.col("cluster") + 1)
+    return each.agg(
+        F.count_distinct("cluster").alias("zones"), F.count(F.lit(1)).alias("events"),
+        *[exact_sum(f).alias(f"sum_{f}") for f in features],
+        F.count_if(here > F.array_min("_own") + F.lit(1e-6)).alias("not_nearest"),
+        (F.sum(here) <= F.sum("_given")).alias("cost_ok"))
+
+
 def assign_zones(model: PipelineModel, df: DataFrame,
                  features: Sequence[str] = FEATURES) -> DataFrame:
     """Zone id of every row with all features present (a map-only pass)."""

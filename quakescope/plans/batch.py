@@ -136,8 +136,3 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_dir: str, k: int = 6, see
 
 def clean_table_columns(raw: DataFrame) -> list[str]:
     return list(raw.columns) + CLEAN_COLUMNS_TAIL
-
-
-def throughput(report: dict) -> float | None:
-    return report["pipeline_metrics"]["throughput_rec_per_sec"]
-

@@ -19,11 +19,10 @@ from quakescope.operators import sampling as S
 from quakescope.sources.sinks import write_parquet
 
 # Sample sizes and seeds of the page's maps and scatter plots,
-# and its clustering (at most 100,000 rows, 10 restarts, 50 iterations).
+# and its clustering (10 restarts, 50 iterations; fitted on all rows).
 HEATMAP_N, HEATMAP_SEED = 30000, 42
 SCATTER_N, SCATTER_SEED = 20000, 1
 DEPTH_MAG_N, DEPTH_MAG_SEED = 10000, 42
-CLUSTER_N, CLUSTER_SEED = 100000, 42
 CLUSTER_MAP_N = 30000
 ZONES_K, ZONES_RESTARTS, ZONES_ITER = 6, 10, 50
 TOP_CELLS = 20
@@ -55,10 +54,9 @@ def feeds(rows: DataFrame, with_zones: bool = True) -> dict[str, DataFrame]:
         "depth_mag_sample": S.depth_mag_sample(rows, DEPTH_MAG_N, DEPTH_MAG_SEED),
     }
     if with_zones and not rows.isEmpty():  # nothing to cluster in an empty view
-        sample = S.bottom_k(rows, CLUSTER_N, CLUSTER_SEED)
-        fit = Z.fit_zones(sample, k=ZONES_K, max_iter=ZONES_ITER, restarts=ZONES_RESTARTS, ddof=0)
+        fit = Z.fit_zones(rows, k=ZONES_K, max_iter=ZONES_ITER, restarts=ZONES_RESTARTS, ddof=0)
         out["zones"] = Z.zone_table(Z.cluster_summary(fit.assigned()))
-        with_ids = sample.select("id", "latitude", "longitude", "depth", "mag").filter(
+        with_ids = rows.select("id", "latitude", "longitude", "depth", "mag").filter(
             C.all_present(["latitude", "longitude", "depth", "mag"]))
         out["cluster_map_sample"] = S.cluster_map_sample(
             fit.model.transform(with_ids).select("id", "latitude", "longitude", "cluster"), CLUSTER_MAP_N)
@@ -148,8 +146,22 @@ def kpi_tiles(rows: DataFrame, bundle: DataFrame) -> DataFrame:
     stacked = view_part.unionByName(report_part, allowMissingColumns=True)
     folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
     return folded.select(
-        "total_record", "throughput_rec_per_sec", "latency_sec",
+        "total_record", F.coalesce("throughput_rec_per_sec", F.lit(0.0)).alias("throughput_rec_per_sec"),
+        F.coalesce("latency_sec", F.lit(0.0)).alias("latency_sec"),
         F.when(F.col("max_mag").isNull(), F.lit("–"))
         .otherwise(F.format_string("%.1f", round_half_up("max_mag", 1))).alias("max_mag_text"),
         "max_mag", F.coalesce("valid_pct", F.lit(100.0)).alias("valid_pct"),
         F.coalesce("raw_records", "total_record").alias("raw_records"))
+
+
+def five_v(rows: DataFrame, bundle: DataFrame) -> DataFrame:
+    """Values of the page's volume, velocity and veracity cards (Dimensi, Nilai); absent metrics read 0."""
+    tiles = kpi_tiles(rows, bundle)
+    dropped = bundle.select(F.lit("dropped").alias("k"), F.col("pipeline_metrics.dropped_records").cast("bigint").alias("v"))
+    count = lambda c: F.format_number(F.col(c).cast("double"), 0)
+    cards = [("VOLUME", F.concat(count("total_record"), F.lit(" records"))), ("RAW", count("raw_records")),
+             ("VELOCITY", F.concat(count("throughput_rec_per_sec"), F.lit(" rec/detik"))),
+             ("VERACITY", F.format_string("%.1f%% valid", round_half_up("valid_pct", 1)))]
+    shown = tiles.select(F.explode(F.array(*[F.struct(F.lit(k).alias("Dimensi"), v.alias("Nilai")) for k, v in cards])).alias("r")).select("r.*")
+    lost = dropped.agg(F.coalesce(F.max("v"), F.lit(0)).alias("v"))
+    return shown.unionByName(lost.select(F.lit("ANOMALI").alias("Dimensi"), F.concat(count("v"), F.lit(" anomali dibuang")).alias("Nilai")))

@@ -183,8 +183,8 @@ SELECT 'Total Data Mentah (Raw)' AS "Metrik", format('{{:,}} records', raw_n) AS
 UNION ALL SELECT 'Data Bersih (Lolos Filter)', format('{{:,}} records', clean_n) FROM pct
 UNION ALL SELECT 'Anomali Dibuang (Veracity)', format('{{:,}} records', drop_n) FROM pct
 UNION ALL SELECT 'Persentase Data Valid', printf('%.2f%%', 100.0 - veracity) FROM pct"""),
-    "kpi_tiles": _with(f"""SELECT v.total_record, CAST(NULL AS DOUBLE) AS throughput_rec_per_sec,
-  CAST(NULL AS DOUBLE) AS latency_sec,
+    "kpi_tiles": _with(f"""SELECT v.total_record, CAST(0.0 AS DOUBLE) AS throughput_rec_per_sec,
+  CAST(0.0 AS DOUBLE) AS latency_sec,
   CASE WHEN v.max_mag IS NULL THEN '–' ELSE printf('%.1f', {rnd('v.max_mag', 1)}) END AS max_mag_text,
   v.max_mag, 100.0 - {rnd('CAST(c.raw_n - c.clean_n AS DOUBLE) / CAST(c.raw_n AS DOUBLE) * 100.0', 2)} AS valid_pct,
   c.raw_n AS raw_records
@@ -195,7 +195,7 @@ FROM (SELECT count(*) AS total_record, max(mag) AS max_mag FROM dview) v,
 FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,
              coalesce(mag, 0.0) AS mag, coalesce(rms, 0.0) AS rms, coalesce(type, 'nan') AS type
       FROM quakes)
-WHERE {RULE} AND {TS} IS NOT NULL"""),
+WHERE {RULE}"""),
     "stream_hourly_cells": _with_more(f"""feed AS (
   SELECT DISTINCT time, latitude, longitude, mag, {TS} AS et
   FROM (SELECT coalesce(time, 'nan') AS time, latitude, longitude, coalesce(depth, 0.0) AS depth,
@@ -210,13 +210,18 @@ WHERE {RULE} AND {TS} IS NOT NULL"""),
 SELECT window_start, window_end, lat_grid, lon_grid, count(*) AS event_count,
        {mean('mag')} AS avg_mag, max(mag) AS max_mag
 FROM w
-WHERE window_end <= (SELECT max(et) FROM feed) - INTERVAL 1 DAY
 GROUP BY window_start, window_end, lat_grid, lon_grid"""),
     "clean": _with(f"SELECT {CLEAN_ALL} FROM clean"),
     "display_clean": _with(f"SELECT {ALL}, year, month, day, mag_category, depth_category FROM display"),
     "dedup": _with(f"""SELECT {ALL} FROM (
   SELECT *, row_number() OVER (PARTITION BY time, latitude, longitude ORDER BY id NULLS FIRST) AS _rn
   FROM quakes) WHERE _rn = 1"""),
+    "dedup_null_ids": _with("""SELECT time, latitude, longitude, id, mag, depth, rms, type FROM (
+  SELECT *, row_number() OVER (PARTITION BY time, latitude, longitude
+    ORDER BY id NULLS FIRST, mag NULLS FIRST, depth NULLS FIRST, rms NULLS FIRST, type NULLS FIRST) AS _rn
+  FROM (SELECT substr(time, 1, 10) AS time, round(latitude, 0) + 0.0 AS latitude, round(longitude, 0) + 0.0 AS longitude,
+    CASE WHEN coalesce(CAST(round(mag * 10, 0) AS BIGINT) % 3 = 0, TRUE) THEN NULL ELSE id END AS id, mag, depth, rms, type
+    FROM quakes)) WHERE _rn = 1"""),
     "distinct_rows": _with(
         "SELECT DISTINCT latitude, longitude, depth, mag, magType, nst, gap, dmin, rms, net, updated, "
         f"place, type, status, locationSource, magSource FROM quakes WHERE {RULE}"),
@@ -299,6 +304,8 @@ FROM (SELECT (SELECT count(*) FROM quakes) AS raw_records, (SELECT count(*) FROM
     "sample_scatter_map": _with(_bottom_k("dview", 20000, 1, "latitude, longitude, mag, depth, place")),
     "sample_depth_mag": _with(_bottom_k("dview", 10000, 42, "depth, mag, mag_category")),
     "sample_cluster_input": _with(_bottom_k("dview", 100000, 42, "latitude, longitude, depth, mag")),
+    "sample_500": _with(_bottom_k("dview", 500, 42, "id, latitude, longitude, depth, mag")),
+    "sample_2000": _with(_bottom_k("dview", 2000, 42, "id, latitude, longitude, depth, mag")),
     "sample_small": _with(_bottom_k("dview", 1000, 7, "id, latitude, longitude, depth, mag")),
     "standardized": _with(
         "SELECT latitude, longitude, depth, mag, "
@@ -337,3 +344,60 @@ ORACLE["cluster_map_fixed"] = _with_more(
     + f"\nSELECT latitude, longitude, {_label_case('cluster')} AS cluster_label, "
     f"{_color_case('cluster')} AS color FROM ("
     + _bottom_k("assigned", 30000, 42, "latitude, longitude, cluster") + ")")
+
+_COUNTS = f"""counts AS (
+  SELECT (SELECT count(*) FROM quakes) AS raw_n, (SELECT count(*) FROM clean_rows) AS clean_n
+), pct AS (
+  SELECT *, raw_n - clean_n AS drop_n, {rnd('CAST(raw_n - clean_n AS DOUBLE) / CAST(raw_n AS DOUBLE) * 100.0', 2)} AS veracity
+  FROM counts
+)"""
+ORACLE["metric_table_performance"] = _with_more(f"""{_COUNTS}, t AS (SELECT round(clean_n / 8.0, 2) AS rate FROM pct)
+SELECT 'Waktu Ingestion' AS "Metrik", '1.5000 detik' AS "Nilai" UNION ALL SELECT 'Waktu Cleaning / Veracity', '2.2500 detik'
+UNION ALL SELECT 'Waktu Analytics (Spark)', '0.1250 detik' UNION ALL SELECT 'Waktu Clustering (MLlib)', '4.0000 detik'
+UNION ALL SELECT 'TOTAL LATENCY PIPELINE', '8.0000 detik'
+UNION ALL SELECT 'THROUGHPUT SISTEM', format('{{:,.2f}} rec/detik', rate::DOUBLE) FROM t
+UNION ALL SELECT 'Spark Parallelism (Cores)', '8'""")
+ORACLE["five_v"] = _with_more(f"""{_COUNTS}
+SELECT 'VOLUME' AS "Dimensi", format('{{:,}} records', (SELECT count(*) FROM dview)) AS "Nilai"
+UNION ALL SELECT 'RAW', format('{{:,}}', raw_n) FROM pct
+UNION ALL SELECT 'VELOCITY', format('{{:,}} rec/detik', CAST(round_even(clean_n / 8.0, 0) AS BIGINT)) FROM pct
+UNION ALL SELECT 'VERACITY', printf('%.1f%% valid', {rnd('100.0 - veracity', 1)}) FROM pct
+UNION ALL SELECT 'ANOMALI', format('{{:,}} anomali dibuang', drop_n) FROM pct""")
+
+
+def _fields(section: str, item: str, source: str, fields: list[str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{section}', concat({item}, ' {f}'), CAST(coalesce({f}, 0) AS DOUBLE) FROM {source}" for f in fields)
+
+
+def _scalars(section: str, source: str, fields: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{section}', '{f}', CAST({x} AS DOUBLE) FROM {source}" for f, x in fields.items())
+
+
+ORACLE["report_values"] = _with_more(
+    f"""{_COUNTS}, mags AS (SELECT mag_category, count(*) AS jumlah FROM clean GROUP BY mag_category),
+months AS (SELECT coalesce(year, 0) AS y, coalesce(month, 0) AS m, count(*) AS jumlah, {mean('mag')} AS avg_mag, max(mag) AS max_mag
+  FROM clean GROUP BY year, month),
+stats AS (SELECT count(*) AS total_events, {rnd(mean('mag'), 3)} AS avg_magnitude, {rnd('max(mag)', 3)} AS max_magnitude,
+  {rnd('min(mag)', 3)} AS min_magnitude, {rnd('stddev_samp(mag)', 3)} AS std_magnitude, {rnd(mean('depth'), 2)} AS avg_depth_km FROM clean),
+"""
+    + _hot("clean", AWAY.format(c="latitude"), AWAY.format(c="longitude"), 200) + ",\n" + _assign_sql("clean")
+    + f", summ AS ({_summary('assigned')}), out(section, item, value) AS (\n"
+    + _scalars("pipeline_metrics", "pct", {"raw_records": "raw_n", "clean_records": "clean_n", "dropped_records": "drop_n", "veracity_pct": "veracity"})
+    + "\nUNION ALL " + _scalars("global_stats", "stats", {f: f for f in ("total_events", "avg_magnitude", "max_magnitude", "min_magnitude", "std_magnitude", "avg_depth_km")})
+    + "\nUNION ALL " + _fields("mag_distribution", "mag_category", "mags", ["jumlah"])
+    + "\nUNION ALL " + _fields("temporal_activity", "concat(y, '-', m)", "months", ["jumlah", "avg_mag", "max_mag"])
+    + "\nUNION ALL " + _fields("hotspot_grid", "concat(CAST(lat_grid AS INTEGER), ',', CAST(lon_grid AS INTEGER))", "top", ["event_count", "avg_mag", "max_mag"])
+    + "\nUNION ALL " + _fields("cluster_summary", "cluster", "summ", ["jumlah_event", "center_lat", "center_lon", "avg_depth", "avg_mag", "max_mag"])
+    + ")\nSELECT * FROM out")
+
+
+def _fit_facts(source: str) -> str:
+    """What any six-zone fit over the rows must give (see ``fit_check``)."""
+    sums = ", ".join(f"CAST(sum(CAST({f} AS DECIMAL(18,6))) AS DOUBLE) AS sum_{f}" for f in ["latitude", "longitude", "depth", "mag"])
+    return _with(f"SELECT CAST(6 AS BIGINT) AS zones, count(*) AS events, {sums}, CAST(0 AS BIGINT) AS not_nearest, TRUE AS cost_ok FROM {source}")
+
+
+ORACLE["kmeans_summary_check"] = _fit_facts("clean")
+ORACLE["kmeans_population_check"] = _fit_facts("clean")
+ORACLE["kmeans_view_check"] = _fit_facts("dview")

@@ -23,20 +23,16 @@ from quakescope.operators import clustering as Z
 from quakescope.operators import reports as R
 from quakescope.operators import sampling as S
 from quakescope.operators.payload import decode_payload, event_payload
+from quakescope.plans import dashboard as D
 from quakescope.plans.batch import clean_table_columns, read_clean, write_clean
-from quakescope.plans.bundle import report_bundle
+from quakescope.plans.bundle import report_bundle, report_values
 from quakescope.schema import CATALOG_COLUMNS, FEATURES, HEADER_ALIASES
 from quakescope.session import scratch_path
 from quakescope.sources import catalog as io
 from quakescope.sources import sinks
 from quakescope.sources.fixture import quakes
 from quakescope.sources.report import read_report
-from quakescope.streaming.clean_stream import (
-    clean_stream,
-    hourly_cells,
-    read_messages,
-    start_parquet_sink,
-)
+from quakescope.streaming.clean_stream import hourly_cells, read_messages, read_stream, start_clean_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,64 +109,88 @@ def _clean_table(spark, sf):
     return read_clean(spark, path, clean_table_columns(raw))
 
 
+def _written(df, name):
+    """A small result written to the shared folder, so that what it was made from can be released."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _from_fit(fit, shape, name):
+    """``shape(fit)`` written out; the fit's persisted rows are released."""
+    try:
+        return _written(shape(fit), name)
+    finally:
+        fit.unpersist()
+
+
 def report_bundle_q(spark, sf):
     cl = _clean_table(spark, sf)
-    fit = Z.fit_zones(cl)
-    return report_bundle(_raw(spark, sf), cl, fit.assigned(),
-                         cores=spark.sparkContext.defaultParallelism)
+    return _from_fit(Z.fit_zones(cl), lambda fit: report_bundle(
+        _raw(spark, sf), cl, fit.assigned(), cores=spark.sparkContext.defaultParallelism), "bundle")
 
 
-def report_bundle_read(spark, sf):
+def _bundle(spark, sf, timings=None, zones=True, cores=None):
+    """The report bundle (zones at the published centres) written as JSON and read back."""
     path = scratch_path(spark, "report")
     cl = _clean_table(spark, sf)
-    bundle = report_bundle(_raw(spark, sf), cl, Z.assign_to_centres(cl))
+    bundle = report_bundle(_raw(spark, sf), cl, Z.assign_to_centres(cl) if zones else None, timings, cores)
     bundle.write.mode("overwrite").json(path)
     return read_report(spark, path)
 
 
+def report_bundle_read(spark, sf):
+    return _bundle(spark, sf)
+
+
+def report_values_q(spark, sf):
+    """Every value of the report bundle but the timings, read back from disk."""
+    return report_values(_bundle(spark, sf))
+
+
 def metric_table_volume(spark, sf):
     """The page's volume/veracity table from the report bundle read back from disk."""
-    from quakescope.plans.dashboard import metric_tables
+    return D.metric_tables(_bundle(spark, sf, zones=False))["volume"]
 
-    return metric_tables(report_bundle_read(spark, sf))["volume"]
 
+# The stage times and core count of the performance table's check.
+TIMINGS = {"ingestion_time_sec": 1.5, "cleaning_time_sec": 2.25, "analytics_time_sec": 0.125,
+           "clustering_time_sec": 4.0, "total_pipeline_latency_sec": 8.0}
+CORES = 8
 
-def kpi_tiles_q(spark, sf):
-    """Header tiles: the dashboard rows with the report bundle read back from disk."""
-    from quakescope.plans.dashboard import kpi_tiles
 
-    return kpi_tiles(_view(spark, sf), report_bundle_read(spark, sf))
+def metric_table_performance(spark, sf):
+    """The page's performance table from a bundle with set stage times."""
+    return D.metric_tables(_bundle(spark, sf, TIMINGS, zones=False, cores=CORES))["performance"]
 
 
-# Fixed value: how long a registered stream may take to drain its input.
-STREAM_DRAIN_SEC = 1800
+def kpi_tiles_q(spark, sf):
+    """Header tiles: the dashboard rows with the report bundle read back from disk."""
+    return D.kpi_tiles(_view(spark, sf), _bundle(spark, sf, zones=False))
 
 
-def _drain(query) -> None:
-    """Wait for an ``availableNow`` stream to finish; stop it and fail past the limit."""
-    if not query.awaitTermination(STREAM_DRAIN_SEC):
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not drain in {STREAM_DRAIN_SEC} s")
+def five_v_q(spark, sf):
+    """Values of the volume, velocity and veracity cards from a bundle with set stage times."""
+    return D.five_v(_view(spark, sf), _bundle(spark, sf, TIMINGS, zones=False))
 
 
-def stream_clean(spark, sf):
-    """Producer feed → Structured Streaming clean + watermark dedup → Parquet (keys)."""
+def _cleaned_feed(spark, sf):
+    """Producer feed → Structured Streaming clean → the folded table."""
     topic = scratch_path(spark, "topic")
     sinks.publish(event_payload(_raw(spark, sf)), path=topic)
-    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    query = start_parquet_sink(clean_stream(read_messages(spark, topic)), out, ck)
-    _drain(query)
-    return spark.read.parquet(out).select("time", "latitude", "longitude", "year", "month")
+    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    start_clean_sink(read_messages(spark, topic), out, checkpoint).awaitTermination()
+    return read_stream(spark, out)
+
+
+def stream_clean(spark, sf):
+    """Keys and calendar parts of the cleaned feed."""
+    return _cleaned_feed(spark, sf).select("time", "latitude", "longitude", "year", "month")
 
 
 def stream_hourly_cells(spark, sf):
-    """Producer feed → stream clean → hourly 1° cells, emitted as the watermark passes."""
-    topic = scratch_path(spark, "topic")
-    sinks.publish(event_payload(_raw(spark, sf)), path=topic)
-    out, ck = scratch_path(spark, "cells-out"), scratch_path(spark, "cells-ck")
-    query = start_parquet_sink(hourly_cells(clean_stream(read_messages(spark, topic))), out, ck)
-    _drain(query)
-    return spark.read.parquet(out)
+    """Hourly 1° cells of the cleaned feed, every window."""
+    return hourly_cells(_cleaned_feed(spark, sf))
 
 
 # --- cleaning and filters ----------------------------------------------------
@@ -187,6 +207,16 @@ def dedup_q(spark, sf):
     return C.dedup(_raw(spark, sf))
 
 
+def dedup_null_ids(spark, sf):
+    """Dedup on coarse keys with every third magnitude's ids missing: the measures decide."""
+    raw = _raw(spark, sf)
+    no_id = F.pmod(F.round(F.col("mag") * 10).cast("long"), F.lit(3)) == 0
+    coarse = raw.withColumns({"id": F.when(F.coalesce(no_id, F.lit(True)), F.lit(None)).otherwise(F.col("id")),
+                              "time": F.substring("time", 1, 10), "latitude": F.round(F.col("latitude")),
+                              "longitude": F.round(F.col("longitude"))})
+    return C.dedup(coarse).select("time", "latitude", "longitude", "id", "mag", "depth", "rms", "type")
+
+
 def distinct_rows_q(spark, sf):
     return C.clean_rows(_raw(spark, sf).drop("time", "id"))
 
@@ -333,21 +363,27 @@ def density_grid_q(spark, sf):
 # --- samples -----------------------------------------------------------------
 
 def sample_heatmap(spark, sf):
-    return S.heatmap_sample(_view(spark, sf))
+    return S.heatmap_sample(_view(spark, sf), D.HEATMAP_N)
 
 
 def sample_scatter_map(spark, sf):
-    return S.scatter_map_sample(_view(spark, sf))
+    return S.scatter_map_sample(_view(spark, sf), D.SCATTER_N)
 
 
 def sample_depth_mag(spark, sf):
-    return S.depth_mag_sample(_view(spark, sf))
+    return S.depth_mag_sample(_view(spark, sf), D.DEPTH_MAG_N)
 
 
 def sample_cluster_input(spark, sf):
     return S.bottom_k(_view(spark, sf), 100000, 42).select(*FEATURES)
 
 
+def _sample_of(n):
+    def q(spark, sf):
+        return S.bottom_k(_view(spark, sf), n, 42).select("id", *FEATURES)
+    return q
+
+
 def sample_small(spark, sf):
     """Bottom-1,000 of the whole display set (exercises the bucket cut)."""
     return S.bottom_k(_view(spark, sf), 1000, 7).select("id", *FEATURES)
@@ -373,23 +409,31 @@ def cluster_labels(spark, sf):
 
 
 def cluster_map_fixed(spark, sf):
-    return S.cluster_map_sample(Z.assign_to_centres(_view(spark, sf), keep=["id"]))
+    return S.cluster_map_sample(Z.assign_to_centres(_view(spark, sf), keep=["id"]), D.CLUSTER_MAP_N)
 
 
-def kmeans_summary(spark, sf):
-    return Z.cluster_summary(Z.fit_zones(_clean(spark, sf)).assigned())
+def _summary_of(fit):
+    return Z.cluster_summary(fit.assigned())
+
 
+def _fit_batch(spark, sf):
+    return Z.fit_zones(_clean(spark, sf))
 
-def kmeans_population(spark, sf):
+
+def _fit_population(spark, sf):
     """Zones of the single-machine twin: population std, 10 restarts, 100 iterations."""
-    fit = Z.fit_zones(_clean(spark, sf), max_iter=100, restarts=10, ddof=0)
-    return Z.cluster_summary(fit.assigned())
+    return Z.fit_zones(_clean(spark, sf), max_iter=100, restarts=10, ddof=0)
 
 
-def kmeans_sampled(spark, sf):
-    sample = S.bottom_k(_view(spark, sf), 100000, 42)
-    fit = Z.fit_zones(sample, max_iter=50, restarts=10, ddof=0)
-    return Z.zone_table(Z.cluster_summary(fit.assigned()))
+def _fit_view(spark, sf):
+    """Zones of the dashboard's settings (50 iterations, 10 restarts), fitted on every row of its view."""
+    return Z.fit_zones(_view(spark, sf), max_iter=50, restarts=10, ddof=0)
+
+
+def _zones(fit, shape):
+    def q(spark, sf):
+        return _from_fit(fit(spark, sf), shape, "zones")
+    return q
 
 
 QUERIES: dict[str, Query] = {
@@ -403,11 +447,15 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_cells": stream_hourly_cells,
     "report_bundle": report_bundle_q,
     "report_bundle_read": report_bundle_read,
+    "report_values": report_values_q,
     "metric_table_volume": metric_table_volume,
+    "metric_table_performance": metric_table_performance,
+    "five_v": five_v_q,
     "kpi_tiles": kpi_tiles_q,
     "clean": clean_q,
     "display_clean": display_clean_q,
     "dedup": dedup_q,
+    "dedup_null_ids": dedup_null_ids,
     "distinct_rows": distinct_rows_q,
     "range_filter": range_filter_q,
     "filter_bounds": filter_bounds_q,
@@ -448,12 +496,17 @@ QUERIES: dict[str, Query] = {
     "sample_depth_mag": sample_depth_mag,
     "sample_cluster_input": sample_cluster_input,
     "sample_small": sample_small,
+    "sample_500": _sample_of(500),
+    "sample_2000": _sample_of(2000),
     "standardized": standardized,
     "assign_fixed_centroids": assign_fixed_centroids,
     "cluster_summary_fixed": cluster_summary_fixed,
     "cluster_labels": cluster_labels,
     "cluster_map_fixed": cluster_map_fixed,
-    "kmeans_summary": kmeans_summary,
-    "kmeans_population": kmeans_population,
-    "kmeans_sampled": kmeans_sampled,
+    "kmeans_summary": _zones(_fit_batch, _summary_of),
+    "kmeans_population": _zones(_fit_population, _summary_of),
+    "kmeans_sampled": _zones(_fit_view, lambda fit: Z.zone_table(_summary_of(fit))),
+    "kmeans_summary_check": _zones(_fit_batch, Z.fit_check),
+    "kmeans_population_check": _zones(_fit_population, Z.fit_check),
+    "kmeans_view_check": _zones(_fit_view, Z.fit_check),
 }
