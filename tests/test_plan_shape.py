@@ -51,12 +51,23 @@ def test_dedup_combines_map_side(spark, cat):
 
 
 def test_no_cross_joins_or_python_in_registered_queries(spark):
-    from __spark_entry__ import queries
+    from quakescope.plans.registry import QUERIES
 
-    skip = {"kmeans_summary", "kmeans_sampled", "report_bundle", "report_bundle_read", "stream_clean"}
-    for key, fn in queries().items():
-        if key in skip:
-            continue
+    for key, fn in QUERIES.items():
         text = plan(fn(spark, SF_SMALL))
         for node in FORBIDDEN:
             assert node not in text, (key, node)
+
+
+def test_a_view_reads_its_input_once(spark, cat):
+    text = plan(C.dashboard_view(C.display_clean(cat)))
+    assert len(re.findall(r"^\(\d+\) Scan", text, re.M)) == 1
+    assert "Exchange" not in text
+
+
+def test_queries_release_what_they_persist(spark):
+    from quakescope.plans.registry import QUERIES
+
+    for key in ("report_bundle", "kmeans_summary", "kmeans_summary_check"):
+        QUERIES[key](spark, SF_SMALL).collect()
+        assert not spark.sparkContext._jsc.getPersistentRDDs(), key
