@@ -37,6 +37,8 @@ S_START, S_LETTER, S_NUMBER, S_SIGN, S_SPACE, S_BLANK, S_QUOTE, S_R, S_V, S_ELL,
 WHITE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0)
 #: Pieces of more bytes are merged with a heap.
 LONG = 64
+#: Documents decoded at once.
+ROWS = 500
 
 
 @functools.cache
@@ -124,12 +126,17 @@ def boundaries(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _merge_short(ranks: dict[bytes, int], piece: bytes) -> list[int]:
+    rank, none = ranks.get, 1 << 60
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        least, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if least == 1 << 60:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs and (least := min(pairs)) != none:
+        i = pairs.index(least)
+        parts[i] += parts[i + 1]
+        del parts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
     return [ranks[p] for p in parts]
 
 
@@ -165,7 +172,7 @@ class ByteBpe:
             sizes[rank] = len(token)
         self.sizes, self.first = sizes, np.cumsum(sizes) - sizes
         self.flat = np.frombuffer(b"".join(token for token, _ in by_id), np.uint8)
-        self.store = PieceStore(lambda pieces: map(self.merge, pieces))
+        self.store = PieceStore(lambda pieces: map(self.merge, pieces), 500_000)
 
     def merge(self, piece: bytes) -> list[int]:
         if (known := self.ranks.get(piece)) is not None:
@@ -214,15 +221,17 @@ def _encode(path: str):
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
-        for batch in batches:
-            column = batch.column("ids")
-            counts = np.diff(np.array(column.offsets, np.int64))
-            ids, ends = np.array(column.flatten()), np.array(batch.column("ends").flatten(), np.int64)
-            size = np.diff(ends, prepend=0)
-            heads = (np.cumsum(counts) - counts)[counts > 0]
-            size[heads] = ends[heads]
-            data = bpe.decode(ids, size)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "ends"), binary_column(data, sums(size, counts))], names=[*(c for c in batch.schema.names if c != "ends"), "decoded"])
+        for whole in batches:
+            names = [c for c in whole.schema.names if c != "ends"]
+            for lo in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(lo, ROWS)
+                counts = np.diff(np.array(batch.column("ids").offsets, np.int64))
+                ids, ends = np.array(batch.column("ids").flatten()), np.array(batch.column("ends").flatten(), np.int64)
+                size = np.diff(ends, prepend=0)
+                heads = (np.cumsum(counts) - counts)[counts > 0]
+                size[heads] = ends[heads]
+                decoded = binary_column(bpe.decode(ids, size), sums(size, counts))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), decoded], names=[*names, "decoded"])
 
     return run
 

@@ -24,8 +24,8 @@ class _Numbers(dict):
 
 
 class PieceStore:
-    def __init__(self, encode: Callable[[list], Iterable[list[int]]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list], Iterable[list[int]]], most: int = CACHE):
+        self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -34,7 +34,7 @@ class PieceStore:
 
     def lookup(self) -> _Numbers:
         """piece -> number, for the look-ups until the next ``gather``."""
-        if len(self.numbers) > CACHE:
+        if len(self.numbers) > self.most:
             self._clear()
         return self.numbers
 

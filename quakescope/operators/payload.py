@@ -44,7 +44,12 @@ def _text(df: DataFrame, name: str, missing: str) -> Column:
 
 
 def payload_columns(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
-    """The 11 payload fields as typed columns.
+    """The 11 payload fields as typed columns (see ``payload_fields``)."""
+    return df.select(*payload_fields(df, fill))
+
+
+def payload_fields(df: DataFrame, fill: float | None = 0.0) -> list[Column]:
+    """The 11 payload fields of a record.
 
     Null measures (depth, mag, nst, gap, rms) become ``fill`` (0.0; ``None``
     keeps them null), null coordinates become NaN, null strings the text
@@ -62,7 +67,7 @@ def payload_columns(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
         else:
             c = _text(df, name, PAYLOAD_STRING_DEFAULTS[name])
         cols.append(c.alias(name))
-    return df.select(*cols)
+    return cols
 
 
 def event_payload(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
@@ -71,8 +76,12 @@ def event_payload(df: DataFrame, fill: float | None = 0.0) -> DataFrame:
     Records whose numeric text does not parse are not sent (they count as
     failed in the ingestion report).
     """
-    fields = payload_columns(df.filter(record_ok(df)), fill)
-    return fields.select(F.to_json(F.struct(*fields.columns)).alias("value"))
+    return df.filter(record_ok(df)).select(event_message(df, fill).alias("value"))
+
+
+def event_message(df: DataFrame, fill: float | None = 0.0) -> Column:
+    """The JSON text of a record's 11 payload fields."""
+    return F.to_json(F.struct(*payload_fields(df, fill)))
 
 
 def decode_payload(messages: DataFrame, nan_as_null: bool = True) -> DataFrame:

@@ -401,3 +401,10 @@ def _fit_facts(source: str) -> str:
 ORACLE["kmeans_summary_check"] = _fit_facts("clean")
 ORACLE["kmeans_population_check"] = _fit_facts("clean")
 ORACLE["kmeans_view_check"] = _fit_facts("dview")
+
+ORACLE["ingestion_report_failures"] = _with_more(f"""bad AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE CAST(round(mag * 10, 0) AS BIGINT) % 7 = 0) AS f FROM quakes
+)
+SELECT n AS total_records, n - f AS success_count, f AS fail_count,
+  CAST(f AS DOUBLE) / CAST(n AS DOUBLE) * 100.0 AS data_loss_pct,
+  {rnd('CAST(n - f AS DOUBLE) * 200.0 / 1048576.0', 2)} AS estimated_mb FROM bad""")

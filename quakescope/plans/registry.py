@@ -352,6 +352,15 @@ def ingestion_report_csv(spark, sf):
     return R.ingestion_report(io.read_csv_raw(spark, path))
 
 
+def ingestion_report_failures(spark, sf):
+    """Ingestion report of a CSV in which every seventh tenth of a magnitude is no number."""
+    path = scratch_path(spark, "ingest")
+    bad = F.pmod(F.round(F.col("mag") * 10).cast("long"), F.lit(7)) == 0
+    raw = _raw(spark, sf)
+    sinks.write_csv(raw.withColumn("mag", F.when(bad, F.lit("n/a")).otherwise(F.col("mag").cast("string"))), path)
+    return R.ingestion_report(io.read_csv_raw(spark, path))
+
+
 def mag_histogram_q(spark, sf):
     return R.mag_histogram(_view(spark, sf))
 
@@ -489,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": quality_report_q,
     "ingestion_report": ingestion_report_q,
     "ingestion_report_csv": ingestion_report_csv,
+    "ingestion_report_failures": ingestion_report_failures,
     "mag_histogram": mag_histogram_q,
     "density_grid": density_grid_q,
     "sample_heatmap": sample_heatmap,
