@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import TABLES, rows_of, type_diff  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from quakescope.plans.oracle import ORACLE  # noqa: E402
+from quakescope.plans.registry import QUERIES  # noqa: E402
 
 SLOW = {"kmeans_sampled", "report_bundle"}
 
@@ -29,10 +30,10 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in queries() if k in oracle_sql()))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k in ORACLE))
 def test_matches_sql(spark, duck, key):
-    frame = queries()[key](spark, SF_SMALL)
-    rel = duck.sql(oracle_sql()[key])
+    frame = QUERIES[key](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[key])
     assert type_diff(frame, rel) == {}
     got = frame.toPandas()
     want = rel.df()
@@ -43,9 +44,9 @@ def test_matches_sql(spark, duck, key):
     assert gr == wr
 
 
-@pytest.mark.parametrize("key", sorted(k for k in queries() if k not in oracle_sql() and k not in SLOW))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in ORACLE and k not in SLOW))
 def test_rows_only(spark, key):
-    assert queries()[key](spark, SF_SMALL).count() >= 1
+    assert QUERIES[key](spark, SF_SMALL).count() >= 1
 
 
 def test_entry_schema_stable(spark):
