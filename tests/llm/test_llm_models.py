@@ -174,7 +174,7 @@ def test_language_model_of_odd_rows(spark, tmp_path):
 
 
 def test_probabilities_add_up():
-    """All tokens, and one unseen token a class, have probability 1 in any state."""
+    """All tokens, and one unseen token a class of several, have probability 1 in any state."""
     rng = np.random.default_rng(0)
     tokens = rng.integers(1, 1 << 62, 500, dtype=np.uint64)
     tokens[3] = language_model.END
@@ -186,7 +186,8 @@ def test_probabilities_add_up():
         totals[t] = (a[0] + n, a[1] + 1)
     v = language_model.Vocabulary(tokens, counts, tails, totals, int(counts[3]), int(counts.sum()), 500)
     kind = v.classes(tokens, tails)
-    inside = np.bincount(kind, (counts + 0.1) / 10 ** v.log_mass[kind], language_model.CLASSES) + 0.1 / 10**v.log_mass
+    inside = np.bincount(kind, (counts + 0.1) / 10 ** v.log_mass[kind], language_model.CLASSES)
+    inside += np.where(np.arange(language_model.CLASSES) > language_model.SINGLES, 0.1 / 10**v.log_mass, 0)
     assert np.allclose(inside, 1)
 
 
