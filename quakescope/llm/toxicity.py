@@ -26,7 +26,7 @@ from .quality import isotonic
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 8, 8
 WORDS, SPELLED, GRAMS, SCALE = 1 << 15, 1 << 17, (3, 4, 5), np.float32(0.25)
 #: Bounds of the training sample: texts of each label, and bytes of a text in it (longer texts are only scored).
-SAMPLE, SAMPLE_BYTES = 2500, 20_000
+SAMPLE, SAMPLE_BYTES = 2500, 8_000
 BATCH, STEPS, SEED = 1024, 240, 5
 #: Texts of the sample that a word or run must be in to have a vector; others would only name their texts.
 SEEN = 3
@@ -57,9 +57,11 @@ class Text:
         for n in GRAMS:
             begin = np.flatnonzero(place <= size[owner] - n)
             grams.append(mix(sum((spelled[begin + k] << np.uint64(8 * k) for k in range(n)), np.zeros(len(begin), np.uint64))))
-            of.append(owner[begin])
+            grams[-1] = 1 + _key(grams[-1], SPELLED - 1).astype(np.int32)
+            of.append(1 + owner[begin].astype(np.int32))
         self.words = np.r_[0, 1 + _key(keys, WORDS - 1)]
-        self.grams, self.gram_of = np.r_[0, 1 + _key(np.concatenate(grams), SPELLED - 1)], np.r_[0, 1 + np.concatenate(of)]
+        zero = np.zeros(1, np.int32)
+        self.grams, self.gram_of = np.concatenate([zero, *grams]), np.concatenate([zero, *of])
         # windows: every STRIDE words, the last one ends with the text; empty texts have one of padding
         n = np.diff(first)
         many = np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1
