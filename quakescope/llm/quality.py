@@ -116,16 +116,21 @@ def _binned(model: Quality):
 
 
 def isotonic(at: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: places and never falling levels, to be joined by lines."""
-    blocks: list[list[float]] = []
+    """Pool adjacent violators: the blocks' two ends and their levels, to be joined by lines.
+
+    Levels rise a little within a block too, so that the order of the scores is kept.
+    """
+    blocks: list[list[float]] = []  # first place, last place, level, weight
     for x, y, w in zip(at, value, weight):
-        blocks.append([x, y, w])
-        while len(blocks) > 1 and blocks[-2][1] >= blocks[-1][1]:
+        blocks.append([x, x, y, w])
+        while len(blocks) > 1 and blocks[-2][2] >= blocks[-1][2]:
             b, a = blocks.pop(), blocks.pop()
-            w = a[2] + b[2]
-            blocks.append([(a[0] * a[2] + b[0] * b[2]) / w, (a[1] * a[2] + b[1] * b[2]) / w, w])
-    found = np.array(blocks)
-    return found[:, 0], found[:, 1]
+            w = a[3] + b[3]
+            blocks.append([a[0], b[1], (a[2] * a[3] + b[2] * b[3]) / w, w])
+    low, high, level, _ = np.array(blocks).T
+    slope = min(1e-3, np.diff(level).min(initial=1.0) / 3)
+    ends = np.column_stack([level - slope, level + slope]).ravel()
+    return np.column_stack([low, high]).ravel(), np.clip(ends, 0, 1)
 
 
 def fit(stats: DataFrame, labelled: DataFrame) -> Quality:

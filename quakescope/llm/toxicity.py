@@ -214,13 +214,21 @@ class Model:
         return np.interp(net.worst(Text(data, offsets), len(offsets) - 1), self.bounds, self.levels)
 
 
-def learn(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model | None:
-    """Train in one task on a bounded sample of ``labelled`` (see ``toxicity_scores``); without any, None."""
-    known = labelled.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(label_column).cast("int").alias("label"))
-    known = known.filter(f"id IS NOT NULL AND text IS NOT NULL AND label IN (0, 1) AND octet_length(text) <= {SAMPLE_BYTES}")
-    samples = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE) for v in (0, 1)]
-    sample = samples[0].union(samples[1]).orderBy(F.xxhash64("id", "label"), "id", "text").limit(2 * SAMPLE)
-    found = sample.select("text", "label").coalesce(1).mapInArrow(_train, "weights binary, bounds array<double>, levels array<double>").collect()
+def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model | None:
+    """Train in one task on a bounded sample of the labelled texts (see ``toxicity_scores``); without any, None.
+
+    The sample is chosen on ids and sizes; its at most 2 * SAMPLE ids are then
+    sent to the texts, so no other text is moved.
+    """
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    sizes = rows.filter("id IS NOT NULL AND text IS NOT NULL").select("id", F.octet_length("text").alias("size"))
+    marks = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")).filter("label IN (0, 1)")
+    known = sizes.filter(F.col("size") <= SAMPLE_BYTES).select("id").join(marks, "id").distinct()
+    chosen = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for v in (0, 1)]
+    chosen = F.broadcast(chosen[0].union(chosen[1]))  # 2 * SAMPLE ids at most
+    taken = rows.join(chosen, "id").filter(F.octet_length("text") <= SAMPLE_BYTES)
+    sample = taken.orderBy(F.xxhash64("id", "label"), "id", "text").limit(2 * SAMPLE).select("text", "label")
+    found = sample.coalesce(1).mapInArrow(_train, "weights binary, bounds array<double>, levels array<double>").collect()
     return Model(bytes(found[0]["weights"]), found[0]["bounds"], found[0]["levels"]) if found else None
 
 
@@ -233,19 +241,19 @@ def _score(model: Model):
     return run
 
 
-def toxicity_scores(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> DataFrame:
     """Per row: id and score (0 to 1, higher: label 1 likelier).
 
-    ``labelled`` has ids, texts and 0/1 labels; of each label the first SAMPLE
-    texts of at most SAMPLE_BYTES bytes, by the hash of their ids, train the
-    network.  Null ids, texts and labels there don't teach.  Without labelled rows of both labels
-    the score is 0.5, or the one label.  Null and empty texts are scored as a
+    ``labels`` has ids and 0/1 labels of documents; of each label the first
+    SAMPLE texts of at most SAMPLE_BYTES bytes, by the hash of their ids,
+    train the network.  Null ids, texts and labels don't teach.  Without
+    labelled rows the score is 0.5.  Null and empty texts are scored as a
     window of padding; null ids and repeated rows are scored; an empty table
     gives no rows.  Other columns are ignored.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    model = learn(labelled, id_column, text_column, label_column)
+    model = learn(docs, labels, id_column, text_column, label_column)
     if model is None:
         return rows.select("id", F.lit(0.5).alias("score")).withColumnRenamed("id", id_column)
     return rows.mapInArrow(_score(model), f"id {kind}, score double").withColumnRenamed("id", id_column)
@@ -253,7 +261,7 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
     """The documents, with all their columns, whose toxicity score is below ``least``; ``labels`` (doc_id, toxic) of them teach."""
-    model = learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = learn(docs, labels)
     return docs if model is None else keep_texts(docs, "text", lambda data, offsets: model.scores(data, offsets) < least)
 
 
@@ -262,6 +270,5 @@ def taught_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scored = toxicity_scores(docs, docs.select("doc_id", "text").join(taught_labels(spark, sf_dir), "doc_id"))
+    scored = toxicity_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), taught_labels(spark, sf_dir))
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
