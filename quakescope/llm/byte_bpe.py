@@ -10,6 +10,8 @@ boundary depends on the states around it.  No regular expression is run.
 
 The slices between boundaries go to a cache of merged pieces.  Tokens keep
 their byte offsets, and decoding copies each token's bytes to its offsets.
+A worker holds at most one chunk, the store of merged pieces (500,000) and a
+slice of decoded documents.
 """
 
 from __future__ import annotations
