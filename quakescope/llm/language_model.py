@@ -41,7 +41,8 @@ END = np.uint64(0x5DEECE66D)  # stands for the document end; its input has a pre
 SMOOTH = 0.1
 _FOLD_ROWS = 500_000
 #: Documents scored side by side, and the groups of them that a task trains on at once.
-SIDE, FEW, MOST = 2000, 16, 256
+SIDE, FEW, MOST = 1000, 16, 512
+_ROWS = 2048
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -161,6 +162,17 @@ def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row)), pa.array(keys), pa.array(n)], names=["row", "token", "times"])
 
 
+_ONES, _LEAST = np.ones(CLASSES, np.float32), np.float32(1e-37)
+
+
+def _exponentials(logits: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """exp of the rows, up to a factor each; the greatest is only taken off where exp could leave its range."""
+    logits += base
+    if max(logits.max(), -logits.min()) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    return np.exp(logits, out=logits)
+
+
 # ---- network ---------------------------------------------------------------------
 
 
@@ -194,19 +206,23 @@ class Network:
             vectors = self.w["class"][kinds] + self.w["prefix"][prefixes]
             states, kept = gru.forward(vectors @ self.w["in"] + self.w["bias"], self.w["on"], state, True)
             flat = states.reshape(-1, UNITS)
-            logits = flat @ self.w["out"] + self.w["base"]
-            logits -= logits.max(axis=1, keepdims=True)
-            np.exp(logits, out=logits)
-            logits /= logits.sum(axis=1, keepdims=True)
-            logits[np.arange(len(flat)), wanted.ravel()] -= 1
-            logits /= len(flat)
-            dx, du = gru.backward((logits @ self.w["out"].T).reshape(states.shape), kept, self.w["on"])
+            wanted, d_flat = wanted.ravel(), np.empty_like(flat)
+            d_out, d_base = np.zeros_like(self.w["out"]), np.zeros_like(self.w["base"])
+            for at in range(0, len(flat), _ROWS):  # blocks that stay in the processor's cache
+                some = flat[at : at + _ROWS]
+                logits = _exponentials(some @ self.w["out"], self.w["base"])
+                logits *= (1 / (len(flat) * (logits @ _ONES)))[:, None]
+                logits[np.arange(len(some)), wanted[at : at + _ROWS]] -= np.float32(1 / len(flat))
+                np.matmul(logits, self.w["out"].T, out=d_flat[at : at + _ROWS])
+                d_out += some.T @ logits
+                d_base += logits.sum(axis=0)
+            dx, du = gru.backward(d_flat.reshape(states.shape), kept, self.w["on"])
             dx = dx.reshape(-1, 3 * UNITS)
             d = dx @ self.w["in"].T
             fold_by = lambda at, n: np.stack([np.bincount(at.ravel(), d[:, k], n) for k in range(WIDTH)], axis=1).astype(np.float32)
             grads = {
                 "class": fold_by(kinds, CLASSES), "prefix": fold_by(prefixes, PREFIXES), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0),
-                "on": du, "out": flat.T @ logits, "base": logits.sum(axis=0),
+                "on": du, "out": d_out, "base": d_base,
             }
             adam.rate = 0.01 * (1 - 0.8 * lo / length)
             adam.step(self.w, grads)
@@ -227,11 +243,11 @@ class Network:
             fed = np.concatenate([before[None, :live], here[:-1]])
             states, _ = gru.forward(table[fed], self.w["on"], state[:live])
             flat = states.reshape(-1, UNITS)
-            logits = flat @ self.w["out"] + self.w["base"]
-            top = logits.max(axis=1)
-            picked = logits[np.arange(len(flat)), (here // PREFIXES).ravel()] - top
-            logits -= top[:, None]
-            picked -= np.log(np.exp(logits, out=logits).sum(axis=1))
+            kinds, picked = (here // PREFIXES).ravel(), np.empty(len(flat), np.float32)
+            for at in range(0, len(flat), _ROWS):
+                some = flat[at : at + _ROWS]
+                logits = _exponentials(some @ self.w["out"], self.w["base"])
+                picked[at : at + _ROWS] = np.log(np.maximum(logits[np.arange(len(some)), kinds[at : at + _ROWS]], _LEAST)) - np.log(logits @ _ONES)
             out[:live] += np.where(inside, picked.reshape(inside.shape), 0).sum(axis=0, dtype=np.float64)
             state[:live], before[:live] = states[-1], here[-1]
         back = np.empty(docs)
