@@ -5,7 +5,7 @@ its runs of 3 to 5 characters; so known bad words and words built like them are
 seen.  The network reads windows of 32 words, starting every 16 words over the
 whole text; attention weighs the states of both directions, and a text counts
 as toxic as its worst window.  It is trained in numpy, in one Spark task, on a
-bounded sample of labelled texts, in two phases: all windows by their text's
+bounded sample of labelled texts (chosen by id; no other text is moved), in two phases: all windows by their text's
 label, then each text's worst window by the label.
 """
 
