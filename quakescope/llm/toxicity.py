@@ -6,7 +6,9 @@ seen.  The network reads windows of 32 words, starting every 16 words over the
 whole text; attention weighs the states of both directions, and a text counts
 as toxic as its worst window.  It is trained in numpy, in one Spark task, on a
 bounded sample of labelled texts (chosen by id; no other text is moved), in two phases: all windows by their text's
-label, then each text's worst window by the label.
+label, then each text's worst window by the label.  Texts of any size teach: of a
+long one the task gets windows chosen by hash from the whole of it.  Every fifth
+text of the sample is kept back for the calibration and scored whole, where it lies.
 """
 
 from __future__ import annotations
@@ -19,19 +21,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, word_hashes
+from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, text_bytes, word_hashes
 from .pieces import ranges
 from .quality import isotonic
 
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 8, 8
 WORDS, SPELLED, GRAMS, SCALE = 1 << 15, 1 << 17, (3, 4, 5), np.float32(0.25)
-#: Bounds of the training sample: texts of each label, and bytes of a text in it (longer texts are only scored).
+#: Bounds of the training sample: texts of each label, and bytes of a text in it (longer texts teach by windows that fill them).
 SAMPLE, SAMPLE_BYTES = 2500, 8_000
 BATCH, STEPS, SEED = 1024, 240, 5
 #: Texts of the sample that a word or run must be in to have a vector; others would only name their texts.
 SEEN = 3
 #: Share of label 1 that the calibration assumes; every fifth text of the sample is kept for it.
 PRIOR, KEPT = 0.15, 5
+#: Least score of a toxic text.
+LEAST = 0.3
 _ROWS = 8192
 
 
@@ -160,14 +164,56 @@ def _texts_with(parts: list[Text], name: str) -> np.ndarray:
     return out
 
 
-def train(texts: pa.Array, labels: np.ndarray) -> Network:
-    """Fit on whole texts and their 0/1 labels."""
-    rng, net = np.random.default_rng(SEED), Network()
+def passages(data: np.ndarray, key: int) -> list[bytes]:
+    """What a text of these bytes teaches by: itself, or windows of the whole of it in an order by hash.
+
+    They fill SAMPLE_BYTES; a first window over that (of very long words) gives a run of its bytes.
+    """
+    if len(data) <= SAMPLE_BYTES:
+        return [data.tobytes()]
+    starts, ends, first = find_words(data, np.array([0, len(data)]))
+    many = max(-(-(len(starts) - WINDOW) // STRIDE), 0) + 1
+    order = mix(np.arange(many, dtype=np.uint64) ^ mix(np.array([key], np.int64).view(np.uint64)))
+    out, left = [], SAMPLE_BYTES
+    for number in np.argsort(order, kind="stable").tolist():
+        lo = min(number * STRIDE, max(len(starts) - WINDOW, 0))
+        words = slice(lo, lo + WINDOW)
+        size = int((ends[words] - starts[words] + 1).sum())
+        if size > left and out:
+            break
+        one = b" ".join(data[a:b].tobytes() for a, b in zip(starts[words].tolist(), ends[words].tolist()))
+        if len(one) > SAMPLE_BYTES:
+            at = int(order[number] % np.uint64(len(one) - SAMPLE_BYTES + 1))
+            one = one[at : at + SAMPLE_BYTES]
+        out.append(one)
+        left -= size
+    return out
+
+
+def _grouped(texts: pa.ListArray, limit: int = 1 << 19) -> Iterator[tuple[int, Text]]:
+    """(first text, windows) of runs of texts, each a list of passages; ``doc`` numbers the texts."""
+    first = np.r_[0, np.cumsum(np.array(texts.value_lengths(), np.int64))]
+    data, offsets = text_bytes(texts.flatten())
+    edge, lo = offsets[first], 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + limit, "right")) - 1)
+        a, b = int(first[lo]), int(first[hi])
+        text = Text(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        text.doc = np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1]))[text.doc]
+        yield lo, text
+        lo = hi
+
+
+def kept_back(labels: np.ndarray) -> np.ndarray:
+    """Which texts of the sample are for the calibration; none where they would lack a label."""
     kept = np.arange(len(labels)) % KEPT == 0
-    if len(np.unique(labels[kept])) < 2:  # too few texts to keep some back
-        kept[:] = False
-    taught = np.flatnonzero(~kept)
-    parts = [(lo, Text(data, offsets)) for lo, _, data, offsets in chunks(texts.take(pa.array(taught)), 1 << 19)]
+    return kept if len(np.unique(labels[kept])) == 2 else np.zeros(len(labels), bool)
+
+
+def teach(texts: pa.ListArray, labels: np.ndarray) -> Network:
+    """Fit on texts, each a list of its passages, and their 0/1 labels."""
+    rng, net = np.random.default_rng(SEED), Network()
+    parts = list(_grouped(texts))
     rare = {name: _texts_with([t for _, t in parts], name) < SEEN for name in ("word", "gram")}
     for name, rows in rare.items():
         net.w[name][rows] = 0
@@ -175,7 +221,7 @@ def train(texts: pa.Array, labels: np.ndarray) -> Network:
     for turn in range(passes):
         for k in rng.permutation(len(parts)):
             lo, text = parts[k]
-            mark = labels[taught[lo + text.doc]]
+            mark = labels[lo + text.doc]
             if turn < passes // 2:  # windows by their text's label, as many of either
                 pick = np.concatenate([rng.choice(np.flatnonzero(mark == v), BATCH // 2) for v in np.unique(mark)])
             else:  # each text's worst window
@@ -186,50 +232,94 @@ def train(texts: pa.Array, labels: np.ndarray) -> Network:
                 grads[name][rows] = 0
             step.step(net.w, grads)
         step.rate = 0.01 * (1 - turn / passes) + 0.001
-    judged = np.flatnonzero(kept) if kept.any() else taught
-    scores = np.concatenate([net.worst(Text(data, offsets), hi - lo) for lo, hi, data, offsets in chunks(texts.take(pa.array(judged)), 1 << 19)])
+    return net
+
+
+def calibrate(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of whole texts, rising, and their probabilities of label 1."""
     order = np.argsort(scores, kind="stable")
-    mark = labels[judged][order].astype(float)
+    mark = labels[order].astype(float)
     weight = np.where(mark == 1, PRIOR / max(1, mark.sum()), (1 - PRIOR) / max(1, (1 - mark).sum()))
-    net.bounds, net.levels = isotonic(scores[order], mark, weight)
+    return isotonic(scores[order], mark, weight)
+
+
+def train(texts: pa.Array, labels: np.ndarray) -> Network:
+    """Fit and calibrate on whole texts and their 0/1 labels, in this process."""
+    kept = kept_back(labels)
+    taught = np.flatnonzero(~kept)
+    net = teach(pa.ListArray.from_arrays(pa.array(np.arange(len(taught) + 1, dtype=np.int32)), texts.take(pa.array(taught))), labels[taught])
+    judged = np.flatnonzero(kept) if kept.any() else taught
+    scores = [net.worst(Text(data, offsets), hi - lo) for lo, hi, data, offsets in chunks(texts.take(pa.array(judged)), 1 << 19)]
+    net.bounds, net.levels = calibrate(np.concatenate(scores), labels[judged])
     return net
 
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        found = [passages(data[a:b], key) for a, b, key in zip(offsets[:-1], offsets[1:], batch.column("key").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), batch.column("label"), pa.array(found, pa.list_(pa.binary()))], names=["key", "id", "label", "passages"])
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("label", pa.int32())]))
+    table = pa.Table.from_batches(list(batches), pa.schema([("passages", pa.list_(pa.binary())), ("label", pa.int32())]))
     if table.num_rows:
-        net = train(table.column("text").combine_chunks(), np.array(table.column("label")))
-        yield pa.RecordBatch.from_pydict({"weights": pa.array([gru.pack(net.w).tobytes()]), "bounds": pa.array([net.bounds.tolist()]), "levels": pa.array([net.levels.tolist()])})
+        net = teach(table.column("passages").combine_chunks(), np.array(table.column("label")))
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([gru.pack(net.w).tobytes()])})
 
 
 class Model:
     """A trained network's weights, read once in every task."""
 
-    def __init__(self, weights: bytes, bounds: list[float], levels: list[float]):
+    def __init__(self, weights: bytes, bounds: list[float] = (), levels: list[float] = ()):
         self.weights, self.bounds, self.levels = weights, bounds, levels
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def worst(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         net = Network()
         net.w = gru.unpack(np.frombuffer(self.weights, np.float32), net.w)
-        return np.interp(net.worst(Text(data, offsets), len(offsets) - 1), self.bounds, self.levels)
+        return net.worst(Text(data, offsets), len(offsets) - 1)
+
+    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.interp(self.worst(data, offsets), self.bounds, self.levels)
+
+
+def _judge(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch.column("text"), 1 << 20):
+                rest = [batch.column(c).slice(lo, hi - lo) for c in ("key", "id", "label")]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(model.worst(data, offsets))], names=["key", "id", "label", "score"])
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model | None:
     """Train in one task on a bounded sample of the labelled texts (see ``toxicity_scores``); without any, None.
 
-    The sample is chosen on ids and sizes; its at most 2 * SAMPLE ids are then
-    sent to the texts, so no other text is moved.
+    The sample is chosen on ids; its at most 2 * SAMPLE ids are then sent to
+    the texts, so no other text is moved.  The training task gets at most
+    SAMPLE_BYTES of each; the calibration's texts are scored whole, in place.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    sizes = rows.filter("id IS NOT NULL AND text IS NOT NULL").select("id", F.octet_length("text").alias("size"))
+    spark, kind = docs.sparkSession, docs.schema[id_column].dataType.simpleString()
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
     marks = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")).filter("label IN (0, 1)")
-    known = sizes.filter(F.col("size") <= SAMPLE_BYTES).select("id").join(marks, "id").distinct()
+    known = rows.select("id").join(marks, "id").distinct()
     chosen = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for v in (0, 1)]
-    chosen = F.broadcast(chosen[0].union(chosen[1]))  # 2 * SAMPLE ids at most
-    taken = rows.join(chosen, "id").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = taken.orderBy(F.xxhash64("id", "label"), "id", "text").limit(2 * SAMPLE).select("text", "label")
-    found = sample.coalesce(1).mapInArrow(_train, "weights binary, bounds array<double>, levels array<double>").collect()
-    return Model(bytes(found[0]["weights"]), found[0]["bounds"], found[0]["levels"]) if found else None
+    listed = chosen[0].union(chosen[1]).select("id", "label", F.xxhash64("id", "label").alias("key")).orderBy("key", "id").collect()  # 2 * SAMPLE rows at most
+    if not listed:
+        return None
+    kept = kept_back(np.array([r["label"] for r in listed]))
+    sample = spark.createDataFrame([(*r, bool(k)) for r, k in zip(listed, kept)], f"id {kind}, label int, key long, kept boolean")
+    taken = lambda ids: rows.join(F.broadcast(ids), "id").select("key", "id", "label", "text")
+    named = f"key long, id {kind}, label int"
+    # repeated rows of an id can make more than 2 * SAMPLE
+    teaching = taken(sample.filter("NOT kept")).mapInArrow(_passages, f"{named}, passages array<binary>")
+    teaching = teaching.orderBy("key", "id", "passages").limit(2 * SAMPLE).select("passages", "label")
+    model = Model(bytes(teaching.coalesce(1).mapInArrow(_train, "weights binary").collect()[0]["weights"]))
+    judged = taken(sample.filter("kept") if kept.any() else sample).mapInArrow(_judge(model), f"{named}, score double")
+    judged = judged.orderBy("key", "id", "score").limit(2 * SAMPLE).collect()
+    bounds, levels = calibrate(np.array([r["score"] for r in judged]), np.array([r["label"] for r in judged]))
+    return Model(model.weights, bounds.tolist(), levels.tolist())
 
 
 def _score(model: Model):
@@ -245,22 +335,30 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
     """Per row: id and score (0 to 1, higher: label 1 likelier).
 
     ``labels`` has ids and 0/1 labels of documents; of each label the first
-    SAMPLE texts of at most SAMPLE_BYTES bytes, by the hash of their ids,
-    train the network.  Null ids, texts and labels don't teach.  Without
+    SAMPLE texts, by the hash of their ids, train the network.  A text over
+    SAMPLE_BYTES bytes trains it by as many hash-chosen windows of the whole
+    text as fill them; every fifth text is scored whole and calibrates
+    instead.  Null ids, texts and labels don't teach.  Without
     labelled rows the score is 0.5.  Null and empty texts are scored as a
     window of padding; null ids and repeated rows are scored; an empty table
     gives no rows.  Other columns are ignored.
     """
+    return _scored(docs, learn(docs, labels, id_column, text_column, label_column), id_column, text_column)
+
+
+def _scored(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    model = learn(docs, labels, id_column, text_column, label_column)
     if model is None:
         return rows.select("id", F.lit(0.5).alias("score")).withColumnRenamed("id", id_column)
     return rows.mapInArrow(_score(model), f"id {kind}, score double").withColumnRenamed("id", id_column)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents, with all their columns, whose toxicity score is below ``least``; ``labels`` (doc_id, toxic) of them teach."""
+def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
+    """The documents, with all their columns, whose toxicity score is below ``least``; ``labels`` (doc_id, toxic) of them teach.
+
+    Without labelled rows nothing is known of any document, and all are kept.
+    """
     model = learn(docs, labels)
     return docs if model is None else keep_texts(docs, "text", lambda data, offsets: model.scores(data, offsets) < least)
 
@@ -270,5 +368,7 @@ def taught_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), taught_labels(spark, sf_dir))
-    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = learn(docs, taught_labels(spark, sf_dir))
+    toxic = F.lit(False) if model is None else F.col("score") >= LEAST  # as drop_toxic decides
+    return _scored(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", toxic.cast("int").alias("predicted"))

@@ -132,6 +132,40 @@ def test_toxicity_of_odd_rows(spark, tmp_path):
     assert kept.columns == documents(spark).columns and kept.count() <= 11
 
 
+def test_long_texts_teach_toxicity(spark):
+    """Toxic labels on long texts only, then labels on long texts only; the toxic passages begin past 8 kB."""
+    rng = np.random.default_rng(0)
+    clean = lambda n: [f"w{rng.integers(0, 500)}" for _ in range(n)]
+    foul = lambda n: [w if rng.random() < 0.8 else str(rng.choice(["nasty", "vile", "grub"])) for w in clean(n)]
+    toxic = [(i, " ".join([*clean(2_500), *foul(2_500)]), "en", "a") for i in range(60)]
+    for words in (200, 4_000):
+        rows = toxic + [(i, " ".join(clean(words)), "en", "a") for i in range(60, 180)]
+        docs = documents(spark, rows)
+        labels = spark.createDataFrame([(r[0], int(r[0] < 60)) for r in rows if r[0] % 3], "doc_id long, toxic int")
+        found = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, labels).collect()}
+        held = np.array([i for i in found if i % 3 == 0])
+        score = np.array([found[i] for i in held])
+        assert area(held < 60, score) > 0.97 and (score[held < 60] >= 0.3).mean() > 0.9 and (score[held >= 60] < 0.3).mean() > 0.8
+
+
+def test_passages_come_from_the_whole_of_a_long_text():
+    words = [f"w{i}" for i in range(200_000)]
+    found = toxicity.passages(np.frombuffer(" ".join(words).encode(), np.uint8), 3)
+    begin = [int(p.split()[0][1:]) for p in found]
+    assert all(p.decode().split() == words[a : a + 32] for a, p in zip(begin, found))
+    assert 4_000 < sum(map(len, found)) <= toxicity.SAMPLE_BYTES
+    assert np.histogram(begin, 4, (0, 200_000))[0].min() > 0
+    for text in (b"x" * 50_000, b" ".join([b"y" * 9_000] * 40), b"z" + b" " * 50_000 + b"z"):
+        found = toxicity.passages(np.frombuffer(text, np.uint8), 3)
+        assert found and 0 < sum(map(len, found)) <= toxicity.SAMPLE_BYTES and all(p.strip() for p in found)
+
+
+def test_without_labels_no_document_is_toxic(spark, tmp_path):
+    empty = tables(spark, f"{tmp_path}/a")
+    assert {r["predicted"] for r in QUERIES["op9_toxicity"](spark, empty).collect()} == {0}
+    assert toxicity.drop_toxic(documents(spark), toxicity.taught_labels(spark, empty)).count() == 11
+
+
 # ---- language model --------------------------------------------------------------
 
 
