@@ -192,16 +192,23 @@ class Network:
         return both @ self.w["in"] + self.w["bias"]
 
     def train(self, inputs: np.ndarray, updates: int = LEAST_UPDATES) -> None:
-        """Truncated backpropagation over documents laid end to end, in parallel strips; END tells them apart."""
-        rows = int(np.clip(len(inputs) // (STEPS * updates), FEW, MOST))
-        length = len(inputs) // rows
-        if length < 2:
+        """Truncated backpropagation over documents laid end to end, in parallel strips; END tells them apart.
+
+        Every token is wanted once, after the one before it; what pads the last strips is not.
+        """
+        if not len(inputs):
             return
-        strips = inputs[: rows * length].reshape(rows, length).T
+        rows = int(np.clip(len(inputs) // (STEPS * updates), FEW, MOST))
+        length = -(-len(inputs) // rows)
+        end = SINGLES * PREFIXES
+        line = np.full(1 + rows * length, end, np.int64)
+        line[1 : 1 + len(inputs)] = inputs
+        fed, strips = (x.reshape(rows, length).T for x in (line[:-1], line[1:]))
+        real = (np.arange(rows * length) < len(inputs)).reshape(rows, length).T
         adam, state = gru.Adam(self.w, 0.01), np.zeros((rows, UNITS), np.float32)
-        for lo in range(0, length - 1, STEPS):
-            now, after = strips[lo : lo + STEPS], strips[lo + 1 : lo + STEPS + 1]
-            now = now[: len(after)]
+        for lo in range(0, length, STEPS):
+            now, after, inside = (x[lo : lo + STEPS] for x in (fed, strips, real))
+            weight = (inside.ravel() / inside.sum()).astype(np.float32)
             kinds, prefixes, wanted = now // PREFIXES, now % PREFIXES, after // PREFIXES
             vectors = self.w["class"][kinds] + self.w["prefix"][prefixes]
             states, kept = gru.forward(vectors @ self.w["in"] + self.w["bias"], self.w["on"], state, True)
@@ -211,8 +218,8 @@ class Network:
             for at in range(0, len(flat), _ROWS):  # blocks that stay in the processor's cache
                 some = flat[at : at + _ROWS]
                 logits = _exponentials(some @ self.w["out"], self.w["base"])
-                logits *= (1 / (len(flat) * (logits @ _ONES)))[:, None]
-                logits[np.arange(len(some)), wanted[at : at + _ROWS]] -= np.float32(1 / len(flat))
+                logits *= (weight[at : at + _ROWS] / (logits @ _ONES))[:, None]
+                logits[np.arange(len(some)), wanted[at : at + _ROWS]] -= weight[at : at + _ROWS]
                 np.matmul(logits, self.w["out"].T, out=d_flat[at : at + _ROWS])
                 d_out += some.T @ logits
                 d_base += logits.sum(axis=0)

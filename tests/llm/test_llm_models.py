@@ -243,3 +243,17 @@ def test_windows_carry_the_state():
             fed = x
         assert found == pytest.approx(total / np.log(10), rel=1e-4)
         at += n
+
+
+def test_every_token_trains_the_network():
+    """Another token at the start or end of a batch of any size makes its class likelier."""
+    for n in (1, 5, 31, 47, 6_450):
+        for at in (0, n - 1):
+            base = []
+            for kind in (3, 99):
+                inputs = np.full(n, 3 * language_model.PREFIXES)
+                inputs[at] = kind * language_model.PREFIXES
+                net = language_model.Network()
+                net.train(inputs)
+                base.append(net.w["base"][99])
+            assert base[1] > base[0], (n, at)
