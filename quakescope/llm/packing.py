@@ -124,6 +124,20 @@ def _cut(rounds: Rounds, window: int):
     return run
 
 
+def _bases(placed: DataFrame) -> DataFrame:
+    """``placed`` (source, part, tokens, queue) with the tokens before each row in its queue, by part and then source.
+
+    Prefix sums over a queue's parts, and within each part over its sources:
+    no task gets all the sources that share a queue.
+    """
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("queue", "part").agg(F.sum("tokens").alias("all"))
+    parts = parts.select("queue", "part", F.coalesce(F.sum("all").over(before("queue").orderBy("part")), F.lit(0)).alias("ahead"))
+    within = F.coalesce(F.sum("tokens").over(before("queue", "part").orderBy(F.col("source").asc_nulls_first())), F.lit(0))
+    rows = placed.withColumn("within", within).join(parts, ["queue", "part"])
+    return rows.select("source", "part", "queue", (F.col("ahead") + F.col("within")).alias("base"))
+
+
 def pack(docs: DataFrame, path: str, last: int, window: int = 4096, shares: dict[str | None, float] | None = None, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """Pieces of all documents in windows of ``window`` tokens.
 
@@ -150,8 +164,7 @@ def pack(docs: DataFrame, path: str, last: int, window: int = 4096, shares: dict
     queues = docs.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(largest)], "source string, queue int")
     same = lambda a, b, *on: [a[c].eqNullSafe(b[c]) for c in on]
     placed = parts.join(F.broadcast(queues), same(parts, queues, "source"), "left").select(parts["source"], "part", "tokens", F.coalesce("queue", F.lit(len(largest))).alias("queue"))
-    before = Window.partitionBy("queue").orderBy("part", F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    bases = store(placed.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).drop("tokens"), "bases")
+    bases = store(_bases(placed), "bases")
     ready = encoded.join(bases, same(encoded, bases, "source", "part"))
     ready = ready.select("id", "queue", (F.col("base") + F.col("begin")).alias("start"), "doc_tokens", "ids")
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

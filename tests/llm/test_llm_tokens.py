@@ -128,3 +128,17 @@ def test_deficits_serve_everything_once():
     at = np.concatenate([np.arange(n) for n in totals])
     place = rounds.place(queue, at)
     assert np.array_equal(np.sort(place), np.arange(sum(totals)))
+
+
+def test_sources_of_a_shared_queue_are_summed_by_part(spark):
+    rng = np.random.default_rng(0)
+    rows = [(None if k == 5 else f"s{k:03}", part, int(rng.integers(1, 99)), int(k > 250)) for part in range(7) for k in rng.permutation(300)[:200].tolist()]
+    found = packing._bases(spark.createDataFrame(rows, "source string, part int, tokens long, queue int"))
+    want, at = [], [0, 0]
+    for source, part, tokens, queue in sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or "")):
+        want.append((source, part, queue, at[queue]))
+        at[queue] += tokens
+    assert {tuple(r) for r in found.collect()} == set(want)
+    windows = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum("source#" in line for line in windows) == 1
+    assert all("source#" not in line or "[queue#" in line and ", part#" in line.split("], [")[1] for line in windows)
