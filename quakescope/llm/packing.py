@@ -88,7 +88,7 @@ def pieces(rounds: Rounds, queue: np.ndarray, start: np.ndarray, tokens: np.ndar
 
 def _encode(path: str, last: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, queued = word_ids(path), TaskContext.get().partitionId(), {}
+        encoder, part, queued = word_ids(path, markers=True), TaskContext.get().partitionId(), {}
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 some = batch.slice(lo, ROWS)

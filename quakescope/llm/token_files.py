@@ -37,7 +37,7 @@ def item_type(vocabulary: int) -> np.dtype:
 
 def _write(folder: str, path: str, last: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, kind = word_ids(path), item_type(vocabulary)
+        encoder, kind = word_ids(path, markers=True), item_type(vocabulary)
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         fs, base = _place(folder)
         fs.create_dir(base, recursive=True)

@@ -142,3 +142,20 @@ def test_sources_of_a_shared_queue_are_summed_by_part(spark):
     windows = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
     assert len(windows) == 2 and sum("source#" in line for line in windows) == 1
     assert all("source#" not in line or "[queue#" in line and ", part#" in line.split("], [")[1] for line in windows)
+
+
+def test_markers_in_a_text_are_ids_as_by_the_librarys_default(spark):
+    default = Tokenizer.from_file(PATH)
+    random.seed(3)
+    signs = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "Ab", "é", "İ", ".", ",", " ", "\n", "<", "'s", "1", "\xa0"]
+    texts = ["".join(random.choice(signs) for _ in range(random.randint(0, 9))) for _ in range(5_000)] + [None, "a <|endof", "text|> b"]
+    want = [default.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    ids, counts = word_ids(PATH, markers=True).encode(pa.array(texts), 7)
+    edge = np.r_[0, np.cumsum(counts)]
+    assert [ids[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])] == want
+    folder = scratch_path(spark, "tokens")
+    docs = documents(spark, [(i, texts[i], "en", "a") for i in range(50)])
+    files = token_files.read_token_files(token_files.write_token_files(docs, folder, PATH, last=7), folder).collect()
+    assert {(r["id"], zlib.crc32(r["ids"])) for r in files} == {(i, crc(want[i])) for i in range(50)}
+    packed = packing.pack(docs, PATH, last=7).collect()
+    assert sum(r["length"] for r in packed) == sum(len(w) for w in want[:50])
