@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann import op1_ann
 from .byte_bpe import op2_byte_bpe
 from .exact_topk import OP6_SQL, op6_exact_topk
+from .hard_negatives import OP11_SQL, op11_hard_negatives
 from .language_model import op5_language_model
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .packing import op8_packing
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE = {
     "op3_near_dedup": OP3_SQL,
     "op6_exact_topk": OP6_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
