@@ -9,6 +9,7 @@ from .hard_negatives import OP11_SQL, op11_hard_negatives
 from .language_model import op5_language_model
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .packing import op8_packing
+from .pii import op12_pii
 from .quality import op4_quality
 from .spelling_variants import OP13_SQL, op13_spelling_variants
 from .substring_dedup import OP10_SQL, op10_substring_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_pii": op12_pii,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -35,5 +37,6 @@ ORACLE = {
     "op6_exact_topk": OP6_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
+    "op12_pii": op12_pii,
     "op13_spelling_variants": OP13_SQL,
 }
