@@ -312,12 +312,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     sample = spark.createDataFrame([(*r, bool(k)) for r, k in zip(listed, kept)], f"id {kind}, label int, key long, kept boolean")
     taken = lambda ids: rows.join(F.broadcast(ids), "id").select("key", "id", "label", "text")
     named = f"key long, id {kind}, label int"
-    # repeated rows of an id can make more than 2 * SAMPLE
+    # of an id's rows the least passages or score count: one row per id and label
     teaching = taken(sample.filter("NOT kept")).mapInArrow(_passages, f"{named}, passages array<binary>")
-    teaching = teaching.orderBy("key", "id", "passages").limit(2 * SAMPLE).select("passages", "label")
+    teaching = teaching.groupBy("key", "id", "label").agg(F.min("passages").alias("passages")).orderBy("key", "id").select("passages", "label")
     model = Model(bytes(teaching.coalesce(1).mapInArrow(_train, "weights binary").collect()[0]["weights"]))
     judged = taken(sample.filter("kept") if kept.any() else sample).mapInArrow(_judge(model), f"{named}, score double")
-    judged = judged.orderBy("key", "id", "score").limit(2 * SAMPLE).collect()
+    judged = judged.groupBy("key", "id", "label").agg(F.min("score").alias("score")).orderBy("key", "id").collect()
     bounds, levels = calibrate(np.array([r["score"] for r in judged]), np.array([r["label"] for r in judged]))
     return Model(model.weights, bounds.tolist(), levels.tolist())
 
@@ -338,8 +338,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
     SAMPLE texts, by the hash of their ids, train the network.  A text over
     SAMPLE_BYTES bytes trains it by as many hash-chosen windows of the whole
     text as fill them; every fifth text is scored whole and calibrates
-    instead.  Null ids, texts and labels don't teach.  Without
-    labelled rows the score is 0.5.  Null and empty texts are scored as a
+    instead.  Null ids, texts and labels don't teach; an id's
+    rows teach as one.  Without labelled rows the score is 0.  Null and empty texts are scored as a
     window of padding; null ids and repeated rows are scored; an empty table
     gives no rows.  Other columns are ignored.
     """
@@ -350,7 +350,7 @@ def _scored(docs: DataFrame, model: Model | None, id_column: str = "doc_id", tex
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     if model is None:
-        return rows.select("id", F.lit(0.5).alias("score")).withColumnRenamed("id", id_column)
+        return rows.select("id", F.lit(0.0).alias("score")).withColumnRenamed("id", id_column)
     return rows.mapInArrow(_score(model), f"id {kind}, score double").withColumnRenamed("id", id_column)
 
 
@@ -368,7 +368,6 @@ def taught_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = learn(docs, taught_labels(spark, sf_dir))
-    toxic = F.lit(False) if model is None else F.col("score") >= LEAST  # as drop_toxic decides
-    return _scored(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", toxic.cast("int").alias("predicted"))
+    """Scores of all whole ``documents`` texts; odd rows as in ``toxicity_scores``."""
+    scored = toxicity_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), taught_labels(spark, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= LEAST).cast("int").alias("predicted"))

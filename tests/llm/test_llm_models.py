@@ -124,7 +124,7 @@ def test_toxic_words_are_found_anywhere_in_a_text():
 def test_toxicity_of_odd_rows(spark, tmp_path):
     empty = tables(spark, f"{tmp_path}/a")
     rows = QUERIES["op9_toxicity"](spark, empty).collect()
-    assert len(rows) == 11 and {r["score"] for r in rows} == {0.5}
+    assert len(rows) == 11 and {r["score"] for r in rows} == {0.0}
     some = tables(spark, f"{tmp_path}/b", labels=[(1, 1, 0), (6, 1, 1), (6, 1, 1), (None, 1, 0), (2, 1, 1), (5, None, None), (7, 1, 0), (9, 1, 1)])
     scores = [r["score"] for r in QUERIES["op9_toxicity"](spark, some).collect()]
     assert len(scores) == 11 and all(0 <= s <= 1 for s in scores)
@@ -166,6 +166,19 @@ def test_without_labels_no_document_is_toxic(spark, tmp_path):
     assert toxicity.drop_toxic(documents(spark), toxicity.taught_labels(spark, empty)).count() == 11
 
 
+def test_an_id_repeated_more_often_than_the_sample_teaches_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 5)
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda scores, labels: seen.append(sorted(labels)) or (np.array([0.0]), np.array([0.0])))
+    rows = [(1, "plain words here", "en", "a")] * 60 + [(i, f"vile words {i} here", "en", "a") for i in range(2, 7)]
+    labels = spark.createDataFrame([(r[0], int(r[0] > 1)) for r in rows[59:]], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "kept_back", lambda label: np.ones(len(label), bool))  # all calibrate, so all are seen
+    monkeypatch.setattr(toxicity, "_train", lambda batches: iter([toxicity.pa.RecordBatch.from_pydict({"weights": [b""]})]))
+    monkeypatch.setattr(toxicity, "_judge", lambda model: lambda batches: (toxicity.pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "id", "label")), toxicity.pa.array([0.5] * b.num_rows)], names=["key", "id", "label", "score"]) for b in batches))
+    toxicity.learn(documents(spark, rows), labels)
+    assert seen == [[0, 1, 1, 1, 1, 1]]
+
+
 # ---- language model --------------------------------------------------------------
 
 
