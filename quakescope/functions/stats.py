@@ -34,6 +34,21 @@ def exact_mean(col: str | Column) -> Column:
     return F.try_divide(exact_sum(c), F.count(c).cast("double"))
 
 
+def sum_parts(col: str | Column, name: str) -> list[Column]:
+    """Aggregates from which ``merged_sum`` makes the sum of a larger group: exact, plain, and what the first leaves out."""
+    c = _c(col)
+    return [F.sum(c.try_cast(MEAN_DECIMAL)).alias(f"{name}_exact"), F.sum(c).alias(f"{name}_plain"),
+            _inexact(c).alias(f"{name}_left")]
+
+
+def merged_sum(name: str, times: Column | None = None) -> Column:
+    """Sum over groups kept as ``sum_parts``, each ``times`` an integer column if given; as ``exact_sum`` of all rows."""
+    exact, plain = F.col(f"{name}_exact"), F.col(f"{name}_plain")
+    if times is not None:
+        exact, plain = exact * times, plain * times
+    return F.when(F.sum(f"{name}_left") == 0, F.sum(exact).cast("double")).otherwise(F.sum(plain))
+
+
 def pct_of(part: str | Column, whole: str | Column, places: int = 2) -> Column:
     """``round(part / whole * 100, places)``; null when ``whole`` is 0."""
     return round_half_up(

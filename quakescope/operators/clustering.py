@@ -1,10 +1,11 @@
 """Seismic zones: standardised KMeans over (latitude, longitude, depth, mag).
 
 * ``fit_zones`` — MLlib ``Pipeline(VectorAssembler, StandardScaler, KMeans)``;
-  ``restarts`` > 1 keeps the fit with the lowest training cost (the restart
-  count of the single-machine variants), ``ddof=0`` scales by the population
-  standard deviation.  Each KMeans pass is a distributed aggregate; the
-  four feature columns are persisted (memory, then disk) for the fit.
+  ``restarts`` > 1 moves the centres of all starts together (``restarts``) and
+  keeps the one with the lowest cost (the restart count of the single-machine
+  variants), ``ddof=0`` scales by the population standard deviation.  Each
+  pass is a distributed aggregate; the four feature columns are persisted
+  (memory, then disk) for the fit.
 * ``standardize`` / ``assign_to_centres`` — the same maths in plain column
   expressions, for given centres (no fit), so it can be checked in SQL.
 * ``cluster_summary`` — per-zone count, mean position/depth/magnitude, max.
@@ -14,20 +15,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakescope.functions.labels import cluster_color, cluster_label, coord_label
 from quakescope.functions.stats import exact_mean, exact_sum, round_half_up
 from quakescope.operators.clean import all_present, feature_rows
+from quakescope.operators.restarts import refine, sampled_rows, spread_starts
 from quakescope.schema import FEATURES
 
 # Zone centres (latitude, longitude, depth km, magnitude) of the
@@ -65,6 +66,14 @@ def standardize(df: DataFrame, features: Sequence[str] = FEATURES, ddof: int = 1
     return rows.select(*features, *cols)
 
 
+def nearest(dists: Sequence[Column]) -> Column:
+    """Number of the least distance, the lowest on a tie."""
+    best, found = (F.least(*dists) if len(dists) > 1 else dists[0]), None
+    for i, d in enumerate(dists):
+        found = F.when(d == best, F.lit(i)) if found is None else found.when(d == best, F.lit(i))
+    return found.cast("int")
+
+
 def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]] = PUBLISHED_CENTRES,
                       features: Sequence[str] = FEATURES, ddof: int = 1,
                       keep: Sequence[str] = ()) -> DataFrame:
@@ -85,79 +94,96 @@ def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]] = PUBLIS
             term = term * term
             d = term if d is None else d + term
         dists.append(d)
-    best = F.least(*dists)
-    cluster = None
-    for i, d in enumerate(dists):
-        cluster = F.when(d == best, F.lit(i)) if cluster is None else cluster.when(d == best, F.lit(i))
-    return rows.withColumn("cluster", cluster.cast("int"))
-
-
-def _prep_pipeline(features: Sequence[str], scale: float | None) -> Pipeline:
-    stages = [VectorAssembler(inputCols=list(features), outputCol="features_raw"),
-              StandardScaler(inputCol="features_raw",
-                             outputCol="features" if scale is None else "features_s",
-                             withMean=True, withStd=True)]
-    if scale is not None:
-        stages.append(ElementwiseProduct(scalingVec=Vectors.dense([scale] * len(features)),
-                                         inputCol="features_s", outputCol="features"))
-    return Pipeline(stages=stages)
+    return rows.withColumn("cluster", nearest(dists))
 
 
 @dataclass
 class ZoneFit:
-    """A fitted zone model and its persisted training rows (the four features)."""
+    """Fitted zones: centres in units of ``unit`` around ``mean``, and the persisted training rows (the four features)."""
 
-    model: PipelineModel
+    zones: np.ndarray
+    mean: list[float]
+    unit: list[float]
     training: DataFrame
     cost: float
     features: tuple[str, ...] = tuple(FEATURES)
+    model: PipelineModel | None = None
+
+    def centres(self) -> list[list[float]]:
+        """The centres in raw units."""
+        return [[float(c * u + m) for c, u, m in zip(zone, self.unit, self.mean)] for zone in self.zones]
+
+    def squares(self, centres: Sequence[Sequence[float]]) -> list[Column]:
+        """Squared distances to centres given in raw units."""
+        found = []
+        for centre in centres:
+            terms = [((F.col(f) - F.lit(float(c))) / F.lit(u)) ** 2 for f, c, u in zip(self.features, centre, self.unit)]
+            found.append(sum(terms[1:], terms[0]))
+        return found
+
+    def assign(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Zone id of every row with all features present (a map-only pass); ``keep`` names further columns."""
+        rows = df.select(*keep, *[f for f in self.features if f not in keep]).filter(all_present(list(self.features)))
+        return rows.withColumn("cluster", nearest(self.squares(self.centres())))
 
     def assigned(self) -> DataFrame:
         """Training rows with their zone id (a map-only pass over the persisted rows)."""
-        out = self.model.transform(self.training)
-        return out.select(*self.features, F.col("cluster").cast("int").alias("cluster"))
+        return self.assign(self.training)
 
     def unpersist(self) -> None:
         self.training.unpersist()
 
 
+def _mllib_start(rows: DataFrame, features: Sequence[str], k: int, seed: int, max_iter: int):
+    """MLlib's pipeline on the rows: (scaler and KMeans models, cost)."""
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features_raw")
+    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True).fit(vectors.transform(rows))
+    scaled = scaler.transform(vectors.transform(rows)).select("features")
+    km = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed, maxIter=max_iter).fit(scaled)
+    return PipelineModel(stages=[vectors, scaler, km]), scaler, km
+
+
+def _scale(scaler: StandardScalerModel) -> tuple[list[float], list[float]]:
+    std = scaler.std.toArray()
+    return [float(m) for m in scaler.mean.toArray()], [float(s) if s > 0 else 1.0 for s in std]
+
+
 def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
               restarts: int = 1, ddof: int = 1,
-              features: Sequence[str] = FEATURES, parallel: int = 2) -> ZoneFit:
+              features: Sequence[str] = FEATURES) -> ZoneFit:
     """Fit the zone model on the rows with all features present.
 
-    The four feature columns are persisted (memory, then disk) once; one
-    pass fits the scaler, and each KMeans restart caches its own
-    deserialised vectors for its iterations (MLlib does so when its input is
-    not persisted).  Restarts are independent jobs, submitted from up to
-    ``parallel`` threads; the lowest training cost wins, ties to the
-    earliest seed.
+    The four feature columns are persisted (memory, then disk) once; MLlib's
+    pipeline scales them and fits KMeans.  With ``restarts`` its first step is
+    the first start and the others are spread over a bounded sample of rows;
+    all starts are then moved together, one pass over the rows an iteration,
+    and the lowest cost wins, ties to the earliest start.  The rows are
+    released if the fit raises.
     """
     rows = feature_rows(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    n = rows.count()  # also fills the cache
-    if not n:
+    try:
+        n = rows.count()  # also fills the cache
+        if not n:
+            raise ValueError("no rows with all features present: nothing to cluster")
+        many = max(1, restarts)
+        model, scaler, km = _mllib_start(rows, features, k, seed, max_iter if many == 1 else 1)
+        mean, unit = _scale(scaler)
+        first = np.array([c for c in km.clusterCenters()], float)
+        if many == 1:
+            zones, cost = first, km.summary.trainingCost
+        else:
+            sample = (sampled_rows(rows, n, seed) - mean) / unit
+            starts = spread_starts(sample, len(first), range(seed + 1, seed + many))
+            zones, costs = refine(rows, np.concatenate([first[None], starts]), mean, unit, max_iter - 1)
+            best = int(np.argmin(costs))
+            zones, cost, model = zones[best], float(costs[best]), None
+        if ddof == 0 and n > 1:  # the same zones in units of the population's deviation
+            factor = math.sqrt(n / (n - 1))
+            zones, unit, cost = zones * factor, [u / factor for u in unit], cost * factor * factor
+        return ZoneFit(zones, mean, unit, rows, cost, tuple(features), model)
+    except BaseException:
         rows.unpersist()
-        raise ValueError("no rows with all features present: nothing to cluster")
-    scale = None
-    if ddof == 0:
-        scale = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    prep = _prep_pipeline(features, scale).fit(rows)
-    scaled = prep.transform(rows)
-
-    def one(r: int):
-        km = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed + r,
-                    maxIter=max_iter).fit(scaled)
-        return r, km, km.summary.trainingCost
-
-    n_restarts = max(1, restarts)
-    if n_restarts == 1 or parallel <= 1:
-        fits = [one(r) for r in range(n_restarts)]
-    else:
-        with ThreadPoolExecutor(max_workers=min(parallel, n_restarts)) as pool:
-            fits = list(pool.map(one, range(n_restarts)))
-    _, best, cost = min(fits, key=lambda t: (t[2], t[0]))
-    model = PipelineModel(stages=list(prep.stages) + [best])
-    return ZoneFit(model, rows, cost, tuple(features))
+        raise
 
 
 def fit_check(fit: ZoneFit, centres: Sequence[Sequence[float]] = PUBLISHED_CENTRES) -> DataFrame:
@@ -165,18 +191,8 @@ def fit_check(fit: ZoneFit, centres: Sequence[Sequence[float]] = PUBLISHED_CENTR
     zones, events not at their nearest fitted centre, and whether the fit costs
     no more than the published centres."""
     features = list(fit.features)
-    prep, kmeans = fit.model.stages[:-1], fit.model.stages[-1]
-    scaler = prep[1]
-    mean, std = scaler.mean.toArray(), scaler.std.toArray()
-    factor = float(prep[2].getScalingVec()[0]) if len(prep) > 2 else 1.0
-    unit = [float(s) / factor if s > 0 else 1.0 for s in std]
-    own = [[float(c[i]) * unit[i] + float(mean[i]) for i in range(len(features))] for c in kmeans.clusterCenters()]
-
-    def square(centre) -> Column:
-        terms = [((F.col(f) - F.lit(float(c))) / F.lit(u)) ** 2 for f, c, u in zip(features, centre, unit)]
-        return sum(terms[1:], terms[0])
-
-    each = fit.assigned().withColumns({"_own": F.array(*map(square, own)), "_given": F.least(*map(square, centres))})
+    own, given = fit.squares(fit.centres()), fit.squares(centres)
+    each = fit.assigned().withColumns({"_own": F.array(*own), "_given": F.least(*given)})
     here = F.element_at("_own", F.col("cluster") + 1)
     return each.agg(
         F.count_distinct("cluster").alias("zones"), F.count(F.lit(1)).alias("events"),

@@ -56,10 +56,8 @@ def feeds(rows: DataFrame, with_zones: bool = True) -> dict[str, DataFrame]:
     if with_zones and not rows.isEmpty():  # nothing to cluster in an empty view
         fit = Z.fit_zones(rows, k=ZONES_K, max_iter=ZONES_ITER, restarts=ZONES_RESTARTS, ddof=0)
         out["zones"] = Z.zone_table(Z.cluster_summary(fit.assigned()))
-        with_ids = rows.select("id", "latitude", "longitude", "depth", "mag").filter(
-            C.all_present(["latitude", "longitude", "depth", "mag"]))
         out["cluster_map_sample"] = S.cluster_map_sample(
-            fit.model.transform(with_ids).select("id", "latitude", "longitude", "cluster"), CLUSTER_MAP_N)
+            fit.assign(rows, keep=["id"]).select("id", "latitude", "longitude", "cluster"), CLUSTER_MAP_N)
     return out
 
 
