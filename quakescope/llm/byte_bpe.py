@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 import sys
 import unicodedata
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_column, chunks, list_column
+from .common import CHUNK_BYTES, binary_column, chunks, list_column, tidy
 from .pieces import PieceStore, ranges, sums
 
 # classes of code points: letters that can end or go on a contraction stand alone
@@ -174,7 +175,10 @@ class ByteBpe:
             sizes[rank] = len(token)
         self.sizes, self.first = sizes, np.cumsum(sizes) - sizes
         self.flat = np.frombuffer(b"".join(token for token, _ in by_id), np.uint8)
-        self.store = PieceStore(lambda pieces: map(self.merge, pieces), 500_000)
+        written = [b"%d " % i for i in range(len(sizes))]
+        self.digits = np.fromiter(map(len, written), np.int64, len(written))
+        self.first_digit, self.numerals = np.cumsum(self.digits) - self.digits, np.frombuffer(b"".join(written), np.uint8)
+        self.store = PieceStore(lambda pieces: map(self.merge, pieces))
 
     def merge(self, piece: bytes) -> list[int]:
         if (known := self.ranks.get(piece)) is not None:
@@ -197,6 +201,10 @@ class ByteBpe:
         """Bytes of the tokens, each of its size, end to end."""
         return self.flat[ranges(self.first[ids], sizes)]
 
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        """The ids in decimal, a blank behind each, end to end."""
+        return self.numerals[ranges(self.first_digit[ids], self.digits[ids])]
+
 
 @functools.lru_cache(maxsize=4)
 def byte_bpe(path: str) -> ByteBpe:
@@ -208,6 +216,7 @@ def byte_bpe(path: str) -> ByteBpe:
 
 
 def _encode(path: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
         for batch in batches:
@@ -221,6 +230,7 @@ def _encode(path: str):
 
 
 def _decode(path: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
         for whole in batches:
@@ -255,10 +265,40 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(_decode(path), f"{kinds}, decoded binary")
 
 
+def _digests(path: str):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = byte_bpe(path)
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch.column("text"), CHUNK_BYTES // 2):
+                ids, counts = bpe.encode(data, offsets)
+                of_ids = _hashes(bpe.spelled(ids), sums(bpe.digits[ids], counts), 1)
+                of_bytes = _hashes(bpe.decode(ids, bpe.sizes[ids]), sums(bpe.sizes[ids], counts), 0)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(of_ids), pa.array(of_bytes)], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
+
+def _hashes(data: np.ndarray, sizes: np.ndarray, less: int) -> list[str]:
+    """sha256 of each run of ``sizes`` bytes but its last ``less``."""
+    raw, edge = memoryview(np.ascontiguousarray(data)), np.r_[0, np.cumsum(sizes)].tolist()
+    return [hashlib.sha256(raw[a : max(a, b - less)]).hexdigest() for a, b in zip(edge, edge[1:])]
+
+
+def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: id, n_tokens, ids_sha256, decoded_sha256: of the ids in decimal, one blank between, and of their bytes decoded.
+
+    What ``encode`` and ``decode`` give, hashed where it is made: one pass, and
+    no row carries its ids.  Odd rows as there; a text without tokens has the
+    hash of nothing.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    return rows.mapInArrow(_digests(path), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_column)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the whole texts of ``documents``, encoded and decoded; odd rows as in ``digests``."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    back = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path), path)
-    text = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -6,6 +6,8 @@ are the six ASCII blanks, so splitting bytes equals splitting characters.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,6 +56,29 @@ def width(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
 
 
+# ---- memory of Python workers ----------------------------------------------------
+
+
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    """The C library's call that gives freed memory back, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the memory that it freed goes back to the system: workers outlive their tasks and stages."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return whole
+
+
 # ---- text as bytes ---------------------------------------------------------------
 
 
@@ -103,6 +128,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def keep_texts(docs: DataFrame, text_column: str, judge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """The rows, with all their columns, whose text ``judge`` (bytes, offsets -> true or false each) keeps."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_column))

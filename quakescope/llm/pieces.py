@@ -7,7 +7,7 @@ from collections.abc import Callable, Hashable, Iterable
 import numpy as np
 
 #: Distinct pieces kept by a worker process; a full store is emptied.
-CACHE = 800_000
+CACHE = 300_000
 
 
 class _Numbers(dict):
@@ -23,6 +23,20 @@ class _Numbers(dict):
         return number
 
 
+class _Grown:
+    """An array that is added to at its end; room doubles, so that adding costs what is added."""
+
+    def __init__(self, kind: type):
+        self.room, self.used = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.used + len(values)
+        if end > len(self.room):
+            self.room = np.concatenate([self.room[: self.used], np.zeros(max(end, 2 * len(self.room)) - self.used, self.room.dtype)])
+        self.room[self.used : end] = values
+        self.used = end
+
+
 class PieceStore:
     def __init__(self, encode: Callable[[list], Iterable[list[int]]], most: int = CACHE):
         self.encode, self.most = encode, most
@@ -30,7 +44,9 @@ class PieceStore:
 
     def _clear(self) -> None:
         self.numbers = _Numbers()
-        self.first, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.begin, self.size, self.pool = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
+        for grown, value in ((self.begin, 0), (self.size, 1), (self.pool, 0)):  # entry 0 is the id ``last``
+            grown.add(np.array([value], grown.room.dtype))
 
     def lookup(self) -> _Numbers:
         """piece -> number, for the look-ups until the next ``gather``."""
@@ -44,13 +60,12 @@ class PieceStore:
         if fresh:
             found = list(self.encode(fresh))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            self.first = np.r_[self.first, self.first[-1] + np.cumsum(sizes)]
-            self.pool = np.r_[self.pool, flat]
-        # entry -1 reaches to the end of these, which is the id put behind the pool
-        begin, size = np.r_[self.first[:-1], len(self.pool)], np.r_[np.diff(self.first), 1]
-        begin, size, pool = begin[numbers], size[numbers], np.r_[self.pool, np.uint32(last)]
-        return pool[ranges(begin, size)], size
+            self.begin.add(self.pool.used + np.cumsum(sizes) - sizes)
+            self.size.add(sizes)
+            self.pool.add(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())))
+        self.pool.room[0] = last
+        size = self.size.room[numbers + 1]
+        return self.pool.room[ranges(self.begin.room[numbers + 1], size)], size
 
 
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
