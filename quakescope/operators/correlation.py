@@ -50,7 +50,7 @@ def correlation(df: DataFrame, pairs: Sequence[tuple[str, str]], columns: Sequen
     rows = feature_rows(df, columns)
     used = sorted({c for pair in pairs for c in pair})
     ranks = stored(twice_ranks(rows, used), "ranks")
-    plain = rows.agg(*[F.corr(x, y).alias(f"p{i}") for i, (x, y) in enumerate(pairs)]).first()
+    plain = rows.agg(*[F.covar_pop(x, y).alias(f"p{i}") for i, (x, y) in enumerate(pairs)], *[F.stddev_pop(c).alias(c) for c in used]).first()
     result = []
     big = "decimal(38,0)"
     for i, (x, y) in enumerate(pairs):
@@ -61,6 +61,6 @@ def correlation(df: DataFrame, pairs: Sequence[tuple[str, str]], columns: Sequen
         sums = ranked.agg(*[F.coalesce(F.sum((w * t).cast(big)), F.lit(0)).cast(big).alias(n) for n, t in
                             (("n", F.lit(1)), ("x", r), ("y", s), ("xx", (r * r).cast(big)), ("yy", (s * s).cast(big)), ("xy", (r * s).cast(big)))]).first()
         n, *rest = (int(v) for v in sums)
-        pearson = plain[f"p{i}"]
-        result.append((x, y, n, None if pearson is None or math.isnan(pearson) else float(pearson), _coefficient(n, *rest)))
+        spread = (plain[x] or 0.0) * (plain[y] or 0.0)
+        result.append((x, y, n, plain[f"p{i}"] / spread if spread > 0 else None, _coefficient(n, *rest)))
     return spark.createDataFrame(result, SCHEMA)

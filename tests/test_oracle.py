@@ -15,8 +15,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import TABLES, rows_of, type_diff  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
-from quakescope.plans.oracle import ORACLE  # noqa: E402
-from quakescope.plans.registry import QUERIES  # noqa: E402
+from quakescope.plans import analysis, analysis_sql, oracle, registry  # noqa: E402
+
+QUERIES = {**registry.QUERIES, **analysis.QUERIES}
+ORACLE = {**oracle.ORACLE, **analysis_sql.ORACLE}
 
 SLOW = {"kmeans_sampled", "report_bundle"}
 

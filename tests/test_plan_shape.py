@@ -59,6 +59,25 @@ def test_no_cross_joins_or_python_in_registered_queries(spark):
             assert node not in text, (key, node)
 
 
+def test_no_cross_joins_or_python_in_the_analyses(spark):
+    """Spark broadcasts by its own size check there; nothing is hinted, and no join is without a key."""
+    from quakescope.plans.analysis import QUERIES
+
+    for key, fn in QUERIES.items():
+        text = plan(fn(spark, SF_SMALL))
+        for node in FORBIDDEN:
+            assert node == "BroadcastExchange" or node not in text, (key, node)
+
+
+def test_a_read_of_the_stream_table_shuffles_nothing(spark):
+    from quakescope.operators.payload import event_payload
+    from quakescope.streaming.clean_stream import apply_batch, read_stream
+
+    out = scratch_path(spark, "stream-plan")
+    apply_batch(event_payload(quakes(spark, SF_SMALL)), out)
+    assert "Exchange" not in plan(read_stream(spark, out))
+
+
 def test_a_view_reads_its_input_once(spark, cat):
     text = plan(C.dashboard_view(C.display_clean(cat)))
     assert len(re.findall(r"^\(\d+\) Scan", text, re.M)) == 1

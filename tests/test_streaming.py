@@ -9,7 +9,8 @@ from quakescope.operators.payload import decode_payload, event_payload
 from quakescope.session import scratch_path
 from quakescope.sources.fixture import quakes
 from quakescope.sources.sinks import publish
-from quakescope.streaming.clean_stream import fold, hourly_cells, read_messages, read_stream, start_clean_sink
+from quakescope.streaming import clean_stream
+from quakescope.streaming.clean_stream import apply_batch, expire, fold, hourly_cells, read_messages, read_stream, start_clean_sink
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +61,46 @@ def test_hourly_cells_hold_every_event(spark, topic):
     cells = hourly_cells(rows)
     assert cells.agg(F.sum("event_count")).first()[0] == rows.filter(F.try_to_timestamp("time").isNotNull()).count()
     assert cells.filter(F.col("window_end") <= F.col("window_start")).count() == 0
+
+
+def test_an_empty_feed_is_an_empty_table(spark):
+    out = scratch_path(spark, "out")
+    assert read_stream(spark, out).count() == 0 and "year" in read_stream(spark, out).columns
+    assert apply_batch(spark.createDataFrame([], "value string"), out) == 0
+    assert apply_batch(spark.createDataFrame([("no json",)], "value string"), out) == 0
+    assert read_stream(spark, out).count() == 0
+
+
+def one_event(spark, **kw):
+    row = {"time": "2024-05-01T00:00:00.000Z", "latitude": 1.0, "longitude": 2.0, "depth": 3.0, "mag": 4.0, "rms": 0.5, "type": "earthquake"} | kw
+    import json
+
+    return spark.createDataFrame([(json.dumps(row),)], "value string")
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, topic):
+    out = scratch_path(spark, "out")
+    apply_batch(spark.read.text(topic), out)
+    before = clean_stream._pointer(spark, out, clean_stream._newest(spark, out))
+    apply_batch(one_event(spark, latitude=77.7), out)
+    after = clean_stream._pointer(spark, out, clean_stream._newest(spark, out))
+    changed = {b for b in after if before.get(b) != after[b]}
+    assert len(changed) == 1 and next(iter(changed)).startswith("2024-05-") and before.keys() <= after.keys()
+    assert read_stream(spark, out).filter("latitude = 77.7").count() == 1
+
+
+def test_a_reader_sees_whole_batches_and_old_folders_expire(spark, topic):
+    out = scratch_path(spark, "out")
+    apply_batch(spark.read.text(topic), out)
+    held = read_stream(spark, out)
+    rows = held.count()
+    # a batch that stops before its pointer is complete changes nothing for readers
+    newest = clean_stream._newest(spark, out)
+    spark.createDataFrame([("2024-05-1", "nowhere")], "bucket string, folder string").write.parquet(f"{out}/_pointers/{newest + 1:012d}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_pointers/{newest + 1:012d}/_SUCCESS")
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, False)
+    assert read_stream(spark, out).count() == rows
+    assert apply_batch(spark.read.text(topic), out) == newest + 1  # the same batch again
+    assert sorted(map(str, read_stream(spark, out).collect())) == sorted(map(str, held.collect()))
+    assert expire(spark, out) and read_stream(spark, out).count() == rows
+    assert expire(spark, out) == []
