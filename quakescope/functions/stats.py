@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal type of exact sums: 6 places, 12 integer digits.
+# Decimal type of sums that are merged later: 6 places, 12 integer digits.
 MEAN_DECIMAL = "decimal(18,6)"
 
 
@@ -13,19 +13,29 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _inexact(c: Column) -> Column:
-    """Values the decimal does not hold: more than 6 places, past 10^12, infinite or NaN."""
-    return F.count_if(c.isNotNull() & ~F.coalesce(c.try_cast(MEAN_DECIMAL).cast("double") == c, F.lit(False)))
+#: Millionths that a double holds exactly, and the low bits of their sum that are kept apart.
+_MOST, _LOW_BITS = 1 << 53, 20
+
+
+def _millionths(c: Column) -> Column:
+    """The value in whole millionths; null where it is finer, past 9 * 10^9, infinite or NaN."""
+    whole = F.rint(c * F.lit(1e6)).try_cast("bigint")
+    return F.when((F.abs(whole) < F.lit(_MOST)) & (whole.cast("double") / F.lit(1e6) == c), whole)
 
 
 def exact_sum(col: str | Column) -> Column:
-    """Sum over decimals where these hold every value of the group, else the plain sum.
+    """Sum over whole millionths where these hold every value of the group, else the plain sum.
 
-    The decimal sum does not depend on partitioning or row order; a double
-    sum may change in its last bits between runs on a cluster.
+    The sum of integers does not depend on partitioning or row order; a double
+    sum may change in its last bits between runs on a cluster.  High and low
+    bits are summed apart, in longs, so that no number of rows overflows them.
     """
     c = _c(col)
-    return F.when(_inexact(c) == 0, F.sum(c.try_cast(MEAN_DECIMAL)).cast("double")).otherwise(F.sum(c))
+    m = _millionths(c)
+    high, low = F.sum(F.shiftright(m, _LOW_BITS)), F.sum(m.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    whole = high.cast("decimal(19,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(19,0)")
+    exact = whole.cast("decimal(30,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    return F.when(F.count(m) == F.count(c), exact.cast("double")).otherwise(F.sum(c))
 
 
 def exact_mean(col: str | Column) -> Column:
@@ -34,6 +44,11 @@ def exact_mean(col: str | Column) -> Column:
     return F.try_divide(exact_sum(c), F.count(c).cast("double"))
 
 
+def _inexact(c: Column) -> Column:
+    """Values the decimal does not hold: more than 6 places, past 10^12, infinite or NaN."""
+    return F.count_if(c.isNotNull() & ~F.coalesce(c.try_cast(MEAN_DECIMAL).cast("double") == c, F.lit(False)))
+
+
 def sum_parts(col: str | Column, name: str) -> list[Column]:
     """Aggregates from which ``merged_sum`` makes the sum of a larger group: exact, plain, and what the first leaves out."""
     c = _c(col)

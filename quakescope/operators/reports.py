@@ -164,17 +164,21 @@ def ingestion_report(df: DataFrame) -> DataFrame:
     )
 
 
-def mag_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
+def mag_histogram(df: DataFrame, bins: int = 50, bounds: tuple[float, float] | None = None) -> DataFrame:
     """Equal-width magnitude histogram over [min, max]; the max falls in the last bin.
 
-    The two bounds come from one bounded aggregate row; bin edges are derived
-    from them, so every non-empty bin is listed with its edges.  Missing
+    The two bounds come from one bounded aggregate row, or are given (then the
+    rows are read once; magnitudes outside are left out); bin edges are
+    derived from them, so every non-empty bin is listed with its edges.  Missing
     magnitudes (null, NaN) are not binned; when all magnitudes are equal,
     everything falls in bin 1.
     """
     df = df.filter(present("mag"))
-    bounds = df.agg(F.min("mag").alias("lo"), F.max("mag").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
+    if bounds is None:
+        lo, hi = df.agg(F.min("mag").alias("lo"), F.max("mag").alias("hi")).first()
+    else:
+        lo, hi = bounds
+        df = df.filter(F.col("mag").between(float(lo), float(hi)))
     if lo is None:
         return df.select(F.lit(1).alias("bin"), F.lit(0.0).alias("bin_lo"),
                          F.lit(0.0).alias("bin_hi"), F.lit(0).cast("bigint").alias("jumlah")).limit(0)

@@ -27,7 +27,7 @@ from quakescope.plans import dashboard as D
 from quakescope.plans.batch import clean_table_columns, read_clean, write_clean
 from quakescope.plans.bundle import report_bundle, report_values
 from quakescope.schema import CATALOG_COLUMNS, FEATURES, HEADER_ALIASES
-from quakescope.session import scratch_path
+from quakescope.session import scratch_path, stored
 from quakescope.sources import catalog as io
 from quakescope.sources import sinks
 from quakescope.sources.fixture import quakes
@@ -109,17 +109,10 @@ def _clean_table(spark, sf):
     return read_clean(spark, path, clean_table_columns(raw))
 
 
-def _written(df, name):
-    """A small result written to the shared folder, so that what it was made from can be released."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _from_fit(fit, shape, name):
     """``shape(fit)`` written out; the fit's persisted rows are released."""
     try:
-        return _written(shape(fit), name)
+        return stored(shape(fit), name)
     finally:
         fit.unpersist()
 
@@ -400,21 +393,26 @@ def sample_small(spark, sf):
 
 # --- clustering --------------------------------------------------------------
 
+def _clean_features(spark, sf):
+    """The cleaned rows' features, written: scale and use read them without a second dedup."""
+    return stored(C.feature_rows(_clean(spark, sf)), "features")
+
+
 def standardized(spark, sf):
-    z = Z.standardize(_clean(spark, sf))
+    z = Z.standardize(_clean_features(spark, sf))
     return z.select(*FEATURES, *[round_half_up(f + "_z", 9).alias(f + "_z") for f in FEATURES])
 
 
 def assign_fixed_centroids(spark, sf):
-    return Z.assign_to_centres(_clean(spark, sf))
+    return Z.assign_to_centres(_clean_features(spark, sf))
 
 
 def cluster_summary_fixed(spark, sf):
-    return Z.cluster_summary(Z.assign_to_centres(_clean(spark, sf)))
+    return Z.cluster_summary(Z.assign_to_centres(_clean_features(spark, sf)))
 
 
 def cluster_labels(spark, sf):
-    return Z.zone_table(Z.cluster_summary(Z.assign_to_centres(_clean(spark, sf))))
+    return Z.zone_table(Z.cluster_summary(Z.assign_to_centres(_clean_features(spark, sf))))
 
 
 def cluster_map_fixed(spark, sf):
