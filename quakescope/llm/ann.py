@@ -36,7 +36,7 @@ from .exact_topk import best
 DIMENSIONS, TAU, SEED = 8, 0.96, 17
 #: Vectors of a cell that the sample aims at, bound of the sample, vectors of a shard and of a leaf, vectors verified at once.
 CELL_ROWS, SAMPLE, SHARD_ROWS, LEAF, STEP = 8192, 20_000, 8192, 64, 256
-#: Queries of a shard's group.
+#: Queries of a shard's group.  A cell that more queries visit is sent once for each such block.
 _BLOCK = 4096
 
 
@@ -280,6 +280,11 @@ def _shard(k: int):
     return run
 
 
+def copies(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows of the cells in ``blocks`` (size, cell, blocks), once for each block."""
+    return rows.join(blocks, ["size", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Each query's k nearest rows found, by Euclidean distance in double precision: query_id, rank, vec_id, score.
 
@@ -323,14 +328,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     asked = asked.select(F.explode("ids").alias("query_id"), F.col("vector").alias("asked"), "size", F.col("point").alias("q_point"), "cell")
     asked = store(asked.withColumn("bound", F.lit(float("inf"))), "asked")
 
-    blocks = max(1, math.ceil(asked.count() / _BLOCK))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
     def visit(wanted: DataFrame, name: str) -> DataFrame:
-        spread = wanted.join(filled, ["size", "cell"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-        spread = spread.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        # a cell's queries are dealt into blocks; its rows go once to each block, and not at all where no query goes
+        blocks = wanted.groupBy("size", "cell").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+        spread = wanted.join(filled, ["size", "cell"]).join(blocks, ["size", "cell"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+        spread = spread.withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
         spread = spread.select(*(F.col(c).alias(f"{c}_") for c in keys), "query_id", "asked", "q_point", "bound")
-        pairs = rows.groupBy(*keys).cogroup(spread.groupBy(*(f"{c}_" for c in keys)))
+        copied = copies(rows, blocks)
+        pairs = copied.groupBy(*keys).cogroup(spread.groupBy(*(f"{c}_" for c in keys)))
         return store(pairs.applyInArrow(_shard(k), "query_id long, vec_id long, square double"), name)
 
     order, keys = [F.col("square"), F.col("vec_id")], ("size", "cell", "shard", "block")
@@ -340,7 +345,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     known = known.withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
     schema = f"query_id long, asked {kind}, size int, point array<double>, cell int, bound double"
     further = known.select("query_id", "asked", "size", F.col("q_point").alias("point"), "cell", "bound").mapInArrow(_visits(cuts), schema).withColumnRenamed("point", "q_point")
-    away = visit(further, "away")
+    away = visit(store(further, "visits"), "away")
     merged = best(home.union(away).distinct(), k, order, "query_id")
     return merged.select("query_id", "rank", "vec_id", F.sqrt("square").alias("score"))
 

@@ -67,3 +67,11 @@ def test_chi_square_law():
     for x in (2.0, 7.0, 15.0):
         assert ann.chi_square(np.array(x)) == pytest.approx((draws <= x).mean(), abs=5e-3)
     assert ann.chi_square(np.array(ann.REACH)) == pytest.approx(ann.TAU)
+
+
+def test_rows_go_only_where_queries_go(spark):
+    rows = spark.createDataFrame([(4, c, 0, i) for c in range(5) for i in range(100)], "size int, cell int, shard int, id int")
+    blocks = spark.createDataFrame([(4, 1, 1), (4, 3, 2)], "size int, cell int, blocks int")
+    sent = ann.copies(rows, blocks)
+    assert {(r["cell"], r["block"]): r["count"] for r in sent.groupBy("cell", "block").count().collect()} == {(1, 0): 100, (3, 0): 100, (3, 1): 100}
+    assert sent.columns == ["size", "cell", "shard", "id", "block"]
