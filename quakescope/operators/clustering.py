@@ -67,11 +67,9 @@ def standardize(df: DataFrame, features: Sequence[str] = FEATURES, ddof: int = 1
 
 
 def nearest(dists: Sequence[Column]) -> Column:
-    """Number of the least distance, the lowest on a tie."""
-    best, found = (F.least(*dists) if len(dists) > 1 else dists[0]), None
-    for i, d in enumerate(dists):
-        found = F.when(d == best, F.lit(i)) if found is None else found.when(d == best, F.lit(i))
-    return found.cast("int")
+    """Number of the least distance, the lowest on a tie; each distance is computed once."""
+    numbered = [F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(dists)]
+    return (F.least(*numbered) if len(numbered) > 1 else numbered[0])["i"].cast("int")
 
 
 def assign_to_centres(df: DataFrame, centres: Sequence[Sequence[float]] = PUBLISHED_CENTRES,

@@ -50,7 +50,7 @@ def fold_rows(rows: DataFrame, centres: np.ndarray, shift: Sequence[float], unit
     names = [f"s{f}" for f in range(width)]
     schema = ", ".join(["zone int", "n long", "cost double", *(f"{c} double" for c in names)])
     parts = rows.mapInArrow(_fold(centres, np.array(shift), np.array(unit)), schema)
-    found = parts.groupBy("zone").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *names)]).orderBy("zone").collect()  # starts x k rows
+    found = parts.groupBy("zone").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *names)]).collect()  # starts x k rows
     n, cost, sums = np.zeros(starts * k, np.int64), np.zeros(starts * k), np.zeros((starts * k, width))
     for r in found:
         n[r["zone"]], cost[r["zone"]], sums[r["zone"]] = r["n"], r["cost"], [r[c] for c in names]
