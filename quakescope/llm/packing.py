@@ -23,12 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, store
+from .common import binary_column, chunks, store, tidy
 from .word_ids import word_ids
 
 #: Least run of tokens a source serves; binary digits of a quantum's fraction; queues (further sources share the last).
 SERVED, FRACTION, QUEUES = 256, 16, 1000
-ROWS, RUNS = 1000, 20_000
+#: Bytes of text encoded and tokens cut at once; runs placed at once, and rounds x queues of one block of them.
+TEXT_BYTES, TOKENS, RUNS, CELLS = 1 << 20, 1 << 18, 20_000, 1 << 21
 
 
 class Rounds:
@@ -57,9 +58,14 @@ class Rounds:
         for lo in range(0, len(at), RUNS):
             q, x = queue[lo : lo + RUNS], at[lo : lo + RUNS]
             each, back = np.unique(self.round_of(q, x // SERVED), return_inverse=True)
-            before, after = self.served(each), self.served(each + 1)
-            ahead = np.cumsum(after - before, axis=1) - (after - before)
-            out[lo : lo + RUNS] = before.sum(axis=1)[back] + ahead[back, q] + x - before[back, q]
+            order = np.argsort(back, kind="stable")
+            step = max(1, CELLS // max(1, len(self.total)))
+            for first in range(0, len(each), step):  # a block of rounds
+                some = order[np.searchsorted(back[order], first) : np.searchsorted(back[order], first + step)]
+                before, after = self.served(each[first : first + step]), self.served(each[first : first + step] + 1)
+                ahead = np.cumsum(after - before, axis=1) - (after - before)
+                row = back[some] - first
+                out[lo + some] = before.sum(axis=1)[row] + ahead[row, q[some]] + x[some] - before[row, q[some]]
         return out
 
 
@@ -87,11 +93,12 @@ def pieces(rounds: Rounds, queue: np.ndarray, start: np.ndarray, tokens: np.ndar
 
 
 def _encode(path: str, last: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, queued = word_ids(path, markers=True), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                some = batch.slice(lo, ROWS)
+            for lo, hi, _, _ in chunks(batch.column("text"), TEXT_BYTES):
+                some = batch.slice(lo, hi - lo)
                 ids, counts = encoder.encode(some.column("text"), last)
                 begin = []
                 for source, n in zip(some.column("source").to_pylist(), counts.tolist()):
@@ -105,11 +112,21 @@ def _encode(path: str, last: int):
     return run
 
 
+def _spells(tokens: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of runs of documents of about ``TOKENS`` tokens."""
+    ends, lo = np.cumsum(tokens), 0
+    while lo < len(tokens):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - tokens[lo] + TOKENS, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def _cut(rounds: Rounds, window: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                some = batch.slice(lo, ROWS)
+            for lo, hi in _spells(np.array(batch.column("doc_tokens"), np.int64)):
+                some = batch.slice(lo, hi - lo)
                 queue, start, tokens = (np.array(some.column(c), np.int64) for c in ("queue", "start", "doc_tokens"))
                 doc, at, size, place = pieces(rounds, queue, start, tokens, window)
                 flat = np.frombuffer(b"".join(some.column("ids").to_pylist()), "<u4")

@@ -73,6 +73,56 @@ def test_empty_files(spark):
     assert token_files.read_token_files(manifest, folder).count() == 0
 
 
+def test_large_ids_take_wide_items(spark, library):
+    folder = scratch_path(spark, "tokens")
+    manifest = token_files.write_token_files(documents(spark), folder, PATH, last=70_000)
+    assert {r["item_bytes"] for r in manifest.collect()} == {4}
+    rows = token_files.read_token_files(manifest, folder).collect()
+    assert all(np.frombuffer(r["ids"], "<u4")[-1] == 70_000 for r in rows)
+    first = next(r for r in rows if r["id"] == 1)
+    assert np.frombuffer(first["ids"], "<u4").tolist() == library(ROWS[0][1]) + [70_000]
+
+
+def test_a_folder_without_a_scheme_lies_where_spark_writes(spark, tmp_path):
+    assert token_files._qualified(spark, f"{tmp_path}/x") == f"file://{tmp_path}/x" == token_files._qualified(spark, f"file:{tmp_path}/x")
+
+
+@pytest.mark.parametrize("many", [1, 1000])
+def test_memory_of_long_texts_is_bounded_by_bytes(many):
+    """1,000 texts of 50 kB: the arrays of one slice at a time, not of all rows."""
+    import tracemalloc
+
+    text = " ".join(f"word{i % 997}" for i in range(6_000))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(1000)), "source": ["a"] * 1000, "text": [text] * 1000})
+    run = packing._encode(PATH, 2)
+
+    class Context:
+        partitionId = staticmethod(lambda: 0)
+
+    packing.TaskContext, kept = type("T", (), {"get": staticmethod(lambda: Context)}), packing.TaskContext
+    try:
+        tracemalloc.start()
+        for part in run(iter([batch.slice(0, many)])):
+            assert part.num_rows <= 1 + packing.TEXT_BYTES // len(text)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        packing.TaskContext = kept
+    assert peak < 500 << 20
+
+
+def test_many_queues_are_placed_in_blocks(monkeypatch):
+    rng = np.random.default_rng(0)
+    totals = rng.integers(1, 3_000, 400).tolist()
+    rounds = packing.Rounds(totals, totals, 4096)
+    queue = np.repeat(np.arange(400), totals)
+    at = np.concatenate([np.arange(t) for t in totals])
+    whole = rounds.place(queue, at)
+    monkeypatch.setattr(packing, "CELLS", 5_000)
+    assert np.array_equal(rounds.place(queue, at), whole)
+    assert np.array_equal(np.sort(whole), np.arange(sum(totals)))
+
+
 def check_packing(rows, docs, library, window):
     ids = {}
     for i, text, *_ in docs:
