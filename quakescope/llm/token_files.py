@@ -19,25 +19,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, scratch_path, store, width
+from .common import binary_column, chunks, scratch_path, store, tidy, width
 from .word_ids import word_ids
 
 _NO_ID = np.iinfo(np.int64).min
-#: Texts encoded and documents returned at once.
-ROWS = 1000
+#: Bytes of text encoded, and documents and tokens returned at once.
+TEXT_BYTES, ROWS, TOKENS = 1 << 20, 1000, 1 << 20
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system: one without a scheme lies where Spark's own writes go."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, _, rest = whole.partition(":")
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{'/' if scheme == 'file' else ''}{rest.lstrip('/')}"
 
 
 def _place(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    return pafs.FileSystem.from_uri(folder)
 
 
 def item_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
 
-def _write(folder: str, path: str, last: int, vocabulary: int):
+def _write(folder: str, path: str, last: int, kind: np.dtype):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, kind = word_ids(path, markers=True), item_type(vocabulary)
+        encoder, most = word_ids(path, markers=True), np.iinfo(kind).max
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         fs, base = _place(folder)
         fs.create_dir(base, recursive=True)
@@ -45,9 +54,11 @@ def _write(folder: str, path: str, last: int, vocabulary: int):
         sizes, keys = [], []
         with fs.open_output_stream(f"{names[0]}.{attempt}") as out:
             for batch in batches:
-                for lo in range(0, batch.num_rows, ROWS):
-                    some = batch.slice(lo, ROWS)
+                for lo, hi, _, _ in chunks(batch.column("text"), TEXT_BYTES):
+                    some = batch.slice(lo, hi - lo)
                     ids, counts = encoder.encode(some.column("text"), last)
+                    if ids.max(initial=0) > most:
+                        raise ValueError(f"id {ids.max()} does not fit the files' {kind.itemsize}-byte items")
                     out.write(ids.astype(kind).tobytes())
                     sizes.append(counts)
                     keys += [_NO_ID if k is None else k for k in some.column("id").to_pylist()]
@@ -61,39 +72,48 @@ def _write(folder: str, path: str, last: int, vocabulary: int):
     return run
 
 
-def write_token_files(docs: DataFrame, folder: str, path: str, last: int, vocabulary: int = 1 << 16, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, path: str, last: int, vocabulary: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Encode whole texts, end each with id ``last``, write them in ascending id order; returns the manifest.
 
-    The manifest has one row per file: part, docs, tokens, base (tokens in all
-    files before it).  ``vocabulary`` decides between 16- and 32-bit items.
-    Null and empty texts are just the ending id; null ids come first; repeated
-    ids stay together, ordered by text; an empty table gives empty files.
+    The manifest has one row per file: part, docs, tokens, item_bytes, base
+    (tokens in all files before it).  Items have 16 bits where the tokenizer's
+    ids, ``last`` and ``vocabulary`` (if given) fit them, else 32.  Null and
+    empty texts are just the ending id; null ids come first; repeated ids stay
+    together, ordered by text; ids of another type are cast to long, and one
+    that is no number raises; an empty table gives empty files.
     """
+    spark = docs.sparkSession
+    kind = item_type(max(vocabulary or 0, last + 1, len(word_ids(path, markers=True).ends_word)))
+    folder = _qualified(spark, folder)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     ordered = rows.repartitionByRange(width(docs), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    parts = store(ordered.mapInArrow(_write(folder, path, last, vocabulary), "part int, docs long, tokens long"), "manifest")
+    parts = store(ordered.mapInArrow(_write(folder, path, last, kind), "part int, docs long, tokens long"), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    return parts.withColumn("item_bytes", F.lit(kind.itemsize)).withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
-def _read(folder: str, vocabulary: int):
+def _read(folder: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = item_type(vocabulary)
         fs, base = _place(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 name = f"{base}/part-{row['part']:07d}"
                 if not row["docs"]:
                     continue
+                kind = np.dtype(f"<u{row['item_bytes']}")
                 if isinstance(fs, pafs.LocalFileSystem):
                     index, items = np.memmap(f"{name}.idx", "<i8", "r"), np.memmap(f"{name}.bin", kind, "r") if row["tokens"] else np.zeros(0, kind)
                 else:
                     index, items = (np.frombuffer(fs.open_input_file(f"{name}.{end}").read_buffer(), t) for end, t in (("idx", "<i8"), ("bin", kind)))
                 n = int(index[0])
                 offsets, keys = index[1 : n + 2], index[n + 2 :]
-                for lo in range(0, n, ROWS):
-                    edge = np.asarray(offsets[lo : lo + ROWS + 1])
-                    key = np.asarray(keys[lo : lo + ROWS])
+                lo = 0
+                while lo < n:
+                    hi = int(np.searchsorted(offsets[: n + 1], offsets[lo] + TOKENS, "right")) - 1
+                    hi = min(n, lo + ROWS, max(lo + 1, hi))
+                    edge, key = np.asarray(offsets[lo : hi + 1]), np.asarray(keys[lo:hi])
+                    lo = hi
                     ids = items[edge[0] : edge[-1]].astype("<u4")
                     counts = np.diff(edge)
                     yield pa.RecordBatch.from_pydict({"id": pa.array(key, mask=key == _NO_ID), "start": pa.array(row["base"] + edge[:-1]), "n_tokens": pa.array(counts), "ids": binary_column(ids, counts)})
@@ -101,10 +121,10 @@ def _read(folder: str, vocabulary: int):
     return run
 
 
-def read_token_files(manifest: DataFrame, folder: str, vocabulary: int = 1 << 16) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit), from the files."""
     spread = manifest.repartition(max(1, width(manifest)), "part")
-    return spread.mapInArrow(_read(folder, vocabulary), "id long, start long, n_tokens long, ids binary")
+    return spread.mapInArrow(_read(_qualified(manifest.sparkSession, folder)), "id long, start long, n_tokens long, ids binary")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
