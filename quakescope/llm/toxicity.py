@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, text_bytes, word_hashes
+from .common import chunks, find_words, fold, keep_texts, lower_ascii, mix, text_bytes, tidy, word_hashes
 from .pieces import ranges
 from .quality import isotonic
 
@@ -254,6 +254,7 @@ def train(texts: pa.Array, labels: np.ndarray) -> Network:
     return net
 
 
+@tidy
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
@@ -261,6 +262,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), batch.column("label"), pa.array(found, pa.list_(pa.binary()))], names=["key", "id", "label", "passages"])
 
 
+@tidy
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(list(batches), pa.schema([("passages", pa.list_(pa.binary())), ("label", pa.int32())]))
     if table.num_rows:
@@ -284,6 +286,7 @@ class Model:
 
 
 def _judge(model: Model):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text"), 1 << 20):
@@ -323,6 +326,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 
 def _score(model: Model):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text"), 1 << 20):
