@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -158,6 +158,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     ]
 
 
+@tidy
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, bases, found, many = [], [], [], 0
