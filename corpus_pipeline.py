@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it
 kept; its result is written to the shared folder and read back.  All but the
 last return the columns of ``documents``; the last returns the packed pieces.
+
+Null and empty texts, null and repeated ids, further columns and empty tables
+pass through every stage: null and empty texts are judged as a text without
+signs, are near duplicates of nothing and are packed as their ending id;
+repeated rows are near duplicates of each other, so one stays; a text of any
+length is worked on whole.
 """
 
 from __future__ import annotations

@@ -225,6 +225,7 @@ def with_zone_labels(df: DataFrame) -> DataFrame:
 
 def zone_table(summary: DataFrame) -> DataFrame:
     """Display table of the zones: label, count, centre text, rounded means."""
+    # The page's headings.
     return summary.select(
         cluster_label("cluster").alias("Zona"),
         F.col("jumlah_event").alias("Jumlah Event"),

@@ -78,6 +78,7 @@ PAYLOAD_STRING_DEFAULTS = {"magType": "unknown", "place": "unknown", "type": "ea
 TOPIC = "gempa-stream"
 
 # Report bundle written by the batch job and read by the dashboard.
+# Names and types of the report's parts.
 PIPELINE_METRICS = StructType([
     StructField("raw_records", LongType(), True),
     StructField("clean_records", LongType(), True),
