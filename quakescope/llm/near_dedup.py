@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_column, chunks, find_words, hash_ranges, list_column, lower_ascii, mix, store, word_hashes
+from .common import binary_column, chunks, find_words, hash_ranges, list_column, lower_ascii, mix, store, tidy, word_hashes
 from .components import components
 
 REGISTERS, BAND, BASE, RATE, TOP = 256, 6, 1.001, 20.0, 65_534
@@ -121,6 +121,7 @@ def jaccard_likelihood(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nd
 
 
 def _sketch(size: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
@@ -136,6 +137,7 @@ def _sketch(size: int):
 
 
 def _sets(size: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
@@ -145,6 +147,7 @@ def _sets(size: int):
     return run
 
 
+@tidy
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = batch.column("members").to_pylist()
@@ -153,6 +156,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(packed), np.int64)), ids], names=["shingle", "id"])
 
 
+@tidy
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
@@ -165,6 +169,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _likely(percent: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = percent / 100
         slack = MARGIN * np.sqrt(least * (1 - least) / REGISTERS)
@@ -180,6 +185,7 @@ def _likely(percent: int):
 
 
 def _confirm(percent: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, find_words, fold, keep_texts, list_column, lower_ascii, mix, store, word_hashes
+from .common import chunks, find_words, fold, keep_texts, list_column, lower_ascii, mix, store, tidy, word_hashes
 
 FEATURES, RIDGE, BINS, SEED = 256, 1e-3, 1000, 11
 _GROUPS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t\x0b\x0c", "\n\r", ".", ",", "!?", "|", "%&*$#@^~=+_", "'\"-():;/", "<>[]{}\\`")
@@ -38,7 +38,7 @@ def _distinct(hashes: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 
 def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One row of STATISTICS numbers per text; an empty text has zeros."""
+    """One row of STATISTICS numbers per text; an empty text has zeros but for its one line."""
     docs = len(offsets) - 1
     sizes = np.diff(offsets)
     owner = np.repeat(np.arange(docs), sizes)
@@ -58,6 +58,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ]).astype(np.float32)
 
 
+@tidy
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in chunks(batch.column("text")):
@@ -91,6 +92,7 @@ class Quality:
 
 
 def _equations(model: Quality):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((FEATURES + 1, FEATURES + 3))
         for batch in batches:
@@ -106,6 +108,7 @@ def _add(table: pa.Table) -> pa.Table:
 
 
 def _binned(model: Quality):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = np.clip(model.raw(_rows(batch.column("stats"))), -0.5, 1.5)
@@ -158,6 +161,7 @@ def fit(stats: DataFrame, labelled: DataFrame) -> Quality:
 
 
 def _score(model: Quality):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _rows(batch.column("stats")) if batch.num_rows else np.zeros((0, STATISTICS))
@@ -189,7 +193,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents, with all their columns, whose quality score is at least ``least``."""
+    """The documents, with all their columns, whose quality score is at least ``least``; odd rows as in ``quality_scores``."""
     model, _ = learn(docs, labels)
     return keep_texts(docs, "text", lambda data, offsets: model.score(statistics(data, offsets)) >= least)
 
