@@ -40,21 +40,34 @@ def forward(x: np.ndarray, u: np.ndarray, start: np.ndarray, trace: bool = False
 
 def backward(grad: np.ndarray, kept: list, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of ``x`` and ``u`` from the gradient of every state."""
-    units = u.shape[0]
-    dx = np.empty((*grad.shape[:2], 3 * units), grad.dtype)
-    du, carry = np.zeros_like(u), np.zeros_like(grad[0])
-    for t in range(len(kept) - 1, -1, -1):
+    units, steps, rows = u.shape[0], *grad.shape[:2]
+    dx = np.empty((steps, rows, 3 * units), grad.dtype)
+    flow = np.empty_like(dx)  # what reaches the recurrent products
+    carry, left, a, b, turned = np.zeros_like(grad[0]), np.empty_like(grad[0]), np.empty_like(grad[0]), np.empty_like(grad[0]), np.ascontiguousarray(u.T)
+    for t in range(steps - 1, -1, -1):
         h, z, r, inner, new = kept[t]
-        d = grad[t] + carry
-        d_new = d * (1 - z) * (1 - new * new)
-        dx[t, :, :units] = d * (h - new) * z * (1 - z)
-        dx[t, :, units : 2 * units] = d_new * inner * r * (1 - r)
-        dx[t, :, 2 * units :] = d_new
-        step = dx[t].copy()
-        step[:, 2 * units :] *= r
-        du += h.T @ step
-        carry = d * z + step @ u.T
-    return dx, du
+        carry += grad[t]
+        np.subtract(1, z, out=left)
+        left *= carry
+        # candidate: carry (1 - z) (1 - new^2)
+        np.multiply(new, new, out=a)
+        np.subtract(1, a, out=a)
+        d_new = np.multiply(a, left, out=dx[t, :, 2 * units :])
+        # update gate: carry (1 - z) z (h - new)
+        np.subtract(h, new, out=a)
+        a *= z
+        np.multiply(a, left, out=dx[t, :, :units])
+        # reset gate: d_new inner r (1 - r)
+        np.multiply(d_new, r, out=b)
+        np.subtract(1, r, out=a)
+        a *= inner
+        np.multiply(a, b, out=dx[t, :, units : 2 * units])
+        flow[t, :, : 2 * units] = dx[t, :, : 2 * units]
+        flow[t, :, 2 * units :] = b
+        carry *= z
+        carry += flow[t] @ turned
+    states = np.stack([k[0] for k in kept]).reshape(-1, units)
+    return dx, states.T @ flow.reshape(-1, 3 * units)
 
 
 class Adam:

@@ -24,13 +24,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import binary_column, chunks, find_words, fold, lower_ascii, store, word_hashes
+from .common import binary_column, chunks, find_words, fold, lower_ascii, store, tidy, word_hashes
 
 CLASSES, SINGLES, PREFIXES, UNITS, WIDTH = 128, 56, 64, 32, 16
 #: Frequent tokens whose counts every task holds (16 bytes each); the rest are joined.
@@ -42,6 +43,8 @@ SMOOTH = 0.1
 _FOLD_ROWS = 500_000
 #: Documents scored side by side, and the groups of them that a task trains on at once.
 SIDE, FEW, MOST = 1000, 16, 512
+#: Tokens of the documents that a task trains on or scores at once (a longer one counts as one).
+SPELL = 1 << 22
 _ROWS = 2048
 
 
@@ -63,12 +66,21 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes, tail, head, words + 1
 
 
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order of appearance, a place of each, and the number of every hash among them."""
+    at, keys = pd.factorize(hashes)
+    one = np.empty(len(keys), np.int64)
+    one[at] = np.arange(len(at))
+    return keys, one, at
+
+
+@tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: list[tuple[np.ndarray, ...]] = []
 
     def folded() -> tuple[np.ndarray, ...]:
         h, t, n = (np.concatenate(x) for x in zip(*kept))
-        keys, one, at = np.unique(h, return_index=True, return_inverse=True)
+        keys, one, at = _numbered(h)
         return keys, t[one], np.bincount(at, n).astype(np.int64)
 
     def sent(h, t, n):
@@ -131,12 +143,13 @@ class Vocabulary:
 
 
 def _encode(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, row = shared.value, TaskContext.get().partitionId() << 36
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 hashes, tails, heads, counts = _tokens(data, offsets)
-                keys, one, at = np.unique(hashes, return_index=True, return_inverse=True)
+                keys, one, at = _numbered(hashes)
                 kind = vocabulary.classes(keys, tails[one])
                 count = vocabulary.frequent(keys)
                 doc = np.repeat(np.arange(hi - lo), counts)
@@ -154,6 +167,7 @@ def _encode(shared):
     return run
 
 
+@tidy
 def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, packed in zip(batch.column("row").to_pylist(), batch.column("rare").to_pylist()):
@@ -162,7 +176,7 @@ def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row)), pa.array(keys), pa.array(n)], names=["row", "token", "times"])
 
 
-_ONES, _LEAST = np.ones(CLASSES, np.float32), np.float32(1e-37)
+_ONES, _SUMMED, _LEAST = np.ones(CLASSES, np.float32), np.ones(_ROWS, np.float32), np.float32(1e-37)
 
 
 def _exponentials(logits: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -222,13 +236,14 @@ class Network:
                 logits[np.arange(len(some)), wanted[at : at + _ROWS]] -= weight[at : at + _ROWS]
                 np.matmul(logits, self.w["out"].T, out=d_flat[at : at + _ROWS])
                 d_out += some.T @ logits
-                d_base += logits.sum(axis=0)
+                d_base += _SUMMED[: len(some)] @ logits
             dx, du = gru.backward(d_flat.reshape(states.shape), kept, self.w["on"])
             dx = dx.reshape(-1, 3 * UNITS)
             d = dx @ self.w["in"].T
-            fold_by = lambda at, n: np.stack([np.bincount(at.ravel(), d[:, k], n) for k in range(WIDTH)], axis=1).astype(np.float32)
+            fed_at = now.ravel()
+            both = np.stack([np.bincount(fed_at, d[:, k], CLASSES * PREFIXES) for k in range(WIDTH)], axis=1).reshape(CLASSES, PREFIXES, WIDTH).astype(np.float32)
             grads = {
-                "class": fold_by(kinds, CLASSES), "prefix": fold_by(prefixes, PREFIXES), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0),
+                "class": both.sum(axis=1), "prefix": both.sum(axis=0), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0),
                 "on": du, "out": d_out, "base": d_base,
             }
             adam.rate = 0.01 * (1 - 0.8 * lo / length)
@@ -266,14 +281,25 @@ def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(batch.column("inputs").to_pylist()), "<u2"), np.array(batch.column("n_tokens"), np.int64)
 
 
+def _spells(batch: pa.RecordBatch, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Runs of whole documents of about ``SPELL`` tokens and at most ``most`` rows."""
+    ends, lo = np.cumsum(np.array(batch.column("n_tokens"), np.int64)), 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SPELL, "right"))
+        hi = min(lo + most, max(lo + 1, hi))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _train(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen = Network(), 0
         net.w = {k: w.copy() for k, w in shared.value.items()}
         for batch in batches:
-            if batch.num_rows:
-                inputs, _ = _documents(batch)
-                net.train(inputs.astype(np.int64))
+            for some in _spells(batch):
+                inputs, _ = _documents(some)
+                net.train(inputs)
                 seen += len(inputs)
         part = TaskContext.get().partitionId() % 64
         if seen:
@@ -304,12 +330,12 @@ def fit(encoded: DataFrame) -> Network:
 
 
 def _score(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network()
         net.w = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, SIDE):
-                some = batch.slice(lo, SIDE)
+            for some in _spells(batch, SIDE):
                 inputs, counts = _documents(some)
                 rest = [c for c in some.schema.names if c not in ("inputs",)]
                 yield pa.RecordBatch.from_arrays([*(some.column(c) for c in rest), pa.array(net.log_likelihood(inputs, counts))], names=[*rest, "class_score"])
