@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, binary_column, chunks, find_words, hash_ranges, width, window_starts, word_hashes
+from .common import CHUNK_BYTES, binary_column, chunks, find_words, hash_ranges, tidy, width, window_starts, word_hashes
 
 _PLACES = "docs binary, many binary, low binary, high binary"
 _SENT = f"bucket int, chunk long, once binary, twice binary, {_PLACES}"
@@ -68,6 +68,7 @@ def _unpacked(docs: bytes, many: bytes, low: bytes, high: bytes) -> tuple[np.nda
 def _send(size: int, buckets: int):
     schema = _arrow(_SENT)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -155,6 +156,7 @@ def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     return replies.groupBy("chunk").applyInArrow(_merge(size), _SPANS).dropDuplicates(["row_key"])
 
 
+@tidy
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         starts_in, ends_in = batch.column("starts").to_pylist(), batch.column("ends").to_pylist()
@@ -204,7 +206,7 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
-    """The documents with their repeated passages cut out; texts without any stay as they are."""
+    """The documents with their repeated passages cut out; texts without any (null ones too) stay as they are; other odd rows as in ``substring_dedup``."""
     out = substring_dedup(docs, size=size).withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
@@ -212,6 +214,7 @@ def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and removals of all whole ``documents`` texts; odd rows as in ``substring_dedup``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = substring_dedup(docs, size=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
