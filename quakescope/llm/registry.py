@@ -37,6 +37,5 @@ ORACLE = {
     "op6_exact_topk": OP6_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
-    "op12_pii": op12_pii,
     "op13_spelling_variants": OP13_SQL,
 }
