@@ -42,7 +42,7 @@ def backward(grad: np.ndarray, kept: list, u: np.ndarray) -> tuple[np.ndarray, n
     """Gradients of ``x`` and ``u`` from the gradient of every state."""
     units, steps, rows = u.shape[0], *grad.shape[:2]
     dx = np.empty((steps, rows, 3 * units), grad.dtype)
-    flow = np.empty_like(dx)  # what reaches the recurrent products
+    flow, du = np.empty((rows, 3 * units), grad.dtype), np.zeros(u.shape, grad.dtype)  # flow: what reaches a step's recurrent products
     carry, left, a, b, turned = np.zeros_like(grad[0]), np.empty_like(grad[0]), np.empty_like(grad[0]), np.empty_like(grad[0]), np.ascontiguousarray(u.T)
     for t in range(steps - 1, -1, -1):
         h, z, r, inner, new = kept[t]
@@ -62,12 +62,12 @@ def backward(grad: np.ndarray, kept: list, u: np.ndarray) -> tuple[np.ndarray, n
         np.subtract(1, r, out=a)
         a *= inner
         np.multiply(a, b, out=dx[t, :, units : 2 * units])
-        flow[t, :, : 2 * units] = dx[t, :, : 2 * units]
-        flow[t, :, 2 * units :] = b
+        flow[:, : 2 * units] = dx[t, :, : 2 * units]
+        flow[:, 2 * units :] = b
+        du += h.T @ flow
         carry *= z
-        carry += flow[t] @ turned
-    states = np.stack([k[0] for k in kept]).reshape(-1, units)
-    return dx, states.T @ flow.reshape(-1, 3 * units)
+        carry += flow @ turned
+    return dx, du
 
 
 class Adam:

@@ -1,11 +1,14 @@
 """Gated recurrent language model with a class-factored softmax.
 
-log P(token) = log P(class | state) + log P(token | class).  The first factor
-is a softmax over 128 classes on the state of a gated recurrent unit; the
-second a softmax whose logits are log(count + 0.1) of the class's tokens, from
-the counts of the whole training corpus, with one unseen token a class.  The
-most frequent tokens and the document end are classes of their own; other
-tokens are classed by their last two bytes.
+log P(token) = log P(class | state) + log P(group | class, state)
++ log P(token | group).  The first factor is a softmax over 128 classes on the
+state of a gated recurrent unit.  The second is a softmax over the class's
+groups of tokens: the state's logits, trained with the first, are added to the
+logarithms of the groups' counts.  The third are the tokens' shares of their
+group, (count + 0.1) of the whole training corpus, with one unseen token a
+group.  The most frequent tokens and the document end are classes of their
+own; other tokens are classed by their last two bytes and grouped by the first
+two.
 
 1. One pass counts all training tokens (folded in the task, summed in Spark).
 2. One pass turns every document into input numbers (two bytes a token) and
@@ -34,6 +37,8 @@ from . import gru
 from .common import binary_column, chunks, find_words, fold, lower_ascii, store, tidy, word_hashes
 
 CLASSES, SINGLES, PREFIXES, UNITS, WIDTH = 128, 56, 64, 32, 16
+#: Groups of a class's tokens: two prefix numbers each.
+GROUPS = PREFIXES // 2
 #: Frequent tokens whose counts every task holds (16 bytes each); the rest are joined.
 HEAD = 1 << 17
 #: The rounds' shares of the training documents, in sixteenths; steps of a window; least steps a task trains.
@@ -41,8 +46,8 @@ ROUNDS, STEPS, LEAST_UPDATES, SEED = (1, 3, 4, 8), 32, 200, 7
 END = np.uint64(0x5DEECE66D)  # stands for the document end; its input has a prefix of its own
 SMOOTH = 0.1
 _FOLD_ROWS = 500_000
-#: Documents scored side by side, and the groups of them that a task trains on at once.
-SIDE, FEW, MOST = 1000, 16, 512
+#: Documents scored side by side, and the least and most strips that a task trains on at once.
+SIDE, FEW, MOST = 256, 16, 512
 #: Tokens of the documents that a task trains on or scores at once (a longer one counts as one).
 SPELL = 1 << 22
 _ROWS = 2048
@@ -79,17 +84,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: list[tuple[np.ndarray, ...]] = []
 
     def folded() -> tuple[np.ndarray, ...]:
-        h, t, n = (np.concatenate(x) for x in zip(*kept))
+        h, f, n = (np.concatenate(x) for x in zip(*kept))
         keys, one, at = _numbered(h)
-        return keys, t[one], np.bincount(at, n).astype(np.int64)
+        return keys, f[one], np.bincount(at, n).astype(np.int64)
 
-    def sent(h, t, n):
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(t.astype(np.int32)), pa.array(n)], names=["token", "tail", "n"])
+    def sent(h, f, n):
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f), pa.array(n)], names=["token", "form", "n"])
 
     for batch in batches:
         for _, _, data, offsets in chunks(batch.column("text")):
-            hashes, tail, _, _ = _tokens(data, offsets)
-            kept.append((hashes, tail, np.ones(len(hashes), np.int64)))
+            hashes, tail, head, _ = _tokens(data, offsets)
+            kept.append((hashes, tail.astype(np.int32) * PREFIXES + head, np.ones(len(hashes), np.int64)))
             if sum(len(k[0]) for k in kept) > 3 * _FOLD_ROWS:
                 kept = [folded()]
                 if len(kept[0][0]) > _FOLD_ROWS:
@@ -99,37 +104,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """What every task knows of the counts: classes, their sizes, and the frequent tokens."""
+    """What every task knows of the counts: classes, the sizes of their groups, and the frequent tokens.
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray, tails: np.ndarray, tail_totals: dict[int, tuple[int, int]], ends: int, total: int, distinct: int):
-        self.total, self.distinct = total, distinct
+    ``forms`` of tokens are their last two bytes times ``PREFIXES``, plus the prefix number.
+    """
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, forms: np.ndarray, tail_totals: dict[int, int], ends: int, total: int, distinct: int):
+        self.total, self.distinct, self.ends = total, distinct, ends
         single = np.flatnonzero(tokens != END)[:SINGLES]
         order = np.argsort(tokens)
         self.tokens, self.counts = tokens[order], counts[order].astype(np.float64)
-        of_tail = np.full(1 << 16, CLASSES - 1, np.uint8)
-        mass, many = np.zeros(CLASSES), np.ones(CLASSES)  # one unseen token each
-        rest = {t: list(x) for t, x in tail_totals.items()}
+        rest = dict(tail_totals)
         for i in single:
-            rest[int(tails[i])][0] -= int(counts[i])
-            rest[int(tails[i])][1] -= 1
+            rest[int(forms[i]) // PREFIXES] -= int(counts[i])
         if ends:
-            rest[0][0] -= ends
-            rest[0][1] -= 1
-        common = sorted(rest, key=lambda t: (-rest[t][0], t))[: CLASSES - SINGLES - 2]
-        for k, t in enumerate(common):
-            of_tail[t] = SINGLES + 1 + k
-        for t, (n, m) in rest.items():
-            mass[of_tail[t]] += n
-            many[of_tail[t]] += m
-        for k, i in enumerate(single):
-            mass[k], many[k] = counts[i], 1
-        mass[SINGLES], many[SINGLES] = ends, 1
-        self.of_tail, self.log_mass = of_tail, np.log10(mass + SMOOTH * many)
+            rest[0] -= ends
+        #: The most frequent last two bytes; these tokens' classes follow the single ones.
+        self.common = sorted(rest, key=lambda t: (-rest[t], t))[: CLASSES - SINGLES - 2]
+        self.of_tail = np.full(1 << 16, CLASSES - 1, np.uint8)
+        self.of_tail[self.common] = SINGLES + 1 + np.arange(len(self.common))
         lone = np.r_[tokens[single], END]
         order = np.argsort(lone)
-        self.lone, self.lone_class = lone[order], np.r_[np.arange(len(single)), SINGLES][order].astype(np.uint8)
+        self.lone, self.lone_class, self.lone_count = lone[order], np.r_[np.arange(len(single)), SINGLES][order].astype(np.uint8), np.r_[counts[single], ends][order]
         self.base = np.log10(total + SMOOTH * (distinct + 1))
 
+    def weigh(self, groups: list[tuple[int, int, int, int]]) -> None:
+        """Take the (class, group, count, distinct tokens) of all tokens that are no class of their own."""
+        mass, many = np.zeros((CLASSES, GROUPS)), np.ones((CLASSES, GROUPS))  # one unseen token each
+        mass[self.lone_class] = self.lone_count[:, None]
+        for kind, group, n, m in groups:
+            mass[kind, group] += n
+            many[kind, group] += m
+        self.log_mass = np.log10(mass + SMOOTH * many)
+
     def classes(self, hashes: np.ndarray, tails: np.ndarray) -> np.ndarray:
         spot = np.minimum(np.searchsorted(self.lone, hashes), len(self.lone) - 1)
         return np.where(self.lone[spot] == hashes, self.lone_class[spot], self.of_tail[tails])
@@ -158,7 +165,7 @@ def _encode(shared):
                 columns = {
                     "row": pa.array(row + np.arange(hi - lo)), "id": batch.column("id").slice(lo, hi - lo), "teaches": batch.column("teaches").slice(lo, hi - lo), "n_tokens": pa.array(counts.astype(np.int64)),
                     "known": pa.array(per((count > 0).astype(float)).astype(np.int64)), "seen": pa.array(per(np.where(count >= 0, np.log10(np.maximum(count, 0) + SMOOTH), 0.0))),
-                    "mass": pa.array(per(vocabulary.log_mass[kind])), "inputs": binary_column((kind[at].astype(np.uint16) * PREFIXES + heads).astype("<u2"), counts),
+                    "mass": pa.array(per(vocabulary.log_mass[kind, heads[one] // 2])), "inputs": binary_column((kind[at].astype(np.uint16) * PREFIXES + heads).astype("<u2"), counts),
                     "rare": binary_column(hashes[rare], np.bincount(doc[rare], minlength=hi - lo)),
                 }
                 row += hi - lo
@@ -170,40 +177,67 @@ def _encode(shared):
 @tidy
 def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, packed in zip(batch.column("row").to_pylist(), batch.column("rare").to_pylist()):
-            if packed:
-                keys, n = np.unique(np.frombuffer(packed, np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row)), pa.array(keys), pa.array(n)], names=["row", "token", "times"])
-
-
-_ONES, _SUMMED, _LEAST = np.ones(CLASSES, np.float32), np.ones(_ROWS, np.float32), np.float32(1e-37)
+        packed, row = batch.column("rare").to_pylist(), np.array(batch.column("row"))
+        many = np.fromiter((len(p) // 8 for p in packed), np.int64, len(packed))
+        ends, lo = np.cumsum(many), 0
+        while lo < len(packed):  # about ``_FOLD_ROWS`` tokens at once
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _FOLD_ROWS, "right")))
+            keys, doc = np.frombuffer(b"".join(packed[lo:hi]), np.int64), np.repeat(row[lo:hi], many[lo:hi])
+            order = np.lexsort((keys, doc))
+            keys, doc = keys[order], doc[order]
+            first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]) if len(keys) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(keys[first]), pa.array(np.diff(np.r_[first, len(keys)]))], names=["row", "token", "times"])
+            lo = hi
 
 
-def _exponentials(logits: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """exp of the rows, up to a factor each; the greatest is only taken off where exp could leave its range."""
-    logits += base
-    if max(logits.max(), -logits.min()) > 60:
-        logits -= logits.max(axis=1, keepdims=True)
-    return np.exp(logits, out=logits)
+# ---- network ---------------------------------------------------------------------
 
 
-# ---- network ---------------------------------------------------------------------
+_ONES, _SUMMED, _LEAST = np.ones(CLASSES, np.float32), np.ones(_ROWS, np.float32), np.float32(1e-37)
 
 
 class Network:
-    def __init__(self) -> None:
+    def __init__(self, log_mass: np.ndarray | None = None) -> None:
         rng = np.random.default_rng(SEED)
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
         self.w = {
             "class": draw(CLASSES, WIDTH, scale=0.3), "prefix": draw(PREFIXES, WIDTH, scale=0.3), "in": draw(WIDTH, 3 * UNITS, scale=0.25), "bias": np.zeros(3 * UNITS, np.float32),
-            "on": draw(UNITS, 3 * UNITS, scale=0.2), "out": draw(UNITS, CLASSES, scale=0.1), "base": np.zeros(CLASSES, np.float32),
+            "on": draw(UNITS, 3 * UNITS, scale=0.2), "out": draw(UNITS, CLASSES, scale=0.1), "base": np.zeros(CLASSES, np.float32), "group": np.zeros((UNITS, GROUPS), np.float32),
         }
         self.w["bias"][:UNITS] = 1.0  # begin by keeping the state
+        #: Logits of each class's groups before the state's are added: the logarithms of their counts.
+        self.shares = np.zeros((CLASSES, GROUPS), np.float32)
+        if log_mass is not None:
+            self.shares = ((log_mass - log_mass.max(axis=1, keepdims=True)) * np.log(10)).astype(np.float32)
+
+    def exponentials(self, states: np.ndarray, name: str, base: np.ndarray) -> np.ndarray:
+        """exp of the logits of each row, up to a factor each; the greatest is only taken off where exp could leave its range."""
+        logits = states @ self.w[name]
+        logits += base
+        # states lie between -1 and 1
+        if np.abs(self.w[name]).sum(axis=0).max() + np.abs(self.shares if name == "group" else base).max() > 60:
+            logits -= logits.max(axis=1, keepdims=True)
+        return np.exp(logits, out=logits)
+
+    def slopes(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Gradient of the weighted rows' loss by their logits."""
+        share = self.exponentials(states, name, base)
+        share *= (weight / (share @ _ONES[: share.shape[1]]))[:, None]
+        share[np.arange(len(share)), wanted] -= weight
+        return share
+
+    def chosen(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Logarithm of each row's probability of what is wanted."""
+        share = self.exponentials(states, name, base)
+        return np.log(np.maximum(share[np.arange(len(share)), wanted], _LEAST)) - np.log(share @ _ONES[: share.shape[1]])
+
+    def vectors(self) -> np.ndarray:
+        """Input vector of every (class, prefix) pair."""
+        return (self.w["class"][:, None, :] + self.w["prefix"][None, :, :]).reshape(-1, WIDTH)
 
     def projected(self) -> np.ndarray:
         """Projected input of every (class, prefix) pair."""
-        both = (self.w["class"][:, None, :] + self.w["prefix"][None, :, :]).reshape(-1, WIDTH)
-        return both @ self.w["in"] + self.w["bias"]
+        return self.vectors() @ self.w["in"] + self.w["bias"]
 
     def train(self, inputs: np.ndarray, updates: int = LEAST_UPDATES) -> None:
         """Truncated backpropagation over documents laid end to end, in parallel strips; END tells them apart.
@@ -223,70 +257,73 @@ class Network:
         for lo in range(0, length, STEPS):
             now, after, inside = (x[lo : lo + STEPS] for x in (fed, strips, real))
             weight = (inside.ravel() / inside.sum()).astype(np.float32)
-            kinds, prefixes, wanted = now // PREFIXES, now % PREFIXES, after // PREFIXES
-            vectors = self.w["class"][kinds] + self.w["prefix"][prefixes]
+            vectors = self.vectors()[now]
             states, kept = gru.forward(vectors @ self.w["in"] + self.w["bias"], self.w["on"], state, True)
             flat = states.reshape(-1, UNITS)
-            wanted, d_flat = wanted.ravel(), np.empty_like(flat)
-            d_out, d_base = np.zeros_like(self.w["out"]), np.zeros_like(self.w["base"])
+            wanted, d_flat = after.ravel(), np.empty_like(flat)
+            kinds, groups = wanted // PREFIXES, wanted % PREFIXES // 2
+            grads = {name: np.zeros_like(self.w[name]) for name in ("out", "base", "group")}
             for at in range(0, len(flat), _ROWS):  # blocks that stay in the processor's cache
-                some = flat[at : at + _ROWS]
-                logits = _exponentials(some @ self.w["out"], self.w["base"])
-                logits *= (weight[at : at + _ROWS] / (logits @ _ONES))[:, None]
-                logits[np.arange(len(some)), wanted[at : at + _ROWS]] -= weight[at : at + _ROWS]
-                np.matmul(logits, self.w["out"].T, out=d_flat[at : at + _ROWS])
-                d_out += some.T @ logits
-                d_base += _SUMMED[: len(some)] @ logits
-            dx, du = gru.backward(d_flat.reshape(states.shape), kept, self.w["on"])
-            dx = dx.reshape(-1, 3 * UNITS)
-            d = dx @ self.w["in"].T
-            fed_at = now.ravel()
-            both = np.stack([np.bincount(fed_at, d[:, k], CLASSES * PREFIXES) for k in range(WIDTH)], axis=1).reshape(CLASSES, PREFIXES, WIDTH).astype(np.float32)
-            grads = {
-                "class": both.sum(axis=1), "prefix": both.sum(axis=0), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0),
-                "on": du, "out": d_out, "base": d_base,
-            }
+                here = slice(at, at + _ROWS)
+                some, kind, share = flat[here], kinds[here], weight[here]
+                d = self.slopes(some, "out", self.w["base"], kind, share)
+                np.matmul(d, self.w["out"].T, out=d_flat[here])
+                grads["out"] += some.T @ d
+                grads["base"] += _SUMMED[: len(some)] @ d
+                many = np.flatnonzero(kind > SINGLES)  # tokens in classes of several
+                some = some[many]
+                d = self.slopes(some, "group", self.shares[kind[many]], groups[here][many], share[many])
+                d_flat[at + many] += d @ self.w["group"].T
+                grads["group"] += some.T @ d
+            dx, grads["on"] = gru.backward(d_flat.reshape(states.shape), kept, self.w["on"])
+            dx, fed_at = dx.reshape(-1, 3 * UNITS), now.ravel()
+            both = np.stack([np.bincount(fed_at, d, CLASSES * PREFIXES) for d in self.w["in"] @ dx.T], axis=1).reshape(CLASSES, PREFIXES, WIDTH).astype(np.float32)
+            grads |= {"class": both.sum(axis=1), "prefix": both.sum(axis=0), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0)}
             adam.rate = 0.01 * (1 - 0.8 * lo / length)
             adam.step(self.w, grads)
             state = states[-1]
 
     def log_likelihood(self, inputs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each document's classes; the state is carried from its start to its end."""
-        table, docs = self.projected(), len(counts)
-        order = np.argsort(-counts, kind="stable")
-        size, first, out = counts[order], (np.cumsum(counts) - counts)[order], np.zeros(docs)
-        state, end = np.zeros((docs, UNITS), np.float32), SINGLES * PREFIXES
-        before = np.full(docs, end)
-        for lo in range(0, int(size[0]) if docs else 0, STEPS):
+        """log10 probability of each document's classes and groups; the state is carried from its start to its end."""
+        table, order, out = self.projected(), np.argsort(-counts, kind="stable"), np.zeros(len(counts))
+        first = np.cumsum(counts) - counts
+        for lo in range(0, len(order), SIDE):  # documents of like lengths side by side
+            some = order[lo : lo + SIDE]
+            out[some] = self._side_by_side(table, inputs, first[some], counts[some])
+        return out / np.log(10)
+
+    def _side_by_side(self, table: np.ndarray, inputs: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Natural logarithms for documents that begin at ``first`` and have ``size`` tokens, the longest first."""
+        state, end, out = np.zeros((len(size), UNITS), np.float32), SINGLES * PREFIXES, np.zeros(len(size))
+        before = np.full(len(size), end)
+        for lo in range(0, int(size[0]), STEPS):
             live = int(np.searchsorted(-size, -lo, "left"))  # documents with more than lo tokens
-            place = lo + np.arange(STEPS)[:, None]
+            place = lo + np.arange(min(STEPS, int(size[0]) - lo))[:, None]
             inside = place < size[:live]
             here = np.where(inside, inputs[np.minimum(first[:live] + place, len(inputs) - 1)], end).astype(np.int64)
             fed = np.concatenate([before[None, :live], here[:-1]])
             states, _ = gru.forward(table[fed], self.w["on"], state[:live])
-            flat = states.reshape(-1, UNITS)
-            kinds, picked = (here // PREFIXES).ravel(), np.empty(len(flat), np.float32)
+            flat, wanted = states.reshape(-1, UNITS), here.ravel()
+            kinds, groups, picked = wanted // PREFIXES, wanted % PREFIXES // 2, np.empty(len(flat), np.float32)
             for at in range(0, len(flat), _ROWS):
-                some = flat[at : at + _ROWS]
-                logits = _exponentials(some @ self.w["out"], self.w["base"])
-                picked[at : at + _ROWS] = np.log(np.maximum(logits[np.arange(len(some)), kinds[at : at + _ROWS]], _LEAST)) - np.log(logits @ _ONES)
+                some, kind = flat[at : at + _ROWS], kinds[at : at + _ROWS]
+                picked[at : at + _ROWS] = self.chosen(some, "out", self.w["base"], kind)
+                many = np.flatnonzero(kind > SINGLES)
+                picked[at + many] += self.chosen(some[many], "group", self.shares[kind[many]], groups[at + many])
             out[:live] += np.where(inside, picked.reshape(inside.shape), 0).sum(axis=0, dtype=np.float64)
             state[:live], before[:live] = states[-1], here[-1]
-        back = np.empty(docs)
-        back[order] = out / np.log(10)
-        return back
+        return out
 
 
 def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(batch.column("inputs").to_pylist()), "<u2"), np.array(batch.column("n_tokens"), np.int64)
 
 
-def _spells(batch: pa.RecordBatch, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
-    """Runs of whole documents of about ``SPELL`` tokens and at most ``most`` rows."""
+def _spells(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of whole documents of about ``SPELL`` tokens."""
     ends, lo = np.cumsum(np.array(batch.column("n_tokens"), np.int64)), 0
     while lo < batch.num_rows:
-        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SPELL, "right"))
-        hi = min(lo + most, max(lo + 1, hi))
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SPELL, "right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
 
@@ -294,8 +331,9 @@ def _spells(batch: pa.RecordBatch, most: int = 1 << 30) -> Iterator[pa.RecordBat
 def _train(shared):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, seen = Network(), 0
-        net.w = {k: w.copy() for k, w in shared.value.items()}
+        (weights, log_mass), seen = shared.value, 0
+        net = Network(log_mass)
+        net.w = {k: w.copy() for k, w in weights.items()}
         for batch in batches:
             for some in _spells(batch):
                 inputs, _ = _documents(some)
@@ -313,15 +351,15 @@ def _sum(table: pa.Table) -> pa.Table:
     return pa.table({"part": table.column("part").slice(0, 1), "tokens": pa.array([int(np.array(table.column("tokens")).sum())]), "weights": pa.array([total.tobytes()])})
 
 
-def fit(encoded: DataFrame) -> Network:
+def fit(encoded: DataFrame, log_mass: np.ndarray) -> Network:
     """Train on ``encoded`` (row, n_tokens, inputs): local training and averaging, a few rounds over new documents."""
-    spark, net, low = encoded.sparkSession, Network(), 0
+    spark, net, low = encoded.sparkSession, Network(log_mass), 0
     schema = "part int, tokens long, weights binary"
     for share in ROUNDS:
         turn = F.pmod(F.xxhash64("row"), F.lit(16))
         docs = encoded.filter((turn >= low) & (turn < low + share)).select("n_tokens", "inputs")
         low += share
-        shared = spark.sparkContext.broadcast(net.w)
+        shared = spark.sparkContext.broadcast((net.w, log_mass))
         sums = docs.mapInArrow(_train(shared), schema).groupBy("part").applyInArrow(_sum, schema).collect()  # 64 rows at most
         if total := sum(r["tokens"] for r in sums):
             net.w = gru.unpack(sum(np.frombuffer(r["weights"], np.float64) for r in sums) / total, net.w)
@@ -332,10 +370,11 @@ def fit(encoded: DataFrame) -> Network:
 def _score(shared):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network()
-        net.w = shared.value
+        weights, log_mass = shared.value
+        net = Network(log_mass)
+        net.w = weights
         for batch in batches:
-            for some in _spells(batch, SIDE):
+            for some in _spells(batch):
                 inputs, counts = _documents(some)
                 rest = [c for c in some.schema.names if c not in ("inputs",)]
                 yield pa.RecordBatch.from_arrays([*(some.column(c) for c in rest), pa.array(net.log_likelihood(inputs, counts))], names=[*rest, "class_score"])
@@ -355,26 +394,31 @@ def score(docs: DataFrame, teaches: Column, id_column: str = "doc_id", text_colu
     """
     spark, kind = docs.sparkSession, docs.schema[id_column].dataType.simpleString()
     plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.coalesce(teaches, F.lit(False)).alias("teaches"))
-    counted = plain.filter("teaches").select("text").mapInArrow(_count, "token long, tail int, n long")
-    counts = store(counted.groupBy("token").agg(F.first("tail").alias("tail"), F.sum("n").alias("n")), "counts")
+    counted = plain.filter("teaches").select("text").mapInArrow(_count, "token long, form int, n long")
+    counts = store(counted.groupBy("token").agg(F.first("form").alias("form"), F.sum("n").alias("n")), "counts")
+    tail = F.floor(F.col("form") / PREFIXES).cast("int")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = counts.orderBy(F.desc("n"), "token").limit(HEAD).toArrow()  # at most HEAD rows
-    tails = {r["tail"]: (r["n"], r["m"]) for r in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("m")).collect()}  # at most 65,536 rows
-    arrays = [np.array(head.column(c).combine_chunks()) for c in ("token", "n", "tail")]
+    tails = {r["tail"]: r["n"] for r in counts.groupBy(tail.alias("tail")).agg(F.sum("n").alias("n")).collect()}  # at most 65,536 rows
+    arrays = [np.array(head.column(c).combine_chunks()) for c in ("token", "n", "form")]
     ends = sum(r["n"] for r in counts.filter(F.col("token") == int(END)).collect())
     vocabulary = Vocabulary(arrays[0].view(np.uint64), arrays[1], arrays[2], tails, ends, int(total), int(distinct))
+    at = F.array_position(F.array(*map(F.lit, vocabulary.common)).cast("array<int>"), tail)
+    several = counts.filter(~F.col("token").isin(vocabulary.lone.view(np.int64).tolist()))
+    groups = several.groupBy(F.when(at > 0, at + SINGLES).otherwise(CLASSES - 1).alias("kind"), F.floor(F.col("form") % PREFIXES / 2).alias("group")).agg(F.sum("n"), F.count("*"))
+    vocabulary.weigh([tuple(r) for r in groups.collect()])  # at most CLASSES * GROUPS rows
     least = int(arrays[1].min()) if len(arrays[1]) else 0
 
     shared = spark.sparkContext.broadcast(vocabulary)
     schema = f"row long, id {kind}, teaches boolean, n_tokens long, known long, seen double, mass double, inputs binary, rare binary"
     encoded = store(plain.mapInArrow(_encode(shared), schema), "encoded")
-    net = fit(encoded.filter("teaches"))
+    net = fit(encoded.filter("teaches"), vocabulary.log_mass)
 
     rare = encoded.select("row", "rare").mapInArrow(_rare, "row long, token long, times long")
     found = rare.join(counts.filter(F.col("n") <= least).select("token", "n"), "token", "left")
     n = F.coalesce(F.col("n"), F.lit(0))
     sums = found.groupBy("row").agg(F.sum(F.col("times") * F.log10(n + SMOOTH)).alias("rare_seen"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    weights = spark.sparkContext.broadcast(net.w)
+    weights = spark.sparkContext.broadcast((net.w, vocabulary.log_mass))
     passed = f"row long, id {kind}, n_tokens long, known long, seen double, mass double"
     scored = encoded.select("row", "id", "n_tokens", "known", "seen", "mass", "inputs").mapInArrow(_score(weights), f"{passed}, class_score double")
     out = scored.join(sums, "row", "left")

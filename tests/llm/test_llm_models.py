@@ -222,27 +222,44 @@ def test_language_model_of_odd_rows(spark, tmp_path):
 
 
 def test_probabilities_add_up():
-    """All tokens, and one unseen token a class of several, have probability 1 in any state."""
+    """All tokens, and one unseen token a group of a class of several, have probability 1 in any state."""
     rng = np.random.default_rng(0)
+    lm = language_model
     tokens = rng.integers(1, 1 << 62, 500, dtype=np.uint64)
-    tokens[3] = language_model.END
-    counts, tails = np.sort(rng.integers(1, 900, 500))[::-1], rng.integers(0, 200, 500)
-    tails[3] = 0
-    totals: dict = {}
+    tokens[3] = lm.END
+    counts, tails, heads = np.sort(rng.integers(1, 900, 500))[::-1], rng.integers(0, 200, 500), rng.integers(1, lm.PREFIXES, 500)
+    tails[3] = heads[3] = 0
+    totals = Counter()
     for t, n in zip(tails.tolist(), counts.tolist()):
-        a = totals.get(t, (0, 0))
-        totals[t] = (a[0] + n, a[1] + 1)
-    v = language_model.Vocabulary(tokens, counts, tails, totals, int(counts[3]), int(counts.sum()), 500)
-    kind = v.classes(tokens, tails)
-    inside = np.bincount(kind, (counts + 0.1) / 10 ** v.log_mass[kind], language_model.CLASSES)
-    inside += np.where(np.arange(language_model.CLASSES) > language_model.SINGLES, 0.1 / 10**v.log_mass, 0)
-    assert np.allclose(inside, 1)
+        totals[t] += n
+    v = lm.Vocabulary(tokens, counts, tails * lm.PREFIXES + heads, totals, int(counts[3]), int(counts.sum()), 500)
+    kind, group = v.classes(tokens, tails), heads // 2
+    assert (kind <= lm.SINGLES).sum() == lm.SINGLES + 1
+    held = Counter()
+    for k, g, n in zip(kind.tolist(), group.tolist(), counts.tolist()):
+        if k > lm.SINGLES:
+            held[k, g] += np.array([n, 1])
+    v.weigh([(k, g, *x.tolist()) for (k, g), x in held.items()])
+    net = lm.Network(v.log_mass)
+    net.w["group"] = rng.normal(size=net.w["group"].shape).astype(np.float32)
+    state = rng.uniform(-1, 1, (1, lm.UNITS)).astype(np.float32)
+    by_class = net.chosen(np.repeat(state, lm.CLASSES, 0), "out", net.w["base"], np.arange(lm.CLASSES))
+    assert np.exp(by_class).sum() == pytest.approx(1, rel=1e-4)
+    for k in range(lm.SINGLES, lm.CLASSES):
+        of = np.flatnonzero(kind == k)
+        if k > lm.SINGLES:
+            by_group = net.chosen(np.repeat(state, lm.GROUPS, 0), "group", net.shares[[k] * lm.GROUPS], np.arange(lm.GROUPS))
+            parts = (counts[of] + 0.1) / 10 ** v.log_mass[k, group[of]] * np.exp(by_group[group[of]])
+            assert parts.sum() + (0.1 / 10 ** v.log_mass[k] * np.exp(by_group)).sum() == pytest.approx(1, rel=1e-4)
+        else:
+            assert np.allclose((counts[of] + 0.1) / 10 ** v.log_mass[k, group[of]], 1)
 
 
 def test_windows_carry_the_state():
-    net = language_model.Network()
     rng = np.random.default_rng(0)
-    counts = np.array([200, 3, 1, 77])
+    net = language_model.Network(rng.normal(size=(language_model.CLASSES, language_model.GROUPS)))
+    net.w["group"] = rng.normal(size=net.w["group"].shape).astype(np.float32)
+    counts = np.array([200, 3, 1, 77, *[2] * 300])
     inputs = rng.integers(0, language_model.CLASSES * language_model.PREFIXES, counts.sum()).astype("<u2")
     got = net.log_likelihood(inputs, counts)
     at = 0
@@ -252,7 +269,11 @@ def test_windows_carry_the_state():
             states, _ = gru.forward(net.projected()[np.array([[fed]])], net.w["on"], state)
             state = states[-1]
             logits = (state @ net.w["out"] + net.w["base"])[0].astype(float)
-            total += logits[x // language_model.PREFIXES] - np.log(np.exp(logits).sum())
+            kind, group = x // language_model.PREFIXES, x % language_model.PREFIXES // 2
+            total += logits[kind] - np.log(np.exp(logits).sum())
+            if kind > language_model.SINGLES:
+                logits = (state @ net.w["group"] + net.shares[kind])[0].astype(float)
+                total += logits[group] - np.log(np.exp(logits).sum())
             fed = x
         assert found == pytest.approx(total / np.log(10), rel=1e-4)
         at += n
@@ -270,3 +291,30 @@ def test_every_token_trains_the_network():
                 net.train(inputs)
                 base.append(net.w["base"][99])
             assert base[1] > base[0], (n, at)
+
+
+def test_groups_of_a_class_are_learnt_from_the_state():
+    """Of one class, group 5 follows the token 3 and group 9 the token 4; without the state each group has 1 in 32."""
+    lm, rng = language_model, np.random.default_rng(0)
+    first = rng.integers(0, 2, 40_000)
+    inputs = np.stack([(3 + first) * lm.PREFIXES + 1, 90 * lm.PREFIXES + np.where(first, 18, 10)], axis=1).ravel()
+    net = lm.Network()
+    net.train(inputs)
+    some = inputs[:2_000], np.array([2_000])
+    trained = net.log_likelihood(*some)[0]
+    net.w["group"][:] = 0
+    assert (trained - net.log_likelihood(*some)[0]) / 1_000 > 0.95 * np.log10(lm.GROUPS)
+
+
+def test_slopes_are_those_of_the_loss():
+    lm, rng = language_model, np.random.default_rng(1)
+    net = lm.Network(rng.normal(size=(lm.CLASSES, lm.GROUPS)))
+    net.w["group"] = rng.normal(size=net.w["group"].shape).astype(np.float32)
+    states, kinds, wanted = rng.uniform(-1, 1, (40, lm.UNITS)).astype(np.float32), rng.integers(60, 128, 40), rng.integers(0, lm.GROUPS, 40)
+    weight = rng.uniform(0, 1, 40).astype(np.float32)
+    slope = net.slopes(states, "group", net.shares[kinds], wanted, weight)
+    loss = lambda shift: -(weight * net.chosen(states, "group", net.shares[kinds] + shift, wanted)).sum()
+    for k in range(0, lm.GROUPS, 7):
+        shift = np.zeros(lm.GROUPS, np.float32)
+        shift[k] = 1e-2
+        assert slope[:, k].sum() == pytest.approx((loss(shift) - loss(-shift)) / 2e-2, rel=2e-2, abs=1e-3)
