@@ -11,6 +11,12 @@ Deficits are counters with a closed form: after r rounds a source has served
 SERVED * floor((r * quantum + start) / SERVED) tokens.  So from the queues'
 totals alone (one row per source) any task can place any document: windows,
 partitions and tasks share no state, and deficits carry across all of them.
+
+The largest sources are queues of these rounds.  The others, of any number,
+are queues of inner rounds, whose line of tokens is one more queue of the
+outer ones: the round of each of their runs has the same closed form, and the
+line is made by ordering the runs by it in Spark, with prefix sums over the
+ranges.
 """
 
 from __future__ import annotations
@@ -23,11 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, chunks, store, tidy
+from .common import binary_column, chunks, store, tidy, width
 from .word_ids import word_ids
 
-#: Least run of tokens a source serves; binary digits of a quantum's fraction; queues (further sources share the last).
+#: Least run of tokens a source serves; binary digits of a quantum's fraction; queues of the outer rounds (the last holds the inner ones).
 SERVED, FRACTION, QUEUES = 256, 16, 1000
+#: A served run in units of a quantum.
+UNIT = SERVED << FRACTION
 #: Bytes of text encoded and tokens cut at once; runs placed at once, and rounds x queues of one block of them.
 TEXT_BYTES, TOKENS, RUNS, CELLS = 1 << 20, 1 << 18, 20_000, 1 << 21
 
@@ -39,18 +47,17 @@ class Rounds:
         self.total = np.array(totals, np.int64)
         share = np.array(shares, float) / max(sum(shares), 1e-300)
         self.quantum = np.maximum(1, np.round(share * window * (1 << FRACTION))).astype(np.int64)
-        self.unit = SERVED << FRACTION
         # queues begin with different deficits, so that small ones don't all serve in the same round
-        self.start = (np.arange(len(totals)) * self.unit // max(1, len(totals))).astype(np.int64)
+        self.start = (np.arange(len(totals)) * UNIT // max(1, len(totals))).astype(np.int64)
 
     def round_of(self, queue: np.ndarray, run: np.ndarray) -> np.ndarray:
         """The round that serves run number ``run`` of the queue."""
-        need = (run + 1) * self.unit - self.start[queue]
+        need = (run + 1) * UNIT - self.start[queue]
         return -(-need // self.quantum[queue]) - 1
 
     def served(self, rounds: np.ndarray) -> np.ndarray:
         """Tokens each queue has served before each round."""
-        return np.minimum(self.total, SERVED * ((rounds[:, None] * self.quantum + self.start) // self.unit))
+        return np.minimum(self.total, SERVED * ((rounds[:, None] * self.quantum + self.start) // UNIT))
 
     def place(self, queue: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Place in the line of all rounds of the queues' tokens ``at``."""
@@ -121,20 +128,64 @@ def _spells(tokens: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+@tidy
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each run of a document's queue that it has tokens in, with the inner round that serves the run."""
+    for batch in batches:
+        for lo, hi in _spells(np.array(batch.column("doc_tokens"), np.int64)):
+            some = batch.slice(lo, hi - lo)
+            queue, start, tokens = (np.array(some.column(c), np.int64) for c in ("queue", "start", "doc_tokens"))
+            quantum = np.array(some.column("quantum"), np.float64)  # of any smallness: there may be any number of queues
+            run, doc = _many(start // SERVED, (start + tokens - 1) // SERVED)
+            at = np.maximum(run * SERVED, start[doc])
+            size = np.minimum((run + 1) * SERVED, (start + tokens)[doc]) - at
+            need = (run + 1) * SERVED - (queue % UNIT / (1 << FRACTION))[doc]  # queues begin with different deficits here too
+            columns = {
+                "id": some.column("id").take(pa.array(doc)), "queue": pa.array(queue[doc]), "round": pa.array(np.ceil(np.minimum(need / quantum[doc], 2.0**62)).astype(np.int64) - 1), "at": pa.array(at), "skipped": pa.array(at - start[doc]),
+                "tokens": pa.array(size), "doc_tokens": pa.array(tokens[doc]), "ids": binary_column(np.frombuffer(b"".join(some.column("ids").to_pylist()), "<u4"), size),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+@tidy
+def _laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a range, in order, with its number and the tokens before each of them in it."""
+    slot, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        tokens = np.array(batch.column("tokens"), np.int64)
+        ends = before + np.cumsum(tokens)
+        rest = [c for c in batch.schema.names if c not in ("queue", "round", "at")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([slot] * len(tokens), pa.int32()), pa.array(ends - tokens)], names=[*rest, "slot", "within"])
+        before = int(ends[-1]) if len(ends) else before
+
+
+def inner_line(ready: DataFrame) -> DataFrame:
+    """Runs (id, skipped, tokens, doc_tokens, ids) of ``ready`` (id, queue, quantum, start, doc_tokens, ids) and their ``start`` in the inner rounds' line."""
+    kind, order = ready.schema["id"].dataType.simpleString(), ("round", "queue", "at")
+    kept = f"id {kind}, skipped long, tokens long, doc_tokens long, ids binary"
+    runs = ready.mapInArrow(_split, f"id {kind}, queue long, round long, at long, skipped long, tokens long, doc_tokens long, ids binary")
+    ordered = runs.repartitionByRange(width(ready), *order).sortWithinPartitions(*order)
+    laid = store(ordered.mapInArrow(_laid, f"{kept}, slot int, within long"), "laid")
+    ranges = sorted(laid.groupBy("slot").agg(F.sum("tokens")).collect())  # one row a range
+    ahead = np.cumsum([0, *(n for _, n in ranges)])
+    bases = ready.sparkSession.createDataFrame([(slot, int(n)) for (slot, _), n in zip(ranges, ahead)], "slot int, ahead long")
+    return laid.join(F.broadcast(bases), "slot").select("id", (F.col("ahead") + F.col("within")).alias("start"), "skipped", "tokens", "doc_tokens", "ids")
+
+
 def _cut(rounds: Rounds, window: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in _spells(np.array(batch.column("doc_tokens"), np.int64)):
+            for lo, hi in _spells(np.array(batch.column("tokens"), np.int64)):
                 some = batch.slice(lo, hi - lo)
-                queue, start, tokens = (np.array(some.column(c), np.int64) for c in ("queue", "start", "doc_tokens"))
+                queue, start, skipped, tokens, whole = (np.array(some.column(c), np.int64) for c in ("queue", "start", "skipped", "tokens", "doc_tokens"))
                 doc, at, size, place = pieces(rounds, queue, start, tokens, window)
                 flat = np.frombuffer(b"".join(some.column("ids").to_pylist()), "<u4")
                 first = (np.cumsum(tokens) - tokens)[doc] + at
                 order = _many(first, first + size - 1)[0]
                 columns = {
-                    "id": some.column("id").take(pa.array(doc)), "start": pa.array(at), "length": pa.array(size), "ids": binary_column(flat[order], size),
-                    "doc_tokens": pa.array(tokens[doc]), "sequence_id": pa.array(place // window), "offset": pa.array(place % window),
+                    "id": some.column("id").take(pa.array(doc)), "start": pa.array(skipped[doc] + at), "length": pa.array(size), "ids": binary_column(flat[order], size),
+                    "doc_tokens": pa.array(whole[doc]), "sequence_id": pa.array(place // window), "offset": pa.array(place % window),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -164,8 +215,11 @@ def pack(docs: DataFrame, path: str, last: int, window: int = 4096, shares: dict
     ``shares`` are the sources' target proportions; by default those of the
     corpus, so that all queues end together.  Null and empty texts are just
     ``last``; null sources are a source; repeated rows are packed each; an
-    empty table gives no pieces.  Sources beyond the 999 largest share one
-    queue.  Queues hold documents in the order in which the table is read.
+    empty table gives no pieces.  Every source has a queue: the 999 largest in
+    the outer rounds, the others (told apart by 64-bit hashes) in the inner
+    ones, whose windows together have these sources' shares.  A source
+    without a share still gets the least quantum.  Queues hold documents in
+    the order in which the table is read.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(source_column).cast("string").alias("source"))
@@ -178,16 +232,36 @@ def pack(docs: DataFrame, path: str, last: int, window: int = 4096, shares: dict
     weights = [totals[i] if shares is None else shares.get(r["source"], 0.0) for i, r in enumerate(largest)]
     weights.append(totals[-1] if shares is None else max(0.0, sum(shares.values()) - sum(weights)))
 
-    queues = docs.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(largest)], "source string, queue int")
+    spark = docs.sparkSession
+    queues = spark.createDataFrame([(r["source"], i) for i, r in enumerate(largest)], "source string, queue long")
     same = lambda a, b, *on: [a[c].eqNullSafe(b[c]) for c in on]
-    placed = parts.join(F.broadcast(queues), same(parts, queues, "source"), "left").select(parts["source"], "part", "tokens", F.coalesce("queue", F.lit(len(largest))).alias("queue"))
-    bases = store(_bases(placed), "bases")
+    placed = parts.join(F.broadcast(queues), same(parts, queues, "source"), "left").select(parts["source"], "part", "tokens", "queue")
+    bases = store(_bases(placed.filter("queue IS NOT NULL")), "bases")
     ready = encoded.join(bases, same(encoded, bases, "source", "part"))
-    ready = ready.select("id", "queue", (F.col("base") + F.col("begin")).alias("start"), "doc_tokens", "ids")
+    ready = ready.select("id", "queue", (F.col("base") + F.col("begin")).alias("start"), F.lit(0).cast("long").alias("skipped"), F.col("doc_tokens").alias("tokens"), "doc_tokens", "ids")
+    if totals[-1]:
+        inner = _inner(encoded, placed.filter("queue IS NULL").withColumn("queue", F.xxhash64("source")), shares, window)
+        ready = ready.unionByName(inner.withColumn("queue", F.lit(len(largest)).cast("long")))
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return ready.mapInArrow(_cut(Rounds(totals, weights, window), window), schema).withColumnRenamed("id", id_column)
 
 
+def _inner(encoded: DataFrame, placed: DataFrame, shares: dict[str | None, float] | None, window: int) -> DataFrame:
+    """The line of the sources of ``placed`` (source, part, tokens, queue), by inner rounds of their own shares."""
+    if shares is None:
+        weighed = placed.groupBy("queue").agg(F.sum("tokens").cast("double").alias("weight"))
+    else:
+        given = placed.sparkSession.createDataFrame([(k, float(v)) for k, v in shares.items()], "name string, share double")
+        sources = placed.select("queue", "source").distinct()
+        weighed = sources.join(given, sources["source"].eqNullSafe(given["name"]), "left").groupBy("queue").agg(F.coalesce(F.sum("share"), F.lit(0.0)).alias("weight"))
+    weighed = store(weighed, "weighed")
+    total = weighed.agg(F.sum("weight")).first()[0]
+    quantum = F.when(F.col("weight") > 0, F.col("weight") / F.lit(total) * F.lit(float(window))).otherwise(0.5**FRACTION)
+    bases = store(_bases(placed).join(weighed.select("queue", quantum.alias("quantum")), "queue"), "inner_bases")
+    mine = encoded.join(bases, [encoded[c].eqNullSafe(bases[c]) for c in ("source", "part")])
+    return inner_line(mine.select("id", "queue", "quantum", (F.col("base") + F.col("begin")).alias("start"), "doc_tokens", "ids"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

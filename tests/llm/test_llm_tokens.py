@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -170,6 +171,60 @@ def test_more_sources_than_queues(spark, library, monkeypatch):
     check_packing(packing.pack(documents(spark, rows), PATH, last=2, window=32).collect(), rows, library, 32)
 
 
+def test_thousands_of_sources_have_queues_of_their_own(spark, library):
+    """2,000 sources: 999 in the outer rounds, 1,001 in the inner ones; all are spread over the whole line."""
+    rows = [(i, "alpha " * (300 + i % 2_000 // 4), "en", f"s{i % 2_000}") for i in range(4_000)]
+    docs = documents(spark, rows).repartition(4)
+    packed = packing.pack(docs, PATH, last=2).toPandas()
+    line = packed.assign(at=packed["sequence_id"] * 4096 + packed["offset"], crc=[zlib.crc32(x) for x in packed["ids"]]).sort_values("at")
+    assert (line["at"] == line["length"].cumsum() - line["length"]).all()
+    own = packed.sort_values(["doc_id", "start"])
+    assert (own["start"] == own.groupby("doc_id")["length"].cumsum() - own["length"]).all()
+    assert (own.groupby("doc_id")["length"].sum() == own.groupby("doc_id")["doc_tokens"].first()).all() and own["doc_id"].nunique() == 4_000
+    total = int(line["length"].sum())
+    assert total == sum(300 + i % 2_000 // 4 + 1 for i in range(4_000))  # "alpha" is one id
+    for k in (1, 400, 800, 1_200, 1_999):  # a source's tokens come at its share's pace
+        some = line[line["doc_id"] % 2_000 == k]
+        done, share = (some["length"].cumsum() - some["length"]).to_numpy(), some["length"].sum() / total
+        assert np.abs(done - share * some["at"].to_numpy()).max() <= 2 * packing.SERVED
+
+
+@pytest.mark.parametrize("shares", [None, {"s3": 2.0, "s7": 1.0, None: 4.0, "s11": 0.5}])
+def test_inner_rounds_are_those_of_a_plain_loop(spark, shares):
+    rng = np.random.default_rng(4)
+    sources = [None, *(f"s{i}" for i in range(1, 12))]
+    rows = [(i, sources[int(rng.integers(0, 12))], int(rng.integers(1, 1_500))) for i in range(80)]
+    ids = {i: rng.integers(0, 9_000, n).astype("<u4").tobytes() for i, _, n in rows}
+    begin: dict = {}
+    encoded = []
+    for i, source, n in rows:
+        key = source, i % 3
+        encoded.append((i, source, i % 3, begin.get(key, 0), n, ids[i]))
+        begin[key] = begin.get(key, 0) + n
+    frame = spark.createDataFrame(encoded, "id long, source string, part int, begin long, doc_tokens long, ids binary").repartition(5)
+    placed = frame.groupBy("source", "part").agg({"doc_tokens": "sum"}).toDF("source", "part", "tokens").selectExpr("source", "part", "tokens", "xxhash64(source) AS queue")
+    got = sorted((r["start"], r["id"], r["skipped"], r["tokens"], r["ids"]) for r in packing._inner(frame, placed, shares, 4096).collect())
+    # plain: serve whole runs while a queue's deficit covers one
+    number = {r["source"]: r["queue"] for r in placed.collect()}
+    queue = {s: [(e[0], k) for e in sorted(encoded, key=lambda e: (e[2], e[3])) if e[1] == s for k in range(e[4])] for s in number}
+    weight = {s: float(len(queue[s])) if shares is None else shares.get(s, 0.0) for s in number}
+    quantum = {s: Fraction(weight[s] / sum(weight.values()) * 4096) for s in number}
+    deficit, want = {s: Fraction(number[s] % packing.UNIT, 1 << packing.FRACTION) for s in number}, []
+    served = [s for s in sorted(number, key=number.get) if weight[s] > 0]  # the others' rounds come late
+    assert len(served) == (12 if shares is None else 4)
+    while any(queue[s] for s in served):
+        for s in served:
+            deficit[s] += quantum[s]
+            while deficit[s] >= packing.SERVED and queue[s]:
+                deficit[s] -= packing.SERVED
+                want += queue[s][: packing.SERVED]
+                queue[s] = queue[s][packing.SERVED :]
+    found = [(i, skipped + k) for _, i, skipped, n, _ in got for k in range(n)]
+    assert found[: len(want)] == want and len(set(found)) == len(found) == sum(n for *_, n in rows)
+    assert all(part == ids[i][4 * skipped : 4 * (skipped + n)] for _, i, skipped, n, part in got)
+    assert [g[0] for g in got] == np.cumsum([0, *(g[3] for g in got)])[:-1].tolist()
+
+
 def test_deficits_serve_everything_once():
     rng = np.random.default_rng(0)
     totals = [int(x) for x in rng.integers(0, 20_000, 9)] + [1, 0]
