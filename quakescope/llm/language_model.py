@@ -50,7 +50,7 @@ _FOLD_ROWS = 500_000
 SIDE, FEW, MOST = 256, 16, 512
 #: Tokens of the documents that a task trains on or scores at once (a longer one counts as one).
 SPELL = 1 << 22
-_ROWS = 2048
+_ROWS = 1024
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -258,7 +258,9 @@ class Network:
             now, after, inside = (x[lo : lo + STEPS] for x in (fed, strips, real))
             weight = (inside.ravel() / inside.sum()).astype(np.float32)
             vectors = self.vectors()[now]
-            states, kept = gru.forward(vectors @ self.w["in"] + self.w["bias"], self.w["on"], state, True)
+            x = vectors @ self.w["in"]
+            x += self.w["bias"]
+            states, kept = gru.forward(x, self.w["on"], state, True)
             flat = states.reshape(-1, UNITS)
             wanted, d_flat = after.ravel(), np.empty_like(flat)
             kinds, groups = wanted // PREFIXES, wanted % PREFIXES // 2
