@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quakescope.functions.labels import cluster_color, cluster_label, coord_label
 from quakescope.functions.stats import exact_mean, exact_sum, round_half_up
 from quakescope.operators.clean import all_present, feature_rows
-from quakescope.operators.restarts import refine, sampled_rows, spread_starts
+from quakescope.operators.restarts import refine, sampled_rows, spread_starts, wide
 from quakescope.schema import FEATURES
 
 # Zone centres (latitude, longitude, depth km, magnitude) of the
@@ -172,7 +172,7 @@ def fit_zones(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 20,
         else:
             sample = (sampled_rows(rows, n, seed) - mean) / unit
             starts = spread_starts(sample, len(first), range(seed + 1, seed + many))
-            zones, costs = refine(rows, np.concatenate([first[None], starts]), mean, unit, max_iter - 1)
+            zones, costs = refine(wide(rows, n), np.concatenate([first[None], starts]), mean, unit, max_iter - 1)
             best = int(np.argmin(costs))
             zones, cost, model = zones[best], float(costs[best]), None
         if ddof == 0 and n > 1:  # the same zones in units of the population's deviation

@@ -7,6 +7,7 @@ So ten restarts of n iterations read the rows n times, not ten times n.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,30 +15,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows whose distances to all centres are held at once; rows of the sample that starts are drawn from.
+#: Rows whose distances to a start's centres are held at once; rows of the sample that starts are drawn from.
 BLOCK, SAMPLE = 1 << 14, 4096
+#: Rows a task folds at least: a pass over few rows in many partitions is all task overhead.
+TASK_ROWS = 1 << 16
 #: A start rests when no centre moves further than this (in standard deviations).
 TOLERANCE = 1e-4
 
 
 def _fold(centres: np.ndarray, shift: np.ndarray, unit: np.ndarray):
     starts, k, width = centres.shape
-    flat = centres.reshape(-1, width)
-    offset = np.arange(starts) * k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, cost, sums = np.zeros(starts * k, np.int64), np.zeros(starts * k), np.zeros((starts * k, width))
+        n, cost, sums = np.zeros((starts, k), np.int64), np.zeros((starts, k)), np.zeros((starts, k, width))
         for batch in batches:
-            rows = (np.stack([np.asarray(c, np.float64) for c in batch.columns], axis=1) - shift) / unit
-            for lo in range(0, len(rows), BLOCK):
-                some = rows[lo : lo + BLOCK]
-                away = ((some[:, None, :] - flat[None, :, :]) ** 2).sum(axis=2).reshape(len(some), starts, k)
-                own = away.argmin(axis=2)
-                at = (own + offset).ravel()
-                n += np.bincount(at, minlength=starts * k)
-                cost += np.bincount(at, np.take_along_axis(away, own[:, :, None], axis=2).ravel(), starts * k)
-                for f in range(width):
-                    sums[:, f] += np.bincount(at, np.repeat(some[:, f], starts), starts * k)
+            columns = [(np.asarray(c, np.float64) - m) / u for c, m, u in zip(batch.columns, shift, unit)]
+            for lo in range(0, batch.num_rows, BLOCK):
+                some = [c[lo : lo + BLOCK] for c in columns]
+                for s in range(starts):
+                    away = np.zeros((k, len(some[0])))
+                    for f in range(width):
+                        gap = some[f] - centres[s, :, f, None]
+                        away += np.multiply(gap, gap, out=gap)
+                    own = away.argmin(axis=0)
+                    n[s] += np.bincount(own, minlength=k)
+                    cost[s] += np.bincount(own, away.min(axis=0), k)
+                    for f in range(width):
+                        sums[s, :, f] += np.bincount(own, some[f], k)
+        n, cost, sums = n.ravel(), cost.ravel(), sums.reshape(-1, width)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(starts * k, dtype=np.int32)), pa.array(n), pa.array(cost), *(pa.array(s) for s in sums.T)],
                                          names=["zone", "n", "cost", *(f"s{f}" for f in range(width))])
 
@@ -89,6 +94,11 @@ def refine(rows: DataFrame, centres: np.ndarray, shift: Sequence[float], unit: S
     return centres, fold_rows(rows, centres, shift, unit)[2]
 
 
+def wide(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows in partitions of about TASK_ROWS, joined without a shuffle, never more than they have."""
+    return rows.coalesce(max(1, math.ceil(n / TASK_ROWS)))
+
+
 def sampled_rows(rows: DataFrame, n: int, seed: int) -> np.ndarray:
     """About SAMPLE of the n rows (at most four times as many), for the starts only."""
     some = rows.filter(F.rand(seed) < min(1.0, SAMPLE / max(1, n))).limit(4 * SAMPLE).toPandas().to_numpy(float)

@@ -113,6 +113,16 @@ def test_one_pass_moves_all_starts(spark, monkeypatch):
         assert np.allclose(moved[s], centres, atol=1e-3) and math.isclose(costs[s], ((z[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum(), rel_tol=1e-3)
 
 
+def test_few_rows_are_not_folded_in_many_tasks(spark, monkeypatch):
+    df, rows = events(spark)
+    seen = []
+    monkeypatch.setattr(Z, "refine", lambda rows, *args: seen.append(rows.rdd.getNumPartitions()) or restarts.refine(rows, *args))
+    monkeypatch.setattr(restarts, "TASK_ROWS", math.ceil(len(rows) / 3))
+    fit = Z.fit_zones(df.repartition(40), k=3, restarts=2, max_iter=2)
+    assert seen == [3] and fit.assigned().count() == len(rows)
+    fit.unpersist()
+
+
 def test_equal_rows_and_more_zones_than_rows(spark):
     same = catalog_rows(spark, [base_row(id=str(i)) for i in range(5)])
     fit = Z.fit_zones(same, k=3, restarts=3, max_iter=4)
