@@ -17,8 +17,9 @@ def _c(col: str | Column) -> Column:
 _MOST, _LOW_BITS = 1 << 53, 20
 
 
-def _millionths(c: Column) -> Column:
+def millionths(col: str | Column) -> Column:
     """The value in whole millionths; null where it is finer, past 9 * 10^9, infinite or NaN."""
+    c = _c(col)
     whole = F.rint(c * F.lit(1e6)).try_cast("bigint")
     return F.when((F.abs(whole) < F.lit(_MOST)) & (whole.cast("double") / F.lit(1e6) == c), whole)
 
@@ -31,7 +32,7 @@ def exact_sum(col: str | Column) -> Column:
     bits are summed apart, in longs, so that no number of rows overflows them.
     """
     c = _c(col)
-    m = _millionths(c)
+    m = millionths(c)
     high, low = F.sum(F.shiftright(m, _LOW_BITS)), F.sum(m.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
     whole = high.cast("decimal(19,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(19,0)")
     exact = whole.cast("decimal(30,0)") * F.lit("0.000001").cast("decimal(7,6)")

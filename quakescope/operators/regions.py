@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quakescope.functions.stats import merged_sum, round_half_up, sum_parts
+from quakescope.functions.stats import millionths, round_half_up
 from quakescope.operators.clean import all_present
 from quakescope.session import stored
 
@@ -47,10 +47,33 @@ def cover(boxes: DataFrame, key: str, cell: float = CELL) -> DataFrame:
     return cells.withColumn("inside", inside)
 
 
-def _folded() -> list[Column]:
-    mag, exact = F.col("mag"), F.col("mag").try_cast("decimal(18,6)")
-    return [F.count(F.lit(1)).alias("n"), *sum_parts("mag", "mag"), *sum_parts("depth", "depth"),
-            F.sum(exact * exact).alias("square_exact"), F.sum(mag * mag).alias("square_plain"), F.max("mag").alias("high"), F.min("mag").alias("low")]
+#: Magnitudes (up to 268) and depths (up to 8,589 km) whose millionths are summed as longs, and the low bits of a square kept apart.
+_MOST_MAG, _MOST_DEPTH, _LOW_BITS = 1 << 28, 1 << 33, 26
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """What each event adds to a fold, longs where they are exact: worked out once, before a row meets the boxes."""
+    small = lambda c, most: F.when(F.abs(millionths(c)) < F.lit(most), millionths(c))
+    return rows.withColumns({"_m": small("mag", _MOST_MAG), "_d": small("depth", _MOST_DEPTH)})
+
+
+def _added() -> list[Column]:
+    mag, depth, square = F.col("mag"), F.col("depth"), F.col("_m") * F.col("_m")
+    return [F.count(F.lit(1)).alias("n"), F.sum("_m").alias("mag_exact"), F.sum(mag).alias("mag_plain"), F.count_if(F.col("_m").isNull()).alias("mag_left"),
+            F.sum("_d").alias("depth_exact"), F.sum(depth).alias("depth_plain"), F.count_if(F.col("_d").isNull()).alias("depth_left"),
+            F.sum(F.shiftright(square, _LOW_BITS)).alias("square_high"), F.sum(square.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).alias("square_low"),
+            F.sum(mag * mag).alias("square_plain"), F.max("mag").alias("high"), F.min("mag").alias("low")]
+
+
+def _total(name: str) -> Column:
+    exact = F.sum(f"{name}_exact").cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    return F.when(F.sum(f"{name}_left") == 0, exact.cast("double")).otherwise(F.sum(f"{name}_plain"))
+
+
+def _total_square() -> Column:
+    whole = F.sum("square_high").cast("decimal(19,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + F.sum("square_low").cast("decimal(19,0)")
+    exact = (whole.try_cast("decimal(24,0)") * F.lit("0.000000000001").cast("decimal(13,12)")).cast("double")
+    return F.when(F.sum("mag_left") == 0, F.coalesce(exact, whole.cast("double") / F.lit(1e12))).otherwise(F.sum("square_plain"))
 
 
 def region_stats(df: DataFrame, boxes: DataFrame, key: str = "box_id", cell: float = CELL) -> DataFrame:
@@ -66,14 +89,15 @@ def region_stats(df: DataFrame, boxes: DataFrame, key: str = "box_id", cell: flo
     # latitudes past the poles or longitudes past the date line lie in no box that keeps to them
     rows = df.filter(all_present(["latitude", "longitude", "mag", "depth"])).select("latitude", "longitude", "mag", "depth")
     rows = rows.withColumns({"cell_y": _cell("latitude", cell), "cell_x": _cell("longitude", cell)})
-    cells = stored(cover(boxes, key, cell), "cover")
-    per_cell = rows.groupBy("cell_y", "cell_x").agg(*_folded())
-    held = cells.filter("inside").join(per_cell, ["cell_y", "cell_x"]).drop("cell_y", "cell_x", *_NAMES, "inside")
+    rows, cells = _counted(rows), stored(cover(boxes, key, cell), "cover")
+    per_cell = rows.groupBy("cell_y", "cell_x").agg(*_added())
+    # boxes are never broadcast: their cells take little room as files (runs of one box), but many times that as a hash table
+    held = cells.filter("inside").hint("merge").join(per_cell, ["cell_y", "cell_x"]).drop("cell_y", "cell_x", *_NAMES, "inside")
     within = (F.col("latitude") >= F.col("lat_min")) & (F.col("latitude") <= F.col("lat_max")) & (F.col("longitude") >= F.col("lon_min")) & (F.col("longitude") <= F.col("lon_max"))
-    edge = cells.filter("NOT inside").join(rows, ["cell_y", "cell_x"]).filter(within).groupBy("box").agg(*_folded())
+    edge = cells.filter("NOT inside").hint("merge").join(rows, ["cell_y", "cell_x"]).filter(within).groupBy("box").agg(*_added())
     totals = held.unionByName(edge).groupBy("box").agg(
-        F.sum("n").alias("n"), merged_sum("mag").alias("mag"), merged_sum("depth").alias("depth"), F.max("high").alias("high"), F.min("low").alias("low"),
-        F.when(F.sum("mag_left") == 0, F.sum("square_exact").cast("double")).otherwise(F.sum("square_plain")).alias("square"))
+        F.sum("n").alias("n"), _total("mag").alias("mag"), _total("depth").alias("depth"), _total_square().alias("square"),
+        F.max("high").alias("high"), F.min("low").alias("low"))
     n = F.col("n")
     std = F.sqrt(F.greatest(F.try_divide(F.col("square") - F.col("mag") * F.col("mag") / n, n - 1), F.lit(0.0)))
     named = boxes.select(F.col(key).alias("box")).distinct().join(totals, "box", "left")

@@ -198,6 +198,22 @@ def test_regions_equal_plain_loops(spark):
         assert r["std_magnitude"] is None if len(mags) < 2 else math.isclose(r["std_magnitude"], np.std(mags, ddof=1), abs_tol=6e-4)
 
 
+def test_boxes_are_not_broadcast(spark):
+    """The cells' files are small (one box a run): their size says nothing of the rows."""
+    df, _ = events(spark, 50)
+    plan = spark._jvm.PythonSQLUtils.explainString(region_stats(df, boxes_around(df, "id", 5.0), "id")._jdf.queryExecution(), "simple")
+    assert "BroadcastExchange" not in plan.split("Initial Plan")[-1]
+
+
+def test_region_sums_of_large_and_fine_values(spark):
+    for mags in ([300.0, 1.5], [1.0000001, 2.0], [-268.4, 268.4, 5.25], [1e10, 1e10]):
+        df = catalog_rows(spark, [base_row(id=str(i), mag=m, depth=m * 40) for i, m in enumerate(mags)])
+        box = spark.createDataFrame([("b", 0.5, 1.5, 1.5, 2.5)], "box_id string, lat_min double, lat_max double, lon_min double, lon_max double")
+        r = region_stats(df, box).first()
+        assert math.isclose(r["avg_magnitude"], np.mean(mags), abs_tol=6e-4) and math.isclose(r["avg_depth_km"], np.mean(mags) * 40, abs_tol=6e-3)
+        assert math.isclose(r["std_magnitude"], np.std(mags, ddof=1), abs_tol=6e-4)
+
+
 def test_region_join_is_on_cells(spark):
     df, _ = events(spark, 20)
     around = boxes_around(df.filter("id LIKE 'x%'"), "id", 5.0)
