@@ -24,6 +24,10 @@ _PROPERTIES = [f for f in CATALOG.fields if f.name not in _OUTSIDE]
 
 _BAD = "_bad"
 
+# Ends no record, since raw control characters stand in no JSON text: a file is read as one line, whose features are cut
+# out of the line's bytes.  The multi-line reader goes back to the file for each feature and reads it about 20 times.
+_NO_LINE_END = "\x00\x1e\x00"
+
 
 def _feature_schema() -> str:
     properties = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in _PROPERTIES)
@@ -63,7 +67,7 @@ def read_features(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     """
     if lines:
         return parse_features(spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("feature")))
-    files = (spark.read.schema(f"features array<string>, {_BAD} string").option("multiLine", True)
+    files = (spark.read.schema(f"features array<string>, {_BAD} string").option("lineSep", _NO_LINE_END)
              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(path))
     texts = F.when(F.col(_BAD).isNotNull(), F.array(_BAD)).otherwise(F.col("features"))
     return parse_features(files.select(F.explode(texts).alias("feature")))

@@ -63,6 +63,24 @@ def test_one_bad_feature_costs_one_row(spark, tmp_path):
     assert all(r["id"] is None and r["mag"] is None for r in rows if r["bad"] is not None)
 
 
+def test_a_collection_is_read_about_once(spark, tmp_path):
+    feature = {"type": "Feature", "id": "a", "properties": {"mag": 1.5, "place": "x" * 300}, "geometry": {"type": "Point", "coordinates": [1, 2, 3]}}
+    text = json.dumps({"type": "FeatureCollection", "features": [feature] * 2000}, indent=1)
+    (tmp_path / "a.json").write_text(text)
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    assert len(geojson.read_geojson(spark, str(tmp_path)).collect()) == 2000
+    assert read() - before < 4 * len(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")  # its splits still give each feature once
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        frame = geojson.read_geojson(spark, str(tmp_path))
+        assert frame.rdd.getNumPartitions() > 1 and frame.filter("id = 'a' AND mag = 1.5").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_empty_collections(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"type": "FeatureCollection", "features": []}')
     assert geojson.read_geojson(spark, str(tmp_path)).columns == CATALOG_COLUMNS
