@@ -88,6 +88,14 @@ def test_fitted_sets_find_separate_groups(spark):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_fits_share_their_rows(spark, monkeypatch):
+    df, _ = events(spark, 60)
+    held, fit = [], K.fit_zones
+    monkeypatch.setattr(K, "fit_zones", lambda df, **options: held.append(C.feature_rows(df).storageLevel.useMemory) or fit(df, **options))
+    assert [len(c) for c in K.fitted_sets(df, (2, 3, 4))] == [2, 3, 4]
+    assert held == [False, True, True] and not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 # --- restarts ----------------------------------------------------------------
 
 
