@@ -25,6 +25,8 @@ from .word_ids import word_ids
 _NO_ID = np.iinfo(np.int64).min
 #: Bytes of text encoded, and documents and tokens returned at once.
 TEXT_BYTES, ROWS, TOKENS = 1 << 20, 1000, 1 << 20
+#: Distinct pieces a worker keeps: with fewer, rare words are encoded again each time the store is emptied.
+PIECES = 1_000_000
 
 
 def _qualified(spark: SparkSession, folder: str) -> str:
@@ -46,7 +48,7 @@ def item_type(vocabulary: int) -> np.dtype:
 def _write(folder: str, path: str, last: int, kind: np.dtype):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, most = word_ids(path, markers=True), np.iinfo(kind).max
+        encoder, most = word_ids(path, markers=True, most=PIECES), np.iinfo(kind).max
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         fs, base = _place(folder)
         fs.create_dir(base, recursive=True)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 
 from .common import find_words, lower_ascii, text_bytes
-from .pieces import PieceStore, sums
+from .pieces import CACHE, PieceStore, sums
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -34,8 +34,12 @@ _POINT[[ord("."), ord(",")]] = True
 _MARKED = b"\xff\xff"
 
 
+def _letters(text: str) -> bool:
+    return text.isalpha() and text.lower().isalpha()
+
+
 class WordIds:
-    def __init__(self, path: str, markers: bool = False):
+    def __init__(self, path: str, markers: bool = False, most: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,24 +51,23 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.store = PieceStore(self.learn)
+        self.store = PieceStore(self.learn, most)
 
     def learn(self, pieces: list[bytes]) -> list[list[int]]:
         found: list = [None] * len(pieces)
         for i, p in enumerate(pieces):
             if p.startswith(_MARKED):
                 found[i] = self.marking.encode(p[len(_MARKED) :].decode(), add_special_tokens=False).ids
-        texts = ["" if ids is not None else p.decode() for p, ids in zip(pieces, found)]
-        plain = [i for i, t in enumerate(texts) if t.isalpha() and t.lower().isalpha()]
+        plain = [i for i, p in enumerate(pieces) if p.isalpha() or found[i] is None and _letters(p.decode())]
         for lo in range(0, len(plain), 1000):
             some = plain[lo : lo + 1000]
-            ids = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in some])], add_special_tokens=False)[0].ids
+            ids = self.tokenizer.encode_batch_fast([b" ".join([pieces[i] for i in some]).decode()], add_special_tokens=False)[0].ids
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(some):
                 for i, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
                     found[i] = ids[a:b]
         rest = [i for i, ids in enumerate(found) if ids is None]
-        for i, one in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+        for i, one in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)):
             found[i] = one.ids
         return found
 
@@ -107,6 +110,6 @@ class WordIds:
 
 
 @functools.lru_cache(maxsize=4)
-def word_ids(path: str, markers: bool = False) -> WordIds:
-    """One encoder for each vocabulary and worker process."""
-    return WordIds(path, markers)
+def word_ids(path: str, markers: bool = False, most: int = CACHE) -> WordIds:
+    """One encoder for each vocabulary and worker process, which keeps up to ``most`` distinct pieces."""
+    return WordIds(path, markers, most)

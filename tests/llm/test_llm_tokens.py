@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from quakescope.llm import packing, token_files
 from quakescope.llm.common import scratch_path
-from quakescope.llm.word_ids import word_ids
+from quakescope.llm.word_ids import WordIds, word_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +34,17 @@ def test_pieces_join_to_the_librarys_ids(library):
     assert [ids[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])] == [library(t) + [7] for t in texts]
 
 
+def test_a_larger_store_encodes_no_piece_twice():
+    texts = [" ".join(f"{w}{c}" for c in ("", "x", "é.", "İ", "9")) for w in ("alpha", "ünï", "beta")] * 3
+    results, learned = [], []
+    for most in (1, 100):
+        encoder, seen = WordIds(PATH, most=most), []
+        encoder.store.encode = lambda pieces, seen=seen, encoder=encoder: seen.extend(pieces) or encoder.learn(pieces)
+        results.append([encoder.encode(pa.array([t]), 7)[0].tolist() for t in texts])
+        learned.append(len(seen) - len(set(seen)))
+    assert results[0] == results[1] and learned[0] > 0 == learned[1]
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
