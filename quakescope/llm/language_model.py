@@ -210,25 +210,28 @@ class Network:
         if log_mass is not None:
             self.shares = ((log_mass - log_mass.max(axis=1, keepdims=True)) * np.log(10)).astype(np.float32)
 
-    def exponentials(self, states: np.ndarray, name: str, base: np.ndarray) -> np.ndarray:
+    def steep(self, name: str) -> bool:
+        """Whether exp of the logits could leave its range; states lie between -1 and 1."""
+        return bool(np.abs(self.w[name]).sum(axis=0).max() + np.abs(self.shares if name == "group" else self.w["base"]).max() > 60)
+
+    def exponentials(self, states: np.ndarray, name: str, base: np.ndarray, steep: bool | None = None, out: np.ndarray | None = None) -> np.ndarray:
         """exp of the logits of each row, up to a factor each; the greatest is only taken off where exp could leave its range."""
-        logits = states @ self.w[name]
+        logits = np.matmul(states, self.w[name], out=out)
         logits += base
-        # states lie between -1 and 1
-        if np.abs(self.w[name]).sum(axis=0).max() + np.abs(self.shares if name == "group" else base).max() > 60:
+        if self.steep(name) if steep is None else steep:
             logits -= logits.max(axis=1, keepdims=True)
         return np.exp(logits, out=logits)
 
-    def slopes(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def slopes(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, weight: np.ndarray, steep: bool | None = None, out: np.ndarray | None = None) -> np.ndarray:
         """Gradient of the weighted rows' loss by their logits."""
-        share = self.exponentials(states, name, base)
+        share = self.exponentials(states, name, base, steep, out)
         share *= (weight / (share @ _ONES[: share.shape[1]]))[:, None]
         share[np.arange(len(share)), wanted] -= weight
         return share
 
-    def chosen(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    def chosen(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, steep: bool | None = None) -> np.ndarray:
         """Logarithm of each row's probability of what is wanted."""
-        share = self.exponentials(states, name, base)
+        share = self.exponentials(states, name, base, steep)
         return np.log(np.maximum(share[np.arange(len(share)), wanted], _LEAST)) - np.log(share @ _ONES[: share.shape[1]])
 
     def vectors(self) -> np.ndarray:
@@ -239,6 +242,12 @@ class Network:
         """Projected input of every (class, prefix) pair."""
         return self.vectors() @ self.w["in"] + self.w["bias"]
 
+    def vectors_of(self, classes: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+        """Input vectors of tokens."""
+        out = self.w["class"].take(classes, axis=0)
+        out += self.w["prefix"].take(prefixes, axis=0)
+        return out
+
     def train(self, inputs: np.ndarray, updates: int = LEAST_UPDATES) -> None:
         """Truncated backpropagation over documents laid end to end, in parallel strips; END tells them apart.
 
@@ -253,67 +262,67 @@ class Network:
         line[1 : 1 + len(inputs)] = inputs
         fed, strips = (x.reshape(rows, length).T for x in (line[:-1], line[1:]))
         real = (np.arange(rows * length) < len(inputs)).reshape(rows, length).T
-        adam, state = gru.Adam(self.w, 0.01), np.zeros((rows, UNITS), np.float32)
+        flat = gru.pack(self.w)  # one array under all weights
+        self.w = gru.views(flat, self.w)
+        adam, state, width = gru.Adam({"all": flat}, 0.01), np.zeros((UNITS, rows), np.float32), CLASSES + GROUPS
+        slopes = np.empty((_ROWS, width), np.float32)
         for lo in range(0, length, STEPS):
-            now, after, inside = (x[lo : lo + STEPS] for x in (fed, strips, real))
-            weight = (inside.ravel() / inside.sum()).astype(np.float32)
-            vectors = self.vectors()[now]
-            x = vectors @ self.w["in"]
-            x += self.w["bias"]
-            states, kept = gru.forward(x, self.w["on"], state, True)
-            flat = states.reshape(-1, UNITS)
-            wanted, d_flat = after.ravel(), np.empty_like(flat)
-            kinds, groups = wanted // PREFIXES, wanted % PREFIXES // 2
-            grads = {name: np.zeros_like(self.w[name]) for name in ("out", "base", "group")}
-            for at in range(0, len(flat), _ROWS):  # blocks that stay in the processor's cache
+            now, wanted, inside = (x[lo : lo + STEPS].ravel() for x in (fed, strips, real))
+            weight, steps = (inside / inside.sum()).astype(np.float32), len(now) // rows
+            kinds, groups, classes, prefixes = wanted // PREFIXES, wanted % PREFIXES // 2, now // PREFIXES, now % PREFIXES
+            several = np.where(kinds > SINGLES, weight, 0)  # tokens in classes of several
+            states, kept = gru.forward_across(self.vectors_of(classes, prefixes).reshape(steps, rows, WIDTH), self.w, state, True)
+            flat_states = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, UNITS)
+            d_states, out, of_out, of_base = np.empty_like(flat_states), np.hstack([self.w["out"], self.w["group"]]).T.copy(), 0, 0
+            steep, steep_groups = self.steep("out"), self.steep("group")
+            for at in range(0, len(now), _ROWS):  # blocks that stay in the processor's cache
                 here = slice(at, at + _ROWS)
-                some, kind, share = flat[here], kinds[here], weight[here]
-                d = self.slopes(some, "out", self.w["base"], kind, share)
-                np.matmul(d, self.w["out"].T, out=d_flat[here])
-                grads["out"] += some.T @ d
-                grads["base"] += _SUMMED[: len(some)] @ d
-                many = np.flatnonzero(kind > SINGLES)  # tokens in classes of several
-                some = some[many]
-                d = self.slopes(some, "group", self.shares[kind[many]], groups[here][many], share[many])
-                d_flat[at + many] += d @ self.w["group"].T
-                grads["group"] += some.T @ d
-            dx, grads["on"] = gru.backward(d_flat.reshape(states.shape), kept, self.w["on"])
-            dx, fed_at = dx.reshape(-1, 3 * UNITS), now.ravel()
-            both = np.stack([np.bincount(fed_at, d, CLASSES * PREFIXES) for d in self.w["in"] @ dx.T], axis=1).reshape(CLASSES, PREFIXES, WIDTH).astype(np.float32)
-            grads |= {"class": both.sum(axis=1), "prefix": both.sum(axis=0), "in": vectors.reshape(-1, WIDTH).T @ dx, "bias": dx.sum(axis=0)}
+                some, kind = flat_states[here], kinds[here]
+                d = slopes[: len(some)]
+                self.slopes(some, "out", self.w["base"], kind, weight[here], steep, d[:, :CLASSES])
+                self.slopes(some, "group", self.shares.take(kind, axis=0), groups[here], several[here], steep_groups, d[:, CLASSES:])
+                np.matmul(d, out, out=d_states[here])
+                of_out += d.T @ some
+                of_base += _SUMMED[: len(some)] @ d[:, :CLASSES]
+            d_vectors, of_units = gru.backward_across(np.ascontiguousarray(d_states.reshape(steps, rows, UNITS).transpose(0, 2, 1)), kept, self.w)
+            of_class, of_prefix = np.empty((CLASSES, WIDTH), np.float32), np.empty((PREFIXES, WIDTH), np.float32)
+            for k, d in enumerate(d_vectors.transpose(1, 0, 2).reshape(WIDTH, -1)):
+                of_class[:, k], of_prefix[:, k] = np.bincount(classes, d, CLASSES), np.bincount(prefixes, d, PREFIXES)
+            grads = of_units | {"class": of_class, "prefix": of_prefix, "out": of_out[:CLASSES].T, "group": of_out[CLASSES:].T, "base": of_base}
             adam.rate = 0.01 * (1 - 0.8 * lo / length)
-            adam.step(self.w, grads)
+            adam.step({"all": flat}, {"all": gru.pack({name: grads[name] for name in self.w})})
             state = states[-1]
 
     def log_likelihood(self, inputs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 probability of each document's classes and groups; the state is carried from its start to its end."""
-        table, order, out = self.projected(), np.argsort(-counts, kind="stable"), np.zeros(len(counts))
+        order, out = np.argsort(-counts, kind="stable"), np.zeros(len(counts))
         first = np.cumsum(counts) - counts
         for lo in range(0, len(order), SIDE):  # documents of like lengths side by side
             some = order[lo : lo + SIDE]
-            out[some] = self._side_by_side(table, inputs, first[some], counts[some])
+            out[some] = self._side_by_side(inputs, first[some], counts[some])
         return out / np.log(10)
 
-    def _side_by_side(self, table: np.ndarray, inputs: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def _side_by_side(self, inputs: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Natural logarithms for documents that begin at ``first`` and have ``size`` tokens, the longest first."""
-        state, end, out = np.zeros((len(size), UNITS), np.float32), SINGLES * PREFIXES, np.zeros(len(size))
-        before = np.full(len(size), end)
+        state, end, out = np.zeros((UNITS, len(size)), np.float32), SINGLES * PREFIXES, np.zeros(len(size))
+        before, steep, steep_groups = np.full(len(size), end), self.steep("out"), self.steep("group")
         for lo in range(0, int(size[0]), STEPS):
             live = int(np.searchsorted(-size, -lo, "left"))  # documents with more than lo tokens
             place = lo + np.arange(min(STEPS, int(size[0]) - lo))[:, None]
             inside = place < size[:live]
             here = np.where(inside, inputs[np.minimum(first[:live] + place, len(inputs) - 1)], end).astype(np.int64)
             fed = np.concatenate([before[None, :live], here[:-1]])
-            states, _ = gru.forward(table[fed], self.w["on"], state[:live])
-            flat, wanted = states.reshape(-1, UNITS), here.ravel()
-            kinds, groups, picked = wanted // PREFIXES, wanted % PREFIXES // 2, np.empty(len(flat), np.float32)
-            for at in range(0, len(flat), _ROWS):
+            states, _ = gru.forward_across(self.vectors_of(fed // PREFIXES, fed % PREFIXES), self.w, state[:, :live])
+            flat = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, UNITS)
+            wanted = here.ravel()
+            kinds, groups, picked = wanted // PREFIXES, wanted % PREFIXES // 2, np.empty(len(wanted), np.float32)
+            for at in range(0, len(wanted), _ROWS):
                 some, kind = flat[at : at + _ROWS], kinds[at : at + _ROWS]
-                picked[at : at + _ROWS] = self.chosen(some, "out", self.w["base"], kind)
-                many = np.flatnonzero(kind > SINGLES)
-                picked[at + many] += self.chosen(some[many], "group", self.shares[kind[many]], groups[at + many])
+                by_class = self.chosen(some, "out", self.w["base"], kind, steep)
+                by_group = self.chosen(some, "group", self.shares.take(kind, axis=0), groups[at : at + _ROWS], steep_groups)
+                picked[at : at + _ROWS] = by_class + np.where(kind > SINGLES, by_group, 0)
             out[:live] += np.where(inside, picked.reshape(inside.shape), 0).sum(axis=0, dtype=np.float64)
-            state[:live], before[:live] = states[-1], here[-1]
+            state[:, :live], before[:live] = states[-1], here[-1]
         return out
 
 

@@ -318,3 +318,34 @@ def test_slopes_are_those_of_the_loss():
         shift = np.zeros(lm.GROUPS, np.float32)
         shift[k] = 1e-2
         assert slope[:, k].sum() == pytest.approx((loss(shift) - loss(-shift)) / 2e-2, rel=2e-2, abs=1e-3)
+
+
+def test_recurrence_in_step_blocks_is_the_plain_one():
+    """States and gradients of ``forward_across`` are those of ``forward``, also where a gate is at its limit."""
+    rng, steps, rows, units, width = np.random.default_rng(2), 9, 5, 6, 4
+    w = {k: rng.normal(size=s).astype(np.float32) for k, s in (("on", (units, 3 * units)), ("in", (width, 3 * units)), ("bias", (3 * units,)))}
+    vectors, start = rng.normal(size=(steps, rows, width)).astype(np.float32), rng.uniform(-1, 1, (rows, units)).astype(np.float32)
+    vectors[3, 2] *= 1_000
+    grad = rng.normal(size=(steps, rows, units)).astype(np.float32)
+    want, kept = gru.forward(vectors @ w["in"] + w["bias"], w["on"], start, True)
+    dx, d_on = gru.backward(grad, kept, w["on"])
+    got, kept = gru.forward_across(vectors, w, np.ascontiguousarray(start.T), True)
+    d_vectors, d = gru.backward_across(np.ascontiguousarray(grad.transpose(0, 2, 1)), kept, w)
+    assert np.allclose(got.transpose(0, 2, 1), want, atol=1e-5)
+    assert np.allclose(gru.forward_across(vectors, w, np.ascontiguousarray(start.T))[0], got)
+    assert np.allclose(d_vectors.transpose(0, 2, 1), dx @ w["in"].T, rtol=1e-3, atol=1e-4)
+    assert np.allclose(d["on"], d_on, rtol=1e-3, atol=1e-4)
+    assert np.allclose(d["bias"], dx.sum(axis=(0, 1)), rtol=1e-3, atol=1e-4)
+    assert np.allclose(d["in"], np.einsum("trw,trg->wg", vectors, dx), rtol=1e-3, atol=1e-2)
+
+
+def test_no_window_works_on_all_pairs_of_class_and_prefix(monkeypatch):
+    """What a window of few tokens costs must not hang on the 8,192 pairs: short tasks run hundreds of them."""
+    lm, rng = language_model, np.random.default_rng(3)
+    sizes, counted = [], np.bincount
+    monkeypatch.setattr(lm.Network, "vectors", lambda self: sizes.append(lm.CLASSES * lm.PREFIXES))
+    monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: sizes.append(minlength) or counted(x, weights, minlength))
+    inputs, net = rng.integers(0, lm.CLASSES * lm.PREFIXES, 2_000), lm.Network()
+    net.train(inputs)
+    assert np.isfinite(net.log_likelihood(inputs, np.array([1_500, 500]))).all()
+    assert max(sizes) <= lm.CLASSES
