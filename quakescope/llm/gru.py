@@ -85,7 +85,7 @@ def _squash(x: np.ndarray) -> None:
 
 
 def forward_across(vectors: np.ndarray, w: dict[str, np.ndarray], start: np.ndarray, trace: bool = False) -> tuple[np.ndarray, tuple]:
-    """States after each step as (steps, units, rows), so that every part of a step lies together.
+    """States after each step as (steps, units + 1, rows), a one below each; every part of a step lies together.
 
     ``vectors`` (steps, rows, width) are the inputs; ``w`` holds the weights "on", "in" and "bias", and ``start``
     the first states (units, rows).  exp beyond its range gives infinity and so the gate's limit.
@@ -114,7 +114,7 @@ def forward_across(vectors: np.ndarray, w: dict[str, np.ndarray], start: np.ndar
             after = np.subtract(line[t, :units], new, out=line[t + 1, :units])
             after *= gate[:units]
             after += new
-    return line[1:, :units], (line[:steps], gates, news)
+    return line[1:, : units + 1], (line[:steps], gates, news)
 
 
 def backward_across(grad: np.ndarray, kept: tuple, w: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -193,7 +193,24 @@ def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- network ---------------------------------------------------------------------
 
 
-_ONES, _SUMMED, _LEAST = np.ones(CLASSES, np.float32), np.ones(_ROWS, np.float32), np.float32(1e-37)
+_ONES, _LEAST = np.ones(CLASSES, np.float32), np.float32(1e-37)
+
+
+def _exponentials(logits: np.ndarray, steep: bool) -> np.ndarray:
+    """In place; the greatest is only taken off where exp could leave its range."""
+    if steep:
+        logits -= logits.max(axis=1, keepdims=True)
+    return np.exp(logits, out=logits)
+
+
+def _slopes(share: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    share *= (weight / (share @ _ONES[: share.shape[1]]))[:, None]
+    share[np.arange(len(share)), wanted] -= weight
+    return share
+
+
+def _chosen(share: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(share[np.arange(len(share)), wanted], _LEAST)) - np.log(share @ _ONES[: share.shape[1]])
 
 
 class Network:
@@ -214,25 +231,32 @@ class Network:
         """Whether exp of the logits could leave its range; states lie between -1 and 1."""
         return bool(np.abs(self.w[name]).sum(axis=0).max() + np.abs(self.shares if name == "group" else self.w["base"]).max() > 60)
 
-    def exponentials(self, states: np.ndarray, name: str, base: np.ndarray, steep: bool | None = None, out: np.ndarray | None = None) -> np.ndarray:
-        """exp of the logits of each row, up to a factor each; the greatest is only taken off where exp could leave its range."""
-        logits = np.matmul(states, self.w[name], out=out)
+    def exponentials(self, states: np.ndarray, name: str, base: np.ndarray) -> np.ndarray:
+        """exp of the logits of each row, up to a factor each."""
+        logits = states @ self.w[name]
         logits += base
-        if self.steep(name) if steep is None else steep:
-            logits -= logits.max(axis=1, keepdims=True)
-        return np.exp(logits, out=logits)
+        return _exponentials(logits, self.steep(name))
 
-    def slopes(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, weight: np.ndarray, steep: bool | None = None, out: np.ndarray | None = None) -> np.ndarray:
+    def slopes(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Gradient of the weighted rows' loss by their logits."""
-        share = self.exponentials(states, name, base, steep, out)
-        share *= (weight / (share @ _ONES[: share.shape[1]]))[:, None]
-        share[np.arange(len(share)), wanted] -= weight
-        return share
+        return _slopes(self.exponentials(states, name, base), wanted, weight)
 
-    def chosen(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray, steep: bool | None = None) -> np.ndarray:
+    def chosen(self, states: np.ndarray, name: str, base: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Logarithm of each row's probability of what is wanted."""
-        share = self.exponentials(states, name, base, steep)
-        return np.log(np.maximum(share[np.arange(len(share)), wanted], _LEAST)) - np.log(share @ _ONES[: share.shape[1]])
+        return _chosen(self.exponentials(states, name, base), wanted)
+
+    def top(self) -> np.ndarray:
+        """Weights of the logits of classes and, beside them, of groups, for states that end in a one."""
+        return np.block([[self.w["out"], self.w["group"]], [self.w["base"], np.zeros(GROUPS, np.float32)]])
+
+    def both_exponentials(self, states: np.ndarray, top: np.ndarray, kinds: np.ndarray, steep: tuple[bool, bool], out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``exponentials`` of the classes and of the groups of ``kinds``, made together in ``out``."""
+        logits = np.matmul(states, top, out=out)
+        logits[:, CLASSES:] += self.shares.take(kinds, axis=0)
+        if any(steep):
+            return _exponentials(logits[:, :CLASSES], steep[0]), _exponentials(logits[:, CLASSES:], steep[1])
+        np.exp(logits, out=logits)
+        return logits[:, :CLASSES], logits[:, CLASSES:]
 
     def vectors(self) -> np.ndarray:
         """Input vector of every (class, prefix) pair."""
@@ -264,34 +288,33 @@ class Network:
         real = (np.arange(rows * length) < len(inputs)).reshape(rows, length).T
         flat = gru.pack(self.w)  # one array under all weights
         self.w = gru.views(flat, self.w)
-        adam, state, width = gru.Adam({"all": flat}, 0.01), np.zeros((UNITS, rows), np.float32), CLASSES + GROUPS
-        slopes = np.empty((_ROWS, width), np.float32)
+        adam, state, slopes = gru.Adam({"all": flat}, 0.01), np.zeros((UNITS, rows), np.float32), np.empty((_ROWS, CLASSES + GROUPS), np.float32)
         for lo in range(0, length, STEPS):
             now, wanted, inside = (x[lo : lo + STEPS].ravel() for x in (fed, strips, real))
             weight, steps = (inside / inside.sum()).astype(np.float32), len(now) // rows
             kinds, groups, classes, prefixes = wanted // PREFIXES, wanted % PREFIXES // 2, now // PREFIXES, now % PREFIXES
             several = np.where(kinds > SINGLES, weight, 0)  # tokens in classes of several
             states, kept = gru.forward_across(self.vectors_of(classes, prefixes).reshape(steps, rows, WIDTH), self.w, state, True)
-            flat_states = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, UNITS)
-            d_states, out, of_out, of_base = np.empty_like(flat_states), np.hstack([self.w["out"], self.w["group"]]).T.copy(), 0, 0
-            steep, steep_groups = self.steep("out"), self.steep("group")
+            flat_states = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(len(now), -1)
+            d_states, top, of_top, steep = np.empty((len(now), UNITS), np.float32), self.top(), 0, (self.steep("out"), self.steep("group"))
+            back = np.ascontiguousarray(top[:UNITS].T)
             for at in range(0, len(now), _ROWS):  # blocks that stay in the processor's cache
                 here = slice(at, at + _ROWS)
                 some, kind = flat_states[here], kinds[here]
                 d = slopes[: len(some)]
-                self.slopes(some, "out", self.w["base"], kind, weight[here], steep, d[:, :CLASSES])
-                self.slopes(some, "group", self.shares.take(kind, axis=0), groups[here], several[here], steep_groups, d[:, CLASSES:])
-                np.matmul(d, out, out=d_states[here])
-                of_out += d.T @ some
-                of_base += _SUMMED[: len(some)] @ d[:, :CLASSES]
+                by_class, by_group = self.both_exponentials(some, top, kind, steep, d)
+                _slopes(by_class, kind, weight[here])
+                _slopes(by_group, groups[here], several[here])
+                np.matmul(d, back, out=d_states[here])
+                of_top += d.T @ some
             d_vectors, of_units = gru.backward_across(np.ascontiguousarray(d_states.reshape(steps, rows, UNITS).transpose(0, 2, 1)), kept, self.w)
             of_class, of_prefix = np.empty((CLASSES, WIDTH), np.float32), np.empty((PREFIXES, WIDTH), np.float32)
             for k, d in enumerate(d_vectors.transpose(1, 0, 2).reshape(WIDTH, -1)):
                 of_class[:, k], of_prefix[:, k] = np.bincount(classes, d, CLASSES), np.bincount(prefixes, d, PREFIXES)
-            grads = of_units | {"class": of_class, "prefix": of_prefix, "out": of_out[:CLASSES].T, "group": of_out[CLASSES:].T, "base": of_base}
+            grads = of_units | {"class": of_class, "prefix": of_prefix, "out": of_top[:CLASSES, :UNITS].T, "group": of_top[CLASSES:, :UNITS].T, "base": of_top[:CLASSES, UNITS]}
             adam.rate = 0.01 * (1 - 0.8 * lo / length)
             adam.step({"all": flat}, {"all": gru.pack({name: grads[name] for name in self.w})})
-            state = states[-1]
+            state = states[-1, :UNITS]
 
     def log_likelihood(self, inputs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 probability of each document's classes and groups; the state is carried from its start to its end."""
@@ -305,7 +328,7 @@ class Network:
     def _side_by_side(self, inputs: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Natural logarithms for documents that begin at ``first`` and have ``size`` tokens, the longest first."""
         state, end, out = np.zeros((UNITS, len(size)), np.float32), SINGLES * PREFIXES, np.zeros(len(size))
-        before, steep, steep_groups = np.full(len(size), end), self.steep("out"), self.steep("group")
+        before, top, steep, shares = np.full(len(size), end), self.top(), (self.steep("out"), self.steep("group")), np.empty((_ROWS, CLASSES + GROUPS), np.float32)
         for lo in range(0, int(size[0]), STEPS):
             live = int(np.searchsorted(-size, -lo, "left"))  # documents with more than lo tokens
             place = lo + np.arange(min(STEPS, int(size[0]) - lo))[:, None]
@@ -313,16 +336,15 @@ class Network:
             here = np.where(inside, inputs[np.minimum(first[:live] + place, len(inputs) - 1)], end).astype(np.int64)
             fed = np.concatenate([before[None, :live], here[:-1]])
             states, _ = gru.forward_across(self.vectors_of(fed // PREFIXES, fed % PREFIXES), self.w, state[:, :live])
-            flat = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, UNITS)
             wanted = here.ravel()
+            flat = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(len(wanted), -1)
             kinds, groups, picked = wanted // PREFIXES, wanted % PREFIXES // 2, np.empty(len(wanted), np.float32)
             for at in range(0, len(wanted), _ROWS):
                 some, kind = flat[at : at + _ROWS], kinds[at : at + _ROWS]
-                by_class = self.chosen(some, "out", self.w["base"], kind, steep)
-                by_group = self.chosen(some, "group", self.shares.take(kind, axis=0), groups[at : at + _ROWS], steep_groups)
-                picked[at : at + _ROWS] = by_class + np.where(kind > SINGLES, by_group, 0)
+                by_class, by_group = self.both_exponentials(some, top, kind, steep, shares[: len(some)])
+                picked[at : at + _ROWS] = _chosen(by_class, kind) + np.where(kind > SINGLES, _chosen(by_group, groups[at : at + _ROWS]), 0)
             out[:live] += np.where(inside, picked.reshape(inside.shape), 0).sum(axis=0, dtype=np.float64)
-            state[:, :live], before[:live] = states[-1], here[-1]
+            state[:, :live], before[:live] = states[-1, :UNITS], here[-1]
         return out
 
 
